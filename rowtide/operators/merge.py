@@ -44,25 +44,31 @@ def reduce_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]
     return latest_per_key(changes, keys, precedence(policy, order))
 
 
+def by_bucket(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows moved by bucket number; with as many tasks as buckets, each task gets just one."""
+    return rows.repartitionById(tasks, BUCKET)
+
+
 def merge(
     stored: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     policy: str = EVENT_ORDER,
-    clustered: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Surviving row per key over stored rows and changes, tombstones included.
 
     One union and one window: stored rows cross the network once, whatever the share of
-    changed keys. ``clustered`` says both sides carry the bucket of their key; then the rows
-    are moved by bucket, and the same exchange serves the window and the bucketed write.
-    Changes must be reduced to one row per key first (``reduce_changes``), so no bucket is hot.
+    changed keys. With ``tasks`` both sides carry the bucket of their key and are moved by
+    bucket; that one exchange serves the window and the bucketed write. Changes must be reduced
+    to one row per key first (``reduce_changes``), so no bucket is hot.
     """
     both = stored.unionByName(changes, allowMissingColumns=True)
-    if not clustered:
+    if tasks is None:
         return latest_per_key(both, keys, precedence(policy, order))
-    return latest_per_key(both.repartition(BUCKET), keys, precedence(policy, order), within=[BUCKET])
+    # the window over (bucket, key) needs no exchange beyond the one by bucket
+    return latest_per_key(by_bucket(both, tasks), keys, precedence(policy, order), within=[BUCKET])
 
 
 def visible(rows: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rowtide.functions.casting import TypeRules, known_type, override_type, safe_cast, spark_type
 from rowtide.operators.events import SNAPSHOT_OP
+from rowtide.spec import BOOKKEEPING
 
 # Lineage labels of streamed and batch rows, and the stamp of snapshot rows.
 STREAM_LABEL = "Streaming"
@@ -60,11 +61,13 @@ def typed_events(
     """Events of one table as typed rows, in a single projection.
 
     The values live in a map until here, so source columns called ``table`` or ``schema``
-    cannot collide with the envelope.
+    cannot collide with the envelope. One that is called like a kept or a bookkeeping column
+    comes out as ``row_<name>``.
     """
-    names = {c for c, _ in columns}
-    clash = names & {*keep, LABEL_COLUMN}
-    typed = [safe_cast(F.col(values)[c], t).alias(c) for c, t in columns if c not in clash]
+    taken = {*keep, LABEL_COLUMN, *BOOKKEEPING}
+    typed = [
+        safe_cast(F.col(values)[c], t).alias(f"row_{c}" if c in taken else c) for c, t in columns
+    ]
     return events.select(*typed, *keep, F.lit(label).alias(LABEL_COLUMN))
 
 

@@ -7,13 +7,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rowtide.frames import small_frame
 from rowtide.functions.casting import TypeRules
 from rowtide.functions.keys import any_null
 from rowtide.operators.events import DEBEZIUM_DELETES, DEBEZIUM_UPSERTS, REJECT, SIDE, tag_debezium
 from rowtide.operators.merge import as_changes
 from rowtide.operators.typed import BATCH_LABEL, null_fill, stamp_snapshot, typed_columns
 from rowtide.plans.tables import for_each, table_columns
+from rowtide.schemas import CONTROL
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
 from rowtide.sinks.table import DATABASE_PREFIX, LakeTable
 from rowtide.sources.control import CONTROL_KEYS, advance, due
@@ -35,6 +38,7 @@ class BatchJob:
     upserts: tuple[str, ...] = DEBEZIUM_UPSERTS
     deletes: tuple[str, ...] = DEBEZIUM_DELETES
     parallel: int = 8
+    unique_snapshots: bool = False  # True: no export repeats a key, so merges need one shuffle less
     prefix: str = DATABASE_PREFIX
 
     def spec(self, database: str, table: str, table_id: str) -> TableSpec:
@@ -60,7 +64,7 @@ def snapshot_rows(snapshot: DataFrame, table: str, columns, label: str = BATCH_L
 def load_snapshot(spark: SparkSession, job: BatchJob, spec: TableSpec, columns) -> LakeTable:
     source = read_snapshot(spark, job.snapshots, spec.database, spec.table)
     lake = LakeTable(spark, job.root, spec)
-    lake.bulk_load(snapshot_rows(source, spec.table, columns, job.label))
+    lake.bulk_load(snapshot_rows(source, spec.table, columns, job.label), unique=job.unique_snapshots)
     lake.register(job.prefix)
     return lake
 
@@ -115,7 +119,7 @@ def run_batch(
     names = [((r["database"], r["table"]), error) for r, _, error in outcome]
     finished = [name for name, error in names if error is None]
     if finished:
-        done = spark.createDataFrame(finished, "database string, table string")
+        done = small_frame(spark, finished, T.StructType(CONTROL.fields[:2]))
         put_control(control, advance(control.read().join(done, list(CONTROL_KEYS), "left_semi")))
     return [(name, error) for name, error in names if error is not None]
 

@@ -1,4 +1,4 @@
-"""What is needed to work on several tables at once: their keys, columns, and bounded threads."""
+"""What is needed to work on several tables at once: their columns, and bounded threads."""
 
 from __future__ import annotations
 
@@ -8,34 +8,29 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.functions.casting import TypeRules
 from rowtide.operators.typed import catalog_types
-from rowtide.sources.control import key_lookup
-from rowtide.spec import split_keys
 
 Name = tuple[str, str]
 
+NAME = T.StructType([T.StructField("schema", T.StringType()), T.StructField("table", T.StringType())])
+
 # Fixed value: scheduler pool the table jobs run in.
 POOL = "fair_pool"
 
 
-def table_keys(tables: DataFrame, control: DataFrame) -> dict[Name, tuple[str, ...] | None]:
-    """Key columns of each (schema, table); None where the control table has no row."""
-    found = key_lookup(tables, control).select("schema", "table", "table_id").collect()
-    return {(r["schema"], r["table"]): split_keys(r["table_id"]) if r["table_id"] else None for r in found}
-
-
 def table_columns(
     tables: DataFrame, catalog: DataFrame, rules: TypeRules = TypeRules()
 ) -> dict[Name, list[tuple[str, str]]]:
-    """(column, Spark type) of each table: metadata, so it is small enough for the driver."""
+    """(column, Spark type) of each (schema, table): metadata, so it fits the driver."""
     wanted = tables.select(F.col("schema").alias("database"), "table").distinct()
-    listed = catalog_types(catalog, rules).join(wanted, ["database", "table"], "left_semi")
+    listed = catalog.join(wanted, ["database", "table"], "left_semi")
     out: dict[Name, list[tuple[str, str]]] = {}
-    for r in listed.orderBy("database", "table", "column").collect():
+    for r in catalog_types(listed, rules).select("database", "table", "column", "spark_type").collect():
         out.setdefault((r["database"], r["table"]), []).append((r["column"], r["spark_type"]))
-    return out
+    return {name: sorted(columns) for name, columns in out.items()}
 
 
 def for_each(
@@ -55,5 +50,5 @@ def for_each(
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as threads:
         # wrapped once per item: a wrapper holds one copy of the local properties
-        running = [threads.submit(inheritable_thread_target(guarded), item) for item in work]
+        running = [threads.submit(inheritable_thread_target(spark)(guarded), item) for item in work]
         return [r.result() for r in running]

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.frames import small_frame
 from rowtide.schemas import METRIC
 
 # Units a metric may have, and the metric names of a finished batch.
@@ -26,7 +27,7 @@ def append_metrics(spark: SparkSession, rows: Iterable[tuple], path: str) -> Non
     """A handful of rows per batch; they describe the batch and hold none of its data."""
     rows = list(rows)
     if rows:
-        spark.createDataFrame(rows, METRIC).coalesce(1).write.mode("append").parquet(path)
+        small_frame(spark, rows, METRIC).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:

@@ -6,14 +6,14 @@ import json
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide import files
 from rowtide.functions.casting import safe_cast
 from rowtide.functions.keys import any_null, with_bucket
-from rowtide.operators.merge import merge, reduce_changes, visible
+from rowtide.operators.merge import by_bucket, merge, reduce_changes, visible
 from rowtide.spec import BATCH, BUCKET, DELETED, TableSpec
 
 # Fixed value: consumers find database ``shop`` in the catalog under this prefix.
@@ -23,21 +23,25 @@ DATABASE_PREFIX = "hudi_"
 class LakeTable:
     """One table below ``root``.
 
-    rows/bucket=n/   the rows, tombstones included
-    stage/n/         the buckets merge number n rewrites, until they are in place
-    meta/            schema.json, and done/n for every merge that is in place
+    rows/_bucket=n/  the rows, tombstones included
+    stage/n/         the buckets rewrite number n replaces, until they are in place
+    meta/            schema.json, done/n for the last rewrite that is in place, and
+                     repeated-keys if a snapshot may hold several rows of a key
 
     A merge first writes its buckets to the stage and then copies them over the old ones. If the
     driver dies during the copy, the next merge finds the complete stage and repeats the copy, so
     no stored row can be lost half-way.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, group: int = 4096):
         self.spark = spark
+        self.group = group
         self.spec = spec
         self.root = f"{root.rstrip('/')}/{spec.database}/{spec.table}"
         self.rows_path = f"{self.root}/rows"
         self.schema_path = f"{self.root}/meta/schema.json"
+        self.repeats_path = f"{self.root}/meta/repeated-keys"
+        self._all_buckets = False  # does the catalog know every bucket
 
     # ---- reading
 
@@ -55,31 +59,23 @@ class LakeTable:
             self.schema = nullable
 
     def rows(self, buckets: list[int] | None = None) -> DataFrame | None:
-        """Stored rows, tombstones included; only the given buckets are listed and opened."""
+        """Stored rows, tombstones included; other buckets than the given ones are pruned."""
         if self.schema is None:
             return None
-        reader = self.spark.read.schema(self.schema)
-        if buckets is None:
-            return reader.parquet(self.rows_path)
-        present = self._present(buckets)
-        if not present:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.rows_path}/{BUCKET}={b}" for b in present]
-        return reader.option("basePath", self.rows_path).parquet(*paths)
-
-    def _present(self, buckets: list[int]) -> list[int]:
-        names = set(files.child_names(self.spark, self.rows_path))
-        return [b for b in sorted(buckets) if f"{BUCKET}={b}" in names]
+        stored = self.spark.read.schema(self.schema).parquet(self.rows_path)
+        return stored if buckets is None else stored.filter(_in_buckets(buckets))
 
     def read(self) -> DataFrame:
         return visible(self.rows())
 
     # ---- writing
 
-    def bulk_load(self, rows: DataFrame, batch: int = 0) -> None:
+    def bulk_load(self, rows: DataFrame, batch: int = 0, unique: bool = False) -> None:
         """Replace the table by a snapshot, every row as it is.
 
-        ``rows`` must not read this table: a static overwrite deletes before it writes.
+        ``unique`` promises one row per key; without it later merges take a path that a key
+        with many rows cannot make slow. ``rows`` must not read this table: a static overwrite
+        deletes before it writes.
         """
         stored = with_bucket(
             rows.withColumns({BATCH: F.lit(batch).cast("bigint"), DELETED: F.lit(False)}),
@@ -89,10 +85,18 @@ class LakeTable:
         files.delete(self.spark, f"{self.root}/stage")  # an unfinished merge of the old rows
         # rebalance: one shuffle by bucket, and AQE cuts a bucket that is too big for one task
         self._write(stored.hint("rebalance", BUCKET), self.rows_path, "static")
+        if unique:
+            files.delete(self.spark, self.repeats_path)
+        else:
+            files.write_text(self.spark, self.repeats_path, "")
         self._keep_schema(stored.schema)
 
-    def merge(self, changes: DataFrame, batch: int = 0) -> list[int]:
-        """Apply change rows (``operators.merge.as_changes``); returns the buckets rewritten."""
+    def merge(self, changes: DataFrame, batch: int = 0) -> int:
+        """Apply change rows (``operators.merge.as_changes``); returns the number of buckets rewritten.
+
+        Buckets are rewritten in groups of ``group``: one group's shuffle has at most that many
+        reducers and reads only the group's own files, and the stage never holds more than a group.
+        """
         self._finish_copy()
         keys, order, policy = self.spec.keys, self.spec.order, self.spec.policy
         if BATCH not in changes.columns:
@@ -102,17 +106,24 @@ class LakeTable:
         reduced = reduced.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # bounded by the number of buckets, whatever the number of rows
-            touched = [r[0] for r in reduced.select(BUCKET).distinct().collect()]
+            touched = sorted(r[0] for r in reduced.select(BUCKET).distinct().collect())
             if not touched:
-                return []
+                return 0
             retyped = self._retyped(reduced.schema)
-            stored = self.rows(None if retyped else touched)
-            if stored is None:
-                merged = reduced.repartition(BUCKET)
-            else:
-                merged = merge(_retype(stored, retyped), reduced, keys, order, policy, clustered=True)
-            self._rewrite(merged)
-            return touched
+            work = list(range(self.spec.buckets)) if retyped else touched
+            stored = self.rows()
+            repeats = files.exists(self.spark, self.repeats_path)
+            for start in range(0, len(work), self.group):
+                part = work[start : start + self.group]
+                incoming = reduced.filter(_in_buckets(part))
+                if stored is None:
+                    merged = by_bucket(incoming, len(part))
+                else:
+                    old = _retype(stored.filter(_in_buckets(part)), retyped)
+                    merged = merge(old, incoming, keys, order, policy, None if repeats else len(part))
+                    merged = by_bucket(merged, len(part)) if repeats else merged
+                self._rewrite(merged)
+            return len(work)
         finally:
             reduced.unpersist()
 
@@ -127,9 +138,10 @@ class LakeTable:
             return
         old = F.coalesce(F.col(DELETED) & (F.col(self.spec.order[0]) < F.lit(before)), F.lit(False))
         state = rows.groupBy(BUCKET).agg(F.bool_or(old).alias("some"), F.bool_and(old).alias("all"))
-        work = [r[BUCKET] for r in state.filter("some and not all").collect()]
-        if work:
-            self._rewrite(self.rows(work).filter(~old).repartition(BUCKET))
+        work = sorted(r[BUCKET] for r in state.filter("some and not all").collect())
+        for start in range(0, len(work), self.group):
+            part = work[start : start + self.group]
+            self._rewrite(by_bucket(self.rows(part).filter(~old), len(part)))
 
     def _retyped(self, incoming: T.StructType) -> dict[str, T.DataType]:
         """Columns whose source type changed: then every bucket is rewritten in the new type."""
@@ -173,27 +185,45 @@ class LakeTable:
         self._keep_schema(staged.schema)
         self._write(staged, self.rows_path, "dynamic")
         files.write_text(self.spark, f"{self.root}/meta/done/{number}", "")
+        files.delete(self.spark, f"{self.root}/meta/done/{number - 1}")
         files.delete(self.spark, stage)
 
     # ---- catalog
 
     def register(self, prefix: str = DATABASE_PREFIX) -> str:
-        """``<prefix><database>.<table>`` as a view of the live rows over ``<table>__rows``."""
+        """``<prefix><database>.<table>`` as a view of the live rows over ``<table>__rows``.
+
+        Call it after every write: it only does what is missing, and tells the session that files
+        have changed.
+        """
         database = _quoted(prefix + self.spec.database)
         name, rows = (f"{database}.{_quoted(self.spec.table + s)}" for s in ("", "__rows"))
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        fields = [f for f in self.schema if f.name != BUCKET]
-        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
-        self.spark.sql(f"DROP TABLE IF EXISTS {rows}")
-        self.spark.sql(
-            f"CREATE TABLE {rows} ({columns}, {BUCKET} INT) USING parquet "
-            f"PARTITIONED BY ({BUCKET}) LOCATION '{self.rows_path}'"
-        )
-        self.spark.sql(f"MSCK REPAIR TABLE {rows}")
-        shown = ", ".join(_quoted(f.name) for f in fields if f.name not in (DELETED, BATCH))
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM {rows} WHERE NOT {DELETED}")
+        if not self._registered(rows):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            fields = [f for f in self.schema if f.name != BUCKET]
+            columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+            self.spark.sql(f"DROP TABLE IF EXISTS {rows}")
+            self.spark.sql(
+                f"CREATE TABLE {rows} ({columns}, {BUCKET} INT) USING parquet "
+                f"PARTITIONED BY ({BUCKET}) LOCATION '{self.rows_path}'"
+            )
+            shown = ", ".join(_quoted(f.name) for f in fields if f.name not in (DELETED, BATCH))
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM {rows} WHERE NOT {DELETED}")
+            self._all_buckets = False
+        if not self._all_buckets:
+            self.spark.sql(f"MSCK REPAIR TABLE {rows}")
+            self._all_buckets = self.spark.sql(f"SHOW PARTITIONS {rows}").count() == self.spec.buckets
+        self.spark.sql(f"REFRESH TABLE {rows}")
         return name
 
+    def _registered(self, rows: str) -> bool:
+        if not self.spark.catalog.tableExists(rows):
+            return False
+        def shape(schema):
+            return {(f.name, f.dataType) for f in schema}
+
+        return shape(self.spark.table(rows).schema) == shape(self.schema)
+
 
 def _retype(stored: DataFrame, wanted: dict[str, T.DataType]) -> DataFrame:
     if not wanted:
@@ -208,5 +238,12 @@ def _retype(stored: DataFrame, wanted: dict[str, T.DataType]) -> DataFrame:
     )
 
 
+def _in_buckets(buckets: list[int]) -> Column:
+    """A range where the numbers are dense, else one list literal."""
+    if buckets[-1] - buckets[0] + 1 == len(buckets):
+        return F.col(BUCKET).between(buckets[0], buckets[-1])
+    return F.expr(f"{BUCKET} IN ({', '.join(map(str, buckets))})")
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -11,7 +11,7 @@ BATCH_ORDER = ("__source_ts_ms", "__source_pos")
 # Bookkeeping columns of a stored row.
 DELETED = "_deleted"
 BATCH = "_batch"
-BUCKET = "bucket"
+BUCKET = "_bucket"
 BOOKKEEPING = (DELETED, BATCH, BUCKET)
 
 EVENT_ORDER = "event_order"

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide import files
-from rowtide.functions.casting import TypeRules
+from rowtide.frames import small_frame
+from rowtide.functions.casting import TypeRules, safe_cast
 from rowtide.functions.keys import any_null
 from rowtide.operators.events import REASON, SIDE, parse_events, tag_binlog
 from rowtide.operators.merge import as_changes
 from rowtide.operators.typed import STREAM_LABEL, typed_events
-from rowtide.plans.tables import Name, for_each, table_columns, table_keys
+from rowtide.plans.tables import NAME, Name, for_each, table_columns
 from rowtide.sinks.metrics import COUNT, append_metrics, metric_row
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
 from rowtide.sinks.table import DATABASE_PREFIX, LakeTable
-from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec
+from rowtide.sources.control import key_lookup
+from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec, split_keys
 
 _OK = "_ok"
 _PARTS = (_OK, "schema", "table")
@@ -46,7 +49,8 @@ class ChangeApplier:
     on_error: str = "quarantine"  # or "fail": the batch is replayed from the checkpoint
     label: str = STREAM_LABEL
     prefix: str = DATABASE_PREFIX
-    registered: set = field(default_factory=set)
+    batch_offset: int = 0  # raise it above the last batch when a checkpoint starts anew
+    _lakes: dict[TableSpec, LakeTable] = field(default_factory=dict)
 
     @property
     def quarantine_path(self) -> str:
@@ -57,21 +61,24 @@ class ChangeApplier:
         return f"{self.root}/metrics"
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch_id += self.batch_offset
         stage = f"{self.root}/stage/batch-{batch_id}"
         self.stage(batch, stage)
         if not any(n.startswith(_OK) for n in files.child_names(self.spark, stage)):
             files.delete(self.spark, stage)  # an empty batch wrote no partition
             return
         staged = self.spark.read.schema(self._stage_schema).parquet(stage)
-        counts = staged.groupBy(*_PARTS).count().collect()  # one row per table of the batch
-        good = {(r["schema"], r["table"]): r["count"] for r in counts if r[_OK]}
-        bad = sum(r["count"] for r in counts if not r[_OK])
+        # one row per table of the batch, with the key columns its control row names
+        listed = key_lookup(staged.groupBy(*_PARTS).count(), self.control()).collect()
+        good = {(r["schema"], r["table"]): r for r in listed if r[_OK]}
+        bad = sum(r["count"] for r in listed if not r[_OK])
         if bad:
             reject = staged.filter(~F.col(_OK))
             rows = quarantine_rows(reject, F.col(REASON), batch_id, "parse", F.col("value"))
             write_quarantine(rows, self.quarantine_path)
-        failed = self._apply_tables(staged, list(good), batch_id) if good else {}
-        self._report(good, bad, failed, batch_id)
+        keys = {n: split_keys(r["table_id"]) if r["table_id"] else None for n, r in good.items()}
+        failed = self._apply_tables(staged, keys, batch_id) if good else {}
+        self._report({n: r["count"] for n, r in good.items()}, bad, failed, batch_id)
         if failed and self.on_error == "fail":
             raise RuntimeError(f"batch {batch_id} failed for {sorted(failed)}") from next(iter(failed.values()))
         files.delete(self.spark, stage)
@@ -79,30 +86,28 @@ class ChangeApplier:
     def stage(self, batch: DataFrame, path: str) -> None:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
         several tasks and gives small tables one file each."""
-        events = tag_binlog(parse_events(batch, time_type=self.time_type))
+        events = parse_events(batch, time_type=self.time_type)
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
         out = events.select(
-            "date_action", "log_position", "values", SIDE, keep_text, REASON,
+            "log_type", "date_action", "log_position", "values", keep_text, REASON,
             F.col(REASON).isNull().alias(_OK), "schema", "table",
         )
         self._stage_schema = out.schema
         out.hint("rebalance", *_PARTS).write.mode("overwrite").partitionBy(*_PARTS).parquet(path)
 
-    def _apply_tables(self, staged: DataFrame, names: list[Name], batch_id: int) -> dict[Name, Exception]:
-        tables = self.spark.createDataFrame(names, "schema string, table string")
-        keys = table_keys(tables, self.control())
-        columns = table_columns(tables, self.catalog(), self.rules)
+    def _apply_tables(self, staged: DataFrame, keys: dict[Name, tuple | None], batch_id: int) -> dict[Name, Exception]:
+        columns = table_columns(small_frame(self.spark, list(keys), NAME), self.catalog(), self.rules)
 
         def work(name: Name) -> None:
             rows = staged.filter(F.col(_OK) & (F.col("schema") == name[0]) & (F.col("table") == name[1]))
-            if keys.get(name) is None:
+            if not keys[name]:
                 self._quarantine(rows, "no_key", name, batch_id)
             elif name not in columns:
                 self._quarantine(rows, "no_catalog", name, batch_id)
             else:
                 self._merge(rows, name, keys[name], columns[name], batch_id)
 
-        failed = {n: e for n, _, e in for_each(self.spark, names, work, self.parallel) if e is not None}
+        failed = {n: e for n, _, e in for_each(self.spark, keys, work, self.parallel) if e is not None}
         if self.on_error == "quarantine":
             for name, error in failed.items():
                 rows = staged.filter(F.col(_OK) & (F.col("schema") == name[0]) & (F.col("table") == name[1]))
@@ -111,24 +116,26 @@ class ChangeApplier:
 
     def _merge(self, rows: DataFrame, name: Name, keys, columns, batch_id: int) -> None:
         spec = TableSpec(*name, keys, STREAM_ORDER, self.buckets.get(name, self.default_buckets), self.policy)
-        missing = set(keys) - {c for c, _ in columns} - set(STREAM_ORDER)
+        missing = set(keys) - {c for c, _ in columns}
         if missing:
             raise LookupError(f"key columns {sorted(missing)} are not in the catalog")
-        typed = typed_events(rows, columns, self.label, (*STREAM_ORDER, SIDE))
+        typed = typed_events(tag_binlog(rows), columns, self.label, (*STREAM_ORDER, SIDE))
         nulls = Observation()
         typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"))
-        lake = LakeTable(self.spark, self.root, spec)
-        first = lake.schema
+        lake = self._lakes.setdefault(spec, LakeTable(self.spark, self.root, spec))
         lake.merge(as_changes(typed, keys, STREAM_ORDER, batch_id), batch_id)
         if nulls.get["n"]:
-            typed_keys = typed_events(rows, [c for c in columns if c[0] in keys], keep=("values", "schema", "table"))
-            self._quarantine(typed_keys.filter(any_null(keys)), "null_key", name, batch_id)
-        if lake.schema is not None and (name not in self.registered or lake.schema != first):
+            key_types = [c for c in columns if c[0] in keys]
+            keyless = [safe_cast(F.col("values")[c], t).isNull() for c, t in key_types]
+            self._quarantine(rows.filter(reduce(Column.__or__, keyless)), "null_key", name, batch_id)
+        if lake.schema is not None:
             lake.register(self.prefix)
-            self.registered.add(name)
 
     def _quarantine(self, rows: DataFrame, reason: str, name: Name, batch_id: int) -> None:
-        value = F.to_json("values", {"ignoreNullFields": "false"})
+        """The kept text is a whole event again, so it can be sent once more."""
+        row = F.struct("values").alias("row")
+        event = F.struct("schema", "table", "log_type", "date_action", "log_position", row)
+        value = F.to_json(event, {"ignoreNullFields": "false"})
         out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name), value)
         write_quarantine(out, self.quarantine_path)
 
