@@ -44,6 +44,8 @@ def session():
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.sql.shuffle.partitions": CPUS,
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": CPUS,
+            # partitions sized for one machine, so that small data still uses every core
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -27,3 +27,13 @@ def event_batch(spark: SparkSession, path: str) -> DataFrame:
 def shard_union(shards: Iterable[DataFrame]) -> DataFrame:
     """All shards as one frame, streaming or not; columns are matched by name."""
     return reduce(DataFrame.unionByName, shards)
+
+
+def spread(raw: DataFrame) -> DataFrame:
+    """Round-robin over all cores where a source gives fewer splits than there are cores.
+
+    Parsing costs far more than moving the text. Meant for a bare scan or micro-batch: counting
+    the splits of a frame with a shuffle in it would run that shuffle.
+    """
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(cores) if raw.rdd.getNumPartitions() < cores else raw

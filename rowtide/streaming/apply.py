@@ -21,6 +21,7 @@ from rowtide.sinks.metrics import COUNT, append_metrics, metric_row
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
 from rowtide.sinks.table import DATABASE_PREFIX, LakeTable
 from rowtide.sources.control import key_lookup
+from rowtide.sources.events import spread
 from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec, split_keys
 
 _OK = "_ok"
@@ -46,6 +47,7 @@ class ChangeApplier:
     buckets: Mapping[Name, int] = field(default_factory=dict)
     default_buckets: int = 16
     parallel: int = 8
+    parse_tasks: int | None = None  # for uneven shards: spread the raw text over so many tasks
     on_error: str = "quarantine"  # or "fail": the batch is replayed from the checkpoint
     label: str = STREAM_LABEL
     prefix: str = DATABASE_PREFIX
@@ -86,7 +88,8 @@ class ChangeApplier:
     def stage(self, batch: DataFrame, path: str) -> None:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
         several tasks and gives small tables one file each."""
-        events = parse_events(batch, time_type=self.time_type)
+        raw = spread(batch) if self.parse_tasks is None else batch.repartition(self.parse_tasks)
+        events = parse_events(raw, time_type=self.time_type)
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
         out = events.select(
             "log_type", "date_action", "log_position", "values", keep_text, REASON,

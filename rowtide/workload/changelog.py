@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.sources.events import spread
+
 SCHEMA = "shop"
 
 
@@ -63,7 +65,7 @@ def event_text(rows: DataFrame, values: list[str], keep: tuple[str, ...] = ()) -
     """Rows as JSON events in a ``value`` column; a null value is left out of the event."""
     row = F.struct(F.struct(*values).alias("values"))
     event = F.struct("schema", "table", "log_type", "date_action", "log_position", row.alias("row"))
-    return rows.select(*keep, F.to_json(event).alias("value"))
+    return spread(rows).select(*keep, F.to_json(event).alias("value"))
 
 
 def activity_text(spark: SparkSession, sf: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -150,19 +152,39 @@ def seen_catalog(events: DataFrame) -> DataFrame:
     return columns.withColumn("data_type", kind)
 
 
-def registry(events: DataFrame) -> DataFrame:
+def mixed_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """(schema, table) pairs of ``mixed_text``, without making the text."""
+    logs = (order_changes, line_changes, activity)
+    names = [log(spark, sf).select("schema", "table").distinct() for log in logs]
+    return names[0].unionByName(names[1]).unionByName(names[2])
+
+
+def registry(tables: DataFrame) -> DataFrame:
     """Control rows of the tables a change log names; ``profiles`` stays unregistered."""
     key = F.when(F.col("table") == "orders", "o_orderkey").when(
         F.col("table") == "lineitem", "l_orderkey, l_linenumber"
     )
     return (
-        events.select(F.col("schema").alias("database"), "table")
+        tables.select(F.col("schema").alias("database"), "table")
         .distinct()
         .filter(F.col("table") != "profiles")
         .withColumn("table_id", key.otherwise("id"))
     )
 
 
+def declared_catalog(tables: DataFrame) -> DataFrame:
+    """Column catalog of the tables a change log names, as their definitions give it."""
+
+    def listed(columns) -> Column:
+        return F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("data_type")) for c, t in columns])
+
+    columns = F.when(F.col("table") == "orders", listed(ORDER_COLUMNS)).when(
+        F.col("table") == "lineitem", listed(LINE_COLUMNS)
+    )
+    columns = columns.otherwise(listed([("id", "bigint"), ("value", "double")]))
+    return tables.select(F.col("schema").alias("database"), "table", F.inline(columns))
+
+
 def control(spark: SparkSession, sf: str) -> DataFrame:
     """One control row per customer: its orders are one source table."""
     orders = table(spark, sf, "orders").groupBy("o_custkey").agg(

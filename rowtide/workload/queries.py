@@ -624,8 +624,7 @@ _LAST_ACTIVITY = f"""
 def _activity_applier(spark, root, sf, policy=EVENT_ORDER):
     names = cl.activity(spark, sf).select("schema", "table").distinct()
     control = names.select(F.col("schema").alias("database"), "table", F.lit("id").alias("table_id"))
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("data_type")) for c, t in (("id", "bigint"), ("value", "double"))])
-    catalog = control.select("database", "table", F.inline(pairs))
+    catalog = cl.declared_catalog(names)
     return ChangeApplier(
         spark, root, lambda: control, lambda: catalog, policy, SPARK_TYPES, NTZ, default_buckets=4, prefix="replay_"
     )
@@ -683,8 +682,8 @@ _TIES = ", ".join(f"{c} desc nulls last" for c in sorted(_LINE_REST) )
 def fanout_tables(spark, sf):
     root = shared_dir(spark, "fanout")
     text = cl.mixed_text(spark, sf)
-    seen = ev.accepted(ev.parse_events(text, time_type=NTZ))
-    control, catalog = cl.registry(seen), cl.seen_catalog(seen)
+    tables = cl.mixed_tables(spark, sf)
+    control, catalog = cl.registry(tables), cl.declared_catalog(tables)
     applier = ChangeApplier(
         spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=4, prefix="fanout_"
     )
