@@ -32,15 +32,16 @@ def parse_events(raw: DataFrame, value: str = "value", time_type: str = "timesta
     comes out with ``_reason`` set.
     """
     text = F.col(value)
-    many = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
-    one_each = F.explode_outer(F.coalesce(many, F.array(text)))
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    keep = [c for c in raw.columns if c != value]
-    events = (
-        decode(raw, value)
-        .select(*keep, text.alias("_whole"), one_each.alias("_one"))
-        .withColumn("_e", F.from_json("_one", ENVELOPE, opts))
+    many = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
+    # Parsed inside the generator: a filter on the result cannot be pushed below it, where
+    # it would parse the text once more for every field it looks at.
+    parsed = F.transform(
+        F.coalesce(many, F.array(text)),
+        lambda one: F.struct(one.alias("_one"), F.from_json(one, ENVELOPE, opts).alias("_e")),
     )
+    keep = [c for c in raw.columns if c != value]
+    events = decode(raw, value).select(*keep, text.alias("_whole"), F.inline_outer(parsed))
     e = F.col("_e")
     return events.select(
         *keep,

@@ -15,9 +15,10 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
 }
 
-# Cluster defaults; every one of them can be overridden by the deployer.
+# Cluster defaults; every one of them can be overridden by the deployer. The first is an upper
+# bound that adaptive execution shrinks: raise it to (bytes of the largest shuffle / 256 MB).
 CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.scheduler.mode": "FAIR",
