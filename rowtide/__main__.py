@@ -23,6 +23,10 @@ def pairs(items: list[str]) -> dict[str, str]:
     return dict(item.split("=", 1) for item in items)
 
 
+def table_buckets(items: list[str]) -> dict[tuple[str, str], int]:
+    return {tuple(name.split(".", 1)): int(n) for name, n in pairs(items).items()}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rowtide")
     commands = top.add_subparsers(dest="command", required=True)
@@ -40,6 +44,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--databases", nargs="*", default=[], help="source databases to list, with --jdbc-url")
     job.add_argument("--policy", choices=[EVENT_ORDER, ARRIVAL], default=EVENT_ORDER)
     job.add_argument("--buckets", type=int, default=16, help="buckets per table")
+    job.add_argument("--table-buckets", action="append", default=[], metavar="DB.TABLE=N", help="for single tables")
     job.add_argument("--parallel", type=int, default=8, help="tables worked on at a time")
     job.add_argument("--datetime-type", choices=["timestamp", "timestamp_ntz"], default="timestamp")
 
@@ -88,7 +93,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "batch":
         job = BatchJob(
             args.root, args.snapshots, args.changes, args.layout, args.policy,
-            default_buckets=args.buckets, rules=rules, parallel=args.parallel,
+            table_buckets(args.table_buckets), args.buckets, rules, parallel=args.parallel,
             unique_snapshots=args.unique_snapshots,
         )
         failed = run_batch(spark, job, control, catalog(spark, args))
@@ -97,8 +102,8 @@ def main(argv: list[str] | None = None) -> int:
         return 1 if failed else 0
     applier = ChangeApplier(
         spark, args.root, control.read, lambda: catalog(spark, args), args.policy, rules, args.datetime_type,
-        default_buckets=args.buckets, parallel=args.parallel, parse_tasks=args.parse_tasks,
-        on_error=args.on_error, batch_offset=args.batch_offset,
+        table_buckets(args.table_buckets), args.buckets, args.parallel, args.parse_tasks,
+        args.on_error, batch_offset=args.batch_offset,
     )
     source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,13 +18,16 @@ from rowtide.spec import BATCH, BUCKET, DELETED, TableSpec
 # Fixed value: consumers find database ``shop`` in the catalog under this prefix.
 DATABASE_PREFIX = "hudi_"
 
+_GROUP = "_group"
+
 
 class LakeTable:
     """One table below ``root``.
 
     rows/_bucket=n/  the rows, tombstones included
+    incoming/        the changes of the merge that is running
     stage/n/         the buckets rewrite number n replaces, until they are in place
-    meta/            schema.json, done/n for the last rewrite that is in place, and
+    meta/            schema.json and layout.json, done/n for the last rewrite that is in place, and
                      repeated-keys if a snapshot may hold several rows of a key
 
     A merge first writes its buckets to the stage and then copies them over the old ones. If the
@@ -40,6 +42,7 @@ class LakeTable:
         self.root = f"{root.rstrip('/')}/{spec.database}/{spec.table}"
         self.rows_path = f"{self.root}/rows"
         self.schema_path = f"{self.root}/meta/schema.json"
+        self.layout_path = f"{self.root}/meta/layout.json"
         self.repeats_path = f"{self.root}/meta/repeated-keys"
         self._all_buckets = False  # does the catalog know every bucket
 
@@ -83,49 +86,77 @@ class LakeTable:
             self.spec.buckets,
         )
         files.delete(self.spark, f"{self.root}/stage")  # an unfinished merge of the old rows
-        # rebalance: one shuffle by bucket, and AQE cuts a bucket that is too big for one task
-        self._write(stored.hint("rebalance", BUCKET), self.rows_path, "static")
+        files.delete(self.spark, self.layout_path)
+        self._check_layout()
+        # rebalance: one shuffle with a partition per bucket, of which AQE cuts those that are too
+        # big for one task and joins those that are too small for one
+        placed = stored.hint("rebalance", self.spec.buckets, BUCKET)
+        self._write(placed, self.rows_path, "static")
         if unique:
             files.delete(self.spark, self.repeats_path)
         else:
             files.write_text(self.spark, self.repeats_path, "")
         self._keep_schema(stored.schema)
 
+    def _check_layout(self) -> None:
+        """Another key or bucket count would put a key's rows in two places."""
+        layout = {"keys": list(self.spec.keys), "buckets": self.spec.buckets}
+        if not files.exists(self.spark, self.layout_path):
+            files.write_text(self.spark, self.layout_path, json.dumps(layout))
+        kept = json.loads(files.read_text(self.spark, self.layout_path))
+        if kept != layout:
+            raise ValueError(f"{self.root} is laid out by {kept}, not {layout}; load it anew to change that")
+
     def merge(self, changes: DataFrame, batch: int = 0) -> int:
         """Apply change rows (``operators.merge.as_changes``); returns the number of buckets rewritten.
 
-        Buckets are rewritten in groups of ``group``: one group's shuffle has at most that many
-        reducers and reads only the group's own files, and the stage never holds more than a group.
+        The changes are written down once, reduced to a row per key, so a lost executor costs no
+        second reduction. Buckets are then rewritten in groups of ``group``: one group's shuffle has
+        at most that many reducers, reads only the group's own rows and changes, and the stage never
+        holds more than a group.
         """
+        self._check_layout()
         self._finish_copy()
         keys, order, policy = self.spec.keys, self.spec.order, self.spec.policy
         if BATCH not in changes.columns:
             changes = changes.withColumn(BATCH, F.lit(batch).cast("bigint"))
         usable = changes.filter(~any_null(keys))
-        reduced = with_bucket(reduce_changes(usable, keys, order, policy), keys, self.spec.buckets)
-        reduced = reduced.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # bounded by the number of buckets, whatever the number of rows
-            touched = sorted(r[0] for r in reduced.select(BUCKET).distinct().collect())
-            if not touched:
-                return 0
-            retyped = self._retyped(reduced.schema)
+        incoming = self._write_down(reduce_changes(usable, keys, order, policy))
+        # bounded by the number of buckets, whatever the number of rows
+        touched = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())
+        if touched:
+            retyped = self._retyped(incoming.drop(_GROUP).schema)
             work = list(range(self.spec.buckets)) if retyped else touched
             stored = self.rows()
             repeats = files.exists(self.spark, self.repeats_path)
-            for start in range(0, len(work), self.group):
-                part = work[start : start + self.group]
-                incoming = reduced.filter(_in_buckets(part))
+            # a new type reaches every bucket in one rewrite, so no crash can leave two types behind
+            groups = {None: work} if retyped else self._groups(work)
+            for number, part in groups.items():
+                new = incoming if number is None else incoming.filter(F.col(_GROUP) == number)
+                new = new.drop(_GROUP)
                 if stored is None:
-                    merged = by_bucket(incoming, len(part))
+                    merged = by_bucket(new, len(part))
                 else:
                     old = _retype(stored.filter(_in_buckets(part)), retyped)
-                    merged = merge(old, incoming, keys, order, policy, None if repeats else len(part))
+                    merged = merge(old, new, keys, order, policy, None if repeats else len(part))
                     merged = by_bucket(merged, len(part)) if repeats else merged
                 self._rewrite(merged)
-            return len(work)
-        finally:
-            reduced.unpersist()
+        files.delete(self.spark, f"{self.root}/incoming")
+        return len(work) if touched else 0
+
+    def _write_down(self, reduced: DataFrame) -> DataFrame:
+        path = f"{self.root}/incoming"
+        placed = with_bucket(reduced, self.spec.keys, self.spec.buckets)
+        grouped = placed.withColumn(_GROUP, F.floor(F.col(BUCKET) / self.group).cast("int"))
+        spread = grouped.hint("rebalance", _GROUP) if self.spec.buckets > self.group else grouped
+        spread.write.mode("overwrite").partitionBy(_GROUP).parquet(path)
+        return self.spark.read.schema(grouped.schema).parquet(path)
+
+    def _groups(self, buckets: list[int]) -> dict[int, list[int]]:
+        out: dict[int, list[int]] = {}
+        for b in buckets:
+            out.setdefault(b // self.group, []).append(b)
+        return out
 
     def purge_tombstones(self, before) -> None:
         """Drop tombstones whose first order column is below ``before``.
@@ -139,8 +170,7 @@ class LakeTable:
         old = F.coalesce(F.col(DELETED) & (F.col(self.spec.order[0]) < F.lit(before)), F.lit(False))
         state = rows.groupBy(BUCKET).agg(F.bool_or(old).alias("some"), F.bool_and(old).alias("all"))
         work = sorted(r[BUCKET] for r in state.filter("some and not all").collect())
-        for start in range(0, len(work), self.group):
-            part = work[start : start + self.group]
+        for part in self._groups(work).values():
             self._rewrite(by_bucket(self.rows(part).filter(~old), len(part)))
 
     def _retyped(self, incoming: T.StructType) -> dict[str, T.DataType]:

@@ -200,7 +200,7 @@ def test_day_parts_are_padded(spark):
 
 def test_spec():
     assert split_keys("a, b") == ("a", "b")
-    assert [buckets_for(n << 20) for n in (1, 512, 513, 5000)] == [1, 1, 2, 16]
+    assert [buckets_for(n << 20) for n in (1, 512, 513, 5000, 100 << 20)] == [1, 1, 2, 16, 32768]
     with pytest.raises(ValueError):
         TableSpec("d", "t", ("id",), policy="newest")
     with pytest.raises(ValueError):

@@ -87,6 +87,18 @@ def test_only_touched_buckets_are_rewritten(spark):
     assert "PartitionFilters: [" in plan and BUCKET in plan[plan.index("PartitionFilters"):]
 
 
+def test_another_bucket_count_is_refused(spark):
+    table = lake(spark, buckets=4)
+    table.bulk_load(base(spark))
+    root = table.root.removesuffix("/db/tab")
+    other = LakeTable(spark, root, TableSpec("db", "tab", ("k",), ORDER, 8))
+    with pytest.raises(ValueError, match="laid out"):
+        other.merge(change(spark, [(1, 1, 1, "one", "upsert")]))
+    other.bulk_load(base(spark, 3))
+    other.merge(change(spark, [(1, 1, 1, "one", "upsert")]))
+    assert values(other) == {0: "base", 1: "one", 2: "base"}
+
+
 def test_null_keys_never_reach_the_table(spark):
     table = lake(spark)
     table.merge(change(spark, [(None, 1, 1, "x", "upsert"), (1, 1, 1, "y", "upsert")]))
