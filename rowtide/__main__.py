@@ -27,6 +27,10 @@ def table_buckets(items: list[str]) -> dict[tuple[str, str], int]:
     return {tuple(name.split(".", 1)): int(n) for name, n in pairs(items).items()}
 
 
+def names(items: list[str]) -> frozenset[tuple[str, str]]:
+    return frozenset(tuple(item.split(".", 1)) for item in items)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rowtide")
     commands = top.add_subparsers(dest="command", required=True)
@@ -58,6 +62,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--batch-offset", type=int, default=0)
     stream.add_argument("--on-error", choices=["quarantine", "fail"], default="quarantine")
     stream.add_argument("--parse-tasks", type=int)
+    stream.add_argument("--only", action="append", default=[], metavar="DB.TABLE", help="apply these tables only")
+    stream.add_argument("--skip", action="append", default=[], metavar="DB.TABLE", help="leave these to another stream")
 
     batch = commands.add_parser("batch", parents=[common, job], help="snapshot and daily loads that are due")
     batch.add_argument("--snapshots", required=True, help="path with {database} and {table}")
@@ -103,7 +109,8 @@ def main(argv: list[str] | None = None) -> int:
     applier = ChangeApplier(
         spark, args.root, control.read, lambda: catalog(spark, args), args.policy, rules, args.datetime_type,
         table_buckets(args.table_buckets), args.buckets, args.parallel, args.parse_tasks,
-        args.on_error, batch_offset=args.batch_offset,
+        args.on_error, names(args.only), names(args.skip),
+        name=args.name, batch_offset=args.batch_offset,
     )
     source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:

@@ -10,6 +10,11 @@ def _fs(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    fs, target = _fs(spark, path)
+    return fs.makeQualified(target).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target)

@@ -247,9 +247,14 @@ class LakeTable:
         return name
 
     def _registered(self, rows: str) -> bool:
+        """Is the catalog entry there, for this folder and this schema."""
         if not self.spark.catalog.tableExists(rows):
             return False
-        def shape(schema):
+        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {rows}").filter("col_name = 'Location'").first()
+        if about is None or about["data_type"] != files.qualified(self.spark, self.rows_path):
+            return False
+
+        def shape(schema: T.StructType) -> set:
             return {(f.name, f.dataType) for f in schema}
 
         return shape(self.spark.table(rows).schema) == shape(self.schema)

@@ -49,8 +49,11 @@ class ChangeApplier:
     parallel: int = 8
     parse_tasks: int | None = None  # for uneven shards: spread the raw text over so many tasks
     on_error: str = "quarantine"  # or "fail": the batch is replayed from the checkpoint
+    only: frozenset[Name] = frozenset()  # a stream of its own for tables worth longer batches,
+    skip: frozenset[Name] = frozenset()  # which the other stream then leaves out
     label: str = STREAM_LABEL
     prefix: str = DATABASE_PREFIX
+    name: str = "changes"  # streams that share a root need names of their own
     batch_offset: int = 0  # raise it above the last batch when a checkpoint starts anew
     _lakes: dict[TableSpec, LakeTable] = field(default_factory=dict)
 
@@ -64,7 +67,7 @@ class ChangeApplier:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch_id += self.batch_offset
-        stage = f"{self.root}/stage/batch-{batch_id}"
+        stage = f"{self.root}/stage/{self.name}/batch-{batch_id}"
         self.stage(batch, stage)
         if not any(n.startswith(_OK) for n in files.child_names(self.spark, stage)):
             files.delete(self.spark, stage)  # an empty batch wrote no partition
@@ -89,7 +92,7 @@ class ChangeApplier:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
         several tasks and gives small tables one file each."""
         raw = spread(batch) if self.parse_tasks is None else batch.repartition(self.parse_tasks)
-        events = parse_events(raw, time_type=self.time_type)
+        events = self._own(parse_events(raw, time_type=self.time_type))
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
         out = events.select(
             "log_type", "date_action", "log_position", "values", keep_text, REASON,
@@ -98,6 +101,16 @@ class ChangeApplier:
         self._stage_schema = out.schema
         out.hint("rebalance", *_PARTS).write.mode("overwrite").partitionBy(*_PARTS).parquet(path)
 
+    def _own(self, events: DataFrame) -> DataFrame:
+        """Events of this stream's tables; what has no table belongs to the stream without ``only``."""
+        def named(names: frozenset[Name]) -> Column:
+            hits = [(F.col("schema") == s) & (F.col("table") == t) for s, t in sorted(names)]
+            return F.coalesce(reduce(Column.__or__, hits, F.lit(False)), F.lit(False))
+
+        if self.only:
+            events = events.filter(named(self.only))
+        return events.filter(~named(self.skip)) if self.skip else events
+
     def _apply_tables(self, staged: DataFrame, keys: dict[Name, tuple | None], batch_id: int) -> dict[Name, Exception]:
         columns = table_columns(small_frame(self.spark, list(keys), NAME), self.catalog(), self.rules)
 

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from rowtide import files
 from rowtide.schemas import METRIC
 from rowtide.session import shared_dir
 from rowtide.sinks import metrics as m
@@ -94,6 +95,17 @@ def test_a_replayed_batch_changes_nothing(spark):
         assert once[0] == ({1: "x", 2: "y"} if policy == EVENT_ORDER else {1: "x"})
 
 
+def test_two_streams_share_the_tables(spark):
+    batch = frame(spark, event("a", id=1, v="x"), event("b", x=1, y="k"), "broken", event(None, id=1))
+    slow = applier(spark, only=frozenset({("s", "b")}), name="slow")
+    quick = applier(spark, slow.root, skip=slow.only)
+    slow(batch, 0)
+    assert not files.exists(spark, slow.quarantine_path)
+    quick(batch, 0)
+    assert values(quick) == {1: "x"} and rows(slow, "b", ("x", "y")).count() == 1
+    assert {r.reason for r in read_quarantine(spark, quick.quarantine_path).collect()} == {"malformed_json", "no_table"}
+
+
 def test_empty_batch_is_skipped(spark):
     app = applier(spark)
     app(frame(spark).limit(0), 0)

@@ -178,6 +178,14 @@ def test_register_shows_live_rows_and_later_buckets(spark):
     assert spark.table("reg_db.tab").filter("k = 2").first().extra == 1
 
 
+def test_register_follows_the_folder(spark):
+    for n in (3, 5):
+        table = lake(spark)
+        table.bulk_load(base(spark, n))
+        table.register("moved_")
+        assert spark.table("moved_db.tab").count() == n
+
+
 change_rows = st.lists(
     st.tuples(st.integers(0, 5), st.integers(0, 3), st.integers(0, 99), st.sampled_from("abc"), st.sampled_from(["upsert", "delete"])),
     min_size=1, max_size=25, unique_by=lambda r: (r[0], r[1], r[2]),
