@@ -62,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--batch-offset", type=int, default=0)
     stream.add_argument("--on-error", choices=["quarantine", "fail"], default="quarantine")
     stream.add_argument("--parse-tasks", type=int)
+    stream.add_argument("--extra", action="append", default=[], help="further top-level event field to keep")
     stream.add_argument("--only", action="append", default=[], metavar="DB.TABLE", help="apply these tables only")
     stream.add_argument("--skip", action="append", default=[], metavar="DB.TABLE", help="leave these to another stream")
 
@@ -110,7 +111,7 @@ def main(argv: list[str] | None = None) -> int:
         spark, args.root, control.read, lambda: catalog(spark, args), args.policy, rules, args.datetime_type,
         table_buckets(args.table_buckets), args.buckets, args.parallel, args.parse_tasks,
         args.on_error, names(args.only), names(args.skip),
-        name=args.name, batch_offset=args.batch_offset,
+        tuple(args.extra), name=args.name, batch_offset=args.batch_offset,
     )
     source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:

@@ -31,7 +31,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    fs, target = _fs(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

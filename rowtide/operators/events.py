@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.functions.casting import text_to_long, text_to_time
 from rowtide.schemas import CORRUPT, ENVELOPE
@@ -25,12 +26,15 @@ def decode(raw: DataFrame, value: str = "value") -> DataFrame:
     return raw.withColumn(value, F.col(value).cast("string"))
 
 
-def parse_events(raw: DataFrame, value: str = "value", time_type: str = "timestamp") -> DataFrame:
+def parse_events(
+    raw: DataFrame, value: str = "value", time_type: str = "timestamp", extras: Sequence[str] = ()
+) -> DataFrame:
     """One row per event, with the text it came from and the reason if it cannot be applied.
 
     A text may hold one event or an array of events. Nothing is dropped: what does not parse
-    comes out with ``_reason`` set.
+    comes out with ``_reason`` set. ``extras`` names further top-level fields to keep, as text.
     """
+    envelope = T.StructType([*ENVELOPE.fields, *[T.StructField(c, T.StringType()) for c in extras]])
     text = F.col(value)
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     many = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
@@ -38,7 +42,7 @@ def parse_events(raw: DataFrame, value: str = "value", time_type: str = "timesta
     # it would parse the text once more for every field it looks at.
     parsed = F.transform(
         F.coalesce(many, F.array(text)),
-        lambda one: F.struct(one.alias("_one"), F.from_json(one, ENVELOPE, opts).alias("_e")),
+        lambda one: F.struct(one.alias("_one"), F.from_json(one, envelope, opts).alias("_e")),
     )
     keep = [c for c in raw.columns if c != value]
     events = decode(raw, value).select(*keep, text.alias("_whole"), F.inline_outer(parsed))
@@ -51,6 +55,7 @@ def parse_events(raw: DataFrame, value: str = "value", time_type: str = "timesta
         text_to_time(e["date_action"], time_type).alias("date_action"),
         text_to_long(e["log_position"]).alias("log_position"),
         e["row"]["values"].alias("values"),
+        *[e[c].alias(c) for c in extras],
         F.coalesce("_one", "_whole").alias(value),
         _reason(e, F.col("_one")).alias(REASON),
     )

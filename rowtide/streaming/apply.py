@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,6 +15,7 @@ from rowtide.frames import small_frame
 from rowtide.functions.casting import TypeRules, safe_cast
 from rowtide.functions.keys import any_null
 from rowtide.operators.events import REASON, SIDE, parse_events, tag_binlog
+from rowtide.operators.latest import preview_topn
 from rowtide.operators.merge import as_changes
 from rowtide.operators.typed import STREAM_LABEL, typed_events
 from rowtide.plans.tables import NAME, Name, for_each, table_columns
@@ -24,6 +26,8 @@ from rowtide.sources.control import key_lookup
 from rowtide.sources.events import spread
 from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec, split_keys
 
+log = logging.getLogger(__name__)
+
 _OK = "_ok"
 _PARTS = (_OK, "schema", "table")
 
@@ -51,6 +55,7 @@ class ChangeApplier:
     on_error: str = "quarantine"  # or "fail": the batch is replayed from the checkpoint
     only: frozenset[Name] = frozenset()  # a stream of its own for tables worth longer batches,
     skip: frozenset[Name] = frozenset()  # which the other stream then leaves out
+    extras: tuple[str, ...] = ()  # further top-level event fields to keep as text columns
     label: str = STREAM_LABEL
     prefix: str = DATABASE_PREFIX
     name: str = "changes"  # streams that share a root need names of their own
@@ -76,6 +81,10 @@ class ChangeApplier:
         # one row per table of the batch, with the key columns its control row names
         listed = key_lookup(staged.groupBy(*_PARTS).count(), self.control()).collect()
         good = {(r["schema"], r["table"]): r for r in listed if r[_OK]}
+        log.info("batch %s: %s rows of %s tables", batch_id, sum(r["count"] for r in listed), len(good))
+        if log.isEnabledFor(logging.DEBUG):
+            first = preview_topn(staged, ["date_action", "schema", "table"], STREAM_ORDER)
+            log.debug("batch %s starts with %s", batch_id, first.collect())
         bad = sum(r["count"] for r in listed if not r[_OK])
         if bad:
             reject = staged.filter(~F.col(_OK))
@@ -92,10 +101,10 @@ class ChangeApplier:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
         several tasks and gives small tables one file each."""
         raw = spread(batch) if self.parse_tasks is None else batch.repartition(self.parse_tasks)
-        events = self._own(parse_events(raw, time_type=self.time_type))
+        events = self._own(parse_events(raw, time_type=self.time_type, extras=self.extras))
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
         out = events.select(
-            "log_type", "date_action", "log_position", "values", keep_text, REASON,
+            "log_type", "date_action", "log_position", "values", *self.extras, keep_text, REASON,
             F.col(REASON).isNull().alias(_OK), "schema", "table",
         )
         self._stage_schema = out.schema
@@ -135,7 +144,7 @@ class ChangeApplier:
         missing = set(keys) - {c for c, _ in columns}
         if missing:
             raise LookupError(f"key columns {sorted(missing)} are not in the catalog")
-        typed = typed_events(tag_binlog(rows), columns, self.label, (*STREAM_ORDER, SIDE))
+        typed = typed_events(tag_binlog(rows), columns, self.label, (*STREAM_ORDER, *self.extras, SIDE))
         nulls = Observation()
         typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"))
         lake = self._lakes.setdefault(spec, LakeTable(self.spark, self.root, spec))
@@ -150,7 +159,7 @@ class ChangeApplier:
     def _quarantine(self, rows: DataFrame, reason: str, name: Name, batch_id: int) -> None:
         """The kept text is a whole event again, so it can be sent once more."""
         row = F.struct("values").alias("row")
-        event = F.struct("schema", "table", "log_type", "date_action", "log_position", row)
+        event = F.struct("schema", "table", "log_type", "date_action", "log_position", *self.extras, row)
         value = F.to_json(event, {"ignoreNullFields": "false"})
         out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name), value)
         write_quarantine(out, self.quarantine_path)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,27 @@ def test_two_streams_share_the_tables(spark):
     assert {r.reason for r in read_quarantine(spark, quick.quarantine_path).collect()} == {"malformed_json", "no_table"}
 
 
+def test_further_event_fields_are_kept(spark, caplog):
+    app = applier(spark, extras=("server", "gtid"))
+    text = json.dumps(json.loads(event("a", id=1, v="x")) | {"server": 7, "unused": 1})
+    with caplog.at_level("DEBUG", logger="rowtide.streaming.apply"):
+        app(frame(spark, text, event("zzz", id=1)), 0)
+    row = rows(app).first()
+    assert (row.id, row.server, row.gtid) == (1, "7", None)
+    assert "batch 0: 2 rows of 2 tables" in caplog.text and "starts with" in caplog.text
+    kept = json.loads(read_quarantine(spark, app.quarantine_path).first()["value"])
+    assert kept["server"] is None and kept["row"] == {"values": {"id": "1"}}
+
+
+def test_ended_query_reports_an_error_metric(spark):
+    path = shared_dir(spark, "m")
+    listener = BatchMetricsListener(spark, path, "app", "j")
+    listener.onQueryTerminated(SimpleNamespace(exception=None))
+    listener.onQueryTerminated(SimpleNamespace(exception="boom"))
+    got = m.read_metrics(spark, path).collect()
+    assert [(r["name"], r["value"], r["dimensions"]) for r in got] == [("receiverError", 1.0, {"ApplicationName": "app", "JobFlowId": "j"})]
+
+
 def test_empty_batch_is_skipped(spark):
     app = applier(spark)
     app(frame(spark).limit(0), 0)
