@@ -25,6 +25,15 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder over another one; done again after a crash in between, it ends the same."""
+    fs, old = _fs(spark, target)
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(_fs(spark, source)[1], old):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []

@@ -30,9 +30,9 @@ class LakeTable:
     meta/            schema.json and layout.json, done/n for the last rewrite that is in place, and
                      repeated-keys if a snapshot may hold several rows of a key
 
-    A merge first writes its buckets to the stage and then copies them over the old ones. If the
-    driver dies during the copy, the next merge finds the complete stage and repeats the copy, so
-    no stored row can be lost half-way.
+    A merge writes its buckets to the stage and, once all are there, moves them over the old ones,
+    as Spark's own partition overwrite does. If the driver dies between two moves, the rest is
+    still in the stage and the next merge moves it, so no stored row can be lost half-way.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, group: int = 4096):
@@ -91,7 +91,7 @@ class LakeTable:
         # rebalance: one shuffle with a partition per bucket, of which AQE cuts those that are too
         # big for one task and joins those that are too small for one
         placed = stored.hint("rebalance", self.spec.buckets, BUCKET)
-        self._write(placed, self.rows_path, "static")
+        self._write(placed, self.rows_path)
         if unique:
             files.delete(self.spark, self.repeats_path)
         else:
@@ -116,7 +116,7 @@ class LakeTable:
         holds more than a group.
         """
         self._check_layout()
-        self._finish_copy()
+        self._finish_move()
         keys, order, policy = self.spec.keys, self.spec.order, self.spec.policy
         if BATCH not in changes.columns:
             changes = changes.withColumn(BATCH, F.lit(batch).cast("bigint"))
@@ -163,7 +163,7 @@ class LakeTable:
 
         A bucket left without a row would not be overwritten, so its tombstones stay.
         """
-        self._finish_copy()
+        self._finish_move()
         rows = self.rows()
         if rows is None:
             return
@@ -179,19 +179,17 @@ class LakeTable:
         stored = self.schema or T.StructType()
         return {f.name: now[f.name] for f in stored if f.name in now and now[f.name] != f.dataType}
 
-    def _write(self, rows: DataFrame, path: str, mode: str) -> None:
+    def _write(self, rows: DataFrame, path: str) -> None:
         (
             rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
+            .option("partitionOverwriteMode", "static")
             .partitionBy(BUCKET)
             .parquet(path)
         )
 
     def _rewrite(self, merged: DataFrame) -> None:
-        stage = self._stage()
-        self._write(merged, stage, "static")
-        self._keep_schema(merged.schema)
-        self._finish_copy()
+        self._write(merged, f"{self.root}/stage/{self._number()}")
+        self._finish_move(merged.schema)
 
     def _number(self) -> int:
         done = files.child_names(self.spark, f"{self.root}/meta/done")
@@ -203,17 +201,16 @@ class LakeTable:
         top = rows.agg(F.max(BATCH)).first()[0] if rows is not None else None
         return (top or 0) + 1
 
-    def _stage(self) -> str:
-        return f"{self.root}/stage/{self._number()}"
-
-    def _finish_copy(self) -> None:
+    def _finish_move(self, schema: T.StructType | None = None) -> None:
         number = self._number()
         stage = f"{self.root}/stage/{number}"
         if not files.exists(self.spark, f"{stage}/_SUCCESS"):
             return
-        staged = self.spark.read.parquet(stage)
-        self._keep_schema(staged.schema)
-        self._write(staged, self.rows_path, "dynamic")
+        waiting = [n for n in files.child_names(self.spark, stage) if n.startswith(f"{BUCKET}=")]
+        if waiting:
+            self._keep_schema(schema or self.spark.read.parquet(stage).schema)
+        for name in waiting:
+            files.replace(self.spark, f"{stage}/{name}", f"{self.rows_path}/{name}")
         files.write_text(self.spark, f"{self.root}/meta/done/{number}", "")
         files.delete(self.spark, f"{self.root}/meta/done/{number - 1}")
         files.delete(self.spark, stage)

@@ -118,24 +118,23 @@ def test_new_column_and_changed_type(spark):
     assert got[1] == ("7", 5) and got[2] == ("8", None)
 
 
-def test_a_copy_cut_short_is_finished_by_the_next_merge(spark, monkeypatch):
+@pytest.mark.parametrize("moved", [0, 2])
+def test_a_move_cut_short_is_finished_by_the_next_merge(spark, monkeypatch, moved):
     table = lake(spark)
     table.bulk_load(base(spark))
-    write = LakeTable._write
+    replace, done = files.replace, []
 
-    def dies(self, rows, path, mode):
-        if mode == "dynamic":
-            for name in files.child_names(spark, self.rows_path):
-                if name.startswith(BUCKET):
-                    files.delete(spark, f"{self.rows_path}/{name}")  # old buckets gone, new ones not there
+    def dies(session, source, target):
+        if len(done) == moved:
+            files.delete(session, target)  # the old bucket is gone and the new one not there
             raise RuntimeError("driver lost")
-        write(self, rows, path, mode)
+        done.append(target)
+        replace(session, source, target)
 
-    monkeypatch.setattr(LakeTable, "_write", dies)
-    all_keys = [(k, 1, 1, "one", "upsert") for k in range(20)]
+    monkeypatch.setattr(files, "replace", dies)
     with pytest.raises(RuntimeError):
-        table.merge(change(spark, all_keys))
-    monkeypatch.setattr(LakeTable, "_write", write)
+        table.merge(change(spark, [(k, 1, 1, "one", "upsert") for k in range(20)]))
+    monkeypatch.setattr(files, "replace", replace)
     again = LakeTable(spark, table.root.removesuffix("/db/tab"), table.spec)
     again.merge(change(spark, [(5, 2, 1, "two", "upsert")], 2), 2)
     assert values(again) == {k: "one" for k in range(20)} | {5: "two"}
