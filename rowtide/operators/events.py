@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.functions.casting import text_to_long, text_to_time
-from rowtide.schemas import CORRUPT, ENVELOPE
+from rowtide.schemas import CORRUPT, VALUES_MAP, envelope
 
 # Operation names of the two change formats.
 BINLOG_DELETE = "DeleteRowsEvent"
@@ -27,14 +27,20 @@ def decode(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_events(
-    raw: DataFrame, value: str = "value", time_type: str = "timestamp", extras: Sequence[str] = ()
+    raw: DataFrame,
+    value: str = "value",
+    time_type: str = "timestamp",
+    extras: Sequence[str] = (),
+    values: T.DataType = VALUES_MAP,
 ) -> DataFrame:
     """One row per event, with the text it came from and the reason if it cannot be applied.
 
     A text may hold one event or an array of events. Nothing is dropped: what does not parse
     comes out with ``_reason`` set. ``extras`` names further top-level fields to keep, as text.
+    ``values`` is a map, or STRING to leave the row's JSON object as it is for ``typed_events``:
+    smaller to store, and cheaper to take apart once the columns of its table are known.
     """
-    envelope = T.StructType([*ENVELOPE.fields, *[T.StructField(c, T.StringType()) for c in extras]])
+    layout = envelope(values, extras)
     text = F.col(value)
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     many = F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
@@ -42,7 +48,7 @@ def parse_events(
     # it would parse the text once more for every field it looks at.
     parsed = F.transform(
         F.coalesce(many, F.array(text)),
-        lambda one: F.struct(one.alias("_one"), F.from_json(one, envelope, opts).alias("_e")),
+        lambda one: F.struct(one.alias("_one"), F.from_json(one, layout, opts).alias("_e")),
     )
     keep = [c for c in raw.columns if c != value]
     events = decode(raw, value).select(*keep, text.alias("_whole"), F.inline_outer(parsed))
@@ -57,13 +63,16 @@ def parse_events(
         e["row"]["values"].alias("values"),
         *[e[c].alias(c) for c in extras],
         F.coalesce("_one", "_whole").alias(value),
-        _reason(e, F.col("_one")).alias(REASON),
+        _reason(e, F.col("_one"), values).alias(REASON),
     )
 
 
-def _reason(e: Column, one: Column) -> Column:
+def _reason(e: Column, one: Column, values: T.DataType) -> Column:
+    broken = one.isNull() | e[CORRUPT].isNotNull()
+    if isinstance(values, T.StringType):
+        broken = broken | ~e["row"]["values"].startswith("{")
     return (
-        F.when(one.isNull() | e[CORRUPT].isNotNull(), "malformed_json")
+        F.when(broken, "malformed_json")
         .when(e["schema"].isNull() | e["table"].isNull(), "no_table")
         .when(e["log_type"].isNull(), "no_operation")
         .when(e["row"]["values"].isNull(), "no_values")

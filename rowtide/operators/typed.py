@@ -51,23 +51,35 @@ def flatten_row(events: DataFrame, columns: Sequence[str], values: str = "values
     return events.select(*rest, *[F.col(values)[c].alias(c) for c in columns])
 
 
+EVENT_KEEP = ("date_action", "log_position")
+
+
+def row_column(name: str, keep: Sequence[str] = EVENT_KEEP) -> str:
+    """Name a source column gets beside the kept and bookkeeping columns."""
+    return f"row_{name}" if name in {*keep, LABEL_COLUMN, *BOOKKEEPING} else name
+
+
 def typed_events(
     events: DataFrame,
     columns: Sequence[tuple[str, str]],
     label: str = STREAM_LABEL,
-    keep: Sequence[str] = ("date_action", "log_position"),
+    keep: Sequence[str] = EVENT_KEEP,
     values: str = "values",
 ) -> DataFrame:
-    """Events of one table as typed rows, in a single projection.
+    """Events of one table as typed rows.
 
-    The values live in a map until here, so source columns called ``table`` or ``schema``
-    cannot collide with the envelope. One that is called like a kept or a bookkeeping column
-    comes out as ``row_<name>``.
+    The values live apart until here, so source columns called ``table`` or ``schema`` cannot
+    collide with the envelope. One that is called like a kept or a bookkeeping column comes out
+    as ``row_<name>``.
     """
-    taken = {*keep, LABEL_COLUMN, *BOOKKEEPING}
-    typed = [
-        safe_cast(F.col(values)[c], t).alias(f"row_{c}" if c in taken else c) for c, t in columns
-    ]
+    held = F.col(values)
+    if isinstance(events.schema[values].dataType, T.StringType):
+        # taken apart inside a generator, so that no filter above parses the text again
+        fields = T.StructType([T.StructField(c, T.StringType()) for c, _ in columns])
+        parsed = F.explode(F.array(F.from_json(held, fields)))
+        events = events.select("*", parsed.alias("_parsed"))
+        held = F.col("_parsed")
+    typed = [safe_cast(held[c], t).alias(row_column(c, keep)) for c, t in columns]
     return events.select(*typed, *keep, F.lit(label).alias(LABEL_COLUMN))
 
 

@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
 
-# A row-change event. Values stay text until the column catalog of their own table types them,
-# so one table's numbers never widen another table's.
-ENVELOPE = T.StructType(
-    [
-        T.StructField("schema", T.StringType()),
-        T.StructField("table", T.StringType()),
-        T.StructField("log_type", T.StringType()),
-        T.StructField("date_action", T.StringType()),
-        T.StructField("log_position", T.StringType()),
-        T.StructField(
-            "row",
-            T.StructType([T.StructField("values", T.MapType(T.StringType(), T.StringType()))]),
-        ),
-        T.StructField(CORRUPT, T.StringType()),
-    ]
-)
+VALUES_MAP = T.MapType(T.StringType(), T.StringType())
+
+
+def envelope(values: T.DataType = VALUES_MAP, extras: Sequence[str] = ()) -> T.StructType:
+    """A row-change event. Values stay text until the column catalog of their own table types
+    them, so one table's numbers never widen another table's."""
+    text = ("schema", "table", "log_type", "date_action", "log_position")
+    fields = [T.StructField(c, T.StringType()) for c in (*text, CORRUPT, *extras)]
+    row = T.StructType([T.StructField("values", values)])
+    return T.StructType([*fields, T.StructField("row", row)])
+
 
 CONTROL = T.StructType(
     [

@@ -9,16 +9,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide import files
 from rowtide.frames import small_frame
-from rowtide.functions.casting import TypeRules, safe_cast
+from rowtide.functions.casting import TypeRules
 from rowtide.functions.keys import any_null
 from rowtide.operators.events import REASON, SIDE, parse_events, tag_binlog
 from rowtide.operators.latest import preview_topn
 from rowtide.operators.merge import as_changes
-from rowtide.operators.typed import STREAM_LABEL, typed_events
+from rowtide.operators.typed import STREAM_LABEL, row_column, typed_events
 from rowtide.plans.tables import NAME, Name, for_each, table_columns
+from rowtide.schemas import VALUES_MAP
 from rowtide.sinks.metrics import COUNT, append_metrics, metric_row
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
 from rowtide.sinks.table import DATABASE_PREFIX, LakeTable
@@ -70,6 +72,10 @@ class ChangeApplier:
     def metrics_path(self) -> str:
         return f"{self.root}/metrics"
 
+    @property
+    def _event_columns(self) -> tuple[str, ...]:
+        return ("schema", "table", "log_type", *STREAM_ORDER, *self.extras)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch_id += self.batch_offset
         stage = f"{self.root}/stage/{self.name}/batch-{batch_id}"
@@ -101,7 +107,7 @@ class ChangeApplier:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
         several tasks and gives small tables one file each."""
         raw = spread(batch) if self.parse_tasks is None else batch.repartition(self.parse_tasks)
-        events = self._own(parse_events(raw, time_type=self.time_type, extras=self.extras))
+        events = self._own(parse_events(raw, "value", self.time_type, self.extras, T.StringType()))
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
         out = events.select(
             "log_type", "date_action", "log_position", "values", *self.extras, keep_text, REASON,
@@ -140,27 +146,30 @@ class ChangeApplier:
         return failed
 
     def _merge(self, rows: DataFrame, name: Name, keys, columns, batch_id: int) -> None:
-        spec = TableSpec(*name, keys, STREAM_ORDER, self.buckets.get(name, self.default_buckets), self.policy)
         missing = set(keys) - {c for c, _ in columns}
         if missing:
             raise LookupError(f"key columns {sorted(missing)} are not in the catalog")
-        typed = typed_events(tag_binlog(rows), columns, self.label, (*STREAM_ORDER, *self.extras, SIDE))
+        keep = (*STREAM_ORDER, *self.extras, SIDE)
+        keys = tuple(row_column(k, keep) for k in keys)
+        buckets = self.buckets.get(name, self.default_buckets)
+        spec = TableSpec(*name, keys, STREAM_ORDER, buckets, self.policy)
+        typed = typed_events(tag_binlog(rows), columns, self.label, keep)
         nulls = Observation()
         typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"))
         lake = self._lakes.setdefault(spec, LakeTable(self.spark, self.root, spec))
         lake.merge(as_changes(typed, keys, STREAM_ORDER, batch_id), batch_id)
         if nulls.get["n"]:
-            key_types = [c for c in columns if c[0] in keys]
-            keyless = [safe_cast(F.col("values")[c], t).isNull() for c, t in key_types]
-            self._quarantine(rows.filter(reduce(Column.__or__, keyless)), "null_key", name, batch_id)
+            whole = (*self._event_columns, "values")
+            keyed = typed_events(rows, columns, self.label, whole)
+            names = [row_column(c, whole) for c, _ in columns if row_column(c, keep) in keys]
+            self._quarantine(keyed.filter(any_null(names)), "null_key", name, batch_id)
         if lake.schema is not None:
             lake.register(self.prefix)
 
     def _quarantine(self, rows: DataFrame, reason: str, name: Name, batch_id: int) -> None:
         """The kept text is a whole event again, so it can be sent once more."""
-        row = F.struct("values").alias("row")
-        event = F.struct("schema", "table", "log_type", "date_action", "log_position", *self.extras, row)
-        value = F.to_json(event, {"ignoreNullFields": "false"})
+        row = F.struct(F.from_json("values", VALUES_MAP).alias("values")).alias("row")
+        value = F.to_json(F.struct(*self._event_columns, row), {"ignoreNullFields": "false"})
         out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name), value)
         write_quarantine(out, self.quarantine_path)
 

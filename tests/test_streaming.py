@@ -107,6 +107,23 @@ def test_two_streams_share_the_tables(spark):
     assert {r.reason for r in read_quarantine(spark, quick.quarantine_path).collect()} == {"malformed_json", "no_table"}
 
 
+def test_values_that_are_no_object_and_awkward_columns(spark):
+    control = spark.createDataFrame([("s", "odd", "date_action")], "database string, table string, table_id string")
+    columns = [("date_action", "int"), ("table", "varchar"), ("Id", "varchar"), ("id", "varchar"), ("doc", "json"), ("_batch", "int")]
+    catalog = spark.createDataFrame([("s", "odd", c, t) for c, t in columns], "database string, table string, column string, data_type string")
+    app = ChangeApplier(spark, shared_dir(spark, "s"), lambda: control, lambda: catalog, default_buckets=2, prefix="odd_")
+    good = event("odd", more={"date_action": 5, "table": "t", "Id": "I", "id": "i", "doc": {"a": [1, None]}, "_batch": 3, "unlisted": 1})
+    keyless = event("odd", more={"date_action": None, "id": "k"})
+    broken = json.dumps(json.loads(good) | {"row": {"values": 5}})
+    app(frame(spark, good, keyless, broken), 0)
+    row = LakeTable(spark, app.root, TableSpec("s", "odd", ("row_date_action",))).read().first().asDict()
+    assert (row["row_date_action"], row["table"], row["Id"], row["id"], row["row__batch"]) == (5, "t", "I", "i", 3)
+    assert json.loads(row["doc"]) == {"a": [1, None]} and row["date_action"].year == 2024
+    bad = {r.reason: r.value for r in read_quarantine(spark, app.quarantine_path).collect()}
+    assert set(bad) == {"null_key", "malformed_json"}
+    assert json.loads(bad["null_key"])["row"]["values"] == {"date_action": None, "id": "k"}
+
+
 def test_further_event_fields_are_kept(spark, caplog):
     app = applier(spark, extras=("server", "gtid"))
     text = json.dumps(json.loads(event("a", id=1, v="x")) | {"server": 7, "unused": 1})
