@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -41,6 +42,11 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="rowtide-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -52,6 +58,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="rowtide-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_dir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

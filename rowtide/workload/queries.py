@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.functions.casting import MYSQL_TYPES, TypeRules
 from rowtide.functions.dates import add_days_text
@@ -164,7 +165,8 @@ _LINE_OUT = ", ".join(c if c != "l_linenumber" else "cast(l_linenumber as bigint
 )
 def typed_rows(spark, sf):
     text = cl.event_text(cl.line_changes(spark, sf), [c for c, _ in cl.LINE_COLUMNS])
-    return ty.typed_events(ev.parse_events(text, time_type=NTZ), LINE_TYPES)
+    events = ev.parse_events(text, time_type=NTZ, values=T.StringType())
+    return ty.typed_events(events, LINE_TYPES)
 
 
 @query(
@@ -174,7 +176,8 @@ def typed_rows(spark, sf):
 )
 def type_override(spark, sf):
     changes = cl.order_changes(spark, sf)
-    events = ev.parse_events(cl.event_text(changes, [c for c, _ in cl.ORDER_COLUMNS]), time_type=NTZ)
+    text = cl.event_text(changes, [c for c, _ in cl.ORDER_COLUMNS])
+    events = ev.parse_events(text, time_type=NTZ, values=T.StringType())
     rules = TypeRules(datetime=NTZ, overrides={(cl.SCHEMA, "orders", "o_custkey"): "string"})
     catalog = spark.createDataFrame(
         [(cl.SCHEMA, "orders", c, t) for c, t in cl.ORDER_COLUMNS],
@@ -687,7 +690,7 @@ def fanout_tables(spark, sf):
     tables = cl.mixed_tables(spark, sf)
     control, catalog = cl.registry(tables), cl.declared_catalog(tables)
     applier = ChangeApplier(
-        spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=4, prefix="fanout_"
+        spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=8, prefix="fanout_"
     )
     applier(text, 0)
     amounts = {"orders": ("o_orderkey", "o_totalprice"), "accounts": ("id", "value"), "carts": ("id", "value")}

@@ -2,9 +2,9 @@
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide import shared_dir
@@ -128,7 +128,14 @@ def test_threads_keep_every_error(spark):
     assert [(i, r, str(e) if e else None) for i, r, e in got] == [(0, 0, None), (1, None, "1"), (2, 2, None), (3, None, "3"), (4, 4, None), (5, None, "5")]
 
 
-def test_shared_dir_is_the_one_the_session_names(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    assert base is None or shared_dir(spark, "x").startswith(base)
-    assert shared_dir(spark, "x") != shared_dir(spark, "x")
+def session_stub(named, master):
+    conf = SimpleNamespace(get=lambda key, default=None: named)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master=master))
+
+
+def test_shared_dir_is_the_one_the_session_names():
+    assert shared_dir(session_stub("hdfs:///ck/", "yarn"), "x").startswith("hdfs:///ck/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session_stub(None, "yarn"), "x")
+    first, second = (shared_dir(session_stub(None, "local[2]"), "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
