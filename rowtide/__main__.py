@@ -115,7 +115,7 @@ def main(argv: list[str] | None = None) -> int:
     )
     source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:
-        run_available(source, applier, args.checkpoint)
+        run_available(source, applier, args.checkpoint, args.name)
     else:
         query, _ = start_stream(source, applier, args.checkpoint, args.every, args.name)
         query.awaitTermination()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,12 +63,27 @@ def snapshot_rows(snapshot: DataFrame, table: str, columns, label: str = BATCH_L
 
 def load_snapshot(spark: SparkSession, job: BatchJob, spec: TableSpec, columns) -> LakeTable:
     source = read_snapshot(spark, job.snapshots, spec.database, spec.table)
+    rows = snapshot_rows(source, spec.table, columns, job.label)
+    keyless = Observation()
+    seen = rows.observe(keyless, F.count_if(any_null(spec.keys)).alias("n"))
     lake = LakeTable(spark, job.root, spec)
-    lake.bulk_load(snapshot_rows(source, spec.table, columns, job.label), unique=job.unique_snapshots)
+    lake.bulk_load(seen.filter(~any_null(spec.keys)), unique=job.unique_snapshots)
+    if keyless.get["n"]:
+        _quarantine(job, spec, rows.filter(any_null(spec.keys)), F.lit("null_key"), 0)
     lake.register(job.prefix)
     return lake
 
 
+def _quarantine(job: BatchJob, spec: TableSpec, bad: DataFrame, reason: Column, number: int) -> None:
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in bad.columns if c != SIDE]))
+    named = bad.withColumns(
+        {"_text": text, "_why": reason, "schema": F.lit(spec.database), "table": F.lit(spec.table)}
+    )
+    origin = f"{spec.database}.{spec.table}"
+    rows = quarantine_rows(named, F.col("_why"), number, origin, F.col("_text"))
+    write_quarantine(rows, job.quarantine)
+
+
 def daily_changes(day_rows: DataFrame, spec: TableSpec, columns, job: BatchJob) -> DataFrame:
     """Typed and tagged; daily rows get the same types as snapshot rows."""
     tagged = tag_debezium(day_rows, upserts=job.upserts, deletes=job.deletes)
@@ -81,15 +96,16 @@ def apply_day(spark: SparkSession, job: BatchJob, spec: TableSpec, columns, day)
     files = read_changes_for_day(spark, job.changes, spec.database, spec.table, day, job.layout)
     tagged = daily_changes(files, spec, columns, job)
     number = day.toordinal()
+    rejected = (F.col(SIDE) == REJECT) | any_null(spec.keys)
+    found = Observation()
+    seen = tagged.observe(found, F.count_if(rejected).alias("n"))
     lake = LakeTable(spark, job.root, spec)
-    lake.merge(as_changes(tagged, spec.keys, spec.order, number), number)
-    bad = tagged.filter((F.col(SIDE) == REJECT) | any_null(spec.keys))
-    reason = F.when(F.col(SIDE) == REJECT, "unknown_operation").otherwise("null_key")
-    text = F.to_json(F.struct(*[c for c in tagged.columns if c != SIDE]))
-    named = bad.withColumns({"schema": F.lit(spec.database), "table": F.lit(spec.table)})
-    origin = f"{spec.database}.{spec.table}"
-    write_quarantine(quarantine_rows(named, reason, number, origin, text), job.quarantine)
-    lake.register(job.prefix)
+    lake.merge(as_changes(seen, spec.keys, spec.order, number), number)
+    if found.get["n"]:  # only then are the files read a second time
+        reason = F.when(F.col(SIDE) == REJECT, "unknown_operation").otherwise("null_key")
+        _quarantine(job, spec, tagged.filter(rejected), reason, number)
+    if lake.schema is not None:  # else no day has brought a row yet
+        lake.register(job.prefix)
     return lake
 
 

@@ -38,10 +38,11 @@ def start_stream(
     return writer.start(), listener
 
 
-def run_available(source: DataFrame, applier: ChangeApplier, checkpoint: str) -> None:
+def run_available(source: DataFrame, applier: ChangeApplier, checkpoint: str, name: str = "change-stream") -> None:
     """Apply everything the source holds now, then return; a failed batch raises."""
-    query, listener = start_stream(source, applier, checkpoint, every_seconds=None)
+    query, listener = start_stream(source, applier, checkpoint, None, name)
     try:
         query.awaitTermination()
     finally:
+        listener.ended.wait(30)  # reports arrive after the query has ended
         applier.spark.streams.removeListener(listener)

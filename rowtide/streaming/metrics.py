@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import threading
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -24,10 +25,13 @@ class BatchMetricsListener(StreamingQueryListener):
         self.spark, self.path, self.app = spark, path, app
         self.dimensions = {"ApplicationName": app, "JobFlowId": cluster}
         self.every_seconds = every_seconds
+        self.ended = threading.Event()
+        self._run = None
         self._last_start: dt.datetime | None = None
 
     def onQueryStarted(self, event) -> None:
-        log.info("query %s started", event.name)
+        if event.name == self.app:
+            self._run = event.runId
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
@@ -41,8 +45,11 @@ class BatchMetricsListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
+        if event.runId != self._run:
+            return
         if event.exception:
             self._append([m.metric_row(m.RECEIVER_ERROR, 1, m.COUNT, None, self.dimensions)])
+        self.ended.set()
 
     def rows(self, batch_id: int, start: dt.datetime, n_rows: int, processing_ms: int) -> list[tuple]:
         """Spark reports no scheduling delay; it is taken as start minus the tick that was due."""

@@ -2,13 +2,14 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from rowtide import shared_dir
-from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch
+from rowtide.plans.batch import BatchJob, apply_day, control_table, put_control, run_batch
 from rowtide.plans.tables import for_each
 from rowtide.schemas import CONTROL
 from rowtide.sinks.quarantine import read_quarantine
@@ -81,7 +82,7 @@ def test_key_lookup_and_registered_only(spark):
 
 def job_world(spark):
     root = shared_dir(spark, "job")
-    spark.createDataFrame([(1, "10.5", None), (2, "x", "note")], "id int, price string, note string").write.parquet(f"{root}/snap/d/fresh")
+    spark.createDataFrame([("1", "10.5", None), ("2", "x", "note"), ("no number", "1", "")], "id string, price string, note string").write.parquet(f"{root}/snap/d/fresh")
     changes = [(1, "7", "c", DAY, 1), (2, "8", "u", DAY, 2), (2, None, "d", DAY, 3), (3, "9", "r", DAY, 4), (None, "9", "u", DAY, 5), (9, "9", "u", dt.date(2024, 3, 6), 6)]
     frame = spark.createDataFrame(changes, "id int, price string, __op string, day date, __source_pos long")
     write_changes_by_day(frame.withColumn("__source_ts_ms", F.lit("1709596800000")), f"{root}/changes", "d", "old", "day")
@@ -104,7 +105,7 @@ def test_batch_job(spark):
     old = {r.id: r.price for r in LakeTable(spark, job.root, job.spec("d", "old", "id")).read().collect()}
     assert old == {1: 7.0}
     bad = {(r.reason, json.loads(r["value"]).get("__source_pos")) for r in read_quarantine(spark, job.quarantine).collect()}
-    assert bad == {("unknown_operation", 4), ("null_key", 5)}
+    assert bad == {("unknown_operation", 4), ("null_key", 5), ("null_key", 0)}
     moved = {r.table: (r.last_date, r.first_load, r.is_stream) for r in control.read().collect()}
     assert moved == {"fresh": (DAY, False, False), "old": (DAY, False, False), "lost": (DAY - dt.timedelta(days=1), True, False)}
     assert spark.table("jobtest_d.fresh").count() == 2
@@ -118,6 +119,17 @@ def test_same_day_twice_is_once(spark):
     assert {r.id for r in LakeTable(spark, job.root, job.spec("d", "old", "id")).read().collect()} == {1}
 
 
+def test_days_without_applicable_rows(spark):
+    job, control, catalog = job_world(spark)
+    spec, columns = job.spec("d", "old", "id"), [("id", "bigint"), ("price", "double")]
+    rejected = spark.createDataFrame([(3, "9", "r", dt.date(2024, 4, 1), 4, "1")], "id int, price string, __op string, day date, __source_pos long, __source_ts_ms string")
+    write_changes_by_day(rejected, f"{job.root}/other", "d", "old", "day")
+    other = replace(job, changes=f"{job.root}/other")
+    apply_day(spark, other, spec, columns, dt.date(2024, 4, 1))
+    apply_day(spark, other, spec, columns, dt.date(2024, 4, 2))
+    assert [r.reason for r in read_quarantine(spark, job.quarantine).collect()] == ["unknown_operation"]
+
+
 def test_threads_keep_every_error(spark):
     def work(n):
         if n % 2:

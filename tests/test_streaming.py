@@ -124,6 +124,13 @@ def test_values_that_are_no_object_and_awkward_columns(spark):
     assert json.loads(bad["null_key"])["row"]["values"] == {"date_action": None, "id": "k"}
 
 
+def test_batch_of_keyless_rows_only(spark):
+    app = applier(spark)
+    app(frame(spark, event("a", id=None), event("a", id="x", op="DeleteRowsEvent")), 0)
+    assert [r.reason for r in read_quarantine(spark, app.quarantine_path).collect()] == ["null_key", "null_key"]
+    assert LakeTable(spark, app.root, TableSpec("s", "a", ("id",))).schema is None
+
+
 def test_further_event_fields_are_kept(spark, caplog):
     app = applier(spark, extras=("server", "gtid"))
     text = json.dumps(json.loads(event("a", id=1, v="x")) | {"server": 7, "unused": 1})
@@ -139,8 +146,8 @@ def test_further_event_fields_are_kept(spark, caplog):
 def test_ended_query_reports_an_error_metric(spark):
     path = shared_dir(spark, "m")
     listener = BatchMetricsListener(spark, path, "app", "j")
-    listener.onQueryTerminated(SimpleNamespace(exception=None))
-    listener.onQueryTerminated(SimpleNamespace(exception="boom"))
+    listener.onQueryTerminated(SimpleNamespace(exception=None, runId=None))
+    listener.onQueryTerminated(SimpleNamespace(exception="boom", runId=None))
     got = m.read_metrics(spark, path).collect()
     assert [(r["name"], r["value"], r["dimensions"]) for r in got] == [("receiverError", 1.0, {"ApplicationName": "app", "JobFlowId": "j"})]
 
@@ -189,13 +196,8 @@ def test_listener_writes_one_set_of_metrics_per_batch(spark):
     app = applier(spark, f"{root}/lake")
     query, listener = start_stream(event_stream(spark, "text", path=f"{root}/in", maxFilesPerTrigger="1"), app, f"{root}/c", None, "counted", "j-1")
     query.awaitTermination()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    import time
-    for _ in range(50):
-        got = m.batch_metrics(m.read_metrics(spark, app.metrics_path)).filter("numRecords is not null").collect()
-        if len(got) == 2:
-            break
-        time.sleep(0.2)
+    assert listener.ended.wait(30)
+    got = m.batch_metrics(m.read_metrics(spark, app.metrics_path)).filter("numRecords is not null").collect()
     spark.streams.removeListener(listener)
     assert {(r.batch_id, r.numRecords) for r in got} in ({(0, 2.0), (1, 1.0)}, {(0, 1.0), (1, 2.0)})
     assert all(r.totalDelay == r.processingDelay + r.schedulingDelay for r in got)
