@@ -20,10 +20,6 @@ def event_stream(spark: SparkSession, fmt: str, value: str = "value", path: str
     return decode(raw.select(value), value)
 
 
-def event_batch(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
-
-
 def shard_union(shards: Iterable[DataFrame]) -> DataFrame:
     """All shards as one frame, streaming or not; columns are matched by name."""
     return reduce(DataFrame.unionByName, shards)

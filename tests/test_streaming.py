@@ -5,7 +5,6 @@ import json
 from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F
 
 from rowtide import files
 from rowtide.schemas import METRIC
