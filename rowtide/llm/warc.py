@@ -17,6 +17,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -147,7 +148,7 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
         for batch in batches:
             for content in batch.column(0):
                 records = parse(zlib.decompress(content.as_py(), 31))
-                while rows := [r for r, _ in zip(records, range(500))]:
+                while rows := list(islice(records, 500)):
                     columns = list(zip(*rows))
                     if not payload:
                         columns[-1] = [None] * len(rows)
