@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.llm.decontamination import contamination
+from rowtide.llm.language_id import fit, held_out, identify
+from rowtide.llm.merge_dropout import encode
 from rowtide.llm.secret_scan import find_secrets
 from rowtide.llm.token_counts import token_counts
 from rowtide.llm.warc import read_archives, write_archives
@@ -29,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = identify(docs, fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
@@ -44,6 +54,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), digest=True)
+
+
 @query
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
