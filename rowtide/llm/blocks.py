@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.session import shared_dir
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = []
 

@@ -122,8 +122,8 @@ def postings(docs: DataFrame, terms: DataFrame, firsts: DataFrame, words: int =
                         nulls = [pa.nulls(len(n), t) for t in (pa.int64(), pa.int32(), pa.list_(pa.int64()))]
                         yield pa.RecordBatch.from_arrays([nulls[0], part.column(0), *nulls[1:], pa.array(n.astype(np.int64))], names=names)
                     every = _places(hashes, table)
-                    for a in range(0, len(every), 100_000):
-                        at = every[a : a + 100_000]
+                    for a in range(0, len(every), 20_000):
+                        at = every[a : a + 20_000]
                         row = np.searchsorted(before, at, "right") - 1
                         first = with_context[np.searchsorted(table, hashes[at])]
                         from_ = at[first][:, None] + near

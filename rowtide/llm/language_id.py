@@ -31,7 +31,7 @@ ORDER = 4
 SAMPLE = 3000
 ENTRIES = 1 << 20
 UNKNOWN = "und"
-BLOCK = 1 << 20
+BLOCK = 512 << 10
 RAW_BITS = 8.0
 
 
