@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rowtide.llm.decontamination import contamination
 from rowtide.llm.language_id import fit, held_out, identify
 from rowtide.llm.merge_dropout import encode
+from rowtide.llm.near_dedup import near_duplicates
 from rowtide.llm.secret_scan import find_secrets
 from rowtide.llm.token_counts import token_counts
 from rowtide.llm.warc import read_archives, write_archives
@@ -39,6 +40,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+@query
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
