@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.decontamination import contamination
 from rowtide.llm.language_id import fit, held_out, identify
+from rowtide.llm.line_dedup import remove_repeats
 from rowtide.llm.merge_dropout import encode
 from rowtide.llm.near_dedup import near_duplicates
+from rowtide.llm.neighbours import nearest
+from rowtide.llm.quality import resample
 from rowtide.llm.secret_scan import find_secrets
 from rowtide.llm.token_counts import token_counts
 from rowtide.llm.warc import read_archives, write_archives
@@ -45,6 +48,12 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 @query
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
@@ -55,11 +64,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+@query
+def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
+    return resample(table(spark, sf_dir, "documents"), good)
+
+
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), digest=True)
