@@ -216,14 +216,19 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """The rows whose text some learnt language codes in less than its raw 8 bits a byte; same columns."""
+    """The rows whose text some learnt language codes in less than its raw 8 bits a byte; same columns.
+
+    Where nothing could be learnt, every text with a letter stays.
+    """
     place = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def keep(batches):
         for batch in batches:
             for part in blocks(batch, text_col, BLOCK):
-                best, _, each = score_texts(shared.value, pc.fill_null(part.column(place), ""))
-                yield part.filter(pa.array((best < len(shared.value.languages)) & (each < RAW_BITS)))
+                text = pc.fill_null(part.column(place), "")
+                best, _, each = score_texts(shared.value, text)
+                known = best < len(shared.value.languages) if shared.value.languages else np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool)
+                yield part.filter(pa.array(known & (each < RAW_BITS)))
 
     return docs.mapInArrow(keep, docs.schema)
