@@ -37,7 +37,7 @@ def _rows(table: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return table.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def test_windows(tests: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+def item_windows(tests: DataFrame, id_col: str = "item_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
     """``item_id, window, terms``: every run of ``words`` words; an item of fewer is one window."""
 
     def cut(batches):
@@ -174,7 +174,7 @@ def contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists:
     with at least one hit.
     """
     rows = _rows(docs, doc_id, doc_text)
-    windows = written(test_windows(tests, item_id, item_text, words), "windows")
+    windows = written(item_windows(tests, item_id, item_text, words), "windows")
     vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
     rare = written(rarest_terms(windows, term_counts(rows, vocabulary, limit), lists), "rarest")
     index_terms = rare.select(F.explode("rare.term").alias("term")).distinct()

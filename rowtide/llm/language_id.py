@@ -33,6 +33,8 @@ ENTRIES = 1 << 20
 UNKNOWN = "und"
 BLOCK = 512 << 10
 RAW_BITS = 8.0
+#: Bits a byte at which a text is no learnt language: about what bytes cost that its tree has never seen.
+REJECT_BITS = 16.0
 
 
 def held_out(doc_id: Column) -> Column:
@@ -216,7 +218,7 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """The rows whose text some learnt language codes in less than its raw 8 bits a byte; same columns.
+    """The rows whose text has a letter and takes some learnt language less than ``REJECT_BITS`` a byte; same columns.
 
     Where nothing could be learnt, every text with a letter stays.
     """
@@ -229,6 +231,6 @@ def keep_known(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFra
                 text = pc.fill_null(part.column(place), "")
                 best, _, each = score_texts(shared.value, text)
                 known = best < len(shared.value.languages) if shared.value.languages else np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool)
-                yield part.filter(pa.array(known & (each < RAW_BITS)))
+                yield part.filter(pa.array(known & (each < REJECT_BITS)))
 
     return docs.mapInArrow(keep, docs.schema)

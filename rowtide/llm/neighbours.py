@@ -66,6 +66,21 @@ def neighbour_graph(unit: np.ndarray, near: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _seeds(graph: np.ndarray, back: list[list[int]], parts: int, first: int) -> list[int]:
+    """Nodes far from each other: each next one has the most edges to the nearest so far."""
+    far, seeds = np.full(len(graph), len(graph) + 1), [first]
+    while True:
+        far[seeds[-1]], front, hops = 0, [seeds[-1]], 0
+        while front:
+            hops += 1
+            ahead = {int(b) for a in front for b in (*graph[a], *back[a])}
+            front = [b for b in ahead if far[b] > hops]
+            far[front] = hops
+        if len(seeds) == parts:
+            return seeds
+        seeds.append(int(far.argmax()))
+
+
 def balanced_cut(graph: np.ndarray, parts: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
     """Part of each node: parts grow along edges from spread seeds, then nodes move to where most neighbours are.
 
@@ -79,7 +94,7 @@ def balanced_cut(graph: np.ndarray, parts: int, rounds: int = 12, seed: int = 5)
         for b in row:
             back[b].append(a)
     order = rng.permutation(n)
-    fronts, at = [[int(s)] for s in order[:parts]], 0
+    fronts, at = [[s] for s in _seeds(graph, back, parts, int(order[0]))], 0
     while (part < 0).any():
         for p in np.argsort(size, kind="stable"):
             if size[p] >= limit:

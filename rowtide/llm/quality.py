@@ -69,7 +69,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, seed: int = SEED) -> DataFrame:
         for batch in batches:
             for part in blocks(batch):
                 bucket, row = _features(part.column(1), len(shared.value))
-                weight = np.bincount(row, shared.value[bucket], minlength=part.num_rows)
+                weight = np.bincount(row, shared.value[bucket], minlength=part.num_rows).astype(np.float64)
                 key = mix(np.asarray(part.column(0).fill_null(0), np.int64).view(np.uint64) + mix(np.array([seed], np.uint64)))
                 even = ((key >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(weight), pa.array(weight - np.log(-np.log(even)))], names=["doc_id", "log_weight", "draw"])
