@@ -184,7 +184,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``shingle, node, n``: of each set the shingles, rarest first, of which similar sets share one.
+    """``shingle, at, node, n``: of each set the shingles, rarest first, of which similar sets share one, with their places.
 
     How rare a shingle is comes from a count sketch of fixed size (``SKETCH`` counters) over the given sets; any one
     order of all shingles is right, so chance collisions of the sketch cost time only.
@@ -206,20 +206,27 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                     out.append(s[np.lexsort((s, shared.value[s % SKETCH]))[:keep]])
                     size.append(len(s))
                 each = pa.array(np.repeat(np.arange(len(out)), [len(x) for x in out]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), part.column(0).take(each), pa.array(np.array(size)).take(each)], names=["shingle", "node", "n"])
+                at = np.concatenate([np.arange(len(x)) for x in out])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(at), part.column(0).take(each), pa.array(np.array(size)).take(each)], names=["shingle", "at", "node", "n"])
 
-    return sets.mapInArrow(head, "shingle long, node long, n long")
+    return sets.mapInArrow(head, "shingle long, at long, node long, n long")
 
 
 def _exact_rest(prefixes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs over component borders that share a prefix shingle, one of the two outside the shingle's largest component."""
+    """Pairs over component borders that share a prefix shingle, one of the two outside the shingle's largest component.
+
+    Sets in one order share nothing before their first common shingle, so of a similar pair's sets enough must be left
+    from there on; that keeps apart sets whose rare shingles are mostly their own.
+    """
     placed = prefixes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = written(placed, "prefixes")
     sizes = placed.groupBy("shingle", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("shingle").agg(F.max(F.struct("c", "component"))["component"].alias("largest"), F.count("*").alias("parts"))
     outside = placed.join(written(largest.where(F.col("parts") > 1), "largest"), "shingle").where(F.col("component") != F.col("largest"))
-    outside = outside.select("shingle", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("own"))
-    pairs = outside.join(placed, "shingle").where((F.col("own") != F.col("component")) & (100 * F.least("n", "n_x") >= percent * F.greatest("n", "n_x")))
+    outside = outside.select("shingle", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"), F.col("component").alias("own"))
+    left = F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x"))
+    enough = (100 + percent) * left >= percent * (F.col("n") + F.col("n_x"))
+    pairs = outside.join(placed, "shingle").where((F.col("own") != F.col("component")) & enough)
     return pairs.select(*_ordered("x", "n_x", "node", "n")).distinct()
 
 
