@@ -8,8 +8,9 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.functions.casting import TypeRules
-from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch
+from rowtide.functions.casting import TIME_UNITS, TypeRules
+from rowtide.operators.typed import SNAPSHOT_TS_MS
+from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch, run_days
 from rowtide.session import build_session
 from rowtide.sources.catalog import read_catalog, read_catalog_files
 from rowtide.sources.control import read_control
@@ -47,7 +48,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--jdbc-properties", help="JSON file with user, password, driver")
     job.add_argument("--databases", nargs="*", default=[], help="source databases to list, with --jdbc-url")
     job.add_argument("--policy", choices=[EVENT_ORDER, ARRIVAL], default=EVENT_ORDER)
-    job.add_argument("--buckets", type=int, default=16, help="buckets per table")
+    job.add_argument("--buckets", type=int, help="buckets per table; default: by the size of its first load")
     job.add_argument("--table-buckets", action="append", default=[], metavar="DB.TABLE=N", help="for single tables")
     job.add_argument("--parallel", type=int, default=8, help="tables worked on at a time")
     job.add_argument("--datetime-type", choices=["timestamp", "timestamp_ntz"], default="timestamp")
@@ -60,8 +61,9 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", type=int, default=BATCH_SECONDS, help="seconds per batch; 0: what is there, then stop")
     stream.add_argument("--batch-offset", type=int, default=0)
-    stream.add_argument("--on-error", choices=["quarantine", "fail"], default="quarantine")
-    stream.add_argument("--parse-tasks", type=int)
+    stream.add_argument("--on-error", choices=["quarantine", "fail"], default="fail")
+    stream.add_argument("--parse-tasks", type=int, help="spread the raw text over so many tasks")
+    stream.add_argument("--time-unit", choices=sorted(TIME_UNITS), default="ms", help="what a bare number in date_action counts")
     stream.add_argument("--extra", action="append", default=[], help="further top-level event field to keep")
     stream.add_argument("--only", action="append", default=[], metavar="DB.TABLE", help="apply these tables only")
     stream.add_argument("--skip", action="append", default=[], metavar="DB.TABLE", help="leave these to another stream")
@@ -71,6 +73,8 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--changes", required=True, help="root of the daily change files")
     batch.add_argument("--layout", choices=["hive", "plain"], default="hive")
     batch.add_argument("--unique-snapshots", action="store_true")
+    batch.add_argument("--snapshot-ms", type=int, default=SNAPSHOT_TS_MS, help="when the snapshots were taken, in ms since 1970")
+    batch.add_argument("--all-days", action="store_true", help="go on until no table's next day is there")
 
     control = commands.add_parser("control", parents=[common], help="put control rows from JSON files")
     control.add_argument("--rows", required=True)
@@ -101,17 +105,20 @@ def main(argv: list[str] | None = None) -> int:
         job = BatchJob(
             args.root, args.snapshots, args.changes, args.layout, args.policy,
             table_buckets(args.table_buckets), args.buckets, rules, parallel=args.parallel,
-            unique_snapshots=args.unique_snapshots,
+            unique_snapshots=args.unique_snapshots, snapshot_ts_ms=args.snapshot_ms,
         )
-        failed = run_batch(spark, job, control, catalog(spark, args))
-        for (database, table), error in failed:
+        run = run_days if args.all_days else run_batch
+        outcome = run(spark, job, control, catalog(spark, args))
+        for database, table in outcome.absent:
+            print(f"{database}.{table}: its day is not there yet", file=sys.stderr)
+        for (database, table), error in outcome.failed:
             print(f"{database}.{table}: {type(error).__name__}: {error}", file=sys.stderr)
-        return 1 if failed else 0
+        return 1 if outcome.failed else 0
     applier = ChangeApplier(
         spark, args.root, control.read, lambda: catalog(spark, args), args.policy, rules, args.datetime_type,
         table_buckets(args.table_buckets), args.buckets, args.parallel, args.parse_tasks,
         args.on_error, names(args.only), names(args.skip),
-        tuple(args.extra), name=args.name, batch_offset=args.batch_offset,
+        tuple(args.extra), name=args.name, batch_offset=args.batch_offset, time_unit=args.time_unit,
     )
     source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:

@@ -25,15 +25,6 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder over another one; done again after a crash in between, it ends the same."""
-    fs, old = _fs(spark, target)
-    fs.delete(old, True)
-    fs.mkdirs(old.getParent())
-    if not fs.rename(_fs(spark, source)[1], old):
-        raise OSError(f"cannot move {source} to {target}")
-
-
 def child_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
@@ -48,8 +39,8 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target and rename, so a reader never sees half a file."""
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that isn't there yet, whole or not at all: written beside its place, then renamed."""
     fs, target = _fs(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(path + ".draft")
     out = fs.create(draft, True)
@@ -57,5 +48,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text, "utf-8"))
     finally:
         out.close()
-    fs.delete(target, False)
-    fs.rename(draft, target)
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot write {path}")
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    fs, target = _fs(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0

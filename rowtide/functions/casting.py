@@ -89,6 +89,11 @@ def override_type(
     return reduce(step, rules.overrides.items(), mapped)
 
 
+# Microseconds in a unit of time numbers; text: times are written out.
+TIME_UNITS = {"text": None, "s": 1_000_000, "ms": 1_000, "us": 1}
+_NUMBER = r"^-?\d+(\.\d+)?$"
+
+
 def text_to_long(text: Column) -> Column:
     """Whole number in a text; fractions are cut off and JSON booleans count as 1 and 0.
 
@@ -102,21 +107,28 @@ def text_to_long(text: Column) -> Column:
     )
 
 
-def text_to_time(text: Column, target: str = "timestamp") -> Column:
-    """Timestamp in a text, or epoch seconds / milliseconds when the text is a long number."""
-    number = F.when(text.rlike(r"^-?\d{9,}(\.\d+)?$"), text.try_cast("double"))
-    seconds = F.when(F.abs(number) >= 1e11, number / 1000).otherwise(number)
-    return F.coalesce(text.try_cast(target), seconds.try_cast("timestamp").cast(target))
+def text_to_time(text: Column, target: str = "timestamp", unit: str = "ms") -> Column:
+    """Timestamp in a text. A bare number counts ``unit``s since 1970, whatever its size; ``text``: no number is a time.
+
+    Numbers go through DECIMAL, since DOUBLE would lose microseconds.
+    """
+    if unit not in TIME_UNITS:
+        raise ValueError(f"unknown time unit {unit!r}, not one of {sorted(TIME_UNITS)}")
+    stamp = text.try_cast(target)
+    if TIME_UNITS[unit] is None:
+        return F.when(~text.rlike(_NUMBER), stamp)
+    micros = (text.try_cast("decimal(38,6)") * F.lit(TIME_UNITS[unit])).try_cast("bigint")
+    return F.when(text.rlike(_NUMBER), F.timestamp_micros(micros).cast(target)).otherwise(stamp)
 
 
-def safe_cast(col: Column, target: str, source: T.DataType = T.StringType()) -> Column:
+def safe_cast(col: Column, target: str, source: T.DataType = T.StringType(), unit: str = "ms") -> Column:
     if source.simpleString() == target:
         return col
     if isinstance(source, T.StringType):
         if target == "bigint":
             return text_to_long(col)
         if target.startswith("timestamp"):
-            return text_to_time(col, target)
+            return text_to_time(col, target, unit)
         return col.try_cast(target)
     if target == "bigint" and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType)):
         return F.when(~F.isnan(col.cast("double")), col).try_cast("bigint")
@@ -128,4 +140,4 @@ def safe_cast(col: Column, target: str, source: T.DataType = T.StringType()) ->
         return col.try_cast(target)
     if isinstance(source, times) and target in ("date", "timestamp", "timestamp_ntz"):
         return col.try_cast(target)
-    return safe_cast(col.cast("string"), target)
+    return safe_cast(col.cast("string"), target, unit=unit)

@@ -32,6 +32,7 @@ def parse_events(
     time_type: str = "timestamp",
     extras: Sequence[str] = (),
     values: T.DataType = VALUES_MAP,
+    time_unit: str = "ms",
 ) -> DataFrame:
     """One row per event, with the text it came from and the reason if it cannot be applied.
 
@@ -39,6 +40,7 @@ def parse_events(
     comes out with ``_reason`` set. ``extras`` names further top-level fields to keep, as text.
     ``values`` is a map, or STRING to leave the row's JSON object as it is for ``typed_events``:
     smaller to store, and cheaper to take apart once the columns of its table are known.
+    ``time_unit`` is what a bare number in ``date_action`` counts (``casting.TIME_UNITS``).
     """
     layout = envelope(values, extras)
     text = F.col(value)
@@ -53,29 +55,31 @@ def parse_events(
     keep = [c for c in raw.columns if c != value]
     events = decode(raw, value).select(*keep, text.alias("_whole"), F.inline_outer(parsed))
     e = F.col("_e")
+    when = text_to_time(e["date_action"], time_type, time_unit)
     return events.select(
         *keep,
         e["schema"].alias("schema"),
         e["table"].alias("table"),
         e["log_type"].alias("log_type"),
-        text_to_time(e["date_action"], time_type).alias("date_action"),
+        when.alias("date_action"),
         text_to_long(e["log_position"]).alias("log_position"),
         e["row"]["values"].alias("values"),
         *[e[c].alias(c) for c in extras],
         F.coalesce("_one", "_whole").alias(value),
-        _reason(e, F.col("_one"), values).alias(REASON),
+        _reason(e, F.col("_one"), values, when).alias(REASON),
     )
 
 
-def _reason(e: Column, one: Column, values: T.DataType) -> Column:
+def _reason(e: Column, one: Column, values: T.DataType, when: Column) -> Column:
     broken = one.isNull() | e[CORRUPT].isNotNull()
     if isinstance(values, T.StringType):
         broken = broken | ~e["row"]["values"].startswith("{")
     return (
         F.when(broken, "malformed_json")
-        .when(e["schema"].isNull() | e["table"].isNull(), "no_table")
+        .when((F.coalesce(e["schema"], F.lit("")) == "") | (F.coalesce(e["table"], F.lit("")) == ""), "no_table")
         .when(e["log_type"].isNull(), "no_operation")
         .when(e["row"]["values"].isNull(), "no_values")
+        .when(e["date_action"].isNotNull() & when.isNull(), "bad_time")
     )
 
 

@@ -20,6 +20,11 @@ def _sortable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, _UNORDERED)
 
 
+def ranking_columns(schema: T.StructType, group: Sequence[str], order: Sequence[str]) -> list[str]:
+    """``order`` first, then every other column that can be sorted, so that reruns agree."""
+    return [*order, *[f.name for f in schema if f.name not in {*group, *order} and _sortable(f.dataType)]]
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], within: Sequence[str] = ()
 ) -> DataFrame:
@@ -30,8 +35,7 @@ def latest_per_key(
     the key determines and the input is already partitioned by, which saves the exchange.
     """
     group = [*within, *keys]
-    rest = [f.name for f in df.schema if f.name not in {*group, *order} and _sortable(f.dataType)]
-    ranking = [F.col(c).desc_nulls_last() for c in (*order, *rest)]
+    ranking = [F.col(c).desc_nulls_last() for c in ranking_columns(df.schema, group, order)]
     window = Window.partitionBy(*group).orderBy(*ranking)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 

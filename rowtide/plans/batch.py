@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -14,7 +15,7 @@ from rowtide.functions.casting import TypeRules
 from rowtide.functions.keys import any_null
 from rowtide.operators.events import DEBEZIUM_DELETES, DEBEZIUM_UPSERTS, REJECT, SIDE, tag_debezium
 from rowtide.operators.merge import as_changes
-from rowtide.operators.typed import BATCH_LABEL, null_fill, stamp_snapshot, typed_columns
+from rowtide.operators.typed import BATCH_LABEL, SNAPSHOT_TS_MS, null_fill, stamp_snapshot, typed_columns
 from rowtide.plans.tables import for_each, table_columns
 from rowtide.schemas import CONTROL
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
@@ -24,6 +25,9 @@ from rowtide.sources.files import read_changes_for_day, read_snapshot
 from rowtide.spec import BATCH_ORDER, EVENT_ORDER, TableSpec, split_keys
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class BatchJob:
     root: str
@@ -32,7 +36,7 @@ class BatchJob:
     layout: str = "hive"
     policy: str = EVENT_ORDER
     buckets: Mapping[tuple[str, str], int] = field(default_factory=dict)
-    default_buckets: int = 16
+    default_buckets: int | None = None  # None: from the size of a table's first load
     rules: TypeRules = TypeRules()
     label: str = BATCH_LABEL
     upserts: tuple[str, ...] = DEBEZIUM_UPSERTS
@@ -40,6 +44,9 @@ class BatchJob:
     parallel: int = 8
     unique_snapshots: bool = False  # True: no export repeats a key, so merges need one shuffle less
     prefix: str = DATABASE_PREFIX
+    name: str = "batch"  # what quarantined rows are filed under; streams have names of their own
+    snapshot_ts_ms: int = SNAPSHOT_TS_MS  # when the snapshots were taken; changes before it lose to them
+    compact_after: int = 20  # days until a table's changes are folded into its rows
 
     def spec(self, database: str, table: str, table_id: str) -> TableSpec:
         return TableSpec(
@@ -56,14 +63,14 @@ class BatchJob:
         return f"{self.root}/quarantine"
 
 
-def snapshot_rows(snapshot: DataFrame, table: str, columns, label: str = BATCH_LABEL) -> DataFrame:
+def snapshot_rows(snapshot: DataFrame, table: str, columns, label: str = BATCH_LABEL, ts_ms: int = SNAPSHOT_TS_MS) -> DataFrame:
     """Stamp, fill, type: one projection over the snapshot files."""
-    return typed_columns(null_fill(stamp_snapshot(snapshot, table)), columns, label)
+    return typed_columns(null_fill(stamp_snapshot(snapshot, table, ts_ms)), columns, label)
 
 
 def load_snapshot(spark: SparkSession, job: BatchJob, spec: TableSpec, columns) -> LakeTable:
     source = read_snapshot(spark, job.snapshots, spec.database, spec.table)
-    rows = snapshot_rows(source, spec.table, columns, job.label)
+    rows = snapshot_rows(source, spec.table, columns, job.label, job.snapshot_ts_ms)
     keyless = Observation()
     seen = rows.observe(keyless, F.count_if(any_null(spec.keys)).alias("n"))
     lake = LakeTable(spark, job.root, spec)
@@ -80,7 +87,7 @@ def _quarantine(job: BatchJob, spec: TableSpec, bad: DataFrame, reason: Column,
         {"_text": text, "_why": reason, "schema": F.lit(spec.database), "table": F.lit(spec.table)}
     )
     origin = f"{spec.database}.{spec.table}"
-    rows = quarantine_rows(named, F.col("_why"), number, origin, F.col("_text"))
+    rows = quarantine_rows(named, F.col("_why"), number, origin, F.col("_text"), job.name)
     write_quarantine(rows, job.quarantine)
 
 
@@ -104,17 +111,27 @@ def apply_day(spark: SparkSession, job: BatchJob, spec: TableSpec, columns, day)
     if found.get["n"]:  # only then are the files read a second time
         reason = F.when(F.col(SIDE) == REJECT, "unknown_operation").otherwise("null_key")
         _quarantine(job, spec, tagged.filter(rejected), reason, number)
+    if len(lake.change_folders()) >= job.compact_after:
+        lake.compact()
     if lake.schema is not None:  # else no day has brought a row yet
         lake.register(job.prefix)
     return lake
 
 
-def run_batch(
-    spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame
-) -> list[tuple[tuple[str, str], Exception]]:
-    """One pass over the control table; returns the tables that failed with their error.
+@dataclass
+class Outcome:
+    """What one pass over the control table did, by table."""
+
+    done: list[tuple[str, str]] = field(default_factory=list)
+    absent: list[tuple[str, str]] = field(default_factory=list)  # the day has not been delivered yet
+    failed: list[tuple[tuple[str, str], Exception]] = field(default_factory=list)
 
-    Only tables whose work succeeded move on by a day, in one write for all of them.
+
+def run_batch(spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame) -> Outcome:
+    """One pass over the control table: one snapshot or one day for each table.
+
+    Only tables whose work succeeded move on by a day, in one write for all of them. A table whose
+    day is absent stays where it is, and gets that day once it is there.
     """
     rows = due(control.read())
     tables = rows.select(F.col("database").alias("schema"), "table")
@@ -130,14 +147,28 @@ def run_batch(
         else:
             apply_day(spark, job, spec, columns[name], row["load_date"])
 
-    # one small metadata row per table
-    outcome = for_each(spark, rows.collect(), work, job.parallel)
-    names = [((r["database"], r["table"]), error) for r, _, error in outcome]
-    finished = [name for name, error in names if error is None]
-    if finished:
-        done = small_frame(spark, finished, T.StructType(CONTROL.fields[:2]))
-        put_control(control, advance(control.read().join(done, list(CONTROL_KEYS), "left_semi")))
-    return [(name, error) for name, error in names if error is not None]
+    out = Outcome()
+    for r, _, error in for_each(spark, rows.collect(), work, job.parallel):  # one small metadata row per table
+        name = (r["database"], r["table"])
+        if error is None:
+            out.done.append(name)
+        elif isinstance(error, FileNotFoundError):
+            log.info("%s", error)
+            out.absent.append(name)
+        else:
+            out.failed.append((name, error))
+    if out.done:
+        finished = small_frame(spark, out.done, T.StructType(CONTROL.fields[:2]))
+        put_control(control, advance(control.read().join(finished, list(CONTROL_KEYS), "left_semi")))
+    return out
+
+
+def run_days(spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame) -> Outcome:
+    """Passes until no table moves on: every table ends before its first day that is absent or fails."""
+    out = run_batch(spark, job, control, catalog)
+    while out.done:
+        out = run_batch(spark, job, control, catalog)
+    return out
 
 
 def control_table(spark: SparkSession, root: str) -> LakeTable:

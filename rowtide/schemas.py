@@ -50,5 +50,6 @@ QUARANTINE = T.StructType(
         T.StructField("value", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("origin", T.StringType()),
+        T.StructField("writer", T.StringType()),
     ]
 )

@@ -23,15 +23,19 @@ def metric_row(name, value, unit, batch, dimensions, ts=None) -> tuple:
     return (name, float(value), unit, batch, now, dict(dimensions))
 
 
-def append_metrics(spark: SparkSession, rows: Iterable[tuple], path: str) -> None:
-    """A handful of rows per batch; they describe the batch and hold none of its data."""
+def append_metrics(spark: SparkSession, rows: Iterable[tuple], path: str, writer: str) -> None:
+    """A handful of rows per batch; they describe the batch and hold none of its data.
+
+    Two appends to one folder at a time would share, and remove, the committer's scratch folder; so each writer, which
+    is one thread, has a folder of its own.
+    """
     rows = list(rows)
     if rows:
-        small_frame(spark, rows, METRIC).coalesce(1).write.mode("append").parquet(path)
+        small_frame(spark, rows, METRIC).coalesce(1).write.mode("append").parquet(f"{path}/writer={writer}")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRIC).parquet(path)
+    return spark.read.schema(METRIC).parquet(path).select(*METRIC.names)
 
 
 def batch_metrics(metrics: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowtide.schemas import QUARANTINE
 
 
-def quarantine_rows(rows: DataFrame, reason: Column, batch: int, origin: str, value: Column) -> DataFrame:
+def quarantine_rows(rows: DataFrame, reason: Column, batch: int, origin: str, value: Column, writer: str) -> DataFrame:
     return rows.select(
         reason.cast("string").alias("reason"),
         F.col("schema"),
@@ -16,15 +16,19 @@ def quarantine_rows(rows: DataFrame, reason: Column, batch: int, origin: str, va
         value.cast("string").alias("value"),
         F.lit(batch).cast("bigint").alias("batch_id"),
         F.lit(origin).alias("origin"),
+        F.lit(writer).alias("writer"),
     )
 
 
 def write_quarantine(rows: DataFrame, path: str) -> None:
-    """Partitioned by batch and origin and overwritten per partition, so a replay adds nothing."""
+    """Partitioned by writer, batch and origin and overwritten per partition, so a replay adds nothing.
+
+    Each stream or job that shares the folder has a writer name of its own; batch numbers repeat among them.
+    """
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id", "origin")
+        .partitionBy("writer", "batch_id", "origin")
         .parquet(path)
     )
 

@@ -1,9 +1,9 @@
-"""Keyed lake table: Parquet rows in hash buckets, rewritten bucket by bucket."""
+"""Keyed lake table: loaded rows in hash buckets, and the changes since, as folders that are only ever added."""
 
 from __future__ import annotations
 
 import json
-from functools import cached_property
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,61 +12,121 @@ from pyspark.sql import types as T
 from rowtide import files
 from rowtide.functions.casting import safe_cast
 from rowtide.functions.keys import any_null, with_bucket
-from rowtide.operators.merge import by_bucket, merge, reduce_changes, visible
-from rowtide.spec import BATCH, BUCKET, DELETED, TableSpec
+from rowtide.operators.latest import latest_per_key, ranking_columns
+from rowtide.operators.merge import merge, precedence, reduce_changes, visible
+from rowtide.spec import BATCH, BUCKET, DELETED, TableSpec, buckets_for
 
 # Fixed value: consumers find database ``shop`` in the catalog under this prefix.
 DATABASE_PREFIX = "hudi_"
 
-_GROUP = "_group"
+MERGE = "_merge"
+DONE = "_SUCCESS"  # what Spark's committer leaves in a folder whose job has ended
 
 
 class LakeTable:
-    """One table below ``root``.
+    """One table below ``root/tables``.
 
-    rows/_bucket=n/  the rows, tombstones included
-    incoming/        the changes of the merge that is running
-    stage/n/         the buckets rewrite number n replaces, until they are in place
-    meta/            schema.json and layout.json, done/n for the last rewrite that is in place, and
-                     repeated-keys if a snapshot may hold several rows of a key
+    g<n>/layout-<k>.json  key, bucket count and schema; the greatest k counts
+    g<n>/rows/_bucket=b/  what load or compaction number n wrote, tombstones included
+    g<n>/changes/_merge=<id>/_bucket=b/  the reduced changes of a merge since then
 
-    A merge writes its buckets to the stage and, once all are there, moves them over the old ones,
-    as Spark's own partition overwrite does. If the driver dies between two moves, the rest is
-    still in the stage and the next merge moves it, so no stored row can be lost half-way.
+    A merge adds a folder of changes and touches nothing else. The surviving row per key is found
+    on reading, over the rows and changes of the buckets that have changes; ``compact`` writes that
+    down as the next generation. The greatest generation whose rows are complete counts, and of its
+    changes the complete ones, so wherever a driver stops, readers have the old state or the new
+    one. A merge that is cut short is repeated by its caller and gives the same rows.
     """
 
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, group: int = 4096):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark = spark
-        self.group = group
         self.spec = spec
-        self.root = f"{root.rstrip('/')}/{spec.database}/{spec.table}"
-        self.rows_path = f"{self.root}/rows"
-        self.schema_path = f"{self.root}/meta/schema.json"
-        self.layout_path = f"{self.root}/meta/layout.json"
-        self.repeats_path = f"{self.root}/meta/repeated-keys"
-        self._all_buckets = False  # does the catalog know every bucket
+        self.root = f"{root.rstrip('/')}/tables/{spec.database}/{spec.table}"
+        self._shown: tuple | None = None  # what the catalog shows, as far as this object knows
+        self._layout: tuple[int, dict] | None = None
 
-    # ---- reading
+    # ---- what is there
 
-    @cached_property
-    def schema(self) -> T.StructType | None:
-        """Schema of the stored rows; kept beside them because old buckets may lack new columns."""
-        if not files.exists(self.spark, self.schema_path):
+    @property
+    def generation(self) -> int:
+        """0: nothing stored yet."""
+        numbers = sorted((int(n[1:]) for n in files.child_names(self.spark, self.root) if n[1:].isdigit()), reverse=True)
+        return next((n for n in numbers if files.exists(self.spark, f"{self._folder(n)}/rows/{DONE}")), 0)
+
+    def _folder(self, generation: int) -> str:
+        return f"{self.root}/g{generation}"
+
+    def change_folders(self, generation: int | None = None) -> list[str]:
+        base = f"{self._folder(generation or self.generation)}/changes"
+        found = [f"{base}/{n}" for n in sorted(files.child_names(self.spark, base))]
+        return [f for f in found if files.exists(self.spark, f"{f}/{DONE}")]
+
+    def layout(self, generation: int | None = None) -> dict | None:
+        generation = generation or self.generation
+        if not generation:
             return None
-        return T.StructType.fromJson(json.loads(files.read_text(self.spark, self.schema_path)))
+        if self._layout is None or self._layout[0] != generation:
+            folder = self._folder(generation)
+            last = max(int(n[7:-5]) for n in files.child_names(self.spark, folder) if n.startswith("layout-") and n.endswith(".json"))
+            self._layout = (generation, json.loads(files.read_text(self.spark, f"{folder}/layout-{last}.json")) | {"number": last})
+        return self._layout[1]
+
+    def _keep_layout(self, generation: int, schema: T.StructType, buckets: int, number: int = 0) -> None:
+        fields = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        layout = {"keys": list(self.spec.keys), "buckets": buckets, "schema": fields.jsonValue()}
+        files.write_new(self.spark, f"{self._folder(generation)}/layout-{number}.json", json.dumps(layout))
+        self._layout = None
+
+    @property
+    def schema(self) -> T.StructType | None:
+        """Schema of the stored rows; kept beside them because old folders may lack new columns."""
+        layout = self.layout()
+        return T.StructType.fromJson(layout["schema"]) if layout else None
+
+    @property
+    def buckets(self) -> int | None:
+        layout = self.layout()
+        return layout["buckets"] if layout else self.spec.buckets
+
+    def _checked(self, generation: int) -> dict:
+        """The stored layout; another key or bucket count would put a key's rows in two places."""
+        layout = self.layout(generation)
+        wanted = self.spec.buckets or layout["buckets"]
+        if layout["keys"] != list(self.spec.keys) or layout["buckets"] != wanted:
+            raise ValueError(f"{self.root} is laid out by {layout['keys']} in {layout['buckets']} buckets, not {list(self.spec.keys)} in {wanted}; load or compact it anew to change that")
+        return layout
 
-    def _keep_schema(self, schema: T.StructType) -> None:
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-        if nullable != self.schema:
-            files.write_text(self.spark, self.schema_path, nullable.json())
-            self.schema = nullable
+    # ---- reading
+
+    def _base(self, generation: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self._folder(generation)}/rows")
+
+    def _changes(self, folders: list[str]) -> DataFrame:
+        stored = self.spark.read.schema(self.schema).option("basePath", folders[0].rpartition("/")[0])
+        return stored.parquet(*folders).drop(MERGE)
 
     def rows(self, buckets: list[int] | None = None) -> DataFrame | None:
-        """Stored rows, tombstones included; other buckets than the given ones are pruned."""
-        if self.schema is None:
+        """One row per key, tombstones included; other buckets than the given ones are pruned."""
+        generation = self.generation
+        if not generation:
             return None
-        stored = self.spark.read.schema(self.schema).parquet(self.rows_path)
-        return stored if buckets is None else stored.filter(_in_buckets(buckets))
+        base, folders = self._base(generation), self.change_folders(generation)
+        if buckets is not None:
+            base = base.filter(_in_buckets(buckets))
+        if not folders:
+            return base
+        changed = sorted({int(n.partition("=")[2]) for f in folders for n in files.child_names(self.spark, f) if n.startswith(BUCKET)})
+        if buckets is not None:
+            changed = [b for b in changed if b in set(buckets)]
+        if not changed:
+            return base
+        inside = _in_buckets(changed)
+        both = base.filter(inside).unionByName(self._changes(folders).filter(inside))
+        current = latest_per_key(both, self.spec.keys, self._precedence(base.columns), within=[BUCKET])
+        return base.filter(~inside).unionByName(current)
+
+    def _precedence(self, columns: list[str]) -> list[str]:
+        """A table that has only been loaded may lack the order columns of its changes."""
+        return [c for c in precedence(self.spec.policy, self.spec.order) if c in columns]
 
     def read(self) -> DataFrame:
         return visible(self.rows())
@@ -74,192 +134,177 @@ class LakeTable:
     # ---- writing
 
     def bulk_load(self, rows: DataFrame, batch: int = 0, unique: bool = False) -> None:
-        """Replace the table by a snapshot, every row as it is.
+        """Replace the table by a snapshot; of rows that repeat a key the last in order stays.
 
-        ``unique`` promises one row per key; without it later merges take a path that a key
-        with many rows cannot make slow. ``rows`` must not read this table: a static overwrite
-        deletes before it writes.
+        ``unique`` promises one row per key and saves the reduction. The old generation stays for
+        those who still read it (``rows`` may be one of them) until the next one is written.
         """
-        stored = with_bucket(
-            rows.withColumns({BATCH: F.lit(batch).cast("bigint"), DELETED: F.lit(False)}),
-            self.spec.keys,
-            self.spec.buckets,
-        )
-        files.delete(self.spark, f"{self.root}/stage")  # an unfinished merge of the old rows
-        files.delete(self.spark, self.layout_path)
-        self._check_layout()
+        stored = rows.withColumns({BATCH: F.lit(batch).cast("bigint"), DELETED: F.lit(False)})
+        if not unique:
+            stored = latest_per_key(stored, self.spec.keys, self._precedence(stored.columns))
+        self._new_generation(stored, self.spec.buckets or buckets_for(_plan_bytes(rows)))
+
+    def _new_generation(self, rows: DataFrame, buckets: int) -> None:
+        """Write the rows (without buckets) as the next generation; older ones than the last go."""
+        placed = with_bucket(rows, self.spec.keys, buckets)
+        now = self._free_generation()
+        self._keep_layout(now, placed.schema, buckets)
         # rebalance: one shuffle with a partition per bucket, of which AQE cuts those that are too
         # big for one task and joins those that are too small for one
-        placed = stored.hint("rebalance", self.spec.buckets, BUCKET)
-        self._write(placed, self.rows_path)
-        if unique:
-            files.delete(self.spark, self.repeats_path)
-        else:
-            files.write_text(self.spark, self.repeats_path, "")
-        self._keep_schema(stored.schema)
-
-    def _check_layout(self) -> None:
-        """Another key or bucket count would put a key's rows in two places."""
-        layout = {"keys": list(self.spec.keys), "buckets": self.spec.buckets}
-        if not files.exists(self.spark, self.layout_path):
-            files.write_text(self.spark, self.layout_path, json.dumps(layout))
-        kept = json.loads(files.read_text(self.spark, self.layout_path))
-        if kept != layout:
-            raise ValueError(f"{self.root} is laid out by {kept}, not {layout}; load it anew to change that")
+        _write(placed.hint("rebalance", buckets, BUCKET), f"{self._folder(now)}/rows")
+        self._drop_old(now)
+
+    def _free_generation(self) -> int:
+        """The next number; what an unfinished writer left under it goes."""
+        now = self.generation + 1
+        files.delete(self.spark, self._folder(now))
+        return now
+
+    def _drop_old(self, now: int) -> None:
+        for name in files.child_names(self.spark, self.root):
+            if name[1:].isdigit() and int(name[1:]) < now - 1:
+                files.delete(self.spark, f"{self.root}/{name}")
 
     def merge(self, changes: DataFrame, batch: int = 0) -> int:
-        """Apply change rows (``operators.merge.as_changes``); returns the number of buckets rewritten.
+        """Add change rows (``operators.merge.as_changes``); returns the number of buckets they touch.
 
-        The changes are written down once, reduced to a row per key, so a lost executor costs no
-        second reduction. Buckets are then rewritten in groups of ``group``: one group's shuffle has
-        at most that many reducers, reads only the group's own rows and changes, and the stage never
-        holds more than a group.
+        k changed keys are k rows written. The first merge of a new table writes its first generation.
         """
-        self._check_layout()
-        self._finish_move()
         keys, order, policy = self.spec.keys, self.spec.order, self.spec.policy
         if BATCH not in changes.columns:
             changes = changes.withColumn(BATCH, F.lit(batch).cast("bigint"))
-        usable = changes.filter(~any_null(keys))
-        incoming = self._write_down(reduce_changes(usable, keys, order, policy))
-        # bounded by the number of buckets, whatever the number of rows
-        touched = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())
-        if touched:
-            retyped = self._retyped(incoming.drop(_GROUP).schema)
-            work = list(range(self.spec.buckets)) if retyped else touched
-            stored = self.rows()
-            repeats = files.exists(self.spark, self.repeats_path)
-            # a new type reaches every bucket in one rewrite, so no crash can leave two types behind
-            groups = {None: work} if retyped else self._groups(work)
-            for number, part in groups.items():
-                new = incoming if number is None else incoming.filter(F.col(_GROUP) == number)
-                new = new.drop(_GROUP)
-                if stored is None:
-                    merged = by_bucket(new, len(part))
-                else:
-                    old = _retype(stored.filter(_in_buckets(part)), retyped)
-                    merged = merge(old, new, keys, order, policy, None if repeats else len(part))
-                    merged = by_bucket(merged, len(part)) if repeats else merged
-                self._rewrite(merged)
-        files.delete(self.spark, f"{self.root}/incoming")
-        return len(work) if touched else 0
-
-    def _write_down(self, reduced: DataFrame) -> DataFrame:
-        path = f"{self.root}/incoming"
-        placed = with_bucket(reduced, self.spec.keys, self.spec.buckets)
-        grouped = placed.withColumn(_GROUP, F.floor(F.col(BUCKET) / self.group).cast("int"))
-        spread = grouped.hint("rebalance", _GROUP) if self.spec.buckets > self.group else grouped
-        spread.write.mode("overwrite").partitionBy(_GROUP).parquet(path)
-        return self.spark.read.schema(grouped.schema).parquet(path)
-
-    def _groups(self, buckets: list[int]) -> dict[int, list[int]]:
-        out: dict[int, list[int]] = {}
-        for b in buckets:
-            out.setdefault(b // self.group, []).append(b)
-        return out
+        reduced = reduce_changes(changes.filter(~any_null(keys)), keys, order, policy)
+        generation = self.generation
+        if not generation:
+            buckets = self.spec.buckets or buckets_for(_plan_bytes(changes))
+            now = self._free_generation()
+            self._keep_layout(now, with_bucket(reduced, keys, buckets).schema, buckets)
+            _write(with_bucket(reduced, keys, buckets).hint("rebalance", BUCKET), f"{self._folder(now)}/rows")
+            touched = _bucket_names(self.spark, f"{self._folder(now)}/rows")
+            if not touched:  # no row: the table is still to come
+                files.delete(self.spark, self._folder(now))
+                self._layout = None
+            return len(touched)
+        layout = self._checked(generation)
+        placed = with_bucket(reduced, keys, layout["buckets"])
+        stored, now = self.schema, {f.name: f.dataType for f in placed.schema}
+        if any(now.get(f.name, f.dataType) != f.dataType for f in stored):
+            return self._merge_retyped(placed, layout["buckets"], now)
+        fresh = [f for f in placed.schema if f.name not in stored.names]
+        if fresh:
+            self._keep_layout(generation, T.StructType([*stored.fields, *fresh]), layout["buckets"], layout["number"] + 1)
+        path = f"{self._folder(generation)}/changes/{MERGE}={batch:012d}-{uuid.uuid4().hex}"
+        _write(placed.hint("rebalance", BUCKET), path)
+        touched = _bucket_names(self.spark, path)
+        if not touched:
+            files.delete(self.spark, path)
+        return len(touched)
+
+    def _merge_retyped(self, changes: DataFrame, buckets: int, now: dict[str, T.DataType]) -> int:
+        """Columns whose source type has changed: all rows go into a generation of the new types."""
+        retyped = {f.name: now[f.name] for f in self.schema if now.get(f.name, f.dataType) != f.dataType}
+        stored = _retype(self.rows(), retyped)
+        merged = merge(stored, changes, self.spec.keys, self.spec.order, self.spec.policy, buckets)
+        self._write_merged(merged, buckets)
+        return buckets
+
+    def _write_merged(self, merged: DataFrame, buckets: int) -> None:
+        now = self._free_generation()
+        self._keep_layout(now, merged.schema, buckets)
+        _write(merged, f"{self._folder(now)}/rows")
+        self._drop_old(now)
+
+    def compact(self, buckets: int | None = None, drop: Column | None = None) -> bool:
+        """Write rows and changes down as one generation; returns whether there was anything to do.
+
+        Stored rows are shuffled once, by bucket. ``buckets`` deals the rows anew; without a number
+        in the spec the stored bytes decide. ``drop`` names tombstones to leave out.
+        """
+        generation = self.generation
+        if not generation:
+            return False
+        folders, layout = self.change_folders(generation), self.layout(generation)
+        wanted = buckets or self.spec.buckets or max(layout["buckets"], buckets_for(files.size(self.spark, self._folder(generation))))
+        if not folders and drop is None and wanted == layout["buckets"]:
+            return False
+        base = self._base(generation)
+        # an empty frame where there are no changes keeps one plan for all cases
+        changes = self._changes(folders) if folders else base.limit(0)
+        both = [with_bucket(x.drop(BUCKET), self.spec.keys, wanted) for x in (base, changes)] if wanted != layout["buckets"] else [base, changes]
+        order = [c for c in self.spec.order if c in base.columns]
+        merged = merge(*both, self.spec.keys, order, self.spec.policy, wanted)
+        self._write_merged(merged if drop is None else merged.filter(~drop), wanted)
+        return True
 
     def purge_tombstones(self, before) -> None:
-        """Drop tombstones whose first order column is below ``before``.
-
-        A bucket left without a row would not be overwritten, so its tombstones stay.
-        """
-        self._finish_move()
-        rows = self.rows()
-        if rows is None:
-            return
-        old = F.coalesce(F.col(DELETED) & (F.col(self.spec.order[0]) < F.lit(before)), F.lit(False))
-        state = rows.groupBy(BUCKET).agg(F.bool_or(old).alias("some"), F.bool_and(old).alias("all"))
-        work = sorted(r[BUCKET] for r in state.filter("some and not all").collect())
-        for part in self._groups(work).values():
-            self._rewrite(by_bucket(self.rows(part).filter(~old), len(part)))
-
-    def _retyped(self, incoming: T.StructType) -> dict[str, T.DataType]:
-        """Columns whose source type changed: then every bucket is rewritten in the new type."""
-        now = {f.name: f.dataType for f in incoming}
-        stored = self.schema or T.StructType()
-        return {f.name: now[f.name] for f in stored if f.name in now and now[f.name] != f.dataType}
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(BUCKET)
-            .parquet(path)
-        )
-
-    def _rewrite(self, merged: DataFrame) -> None:
-        self._write(merged, f"{self.root}/stage/{self._number()}")
-        self._finish_move(merged.schema)
-
-    def _number(self) -> int:
-        done = files.child_names(self.spark, f"{self.root}/meta/done")
-        return max((int(n) for n in done), default=0) + 1
+        """Compact without the tombstones whose first order column is below ``before``."""
+        old = F.col(DELETED) & (F.col(self.spec.order[0]) < F.lit(before))
+        self.compact(drop=F.coalesce(old, F.lit(False)))
 
     def next_batch(self) -> int:
         """A batch number above every one stored so far, for callers without their own."""
-        rows = self.rows()
-        top = rows.agg(F.max(BATCH)).first()[0] if rows is not None else None
-        return (top or 0) + 1
-
-    def _finish_move(self, schema: T.StructType | None = None) -> None:
-        number = self._number()
-        stage = f"{self.root}/stage/{number}"
-        if not files.exists(self.spark, f"{stage}/_SUCCESS"):
-            return
-        waiting = [n for n in files.child_names(self.spark, stage) if n.startswith(f"{BUCKET}=")]
-        if waiting:
-            self._keep_schema(schema or self.spark.read.parquet(stage).schema)
-        for name in waiting:
-            files.replace(self.spark, f"{stage}/{name}", f"{self.rows_path}/{name}")
-        files.write_text(self.spark, f"{self.root}/meta/done/{number}", "")
-        files.delete(self.spark, f"{self.root}/meta/done/{number - 1}")
-        files.delete(self.spark, stage)
+        generation = self.generation
+        if not generation:
+            return 1
+        folders = self.change_folders(generation)
+        stored = self._base(generation).select(BATCH)
+        if folders:
+            stored = stored.union(self._changes(folders).select(BATCH))
+        return (stored.agg(F.max(BATCH)).first()[0] or 0) + 1
 
     # ---- catalog
 
     def register(self, prefix: str = DATABASE_PREFIX) -> str:
-        """``<prefix><database>.<table>`` as a view of the live rows over ``<table>__rows``.
+        """``<prefix><database>.<table>`` as a view of the live rows.
 
-        Call it after every write: it only does what is missing, and tells the session that files
-        have changed.
+        Call it after every write. A new generation or schema makes the view anew; otherwise the
+        session is only told that files have changed.
         """
-        database = _quoted(prefix + self.spec.database)
-        name, rows = (f"{database}.{_quoted(self.spec.table + s)}" for s in ("", "__rows"))
-        if not self._registered(rows):
+        generation, database = self.generation, _quoted(prefix + self.spec.database)
+        name = f"{database}.{_quoted(self.spec.table)}"
+        parts = {kind: f"{database}.{_quoted(f'{self.spec.table}__{kind}')}" for kind in ("rows", "changes")}
+        state = (prefix, generation, self.schema.json())
+        if self._shown != state:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
             fields = [f for f in self.schema if f.name != BUCKET]
             columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
-            self.spark.sql(f"DROP TABLE IF EXISTS {rows}")
-            self.spark.sql(
-                f"CREATE TABLE {rows} ({columns}, {BUCKET} INT) USING parquet "
-                f"PARTITIONED BY ({BUCKET}) LOCATION '{self.rows_path}'"
-            )
-            shown = ", ".join(_quoted(f.name) for f in fields if f.name not in (DELETED, BATCH))
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM {rows} WHERE NOT {DELETED}")
-            self._all_buckets = False
-        if not self._all_buckets:
-            self.spark.sql(f"MSCK REPAIR TABLE {rows}")
-            self._all_buckets = self.spark.sql(f"SHOW PARTITIONS {rows}").count() == self.spec.buckets
-        self.spark.sql(f"REFRESH TABLE {rows}")
+            for kind, part in parts.items():
+                folder = f"{self._folder(generation)}/{kind}"
+                files.make_folder(self.spark, folder)
+                self.spark.sql(f"DROP TABLE IF EXISTS {part}")
+                self.spark.sql(f"CREATE TABLE {part} ({columns}) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION {_literal(folder)}")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {self._live_rows(parts, fields)}")
+            self._shown = state
+        for part in parts.values():
+            self.spark.sql(f"REFRESH TABLE {part}")
         return name
 
-    def _registered(self, rows: str) -> bool:
-        """Is the catalog entry there, for this folder and this schema."""
-        if not self.spark.catalog.tableExists(rows):
-            return False
-        about = self.spark.sql(f"DESCRIBE TABLE EXTENDED {rows}").filter("col_name = 'Location'").first()
-        if about is None or about["data_type"] != files.qualified(self.spark, self.rows_path):
-            return False
+    def _live_rows(self, parts: dict[str, str], fields: list[T.StructField]) -> str:
+        schema = T.StructType(fields)
+        keys = ", ".join(map(_quoted, self.spec.keys))
+        order = ", ".join(f"{_quoted(c)} DESC NULLS LAST" for c in ranking_columns(schema, self.spec.keys, self._precedence(schema.names)))
+        names = ", ".join(_quoted(f.name) for f in fields)
+        shown = ", ".join(_quoted(f.name) for f in fields if f.name not in (DELETED, BATCH))
+        both = f"SELECT {names} FROM {parts['rows']} UNION ALL SELECT {names} FROM {parts['changes']}"
+        ranked = f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS _rank FROM ({both})"
+        return f"SELECT {shown} FROM ({ranked}) WHERE _rank = 1 AND NOT {DELETED}"
 
-        def shape(schema: T.StructType) -> set:
-            return {(f.name, f.dataType) for f in schema}
 
-        return shape(self.spark.table(rows).schema) == shape(self.schema)
+def _write(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
+
+
+def _bucket_names(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in files.child_names(spark, path) if n.startswith(f"{BUCKET}=")]
+
+
+def _plan_bytes(rows: DataFrame) -> int:
+    """What the optimizer takes the rows' size to be: file sizes for a scan."""
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return min(int(str(size)), 1 << 60)
 
 
 def _retype(stored: DataFrame, wanted: dict[str, T.DataType]) -> DataFrame:
-    if not wanted:
-        return stored
     return stored.select(
         *[
             safe_cast(F.col(f"`{f.name}`"), wanted[f.name].simpleString(), f.dataType).alias(f.name)
@@ -272,6 +317,7 @@ def _retype(stored: DataFrame, wanted: dict[str, T.DataType]) -> DataFrame:
 
 def _in_buckets(buckets: list[int]) -> Column:
     """A range where the numbers are dense, else one list literal."""
+    buckets = sorted(buckets)
     if buckets[-1] - buckets[0] + 1 == len(buckets):
         return F.col(BUCKET).between(buckets[0], buckets[-1])
     return F.expr(f"{BUCKET} IN ({', '.join(map(str, buckets))})")
@@ -279,3 +325,7 @@ def _in_buckets(buckets: list[int]) -> Column:
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -25,11 +25,6 @@ def shard_union(shards: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, shards)
 
 
-def spread(raw: DataFrame) -> DataFrame:
-    """Round-robin over all cores where a source gives fewer splits than there are cores.
-
-    Parsing costs far more than moving the text. Meant for a bare scan or micro-batch: counting
-    the splits of a frame with a shuffle in it would run that shuffle.
-    """
-    cores = raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartition(cores) if raw.rdd.getNumPartitions() < cores else raw
+def spread(raw: DataFrame, tasks: int | None) -> DataFrame:
+    """Round-robin over ``tasks``, for sources whose few or uneven splits would hold up the parsing; None: as they come."""
+    return raw if tasks is None else raw.repartition(tasks)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowtide import files
+
 
 def read_snapshot(spark: SparkSession, template: str, database: str, table: str) -> DataFrame:
     """``template`` is a path with ``{database}`` and ``{table}``."""
@@ -23,17 +25,27 @@ def read_changes_for_day(
     layout: str = "hive",
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """One day of a table's change files.
+    """One day of a table's change files, with every column that any of them has.
 
-    hive: ``root/db/table/year=2024/month=1/day=15``, read by a filter on partition columns, so
-    only the day's files are opened. plain: ``root/db/table/2024/01/15``.
+    hive: ``root/db/table/year=2024/month=1/day=15`` (with or without leading zeros), plain: ``root/db/table/2024/01/15``.
+    Only the day's folder is listed and read. A day that has not been delivered raises ``FileNotFoundError``.
     """
     base = f"{root.rstrip('/')}/{database}/{table}"
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    if layout == "plain":
-        return reader.parquet(f"{base}/{day:%Y/%m/%d}")
-    match = (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
-    return reader.parquet(base).filter(match).drop("year", "month", "day")
+    folder = f"{base}/{day:%Y/%m/%d}" if layout == "plain" else _day_folder(spark, base, day)
+    if folder is None or not files.exists(spark, folder):
+        raise FileNotFoundError(f"no change files of {database}.{table} for {day} below {base}")
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+    return reader.parquet(folder)
+
+
+def _day_folder(spark: SparkSession, base: str, day: dt.date) -> str | None:
+    """``base/year=y/month=m/day=d``, however its numbers are padded."""
+    for part, wanted in (("year", day.year), ("month", day.month), ("day", day.day)):
+        numbers = {n: n.partition("=")[2] for n in files.child_names(spark, base) if n.startswith(f"{part}=")}
+        base = next((f"{base}/{n}" for n, x in sorted(numbers.items()) if x.isdigit() and int(x) == wanted), None)
+        if base is None:
+            return None
+    return base
 
 
 def write_changes_by_day(changes: DataFrame, root: str, database: str, table: str, time: str) -> None:

@@ -24,7 +24,7 @@ class TableSpec:
     table: str
     keys: tuple[str, ...]
     order: tuple[str, ...] = STREAM_ORDER
-    buckets: int = 16
+    buckets: int | None = None  # None: from the bytes of the first load
     policy: str = EVENT_ORDER
 
     def __post_init__(self):
@@ -39,11 +39,7 @@ def split_keys(table_id: str) -> tuple[str, ...]:
     return tuple(part.strip() for part in table_id.split(",") if part.strip())
 
 
-def buckets_for(table_bytes: int, bucket_bytes: int = 512 << 20, most: int = 1 << 15) -> int:
-    """Power-of-two bucket count that keeps one bucket near ``bucket_bytes``.
-
-    Above ``most`` buckets grow instead (about 3 GB at 100 TB): a shuffle into more reducers
-    than that costs the driver more than a bigger sort costs a task.
-    """
+def buckets_for(table_bytes: int, bucket_bytes: int = 512 << 20) -> int:
+    """Power-of-two bucket count that keeps one bucket near ``bucket_bytes``, whatever the size."""
     wanted = max(1, -(-table_bytes // bucket_bytes))
-    return min(most, 1 << (wanted - 1).bit_length())
+    return 1 << (wanted - 1).bit_length()

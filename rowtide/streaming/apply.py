@@ -31,7 +31,9 @@ from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec, split_keys
 log = logging.getLogger(__name__)
 
 _OK = "_ok"
-_PARTS = (_OK, "schema", "table")
+_WHERE = "_where"  # registered tables only: names out of event text are no folders
+_PARTS = (_OK, _WHERE)
+_LISTED = ("schema", "table", "table_id")
 
 
 @dataclass
@@ -51,10 +53,10 @@ class ChangeApplier:
     rules: TypeRules = TypeRules()
     time_type: str = "timestamp"
     buckets: Mapping[Name, int] = field(default_factory=dict)
-    default_buckets: int = 16
+    default_buckets: int | None = None  # None: from the size of a table's first load
     parallel: int = 8
     parse_tasks: int | None = None  # for uneven shards: spread the raw text over so many tasks
-    on_error: str = "quarantine"  # or "fail": the batch is replayed from the checkpoint
+    on_error: str = "fail"  # the batch is replayed from the checkpoint; or "quarantine": the stream goes on
     only: frozenset[Name] = frozenset()  # a stream of its own for tables worth longer batches,
     skip: frozenset[Name] = frozenset()  # which the other stream then leaves out
     extras: tuple[str, ...] = ()  # further top-level event fields to keep as text columns
@@ -62,7 +64,10 @@ class ChangeApplier:
     prefix: str = DATABASE_PREFIX
     name: str = "changes"  # streams that share a root need names of their own
     batch_offset: int = 0  # raise it above the last batch when a checkpoint starts anew
+    time_unit: str = "ms"  # what a bare number in date_action counts
+    compact_after: int = 20  # merges of a table until its changes are folded into its rows
     _lakes: dict[TableSpec, LakeTable] = field(default_factory=dict)
+    _unregistered: list[Name] = field(default_factory=list)
 
     @property
     def quarantine_path(self) -> str:
@@ -84,8 +89,9 @@ class ChangeApplier:
             files.delete(self.spark, stage)  # an empty batch wrote no partition
             return
         staged = self.spark.read.schema(self._stage_schema).parquet(stage)
-        # one row per table of the batch, with the key columns its control row names
-        listed = key_lookup(staged.groupBy(*_PARTS).count(), self.control()).collect()
+        # one row per registered table of the batch, with its key columns, and one for all the rest
+        named = [F.when(F.col(_OK), F.col(c)).alias(c) for c in _LISTED]
+        listed = staged.groupBy(_OK, *named).count().collect()
         good = {(r["schema"], r["table"]): r for r in listed if r[_OK]}
         log.info("batch %s: %s rows of %s tables", batch_id, sum(r["count"] for r in listed), len(good))
         if log.isEnabledFor(logging.DEBUG):
@@ -94,9 +100,9 @@ class ChangeApplier:
         bad = sum(r["count"] for r in listed if not r[_OK])
         if bad:
             reject = staged.filter(~F.col(_OK))
-            rows = quarantine_rows(reject, F.col(REASON), batch_id, "parse", F.col("value"))
+            rows = quarantine_rows(reject, F.col(REASON), batch_id, "parse", F.col("value"), self.name)
             write_quarantine(rows, self.quarantine_path)
-        keys = {n: split_keys(r["table_id"]) if r["table_id"] else None for n, r in good.items()}
+        keys = {n: split_keys(r["table_id"]) for n, r in good.items()}
         failed = self._apply_tables(staged, keys, batch_id) if good else {}
         self._report({n: r["count"] for n, r in good.items()}, bad, failed, batch_id)
         if failed and self.on_error == "fail":
@@ -106,12 +112,17 @@ class ChangeApplier:
     def stage(self, batch: DataFrame, path: str) -> None:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
         several tasks and gives small tables one file each."""
-        raw = spread(batch) if self.parse_tasks is None else batch.repartition(self.parse_tasks)
-        events = self._own(parse_events(raw, "value", self.time_type, self.extras, T.StringType()))
+        raw = spread(batch, self.parse_tasks)
+        events = self._own(parse_events(raw, "value", self.time_type, self.extras, T.StringType(), self.time_unit))
+        # Rows of unregistered tables leave with the other rejects: whatever names events hold, they are one write.
+        events = key_lookup(events, self.control())
+        reason = F.coalesce(F.col(REASON), F.when(F.coalesce("table_id", F.lit("")) == "", "no_key"))
+        events = events.withColumn(REASON, reason)
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
+        ok = F.col(REASON).isNull()
         out = events.select(
-            "log_type", "date_action", "log_position", "values", *self.extras, keep_text, REASON,
-            F.col(REASON).isNull().alias(_OK), "schema", "table",
+            "log_type", "date_action", "log_position", "values", *self.extras, keep_text, REASON, *_LISTED,
+            ok.alias(_OK), F.when(ok, F.concat_ws(".", "schema", "table")).alias(_WHERE),
         )
         self._stage_schema = out.schema
         out.hint("rebalance", *_PARTS).write.mode("overwrite").partitionBy(*_PARTS).parquet(path)
@@ -130,10 +141,8 @@ class ChangeApplier:
         columns = table_columns(small_frame(self.spark, list(keys), NAME), self.catalog(), self.rules)
 
         def work(name: Name) -> None:
-            rows = staged.filter(F.col(_OK) & (F.col("schema") == name[0]) & (F.col("table") == name[1]))
-            if not keys[name]:
-                self._quarantine(rows, "no_key", name, batch_id)
-            elif name not in columns:
+            rows = _rows_of(staged, name)
+            if name not in columns:
                 self._quarantine(rows, "no_catalog", name, batch_id)
             else:
                 self._merge(rows, name, keys[name], columns[name], batch_id)
@@ -141,8 +150,7 @@ class ChangeApplier:
         failed = {n: e for n, _, e in for_each(self.spark, keys, work, self.parallel) if e is not None}
         if self.on_error == "quarantine":
             for name, error in failed.items():
-                rows = staged.filter(F.col(_OK) & (F.col("schema") == name[0]) & (F.col("table") == name[1]))
-                self._quarantine(rows, f"write_failed: {type(error).__name__}", name, batch_id)
+                self._quarantine(_rows_of(staged, name), f"write_failed: {type(error).__name__}", name, batch_id)
         return failed
 
     def _merge(self, rows: DataFrame, name: Name, keys, columns, batch_id: int) -> None:
@@ -163,14 +171,24 @@ class ChangeApplier:
             keyed = typed_events(rows, columns, self.label, whole)
             names = [row_column(c, whole) for c, _ in columns if row_column(c, keep) in keys]
             self._quarantine(keyed.filter(any_null(names)), "null_key", name, batch_id)
+        if len(lake.change_folders()) >= self.compact_after:
+            lake.compact()
         if lake.schema is not None:
+            self._register(lake)
+
+    def _register(self, lake: LakeTable) -> None:
+        """The rows are stored by now; a catalog that takes no name or is away is no reason to store them twice."""
+        try:
             lake.register(self.prefix)
+        except Exception:
+            log.exception("%s not registered", lake.root)
+            self._unregistered.append((lake.spec.database, lake.spec.table))
 
     def _quarantine(self, rows: DataFrame, reason: str, name: Name, batch_id: int) -> None:
         """The kept text is a whole event again, so it can be sent once more."""
         row = F.struct(F.from_json("values", VALUES_MAP).alias("values")).alias("row")
         value = F.to_json(F.struct(*self._event_columns, row), {"ignoreNullFields": "false"})
-        out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name), value)
+        out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name), value, self.name)
         write_quarantine(out, self.quarantine_path)
 
     def _report(self, good: dict[Name, int], bad: int, failed: dict, batch_id: int) -> None:
@@ -179,5 +197,13 @@ class ChangeApplier:
             for (s, t), n in good.items()
         ]
         rows += [metric_row("tableFailed", 1, COUNT, batch_id, {"schema": s, "table": t}) for s, t in failed]
+        unregistered, self._unregistered = self._unregistered, []
+        rows += [metric_row("registerFailed", 1, COUNT, batch_id, {"schema": s, "table": t}) for s, t in unregistered]
         rows.append(metric_row("quarantined", bad, COUNT, batch_id, {}))
-        append_metrics(self.spark, rows, self.metrics_path)
+        append_metrics(self.spark, rows, self.metrics_path, self.name)
+
+
+def _rows_of(staged: DataFrame, name: Name) -> DataFrame:
+    """One table's rows; the partition is pruned, the names themselves decide."""
+    part = F.col(_OK) & (F.col(_WHERE) == ".".join(name))
+    return staged.filter(part & (F.col("schema") == name[0]) & (F.col("table") == name[1])).drop("table_id")

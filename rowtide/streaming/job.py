@@ -38,11 +38,18 @@ def start_stream(
     return writer.start(), listener
 
 
-def run_available(source: DataFrame, applier: ChangeApplier, checkpoint: str, name: str = "change-stream") -> None:
-    """Apply everything the source holds now, then return; a failed batch raises."""
+def run_available(
+    source: DataFrame, applier: ChangeApplier, checkpoint: str, name: str = "change-stream", report_seconds: float | None = None
+) -> None:
+    """Apply everything the source holds now, then return; a failed batch raises.
+
+    Reports arrive after the query has ended, so their end is waited for; ``report_seconds`` bounds the wait and raises.
+    """
     query, listener = start_stream(source, applier, checkpoint, None, name)
     try:
         query.awaitTermination()
     finally:
-        listener.ended.wait(30)  # reports arrive after the query has ended
+        reported = listener.ended.wait(report_seconds)
         applier.spark.streams.removeListener(listener)
+    if not reported:
+        raise TimeoutError(f"the last reports of {name} did not arrive within {report_seconds} s")

@@ -72,6 +72,6 @@ class BatchMetricsListener(StreamingQueryListener):
 
     def _append(self, rows: list[tuple]) -> None:
         try:
-            m.append_metrics(self.spark, rows, self.path)
+            m.append_metrics(self.spark, rows, self.path, f"{self.app}-listener")
         except Exception:  # a listener must not stop the stream
             log.exception("metrics of %s not written", self.app)

@@ -65,7 +65,7 @@ def event_text(rows: DataFrame, values: list[str], keep: tuple[str, ...] = ()) -
     """Rows as JSON events in a ``value`` column; a null value is left out of the event."""
     row = F.struct(F.struct(*values).alias("values"))
     event = F.struct("schema", "table", "log_type", "date_action", "log_position", row.alias("row"))
-    return spread(rows).select(*keep, F.to_json(event).alias("value"))
+    return spread(rows, rows.sparkSession.sparkContext.defaultParallelism).select(*keep, F.to_json(event).alias("value"))
 
 
 def activity_text(spark: SparkSession, sf: str, keep: tuple[str, ...] = ()) -> DataFrame:

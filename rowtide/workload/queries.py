@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from rowtide.operators import events as ev
 from rowtide.operators import latest as lt
 from rowtide.operators import merge as mg
 from rowtide.operators import typed as ty
-from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch
+from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch, run_days
 from rowtide.session import configure, shared_dir
 from rowtide.sinks.metrics import batch_metrics
 from rowtide.sinks.quarantine import read_quarantine
@@ -557,11 +558,31 @@ def merge_table_arrival(spark, sf):
     return _merged_table(spark, sf, ARRIVAL).read()
 
 
-@query("purge_tombstones", _MERGED_EVENT_ORDER)
+_PURGE_BEFORE = "1998-01-01"
+
+
+@query(
+    "purge_tombstones",
+    f"""select o_orderkey, deleted from (select *, row_number() over (partition by o_orderkey
+            order by {_CHANGE_RANK.format(first='deleted desc, ')}) as rn
+        from (select {_SHOWN}, deleted from ({_ORDER_CHANGES})
+              union all select {_SHOWN}, false from ({_BASE})))
+    where rn = 1 and not coalesce(deleted and {_CHANGE_ORDER[0]} < timestamp '{_PURGE_BEFORE}', false)""",
+)
 def purge_tombstones(spark, sf):
+    """What the table still holds, tombstones included: those from before the given day are gone."""
     lake = _merged_table(spark, sf, EVENT_ORDER)
-    lake.purge_tombstones(dt.datetime(1998, 1, 1))
-    return lake.read()
+    lake.purge_tombstones(dt.datetime.fromisoformat(_PURGE_BEFORE))
+    return lake.rows().select("o_orderkey", F.col("_deleted").alias("deleted"))
+
+
+@query("compact_table", _MERGED_EVENT_ORDER)
+def compact_table(spark, sf):
+    """Rows and changes written down as one generation, in twice the buckets."""
+    lake = _merged_table(spark, sf, EVENT_ORDER)
+    lake.compact(buckets=16)
+    spec = dataclasses.replace(lake.spec, buckets=None)
+    return LakeTable(spark, lake.root.removesuffix(f"/tables/{spec.database}/{spec.table}"), spec).read()
 
 
 @query("catalog_register", "select o_orderkey, o_custkey, o_totalprice, o_orderdate from orders")
@@ -631,7 +652,8 @@ def _activity_applier(spark, root, sf, policy=EVENT_ORDER):
     control = names.select(F.col("schema").alias("database"), "table", F.lit("id").alias("table_id"))
     catalog = cl.declared_catalog(names)
     return ChangeApplier(
-        spark, root, lambda: control, lambda: catalog, policy, SPARK_TYPES, NTZ, default_buckets=4, prefix="replay_"
+        spark, root, lambda: control, lambda: catalog, policy, SPARK_TYPES, NTZ, default_buckets=4, prefix="replay_",
+        parse_tasks=spark.sparkContext.defaultParallelism,
     )
 
 
@@ -690,7 +712,8 @@ def fanout_tables(spark, sf):
     tables = cl.mixed_tables(spark, sf)
     control, catalog = cl.registry(tables), cl.declared_catalog(tables)
     applier = ChangeApplier(
-        spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=8, prefix="fanout_"
+        spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=8, prefix="fanout_",
+        parse_tasks=spark.sparkContext.defaultParallelism,
     )
     applier(text, 0)
     amounts = {"orders": ("o_orderkey", "o_totalprice"), "accounts": ("id", "value"), "carts": ("id", "value")}
@@ -728,19 +751,8 @@ def quarantine_sink(spark, sf):
 _JOB_DAY = dt.date(2024, 1, 1)
 
 
-@query(
-    "batch_job",
-    f"""with day_changes as (
-            select user_id, value, epoch_ms(ts) as ms, event_id, {_DEBEZIUM_OP} as op
-            from events where cast(ts as date) = date '{_JOB_DAY}'),
-        ranked as (select *, row_number() over (partition by user_id order by ms desc, event_id desc) as rn
-                   from day_changes where op <> 'r')
-        select 'orders' as "table", count(*) as n_rows, cast(sum(o_orderkey) as bigint) as key_sum from orders
-        union all
-        select 'activity', count(*), cast(sum(user_id) as bigint) from ranked where rn = 1 and op <> 'd'""",
-)
-def batch_job(spark, sf):
-    """Snapshot load of one table and a daily load of another, driven by control rows."""
+def _job_world(spark, sf, day):
+    """Daily files of all events, and a control table whose tables were last loaded on ``day``."""
     root = shared_dir(spark, "job")
     changes = cl.table(spark, sf, "events").select(
         "user_id", "value", F.expr(_DEBEZIUM_OP).alias("__op"), F.lit("activity").alias("__table"),
@@ -749,7 +761,6 @@ def batch_job(spark, sf):
     )
     write_changes_by_day(changes, f"{root}/changes", cl.SCHEMA, "activity", "ts")
     control = control_table(spark, root)
-    day = _JOB_DAY - dt.timedelta(days=1)
     rows = [
         (cl.SCHEMA, "orders", "o_orderkey", day, True, False),
         (cl.SCHEMA, "activity", "user_id", day, False, False),
@@ -764,9 +775,30 @@ def batch_job(spark, sf):
         )
     )
     job = BatchJob(f"{root}/lake", f"{sf}/{{table}}.parquet", f"{root}/changes", rules=SPARK_TYPES, default_buckets=4, prefix="job_")
-    failed = run_batch(spark, job, control, catalog)
-    if failed:
-        raise failed[0][1]
+    return job, control, catalog
+
+
+def _raise_first(outcome):
+    if outcome.failed:
+        raise outcome.failed[0][1]
+    return outcome
+
+
+@query(
+    "batch_job",
+    f"""with day_changes as (
+            select user_id, value, epoch_ms(ts) as ms, event_id, {_DEBEZIUM_OP} as op
+            from events where cast(ts as date) = date '{_JOB_DAY}'),
+        ranked as (select *, row_number() over (partition by user_id order by ms desc, event_id desc) as rn
+                   from day_changes where op <> 'r')
+        select 'orders' as "table", count(*) as n_rows, cast(sum(o_orderkey) as bigint) as key_sum from orders
+        union all
+        select 'activity', count(*), cast(sum(user_id) as bigint) from ranked where rn = 1 and op <> 'd'""",
+)
+def batch_job(spark, sf):
+    """Snapshot load of one table and a daily load of another, driven by control rows."""
+    job, control, catalog = _job_world(spark, sf, _JOB_DAY - dt.timedelta(days=1))
+    _raise_first(run_batch(spark, job, control, catalog))
     parts = [
         LakeTable(spark, job.root, job.spec(cl.SCHEMA, t, k)).read().select(F.lit(t).alias("table"), F.col(k).alias("key"))
         for t, k in (("orders", "o_orderkey"), ("activity", "user_id"))
@@ -774,3 +806,85 @@ def batch_job(spark, sf):
     return shard_union(parts).groupBy("table").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("key").alias("key_sum")
     )
+
+
+@query(
+    "daily_job_all_days",
+    f"""with ranked as (select user_id, value, epoch_us(ts) // 1000 as ms, event_id, {_DEBEZIUM_OP} as op,
+                row_number() over (partition by user_id order by epoch_us(ts) // 1000 desc, event_id desc) as rn
+            from events where {_DEBEZIUM_OP} <> 'r')
+        select user_id, value, ms as source_ts_ms, event_id as source_pos from ranked where rn = 1 and op <> 'd'""",
+)
+def daily_job_all_days(spark, sf):
+    """Day after day of all events, until the next day is not there."""
+    first = cl.table(spark, sf, "events").agg(F.min(F.to_date("ts"))).first()[0]
+    job, control, catalog = _job_world(spark, sf, first - dt.timedelta(days=1))
+    outcome = _raise_first(run_days(spark, job, control, catalog))
+    if (cl.SCHEMA, "activity") not in outcome.absent:
+        raise ValueError(f"the job did not go on to the last day: {outcome}")
+    rows = LakeTable(spark, job.root, job.spec(cl.SCHEMA, "activity", "user_id")).read()
+    return rows.select(
+        "user_id", "value", F.col("__source_ts_ms").alias("source_ts_ms"), F.col("__source_pos").alias("source_pos")
+    )
+
+
+@query(
+    "event_time_units",
+    """select event_id, unit, ts from events, (values ('text'), ('s'), ('ms'), ('us')) as u(unit)""",
+)
+def event_time_units(spark, sf):
+    """The time of each event read back from text and from numbers of every unit."""
+    events = cl.table(spark, sf, "events").select("event_id", "ts")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    forms = {
+        "text": F.col("ts").cast("string"),
+        "s": (micros.cast("decimal(38,6)") / 1_000_000).cast("decimal(38,6)").cast("string"),
+        "ms": (micros.cast("decimal(38,6)") / 1_000).cast("decimal(38,6)").cast("string"),
+        "us": micros.cast("string"),
+    }
+    parts = []
+    for unit, form in forms.items():
+        event = F.to_json(F.struct(F.lit("s").alias("schema"), F.lit("t").alias("table"), F.lit("x").alias("log_type"), form.alias("date_action"), F.col("event_id").alias("log_position"), F.struct(F.create_map(F.lit("id"), F.lit("1")).alias("values")).alias("row")))
+        parsed = ev.accepted(ev.parse_events(events.select(event.alias("value")), time_type=NTZ, time_unit=unit))
+        parts.append(parsed.select(F.col("log_position").alias("event_id"), F.lit(unit).alias("unit"), F.col("date_action").alias("ts")))
+    return shard_union(parts)
+
+
+@query(
+    "quarantine_two_streams",
+    f"""select writer, reason, "table", log_position from (
+            select *, case when "table" = 'carts' then 'slow' else 'quick' end as writer,
+                   case when log_type = 'DeleteRowsEvent' then 'no_operation' when "table" = 'profiles' then 'no_key' end as reason
+            from ({cl.ACTIVITY})) where reason is not null""",
+)
+def quarantine_two_streams(spark, sf):
+    """Two streams over one root, each with its own tables and its own rejects."""
+    root = shared_dir(spark, "two")
+    rows = cl.activity(spark, sf)
+    known = rows.filter("table <> 'profiles'")
+    control, catalog = cl.registry(known), cl.declared_catalog(known.select("schema", "table").distinct())
+    damaged = rows.withColumn("log_type", F.expr("if(log_type = 'DeleteRowsEvent', null, log_type)"))
+    text = cl.event_text(damaged, ["id", "value"])
+    slow = frozenset({(cl.SCHEMA, "carts")})
+    for number, how in enumerate(({"name": "slow", "only": slow}, {"name": "quick", "skip": slow})):
+        applier = ChangeApplier(spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, prefix=f"two{number}_", **how)
+        applier(text, 0)
+    bad = read_quarantine(spark, applier.quarantine_path)
+    position = F.get_json_object("value", "$.log_position").cast("bigint")
+    return bad.select("writer", "reason", "table", position.alias("log_position"))
+
+
+@query(
+    "stream_restart",
+    f"""select {_ACTIVITY_SHOWN}, 'Streaming' as "Action" from ({_LAST_ACTIVITY})
+        where rn = 1 and log_type <> 'DeleteRowsEvent'""",
+)
+def stream_restart(spark, sf):
+    """A stream that ends when half of the files are there, and goes on from its checkpoint when the rest is."""
+    root = shared_dir(spark, "restart")
+    text = cl.activity_text(spark, sf, ("batch",)).withColumn("half", F.pmod(F.unix_date("batch"), F.lit(2)))
+    for half in (0, 1):
+        text.filter(F.col("half") == half).hint("rebalance", "batch").select("value").write.mode("append").text(f"{root}/in")
+        source = event_stream(spark, "text", path=f"{root}/in", maxFilesPerTrigger="10")
+        run_available(source, _activity_applier(spark, f"{root}/lake", sf), f"{root}/checkpoint")
+    return _read_tables(spark, f"{root}/lake", _activity_specs())

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide import shared_dir
-from rowtide.plans.batch import BatchJob, apply_day, control_table, put_control, run_batch
+from rowtide.plans.batch import BatchJob, apply_day, control_table, put_control, run_batch, run_days
 from rowtide.plans.tables import for_each
 from rowtide.schemas import CONTROL
 from rowtide.sinks.quarantine import read_quarantine
@@ -52,7 +52,7 @@ def test_daily_scan_opens_the_day_only(spark):
     write_changes_by_day(rows, root, "db", "t", "d")
     day = read_changes_for_day(spark, root, "db", "t", DAY)
     assert [r.id for r in day.collect()] == [5]
-    assert len(day.inputFiles()) == 9 and "day" in day._jdf.queryExecution().executedPlan().toString()
+    assert len(day.inputFiles()) == 1 and "/day=5/" in day.inputFiles()[0]
     spark.range(3).write.parquet(f"{root}/db/plain/2024/03/05")
     assert read_changes_for_day(spark, root, "db", "plain", DAY, layout="plain").count() == 3
 
@@ -97,8 +97,8 @@ def job_world(spark):
 
 def test_batch_job(spark):
     job, control, catalog = job_world(spark)
-    failed = run_batch(spark, job, control, catalog)
-    assert [(name, type(e)) for name, e in failed] == [(("d", "lost"), LookupError)]
+    outcome = run_batch(spark, job, control, catalog)
+    assert [(name, type(e)) for name, e in outcome.failed] == [(("d", "lost"), LookupError)] and outcome.absent == []
     fresh = {r.id: r.asDict() for r in LakeTable(spark, job.root, job.spec("d", "fresh", "id")).read().collect()}
     assert fresh[1]["price"] == 10.5 and fresh[1]["note"] == "" and fresh[2]["price"] is None
     assert fresh[1]["Action"] == "Hinata" and fresh[1]["__op"] == "s" and fresh[1]["__source_ts_ms"] == 1618790418000
@@ -126,10 +126,36 @@ def test_days_without_applicable_rows(spark):
     write_changes_by_day(rejected, f"{job.root}/other", "d", "old", "day")
     other = replace(job, changes=f"{job.root}/other")
     apply_day(spark, other, spec, columns, dt.date(2024, 4, 1))
-    apply_day(spark, other, spec, columns, dt.date(2024, 4, 2))
+    with pytest.raises(FileNotFoundError):
+        apply_day(spark, other, spec, columns, dt.date(2024, 4, 2))
     assert [r.reason for r in read_quarantine(spark, job.quarantine).collect()] == ["unknown_operation"]
 
 
+def day_file(spark, job, day, rows, schema):
+    path = f"{job.changes}/d/old/year={day.year}/month={day.month:02d}/day={day.day:02d}"
+    spark.createDataFrame(rows, schema).write.parquet(path)
+
+
+def test_a_late_day_is_waited_for_and_a_new_column_arrives(spark):
+    job, control, catalog = job_world(spark)
+    catalog = catalog.filter("table = 'old'").unionByName(spark.createDataFrame([("d", "old", "extra", "varchar")], catalog.schema))
+    put_control(control, control.read().filter("table = 'old'").withColumn("first_load", F.lit(False)))
+    days = [dt.date(2024, 3, 6) + dt.timedelta(days=n) for n in range(3)]  # the first one is there
+    schema = "id int, price string, __op string, __source_pos long, __source_ts_ms string, extra string"
+    outcome = run_days(spark, job, control, catalog)
+    assert ("d", "old") in outcome.absent
+    last = {r.table: r.last_date for r in control.read().collect()}
+    assert last["old"] == days[0]
+    day_file(spark, job, days[2], [(7, "7", "c", 1, "1709769600000", "far")], schema)
+    assert run_days(spark, job, control, catalog).done == []
+    assert {r.table: r.last_date for r in control.read().collect()}["old"] == days[0]
+    day_file(spark, job, days[1], [(1, "11", "u", 1, "1709683200000", "new")], schema)
+    run_days(spark, job, control, catalog)
+    assert {r.table: r.last_date for r in control.read().collect()}["old"] == days[2]
+    got = {r.id: (r.price, r.extra) for r in LakeTable(spark, job.root, job.spec("d", "old", "id")).read().collect()}
+    assert got[1] == (11.0, "new") and got[7] == (7.0, "far")
+
+
 def test_threads_keep_every_error(spark):
     def work(n):
         if n % 2:

@@ -76,9 +76,19 @@ def test_absent_and_null_values_differ_only_in_the_map(spark):
 
 
 def test_event_time_as_text_or_number(spark):
-    frame = parse(spark, event(time="2021-04-19 00:00:18"), event(time=1618790418000), event(time=1618790418), event(time="soon"))
-    times = [r["date_action"] for r in frame.select(F.col("date_action").cast("string")).collect()]
-    assert times == ["2021-04-19 00:00:18", "2021-04-19 00:00:18", "2021-04-19 00:00:18", None]
+    text, ms, s, us = "2021-04-19 00:00:18", 1618790418000, 1618790418, 1618790418000000
+
+    def read(unit, *forms):
+        got = ev.parse_events(spark.createDataFrame([(event(time=f),) for f in forms], "value string"), time_unit=unit)
+        return [(r["date_action"], r["_reason"]) for r in got.select(F.col("date_action").cast("string"), "_reason").collect()]
+
+    assert read("ms", text, ms) == read("s", text, s) == read("us", text, us) == [(text, None)] * 2
+    assert read("text", text, ms, "soon") == [(text, None), (None, "bad_time"), (None, "bad_time")]
+    # the size of a number decides nothing
+    assert read("ms", 86_400_000, 0) == [("1970-01-02 00:00:00", None), ("1970-01-01 00:00:00", None)]
+    assert read("s", 99_999_999_999)[0][0].startswith("5138") and read("us", 12345)[0][0].startswith("1970-01-01")
+    with pytest.raises(ValueError, match="time unit"):
+        read("minutes", text)
 
 
 # ---- split
@@ -200,7 +210,7 @@ def test_day_parts_are_padded(spark):
 
 def test_spec():
     assert split_keys("a, b") == ("a", "b")
-    assert [buckets_for(n << 20) for n in (1, 512, 513, 5000, 100 << 20)] == [1, 1, 2, 16, 32768]
+    assert [buckets_for(n << 20) for n in (1, 512, 513, 5000, 100 << 20)] == [1, 1, 2, 16, 262144]
     with pytest.raises(ValueError):
         TableSpec("d", "t", ("id",), policy="newest")
     with pytest.raises(ValueError):

@@ -42,7 +42,7 @@ def values(app):
 
 
 def test_mixed_batch_goes_where_it_belongs(spark):
-    app = applier(spark, prefix="mixed_")
+    app = applier(spark, prefix="mixed_", on_error="quarantine")
     app(
         frame(
             spark,
@@ -65,14 +65,14 @@ def test_mixed_batch_goes_where_it_belongs(spark):
     assert bad == {
         ("null_key", "a", "s.a"),
         ("no_catalog", "nocat", "s.nocat"),
-        ("no_key", "unknown", "s.unknown"),
+        ("no_key", "unknown", "parse"),
         ("write_failed: LookupError", "badkey", "s.badkey"),
         ("malformed_json", None, "parse"),
         ("no_operation", "a", "parse"),
     }
     assert {r.id for r in spark.table("mixed_s.a").collect()} == {1}
     counts = {(r["dimensions"].get("table"), r["name"]): r["value"] for r in m.read_metrics(spark, app.metrics_path).collect()}
-    assert counts[("a", "tableRecords")] == 4 and counts[(None, "quarantined")] == 2
+    assert counts[("a", "tableRecords")] == 4 and counts[(None, "quarantined")] == 3
 
 
 def test_quarantined_text_can_be_sent_again(spark):
@@ -137,9 +137,53 @@ def test_further_event_fields_are_kept(spark, caplog):
         app(frame(spark, text, event("zzz", id=1)), 0)
     row = rows(app).first()
     assert (row.id, row.server, row.gtid) == (1, "7", None)
-    assert "batch 0: 2 rows of 2 tables" in caplog.text and "starts with" in caplog.text
+    assert "batch 0: 2 rows of 1 tables" in caplog.text and "starts with" in caplog.text
     kept = json.loads(read_quarantine(spark, app.quarantine_path).first()["value"])
-    assert kept["server"] is None and kept["row"] == {"values": {"id": "1"}}
+    assert kept == json.loads(event("zzz", id=1))
+
+
+def test_no_event_stops_the_stream(spark):
+    app = applier(spark)
+    odd = [event("", id=1), json.dumps(json.loads(event("a", id=1)) | {"schema": ""}), event("a/../b", id=1), event("a", id=1) + "x", "", "[]", "null"]
+    app(frame(spark, event("a", id=1, v="x"), *odd), 0)
+    assert values(app) == {1: "x"}
+    assert {"no_table", "no_key", "malformed_json"} <= {r.reason for r in read_quarantine(spark, app.quarantine_path).collect()}
+
+
+def test_unknown_tables_are_one_write(spark):
+    app = applier(spark)
+    app(frame(spark, event("a", id=1, v="x"), *[event(f"t{n}", id=n) for n in range(60)]), 0)
+    bad = read_quarantine(spark, app.quarantine_path)
+    assert {(r.reason, r.origin, r.writer) for r in bad.collect()} == {("no_key", "parse", "changes")} and bad.count() == 60
+
+
+def test_streams_of_one_root_keep_their_rejects_apart(spark):
+    main = applier(spark, name="main", skip=frozenset({("s", "b")}))
+    side = applier(spark, main.root, name="side", only=frozenset({("s", "b")}))
+    batch = frame(spark, "broken", event(None, id=1), event("b", op=None, x=1, y="k"))
+    main(batch, 0)
+    side(batch, 0)
+    bad = {(r.writer, r.reason) for r in read_quarantine(spark, main.quarantine_path).collect()}
+    assert bad == {("main", "malformed_json"), ("main", "no_table"), ("side", "no_operation")}
+
+
+def test_a_failed_registration_does_not_quarantine_stored_rows(spark, monkeypatch):
+    def refuse(self, prefix):
+        raise RuntimeError("no catalog")
+
+    monkeypatch.setattr(LakeTable, "register", refuse)
+    app = applier(spark)
+    app(frame(spark, event("a", id=1, v="x")), 0)
+    assert values(app) == {1: "x"} and not files.exists(spark, app.quarantine_path)
+    assert "registerFailed" in {r["name"] for r in m.read_metrics(spark, app.metrics_path).collect()}
+
+
+def test_changes_are_folded_in_from_time_to_time(spark):
+    app = applier(spark, compact_after=3)
+    for n in range(8):
+        app(frame(spark, event("a", id=n % 3, v=f"v{n}", position=n)), n)
+        assert len(LakeTable(spark, app.root, TableSpec("s", "a", ("id",))).change_folders()) < 3
+    assert values(app) == {0: "v6", 1: "v7", 2: "v5"}
 
 
 def test_ended_query_reports_an_error_metric(spark):

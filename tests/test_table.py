@@ -1,5 +1,6 @@
 """Lake table on disk: loads, merges, crashes, catalog."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -10,16 +11,22 @@ from pyspark.sql import functions as F
 from rowtide import files
 from rowtide.operators import merge as mg
 from rowtide.session import shared_dir
+from rowtide.sinks import table as table_module
 from rowtide.sinks.table import LakeTable
-from rowtide.spec import ARRIVAL, BUCKET, EVENT_ORDER, TableSpec
+from rowtide.spec import ARRIVAL, BUCKET, EVENT_ORDER, TableSpec, buckets_for
 
 ORDER = ("t", "p")
 ROWS = "k bigint, t bigint, p bigint, v string, _side string"
 
 
-def lake(spark, policy=EVENT_ORDER, buckets=4, group=4096, **spec):
+def lake(spark, policy=EVENT_ORDER, buckets=4, **spec):
     spec = TableSpec("db", "tab", ("k",), ORDER, buckets, policy, **spec)
-    return LakeTable(spark, shared_dir(spark, "t"), spec, group)
+    return LakeTable(spark, shared_dir(spark, "t"), spec)
+
+
+def again(table, **spec):
+    """The table as another driver would open it."""
+    return LakeTable(table.spark, table.root.removesuffix("/tables/db/tab"), dataclasses.replace(table.spec, **spec))
 
 
 def change(spark, rows, batch=1):
@@ -34,25 +41,24 @@ def base(spark, n=20):
     return spark.range(n).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("t"), F.lit(0).cast("bigint").alias("p"), F.lit("base").alias("v"))
 
 
-@pytest.mark.parametrize("group", [4096, 3, 1])
 @pytest.mark.parametrize("unique", [True, False])
-def test_load_then_merge(spark, group, unique):
-    table = lake(spark, buckets=8, group=group)
+def test_load_then_merge(spark, unique):
+    table = lake(spark, buckets=8)
     table.bulk_load(base(spark), unique=unique)
     table.merge(change(spark, [(1, 1, 1, "one", "upsert"), (2, 1, 1, None, "delete"), (99, 1, 1, "new", "upsert")]), 1)
     expected = {k: "base" for k in range(20) if k != 2} | {1: "one", 99: "new"}
     assert values(table) == expected
-    reopened = LakeTable(spark, table.root.removesuffix("/db/tab"), table.spec)
+    reopened = again(table)
     assert values(reopened) == expected
     assert set(reopened.read().columns) == {"k", "t", "p", "v"}
 
 
-def test_snapshot_with_repeated_keys_is_kept_whole_until_merged(spark):
+def test_snapshot_with_repeated_keys_keeps_the_last_of_each(spark):
     table = lake(spark)
-    table.bulk_load(base(spark, 5).unionByName(base(spark, 5).withColumn("t", F.lit(1).cast("bigint"))))
-    assert table.read().count() == 10
-    table.merge(change(spark, [(k, 2, 1, "x", "upsert") for k in range(5)]))
-    assert values(table) == {k: "x" for k in range(5)} and table.read().count() == 5
+    table.bulk_load(base(spark, 5).unionByName(base(spark, 5).withColumns({"t": F.lit(1).cast("bigint"), "v": F.lit("late")})))
+    assert values(table) == {k: "late" for k in range(5)} and table.read().count() == 5
+    table.merge(change(spark, [(3, 2, 1, "x", "upsert")]))
+    assert values(table) == {k: "late" for k in range(5)} | {3: "x"} and table.read().count() == 5
 
 
 def test_deleting_every_row_of_every_bucket(spark):
@@ -73,25 +79,53 @@ def test_purge_drops_old_tombstones_only(spark):
     assert dead == {2} and len(values(table)) == 18
 
 
-def test_only_touched_buckets_are_rewritten(spark):
+def test_purge_reaches_buckets_of_tombstones_alone(spark):
+    table = lake(spark, buckets=1)
+    table.merge(change(spark, [(1, 1, 1, None, "delete")]))
+    table.purge_tombstones(5)
+    assert table.rows().count() == 0 and values(table) == {}
+    table.merge(change(spark, [(2, 1, 1, "x", "upsert")], 2), 2)
+    assert values(table) == {2: "x"}
+
+
+def test_a_merge_adds_its_changes_and_nothing_else(spark):
     table = lake(spark)
     table.bulk_load(base(spark))
     def stamps():
-        rows = table.rows().select(BUCKET, F.col("_metadata.file_name").alias("f")).distinct().collect()
-        return {(r[BUCKET], r.f) for r in rows}
+        return {r.f for r in spark.read.parquet(f"{table.root}/g1/rows").select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
     before = stamps()
     assert table.merge(change(spark, [(1, 1, 1, "one", "upsert")])) == 1
-    changed = {b for b, _ in stamps() ^ before}
-    assert len(changed) == 1
+    assert stamps() == before
+    [folder] = table.change_folders()
+    assert spark.read.parquet(folder).count() == 1
     plan = table.rows([1, 3])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and BUCKET in plan[plan.index("PartitionFilters"):]
+    assert {r[0] for r in table.rows([1, 3]).select(BUCKET).distinct().collect()} <= {1, 3}
+
+
+def test_compaction_keeps_every_row_and_follows_the_size(spark):
+    table = lake(spark)
+    table.bulk_load(base(spark))
+    for n in range(1, 4):
+        table.merge(change(spark, [(n, n, 1, f"v{n}", "upsert"), (10 + n, n, 1, None, "delete")], n), n)
+    rows = sorted(map(tuple, table.rows().drop(BUCKET).collect()), key=str)
+    assert table.compact() and table.change_folders() == [] and not table.compact()
+    assert sorted(map(tuple, table.rows().drop(BUCKET).collect()), key=str) == rows
+    wide = again(table, buckets=None)
+    assert wide.compact(buckets=32) and wide.buckets == 32
+    assert sorted(map(tuple, wide.rows().drop(BUCKET).collect()), key=str) == rows
+    wide.merge(change(spark, [(3, 9, 1, "last", "upsert")], 9), 9)
+    assert values(again(wide))[3] == "last"
+
+
+def test_bucket_count_has_no_ceiling():
+    assert buckets_for(100 << 40) == 1 << 18 and buckets_for(1) == 1 and buckets_for((512 << 20) + 1) == 2
 
 
 def test_another_bucket_count_is_refused(spark):
     table = lake(spark, buckets=4)
     table.bulk_load(base(spark))
-    root = table.root.removesuffix("/db/tab")
-    other = LakeTable(spark, root, TableSpec("db", "tab", ("k",), ORDER, 8))
+    other = again(table, buckets=8)
     with pytest.raises(ValueError, match="laid out"):
         other.merge(change(spark, [(1, 1, 1, "one", "upsert")]))
     other.bulk_load(base(spark, 3))
@@ -118,26 +152,74 @@ def test_new_column_and_changed_type(spark):
     assert got[1] == ("7", 5) and got[2] == ("8", None)
 
 
-@pytest.mark.parametrize("moved", [0, 2])
-def test_a_move_cut_short_is_finished_by_the_next_merge(spark, monkeypatch, moved):
-    table = lake(spark)
-    table.bulk_load(base(spark))
-    replace, done = files.replace, []
+class Lost(Exception):
+    pass
+
 
-    def dies(session, source, target):
-        if len(done) == moved:
-            files.delete(session, target)  # the old bucket is gone and the new one not there
-            raise RuntimeError("driver lost")
-        done.append(target)
-        replace(session, source, target)
+def cut_off(monkeypatch, step):
+    """The driver dies before file-system or write call number ``step``; returns the calls made."""
+    calls = []
 
-    monkeypatch.setattr(files, "replace", dies)
-    with pytest.raises(RuntimeError):
-        table.merge(change(spark, [(k, 1, 1, "one", "upsert") for k in range(20)]))
-    monkeypatch.setattr(files, "replace", replace)
-    again = LakeTable(spark, table.root.removesuffix("/db/tab"), table.spec)
-    again.merge(change(spark, [(5, 2, 1, "two", "upsert")], 2), 2)
-    assert values(again) == {k: "one" for k in range(20)} | {5: "two"}
+    def dying(fn):
+        def call(*args, **kw):
+            if len(calls) == step:
+                raise Lost
+            calls.append(fn.__name__)
+            return fn(*args, **kw)
+
+        return call
+
+    for name in ("write_new", "delete"):
+        monkeypatch.setattr(files, name, dying(getattr(files, name)))
+    monkeypatch.setattr(table_module, "_write", dying(table_module._write))
+    return calls
+
+
+@pytest.mark.parametrize("work", ["merge", "load", "compact", "retype", "purge"])
+def test_a_driver_lost_at_any_step_leaves_the_old_or_the_new_state(spark, monkeypatch, work):
+    def run(table):
+        if work == "load":
+            table.bulk_load(base(spark, 7))
+        elif work == "compact":
+            table.compact()
+        elif work == "purge":
+            table.purge_tombstones(9)
+        else:
+            rows = change(spark, [(k, 5, 1, "5", "upsert") for k in range(9)], 2)
+            table.merge(rows.withColumn("v", F.col("v").cast("bigint")) if work == "retype" else rows.withColumn("extra", F.lit(1)), 2)
+
+    def start():
+        table = lake(spark)
+        table.bulk_load(base(spark, 12))
+        table.merge(change(spark, [(1, 1, 1, None, "delete"), (2, 1, 1, "2", "upsert")], 1), 1)
+        return table
+
+    old = values(start())
+    done = start()
+    run(done)
+    new = values(done)
+    for step in range(9):
+        table = start()
+        with monkeypatch.context() as patch:
+            calls = cut_off(patch, step)
+            try:
+                run(again(table))
+            except Lost:
+                pass
+        assert values(again(table)) in (old, new), (work, step)
+        run(again(table))
+        assert values(again(table)) == new, (work, step)
+        if len(calls) < step:
+            break
+
+
+def test_a_half_written_folder_is_not_read(spark):
+    table = lake(spark)
+    table.bulk_load(base(spark))
+    table.merge(change(spark, [(1, 1, 1, "one", "upsert")]))
+    [folder] = table.change_folders()
+    files.delete(spark, f"{folder}/_SUCCESS")
+    assert values(again(table))[1] == "base"
 
 
 @pytest.mark.parametrize("policy", [EVENT_ORDER, ARRIVAL])
@@ -171,12 +253,20 @@ def test_register_shows_live_rows_and_later_buckets(spark):
     table.merge(change(spark, [(k, 1, 1, "x", "upsert") for k in range(2, 400)] + [(1, 2, 1, None, "delete")], 2), 2)
     table.register("reg_")
     assert {r.k for r in spark.table("reg_db.tab").collect()} == set(range(2, 400))
-    assert table._all_buckets
+    table.compact()
+    table.register("reg_")
+    assert {r.k for r in spark.table("reg_db.tab").collect()} == set(range(2, 400))
     table.merge(change(spark, [(2, 2, 1, "y", "upsert")], 3).withColumn("extra", F.lit(1)), 3)
     table.register("reg_")
     assert spark.table("reg_db.tab").filter("k = 2").first().extra == 1
 
 
+def test_a_folder_with_quotes_can_be_registered(spark):
+    table = LakeTable(spark, shared_dir(spark, "it's"), TableSpec("db", "quoted", ("k",), ORDER, 2))
+    table.merge(change(spark, [(1, 1, 1, "one", "upsert")]))
+    assert spark.table(table.register("q_")).count() == 1
+
+
 def test_register_follows_the_folder(spark):
     for n in (3, 5):
         table = lake(spark)
