@@ -27,67 +27,137 @@ ORACLES: dict[str, str] = {}
 PIECES = "piece_bpe_32k.model"
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(oracle: str | None = None):
+    def add(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if oracle is not None:
+            ORACLES[fn.__name__] = oracle
+        return fn
+
+    return add
+
+
+# ---- the same in DuckDB
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR = rf"""
+    with recursive words as (
+        select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents),
+    shingles as (
+        select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as s
+        from (select doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) as i from words where len(w) > 0)),
+    sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    pairs as (
+        select a.doc_id as x, b.doc_id as y, count(*) as shared
+        from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+    links as (
+        select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+        where 100 * shared >= 85 * (p.n + q.n - shared)),
+    arcs as (select x, y from links union all select y, x from links),
+    reach as (
+        select doc_id, doc_id as r from documents
+        union select reach.doc_id, arcs.y from reach join arcs on arcs.x = reach.r)
+    select d.doc_id, coalesce(n, 0) as n_shingles, c as component_id, d.doc_id = c as kept
+    from documents d join (select doc_id, min(r) as c from reach group by doc_id) using (doc_id)
+    left join sizes using (doc_id)"""
+
+_CONTAMINATED = rf"""
+    with items as (
+        select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+    windows as (
+        select distinct item_id, list_slice(w, i, i + 12) as g
+        from (select item_id, w, unnest(range(1, greatest(2, len(w) - 11))) as i from items where len(w) > 0)),
+    docs as (
+        select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+    places as (
+        select doc_id, i, n, list_slice(w, i, i + n - 1) as g
+        from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+              from docs, (select distinct len(g) as n from windows) where len(w) >= n)),
+    found as (select doc_id, i, n, item_id from places join windows using (g)),
+    hits as (
+        select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(i, i + n)) as p from found) group by doc_id),
+    listed as (
+        select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+        from (select distinct doc_id, cast(item_id as varchar) as id from found) group by doc_id)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(ids, '')) as items_sha256,
+           coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+    from docs left join hits using (doc_id) left join listed using (doc_id)"""
+
+_WARC = """
+    with digests as (
+        select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as x from pages),
+    groups as (select *, max(page_id) over (partition by x, n) as original from digests)
+    select page_id, cast(n as bigint) as payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               cast((cast('0x' || substr(x, cast(i // 4 * 5 + 1 as bigint), 5) as bigint) >> (15 - 5 * (i % 4))) & 31 as bigint) + 1, 1)),
+               'string_agg', '') as payload_digest,
+           case when page_id = original then 'response' else 'revisit' end as record_type,
+           case when page_id <> original then original end as refers_to
+    from groups"""
+
+
+# ---- the queries
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@query()
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = identify(docs, fit(docs))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-@query
+@query(_NEAR)
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-@query
+@query()
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
-@query
+@query()
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
 
 
-@query
+@query()
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
-@query
+@query()
 def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
     return resample(table(spark, sf_dir, "documents"), good)
 
 
-@query
+@query(_CONTAMINATED)
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query
+@query()
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), F.sha2("text", 256).alias("text_sha256"))
 
 
-@query
+@query()
 def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES), digest=True)
 
 
-@query
+@query(_WARC)
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
