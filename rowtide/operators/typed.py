@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,9 +66,12 @@ def typed_events(
     label: str = STREAM_LABEL,
     keep: Sequence[str] = EVENT_KEEP,
     values: str = "values",
+    lost: str | None = None,
 ) -> DataFrame:
     """Events of one table as typed rows.
 
+    ``lost`` names a further column with the number of the row's values that its types don't take.
+
     The values live apart until here, so source columns called ``table`` or ``schema`` cannot
     collide with the envelope. One that is called like a kept or a bookkeeping column comes out
     as ``row_<name>``.
@@ -79,8 +83,12 @@ def typed_events(
         parsed = F.explode(F.array(F.from_json(held, fields)))
         events = events.select("*", parsed.alias("_parsed"))
         held = F.col("_parsed")
-    typed = [safe_cast(held[c], t).alias(row_column(c, keep)) for c, t in columns]
-    return events.select(*typed, *keep, F.lit(label).alias(LABEL_COLUMN))
+    typed = [safe_cast(held[c], t) for c, t in columns]
+    named = [v.alias(row_column(c, keep)) for v, (c, _) in zip(typed, columns)]
+    if lost is not None:
+        gone = [(held[c].isNotNull() & v.isNull()).cast("int") for v, (c, _) in zip(typed, columns)]
+        named.append(reduce(Column.__add__, gone, F.lit(0)).alias(lost))
+    return events.select(*named, *keep, F.lit(label).alias(LABEL_COLUMN))
 
 
 def typed_columns(

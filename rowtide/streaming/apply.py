@@ -31,6 +31,7 @@ from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec, split_keys
 log = logging.getLogger(__name__)
 
 _OK = "_ok"
+_LOST = "_lost"
 _WHERE = "_where"  # registered tables only: names out of event text are no folders
 _PARTS = (_OK, _WHERE)
 _LISTED = ("schema", "table", "table_id")
@@ -68,6 +69,7 @@ class ChangeApplier:
     compact_after: int = 20  # merges of a table until its changes are folded into its rows
     _lakes: dict[TableSpec, LakeTable] = field(default_factory=dict)
     _unregistered: list[Name] = field(default_factory=list)
+    _lost: dict[Name, int] = field(default_factory=dict)
 
     @property
     def quarantine_path(self) -> str:
@@ -161,11 +163,12 @@ class ChangeApplier:
         keys = tuple(row_column(k, keep) for k in keys)
         buckets = self.buckets.get(name, self.default_buckets)
         spec = TableSpec(*name, keys, STREAM_ORDER, buckets, self.policy)
-        typed = typed_events(tag_binlog(rows), columns, self.label, keep)
+        typed = typed_events(tag_binlog(rows), columns, self.label, keep, lost=_LOST)
         nulls = Observation()
-        typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"))
+        typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"), F.sum(_LOST).alias("lost")).drop(_LOST)
         lake = self._lakes.setdefault(spec, LakeTable(self.spark, self.root, spec))
         lake.merge(as_changes(typed, keys, STREAM_ORDER, batch_id), batch_id)
+        self._lost[name] = nulls.get["lost"] or 0
         if nulls.get["n"]:
             whole = (*self._event_columns, "values")
             keyed = typed_events(rows, columns, self.label, whole)
@@ -197,6 +200,8 @@ class ChangeApplier:
             for (s, t), n in good.items()
         ]
         rows += [metric_row("tableFailed", 1, COUNT, batch_id, {"schema": s, "table": t}) for s, t in failed]
+        lost, self._lost = self._lost, {}
+        rows += [metric_row("castFailures", n, COUNT, batch_id, {"schema": s, "table": t}) for (s, t), n in lost.items() if n]
         unregistered, self._unregistered = self._unregistered, []
         rows += [metric_row("registerFailed", 1, COUNT, batch_id, {"schema": s, "table": t}) for s, t in unregistered]
         rows.append(metric_row("quarantined", bad, COUNT, batch_id, {}))

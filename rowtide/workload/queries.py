@@ -18,7 +18,7 @@ from rowtide.operators import merge as mg
 from rowtide.operators import typed as ty
 from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch, run_days
 from rowtide.session import configure, shared_dir
-from rowtide.sinks.metrics import batch_metrics
+from rowtide.sinks.metrics import batch_metrics, read_metrics
 from rowtide.sinks.quarantine import read_quarantine
 from rowtide.sinks.table import LakeTable
 from rowtide.sources import control as ct
@@ -888,3 +888,43 @@ def stream_restart(spark, sf):
         source = event_stream(spark, "text", path=f"{root}/in", maxFilesPerTrigger="10")
         run_available(source, _activity_applier(spark, f"{root}/lake", sf), f"{root}/checkpoint")
     return _read_tables(spark, f"{root}/lake", _activity_specs())
+
+
+@query(
+    "stream_metrics",
+    f"""select 'numRecords' as name, cast(null as varchar) as "table", cast(count(*) as double) as total from ({cl.ACTIVITY})
+        union all select 'tableRecords', "table", count(*) from ({cl.ACTIVITY}) group by "table"
+        union all select 'quarantined', null, 0""",
+)
+def stream_metrics(spark, sf):
+    """What the listener and the applier wrote down in a replay of all events; no times, since these differ per run."""
+    applier = replay(spark, sf)
+    rows = read_metrics(spark, applier.metrics_path).filter(F.col("name").isin("numRecords", "tableRecords", "quarantined"))
+    return rows.groupBy("name", F.col("dimensions")["table"].alias("table")).agg(F.sum("value").alias("total"))
+
+
+@query(
+    "cast_report",
+    """select 'castFailures' as what, count(*) as n from lineitem where l_linenumber = 3
+       union all select 'bad_time', count(*) from lineitem where l_linenumber = 5""",
+)
+def cast_report(spark, sf):
+    """Line items as text, some with a quantity that is no number or a time that is none: both are reported."""
+    root = shared_dir(spark, "casts")
+    rows = cl.line_changes(spark, sf).withColumns(
+        {
+            "l_quantity": F.expr("if(l_linenumber = 3, 'many', string(l_quantity))"),
+            "date_action": F.expr("if(l_linenumber = 5, 'soon', string(date_action))"),
+        }
+    )
+    known = rows.select("schema", "table").distinct()
+    control, catalog = cl.registry(known), cl.declared_catalog(known)
+    applier = ChangeApplier(
+        spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, prefix="casts_",
+        parse_tasks=spark.sparkContext.defaultParallelism,
+    )
+    applier(cl.event_text(rows, [c for c, _ in cl.LINE_COLUMNS]), 0)
+    lost = read_metrics(spark, applier.metrics_path).filter("name = 'castFailures'")
+    bad = read_quarantine(spark, applier.quarantine_path).filter("reason = 'bad_time'")
+    lost = lost.agg(F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("n")).select(F.lit("castFailures").alias("what"), "n")
+    return lost.union(bad.agg(F.count("*").alias("n")).select(F.lit("bad_time").alias("what"), "n"))
