@@ -63,7 +63,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place")
     first = unit_rows(docs, min_words).groupBy("d1", "d2").agg(F.min(rank).alias("first")).select("first.doc_id", "first.place")
-    kept = first.groupBy(F.col("doc_id").alias("own")).agg(F.collect_list("place").alias("kept"))
+    kept = first.groupBy(F.col("doc_id").alias("own")).agg(F.collect_set("place").alias("kept"))
 
     def take_out(batches):
         for batch in batches:
