@@ -2,8 +2,9 @@
 
 A text's units are its lines, cut again after each sentence end. A unit is normalised (lower case, runs of white space
 as one blank) and its 128-bit digest grouped over all documents. The earliest ranked occurrence (smallest id, then the
-place in the text) stays, all others go, with their offsets in the original text (code points, end exclusive). Units of
-fewer than ``MIN_WORDS`` words stay: such short ones repeat by chance.
+place in the text) stays, all others go, with their offsets in the original text (code points, end exclusive). With
+``min_words`` 1 every unit counts, whatever its length or script; ``MIN_WORDS`` spares units of fewer white-space words,
+and with them lines of scripts that put no blanks between words.
 
 Only (digest, id, place) is shuffled by digest, after each task has kept its own earliest; a digest in a third of all
 documents is one row per task by then. What stays is then grouped by id, so no repeated line brings its documents together.

@@ -148,7 +148,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
-    found = remove_repeats(table(spark, sf_dir, "documents"))
+    found = remove_repeats(table(spark, sf_dir, "documents"), min_words=1)
     return found.select("doc_id", "n_units", F.size("removed").cast("long").alias("n_removed"), spans.alias("removed"), F.sha2("text", 256).alias("text_sha256"))
 
 

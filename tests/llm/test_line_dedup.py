@@ -1,6 +1,7 @@
 import random
 
 from rowtide.llm.line_dedup import MIN_WORDS, remove_repeats, units
+from rowtide.llm.queries import QUERIES
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table, words
 
 
@@ -60,3 +61,14 @@ def test_repeats_inside_one_text_and_empty(spark):
     got = got_of(remove_repeats(docs_of(spark, [(1, f"{line}\n{line}\nend\n{line}")])))
     assert got == [(1, 3, [(39, 77), (82, 120)], f"{line}\n\nend\n")]
     assert rows(remove_repeats(docs_of(spark, []))) == []
+
+
+def test_the_query_takes_out_short_units_and_lines_without_blanks(spark, tmp_path):
+    line = "這是一行沒有空格的文字而且在每個文件裡都出現"
+    passage = "Read it.\nReleased under the MIT license.\n" + line
+    texts = [(i, f"Own {i}.\n{passage}\nEnd {i}.") for i in range(4)]
+    docs_of(spark, texts).select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op8_line_dedup"](spark, str(tmp_path)).collect()}
+    assert [(got[i].n_units, got[i].n_removed) for i in range(4)] == [(5, 0), (5, 3), (5, 3), (5, 3)]
+    left = {r.doc_id: r.text for r in remove_repeats(docs_of(spark, texts), min_words=1).collect()}
+    assert left[0] == texts[0][1] and all(left[i] == f"Own {i}.\n\n\n\nEnd {i}." for i in range(1, 4))
