@@ -1,14 +1,15 @@
 """Merge-type pieces with seeded merge dropout, and their lossless decoding.
 
 The agenda of a unit of text holds its neighbouring symbols that the vocabulary joins; the best ranked, leftmost one is
-merged, and new neighbours enter. A candidate is skipped for good when a hash keyed by (seed, variant, unit, place, merge)
-falls under the dropout rate, so the same key always gives the same segmentation and another variant another one. A
-unit's variant is a hash of its document's id and its number there, one of ``VARIANTS``; with dropout 0 the pieces
-are the library's own.
+merged, and new neighbours enter. A candidate is skipped for good when a hash keyed by (seed, document's id, unit's number
+there, place, merge) falls under the dropout rate, so the same key always gives the same segmentation, and each occurrence
+of a unit has draws of its own; with dropout 0 the pieces are the library's own.
 
 No merge crosses the place between a character and a following word mark, nor any side of a line feed, so texts are
-worked on as units (marks with the word behind them), each distinct (unit, variant) of a block once. All units of a
-length class take one agenda step at a time in NumPy; units above ``LONG`` characters have an agenda of their own.
+worked on as units (marks with the word behind them). Each distinct unit of a block is segmented once without dropout;
+an occurrence that skips none of the candidates met there has just these pieces, all others are run with their own draws.
+All units of a length class take one agenda step at a time in NumPy; units above ``LONG`` characters have an agenda of
+their own.
 
 Characters without a piece become byte pieces; so does a literal word mark in the text, where the library would give
 back a blank. Null and empty texts have no pieces and decode to the empty text. A null id counts as id 0 for the key
@@ -30,7 +31,8 @@ from rowtide.llm.blocks import blocks, mix, ragged, text_of
 
 DROPOUT = 0.1
 SEED = 17
-VARIANTS = 8
+VARIANTS = 1 << 64  # the whole range of a draw: no two occurrences share a key by design
+DRAWS = 1 << 20
 LONG = 64
 MARK = 0x2581
 FEED = 0x0A
@@ -117,8 +119,11 @@ def _kept(keys: np.ndarray, place: np.ndarray, merged: np.ndarray, dropout: floa
     return (merged >= 0) & (draw >= np.uint64(min(dropout * 2.0**64, 2.0**64 - 2048)))
 
 
-def _agenda_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
-    """Segments rows of symbols (-1 behind a row's end) all together; merged-away places become -1."""
+def _agenda_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout: float, met: list | None = None) -> np.ndarray:
+    """Segments rows of symbols (-1 behind a row's end) all together; merged-away places become -1.
+
+    ``met`` gets (row, place, merge) of the candidates that came up.
+    """
     rows, width = symbols.shape
     symbols = symbols.copy()
     after = np.tile(np.arange(1, width + 1, dtype=np.int32), (rows, 1))
@@ -134,6 +139,8 @@ def _agenda_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout:
         rank[row[~inside], place[~inside]] = NONE
         row, place, right = row[inside], place[inside], right[inside]
         r, m = v.joins(symbols[row, place], symbols[row, right])
+        if met is not None:
+            met.append((row[m >= 0], place[m >= 0], m[m >= 0]))
         stay = _kept(keys[row], place, m, dropout)
         rank[row, place] = np.where(stay, r, NONE)
         merged[row, place] = m
@@ -185,10 +192,10 @@ def _agenda_long(v: Vocabulary, symbols: np.ndarray, key: np.uint64, dropout: fl
     return symbols
 
 
-def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: float, seed: int, variants: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: float, seed: int, variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of all texts one after the other, and how many stand before each text (the total last).
 
-    ``keys`` is the number that a text's variants are drawn from.
+    ``keys`` is the number that a text's draws come from; ``variants`` below ``VARIANTS`` folds the keys of its units.
     """
     marked = [chr(MARK) + t if t else "" for t in texts]
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
@@ -214,29 +221,66 @@ def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: flo
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     number = np.arange(len(starts)) - first[owner]
     draw = mix(keys[owner] + mix(number.astype(np.uint64) + np.uint64(seed)))
-    variant = draw % np.uint64(variants) if dropout > 0 else np.zeros(len(starts), np.uint64)
+    own = draw if variants >= VARIANTS else mix(draw % np.uint64(variants))
 
     # A hash of each unit's characters: a polynomial over prefix sums, then scrambled.
     power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), _BASE, np.uint64)]))
     inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), pow(int(_BASE), -1, 1 << 64), np.uint64)]))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + literal + np.uint64(1)) * power[:-1])])
     unit = mix((sums[starts + sizes] - sums[starts]) * inverse[starts] + sizes.astype(np.uint64))
-    _, one, which = np.unique(unit ^ mix(variant + np.uint64(1)), return_index=True, return_inverse=True)
-    own = mix(unit[one] ^ mix(variant[one] * np.uint64(2) + np.uint64(seed)))
-
+    _, one, which = np.unique(unit, return_index=True, return_inverse=True)
+
+    def rows_of(part, high):
+        inside = np.arange(high) < sizes[part][:, None]
+        return inside, np.where(inside, symbols[np.minimum(starts[part][:, None] + np.arange(high), len(codes) - 1)], -1).astype(np.int32)
+
+    def segment(some, rate, met=None):
+        """Symbols of these units one after the other, merged-away places -1; ``met`` gets (index, place, merge) of candidates."""
+        size = sizes[some]
+        out = np.full(int(size.sum()), -1, np.int32)
+        base = np.cumsum(size) - size
+        for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, 32), (32, LONG)):
+            fit = np.flatnonzero((size > low) & (size <= high))
+            for part in np.array_split(fit, max(1, len(fit) * high >> 20)):
+                if len(part):
+                    inside, rows = rows_of(some[part], high)
+                    came = None if met is None else []
+                    out[ragged(base[part], size[part])] = _agenda_rows(v, rows, own[some[part]], rate, came)[inside]
+                    if came:
+                        met += [(part[r], p, m) for r, p, m in came]
+        for k in np.flatnonzero(size > LONG):
+            s = starts[some[k]]
+            out[base[k] : base[k] + size[k]] = _agenda_long(v, symbols[s : s + size[k]], own[some[k]], rate)
+        return out
+
+    if dropout > 0:
+        # Long units have so many candidates that nearly each occurrence skips one: all of them run with their draws.
+        met = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+        long = sizes > LONG
+        plain = np.flatnonzero(~long[one])
+        shared = segment(one[plain], 0.0, met)
+        unit_at, place, merge = (np.concatenate(x) for x in zip(*met))
+        order = np.argsort(unit_at, kind="stable")
+        unit_at, place, merge = plain[unit_at[order]], place[order], merge[order]
+        first_met = np.searchsorted(unit_at, np.arange(len(one) + 1))
+        many = np.diff(first_met)[which]
+        again = long.copy()
+        total = np.cumsum(many)
+        for part in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(total // DRAWS)) + 1):
+            asked = ragged(first_met[which[part]], many[part])
+            by = np.repeat(part, many[part])
+            again[by[~_kept(own[by], place[asked], merge[asked], dropout)]] = True
+        again = np.flatnonzero(again)
+        out = np.concatenate([shared, segment(again, dropout)])
+        slot = np.zeros(len(one), np.int64)
+        slot[plain] = np.arange(len(plain))
+        which = slot[which]
+        which[again] = len(plain) + np.arange(len(again))
+        one = np.concatenate([one[plain], again])
+    else:
+        out = segment(one, 0.0)
     size = sizes[one]
-    out = np.full(int(size.sum()), -1, np.int32)  # symbols of the distinct units, merged-away places -1
     base = np.cumsum(size) - size
-    for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, 32), (32, LONG)):
-        some = np.flatnonzero((size > low) & (size <= high))
-        for part in np.array_split(some, max(1, len(some) * high >> 20)):
-            if len(part):
-                inside = np.arange(high) < size[part][:, None]
-                rows = np.where(inside, symbols[np.minimum(starts[one[part]][:, None] + np.arange(high), len(codes) - 1)], -1)
-                out[ragged(base[part], size[part])] = _agenda_rows(v, rows.astype(np.int32), own[part], dropout)[inside]
-    for k in np.flatnonzero(size > LONG):
-        s = starts[one[k]]
-        out[base[k] : base[k] + size[k]] = _agenda_long(v, symbols[s : s + size[k]], own[k], dropout)
 
     # Symbols without a piece become the bytes of their character.
     bare = np.flatnonzero(out >= v.size)

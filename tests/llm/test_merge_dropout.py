@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import sentencepiece
 
+from rowtide.llm.blocks import mix
 from rowtide.llm.merge_dropout import VARIANTS, _agenda_long, _agenda_rows, decode, encode, encode_block, vocabulary
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
 
@@ -65,3 +66,30 @@ def test_odd_texts_and_digest(spark):
 def test_empty(spark):
     assert rows(encode(docs_of(spark, []), MODEL)) == []
     assert rows(decode(encode(docs_of(spark, []), MODEL), MODEL)) == []
+
+
+def each_alone(text, key, dropout, seed=17):
+    """Each unit of a text without literal marks or unknown characters by the agenda of long units, with its own draws."""
+    v, out = vocabulary(MODEL), []
+    for number, word in enumerate(text.split(" ")):
+        symbols = v.symbols(np.array([0x2581, *map(ord, word)], np.uint32))
+        own = mix(np.array([key], np.uint64) + mix(np.array([number + seed], np.uint64)))[0]
+        got = _agenda_long(v, symbols, own, dropout)
+        out += got[got >= 0].tolist()
+    return out
+
+
+def test_each_occurrence_is_the_agenda_with_its_own_draws():
+    texts = [r"the quick international documentation " * 30 + "z", "another understanding of the " * 50 + "long" * 30]
+    for dropout in (0.1, 0.5, 1.0):
+        assert pieces_of(texts, dropout) == [each_alone(t, k, dropout) for k, t in enumerate(texts)]
+
+
+def test_occurrences_of_a_word_are_not_capped():
+    seen, n = {}, 4000
+    for p in pieces_of(["international"] * n, 0.1):
+        seen[tuple(p)] = seen.get(tuple(p), 0) + 1
+    assert len(seen) > 16
+    plain = pieces_of(["of"], 0.0)[0]
+    varied = [sum(p != plain for p in pieces_of(["of"] * n, 0.1, seed)) for seed in range(5)]
+    assert all(0.05 * n < x < 0.4 * n for x in varied)
