@@ -3,7 +3,9 @@
 The patterns (kinds assign, access, hex) match leftmost without overlap; too short matches are dropped. Beside them,
 each value after a credential word gets the least number of guesses over all its segmentations into dictionary words,
 dates, repeats, keyboard walks and brute-force spans. A value that costs at least ``MIN_GUESSES`` (log10) is a span of
-kind ``guess`` unless a pattern's span already covers it. Offsets are code points, ends exclusive.
+kind ``guess`` unless a pattern's span already covers it whole. A value begins behind its credential word, also inside
+another value, and ends at a blank, at its closing quote or, without quotes, at a ``&``, ``,`` or ``;`` before a next key.
+Offsets are code points, ends exclusive.
 
 A null text is an empty one; a null id stays null; repeated rows are scanned one by one; an empty table gives no rows;
 other columns are not read. Values longer than ``WINDOW`` characters are segmented window by window (all of them), so a
@@ -29,9 +31,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:password|passwd|passphrase|passcode|pwd|pass|pin|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|login)s?["']?(?:\x20*[:=]>?\x20*|\x20is\x20)["']?([!-~]{6,})""",
+    r"""(?<![A-Za-z])(?:password|passwd|passphrase|passcode|pwd|pass|pin|secret|token|credentials?|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|login)s?["']?(?:\x20*[:=]>?\x20*|\x20is\x20)(["']?)(?=[!-~])""",
     re.I | re.A,
 )
+# Where a value stops: without quotes, and behind each quote (a quote before a letter or digit belongs to the value).
+STOP = re.compile(r"""[^!-~]|[&,;](?=(?:amp;)?[{\[("']*[a-z_][\w.-]*["']?\x20*[:=])|\Z""", re.I | re.A)
+CLOSING = {q: re.compile(rf"(?:\\[!-~]|(?!{q}(?![a-z0-9]))[!-~])*+(?={q})", re.I | re.A) for q in "\"'"}
 MARKS = ("pass", "pwd", "pin", "secret", "token", "credential", "key", "auth", "bearer", "login")
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "1qaz2wsx3edc4rfv5tgb6yhn7ujm8ik9ol0p")
 WORDS = """the of and to a in is it you that he was for on are with as his they be at one have this from or had by hot
@@ -105,11 +110,19 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], least: float = MIN_
     low = text.lower()
     if not any(m in low for m in MARKS):
         return []
-    found = []
+    found, stop, judged = [], -1, -1
     for m in CONTEXT.finditer(text):
-        value = m[1].rstrip("\"'`,;.!?)]}")
-        start, end = m.start(1), m.start(1) + len(value)
-        if len(value) >= 6 and not any(s < end and start < e for s, _, e in base) and guesses(value) >= least:
+        start = m.end()
+        closing = CLOSING[m[1]].match(text, start) if m[1] else None
+        if not closing and start >= stop:
+            stop = STOP.search(text, start).start()
+        value = text[start : closing.end() if closing else stop].rstrip("\"'`,;.!?)]}")
+        end = start + len(value)
+        # The rest of a judged value costs no more than the whole did, and is inside its span if there is one.
+        if len(value) < 6 or end == judged or any(s <= start and end <= e for s, _, e in base):
+            continue
+        judged = end
+        if guesses(value) >= least:
             found.append((start, 3, end))
     return found
 

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from rowtide.llm.secret_scan import base_spans, find_secrets, guess_spans, guesses, mask_secrets, scan
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
@@ -80,3 +81,25 @@ def test_odd_texts_and_mask(spark):
 
 def test_empty(spark):
     assert rows(find_secrets(docs_of(spark, []))) == [] == rows(mask_secrets(docs_of(spark, [])))
+
+
+def test_values_that_go_on_behind_a_pattern_or_inside_another_value(spark):
+    cases = [
+        ("password: abc123!Zx9#kQ2vR7", "abc123!Zx9#kQ2vR7", "[SECRET]"),
+        ('{"token":"abcdef","pwd":"vR7#kQ2!mZx9"}', "vR7#kQ2!mZx9", '{"[SECRET]","pwd":"[SECRET]"}'),
+        ("token=abcdef&pwd=vR7kQ2mZx9w", "vR7kQ2mZx9w", "[SECRET]&pwd=[SECRET]"),
+        ("login=bob;pwd=vR7#kQ2!mZx9;page=2", "vR7#kQ2!mZx9", "login=bob;pwd=[SECRET];page=2"),
+        ("auth=required,pin:pwd=vR7#kQ2!mZx9", "pwd=vR7#kQ2!mZx9", "auth=required,pin:[SECRET]"),
+        ("pwd='vR7#k\\'Q2!mZx9',x", "vR7#k\\'Q2!mZx9", "pwd='[SECRET]',x"),
+        ("pwd='vR7#k'Q2!mZx9'", "vR7#k'Q2!mZx9", "pwd='[SECRET]'"),
+    ]
+    for text, value, _ in cases:
+        assert [text[s:e] for s, k, e in scan(text)[1] if k == 3] == [value], text
+    masked = mask_secrets(docs_of(spark, [(i, t) for i, (t, _, _) in enumerate(cases)]))
+    assert {r.doc_id: r.text for r in masked.collect()} == {i: m for i, (_, _, m) in enumerate(cases)}
+
+
+def test_nested_credential_words_take_time_in_proportion():
+    began = time.perf_counter()
+    scan("token=" * 50_000)
+    assert time.perf_counter() - began < 20
