@@ -8,8 +8,7 @@ another value, and ends at a blank, at its closing quote or, without quotes, at
 Offsets are code points, ends exclusive.
 
 A null text is an empty one; a null id stays null; repeated rows are scanned one by one; an empty table gives no rows;
-other columns are not read. Values longer than ``WINDOW`` characters are segmented window by window (all of them), so a
-very long value takes time in proportion to its length.
+other columns are not read. A value of any length is segmented as a whole, in time about in proportion to its length.
 """
 
 from __future__ import annotations
@@ -49,7 +48,6 @@ iloveyou hello freedom whatever trust hunter summer winter spring autumn monday
 server service account token key access api client data base change reset required expired invalid must should not""".split()
 
 MIN_GUESSES = 10.0
-WINDOW = 64
 _RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(WORDS))}
 _LONGEST = max(map(len, _RANK))
 _LEET = str.maketrans("@4301!$57", "aaeoiisst")
@@ -63,10 +61,20 @@ def _alphabet(piece: str) -> int:
     return size + 33 * any(not c.isalnum() for c in piece) or 33
 
 
+def _nearest(starts: list[int], best: list[float], j: int) -> float:
+    """Least cost of a run from one of the starts to ``j``; starts that an earlier one undercuts never win again and go."""
+    least, kept = math.inf, []
+    for i in starts:
+        cost = best[i] + math.log10(j - i)
+        if cost < least:
+            least = cost
+            kept.append(i)
+    starts[:] = kept
+    return least
+
+
 def guesses(value: str) -> float:
     """log10 of the guesses that the cheapest segmentation needs."""
-    if len(value) > WINDOW:
-        return sum(guesses(value[i : i + WINDOW]) for i in range(0, len(value), WINDOW))
     n, low = len(value), value.lower()
     plain = low.translate(_LEET)
     letter = math.log10(_alphabet(value))
@@ -75,9 +83,15 @@ def guesses(value: str) -> float:
     for m in _DATE.finditer(value):
         ends.setdefault(m.end(), []).append((m.start(), math.log10(365 * 120) if m.end() - m.start() > 4 else math.log10(120)))
     run = walk = 0
+    runs: list[int] = []
+    walks: list[int] = []
     for j in range(1, n + 1):
-        run = run if j > 1 and low[j - 1] == low[j - 2] else j - 1
-        walk = walk if j > 1 and (low[j - 2], low[j - 1]) in _STEPS else j - 1
+        if j > 1 and low[j - 1] != low[j - 2]:
+            run = j - 1
+            runs.clear()
+        if j > 1 and (low[j - 2], low[j - 1]) not in _STEPS:
+            walk = j - 1
+            walks.clear()
         best[j] = best[j - 1] + letter
         for i in range(max(0, j - _LONGEST), j):
             rank = _RANK.get(low[i:j]) or _RANK.get(plain[i:j])
@@ -87,10 +101,12 @@ def guesses(value: str) -> float:
         for i, cost in ends.get(j, ()):
             best[j] = min(best[j], best[i] + cost)
         # a repeat or a walk may begin anywhere inside its run
-        for i in range(run, j - 1):
-            best[j] = min(best[j], best[i] + letter + math.log10(j - i))
-        for i in range(walk, j - 2):
-            best[j] = min(best[j], best[i] + math.log10(40) + math.log10(j - i))
+        if j - 2 >= run:
+            runs.append(j - 2)
+            best[j] = min(best[j], _nearest(runs, best, j) + letter)
+        if j - 3 >= walk:
+            walks.append(j - 3)
+            best[j] = min(best[j], _nearest(walks, best, j) + math.log10(40))
     return best[n]
 
 

@@ -1,7 +1,10 @@
 import hashlib
+import math
+import random
 import re
 import time
 
+from rowtide.llm import secret_scan
 from rowtide.llm.secret_scan import base_spans, find_secrets, guess_spans, guesses, mask_secrets, scan
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
 
@@ -103,3 +106,40 @@ def test_nested_credential_words_take_time_in_proportion():
     began = time.perf_counter()
     scan("token=" * 50_000)
     assert time.perf_counter() - began < 20
+
+
+def guesses_brute(value):
+    """Every segmentation's pieces, each start tried for each end."""
+    low, n = value.lower(), len(value)
+    plain, letter = low.translate(secret_scan._LEET), math.log10(secret_scan._alphabet(value))
+    dates = {m.span() for m in secret_scan._DATE.finditer(value)}
+    best = [0.0] + [math.inf] * n
+    for j in range(1, n + 1):
+        best[j] = best[j - 1] + letter
+        for i in range(j):
+            w, costs = low[i:j], []
+            rank = secret_scan._RANK.get(w) or secret_scan._RANK.get(plain[i:j])
+            if rank and j - i > 1:
+                costs.append(math.log10(rank + 1) + ((value[i:j] != w) + (plain[i:j] != w)) * math.log10(4))
+            if (i, j) in dates:
+                costs.append(math.log10(365 * 120) if j - i > 4 else math.log10(120))
+            if j - i > 1 and len(set(w)) == 1:
+                costs.append(letter + math.log10(j - i))
+            if j - i > 2 and all(x in secret_scan._STEPS for x in zip(w, w[1:])):
+                costs.append(math.log10(40) + math.log10(j - i))
+            best[j] = min([best[j], *(best[i] + c for c in costs)])
+    return best[n]
+
+
+def test_long_values_have_their_cheapest_segmentation():
+    rng = random.Random(3)
+    parts = ["aaaa", "password", "1999", "qwerty", "asas", "$$", "7#", "ss", "2000-01-01", "-" * 9, "0000", "summer", "zx"]
+    for n in (3, 8, 20, 40):
+        for _ in range(15):
+            value = "".join(rng.choice(parts) for _ in range(n))
+            assert math.isclose(guesses(value), guesses_brute(value), rel_tol=1e-9), value
+    assert guesses("-" * 300) < 4.1 and guesses("*" * 70) < 4
+    assert scan("login: " + "-" * 200)[1] == [] == scan("token: " + "*" * 300)[1]
+    began = time.perf_counter()
+    assert guesses("asdf" * 25_000 + "-" * 100_000) > 4
+    assert time.perf_counter() - began < 30
