@@ -9,8 +9,9 @@ term carry the words around them, so that the last comparison reads no text agai
 Terms are 64-bit hashes of lower-cased words. The vocabulary of the tests reaches the tasks in blocks of at most
 ``BLOCK_TERMS`` terms (8 bytes each); a larger one takes more passes over the documents.
 
-Null and empty texts have no words; an item without words has no window. Rows that share an id are read as one
-document, rows without an id likewise as the document without an id. Empty tables give no rows, or rows without hits.
+Null and empty texts have no words; an item without words has no window. ``contamination`` reads rows that share an id
+as one document, rows without an id likewise; ``row_contamination`` judges each row by itself, through a hash of its id
+and text (equal rows are judged once). Empty tables give no rows, or rows without hits.
 Columns other than the named ones are not read.
 """
 
@@ -173,7 +174,28 @@ def contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists:
     A word inside any occurrence of a window is hit; a document is contaminated when ``share * n_hit >= n_words > 0``
     with at least one hit.
     """
-    rows = _rows(docs, doc_id, doc_text)
+    return _judged(_rows(docs, doc_id, doc_text), tests, F.sum, words, lists, share, item_id, item_text, limit)
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text"):
+    """A key that only rows with equal id and text share."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+
+
+def judged_rows(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS) -> DataFrame:
+    """As ``contamination``, per distinct row: ``row_key`` in place of ``doc_id``."""
+    rows = docs.select(row_key(doc_id, doc_text).alias("id"), F.col(doc_text).cast("string").alias("text"))
+    return _judged(rows, tests, F.max, words, lists, share, item_id, item_text, limit).withColumnRenamed("doc_id", "row_key")
+
+
+def row_contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS) -> DataFrame:
+    """As ``contamination``, but one result for each row, whether or not others have its id."""
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, doc_text).alias("row_key"))
+    return own.join(judged_rows(docs, tests, words, lists, share, doc_id, doc_text, item_id, item_text, limit), "row_key").drop("row_key")
+
+
+def _judged(rows: DataFrame, tests: DataFrame, size, words: int, lists: int, share: int, item_id: str, item_text: str, limit: int) -> DataFrame:
+    """The columns of ``contamination`` for each id of ``id, text`` rows; ``size`` makes one word count of an id's several."""
     windows = written(item_windows(tests, item_id, item_text, words), "windows")
     vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
     rare = written(rarest_terms(windows, term_counts(rows, vocabulary, limit), lists), "rarest")
@@ -187,7 +209,7 @@ def contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists:
     hit = found.select("doc_id", "at", "n").distinct().withColumn("new", covered).groupBy("doc_id").agg(F.sum("new").alias("n_hit"))
     items = found.select("doc_id", "window").distinct().join(windows.select("window", "item_id"), "window").select("doc_id", "item_id").distinct()
     listed = items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list(F.col("item_id").cast("string"))), ",").alias("listed"))
-    sizes = index.where(F.col("term").isNull()).groupBy("doc_id").agg(F.sum("n_words").alias("n_words"))
+    sizes = index.where(F.col("term").isNull()).groupBy("doc_id").agg(size("n_words").alias("n_words"))
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
         right = right.withColumnRenamed("doc_id", "own")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm.decontamination import contamination
+from rowtide.llm.decontamination import row_contamination
 from rowtide.llm.language_id import fit, held_out, identify
 from rowtide.llm.line_dedup import remove_repeats
 from rowtide.llm.merge_dropout import encode
@@ -142,7 +142,7 @@ def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_CONTAMINATED)
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return row_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @query()

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from rowtide.frames import small_frame
 from rowtide.llm.blocks import written
-from rowtide.llm.decontamination import contamination, near_terms, postings
+from rowtide.llm.decontamination import contamination, near_terms, postings, row_contamination
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -107,3 +107,13 @@ def test_proximity(spark):
     index = written(postings(docs, asked, asked), "index")
     assert rows(near_terms(index, list(ids.values()), 6)) == [(1, 0)]
     assert same_rows(rows(near_terms(index, [ids[1], ids[2]], 4)), [(1, 0), (2, 6)])
+
+
+def test_rows_that_share_an_id_or_have_none_are_judged_one_by_one(spark):
+    item = words(13, 1)
+    bad, clean = " ".join(words(187, 3) + item), " ".join(words(3000, 4))
+    texts = [(1, bad), (1, bad), (2, bad), (2, clean), (None, bad), (None, bad), (None, clean), (None, None), (3, "")]
+    docs, tests = docs_of(spark, texts), items_of(spark, [(7, " ".join(item))])
+    got = rows(row_contamination(docs, tests))
+    assert same_rows(got, brute(texts, [(7, " ".join(item))]))
+    assert sum(r[5] for r in got) == 5
