@@ -92,9 +92,9 @@ def spans(flat: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.ndarr
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, at)
 
 
-def word_hashes(flat: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each lower-cased word, and how many words stand before each row (with the total last)."""
-    flat = LOWER[flat]
+def word_hashes(flat: np.ndarray, at: np.ndarray, table: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (lower-cased with ``fold``), and how many words stand before each row (with the total last)."""
+    flat = LOWER[flat] if fold else flat
     starts, ends, before = spans(flat, at, table)
     out = np.empty(len(starts), np.uint64)
     # Runs of words of about a block's bytes, so that a very long text needs no eight bytes a byte at once.

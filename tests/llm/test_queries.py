@@ -28,4 +28,4 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
