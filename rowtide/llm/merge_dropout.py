@@ -6,8 +6,10 @@ there, place, merge) falls under the dropout rate, so the same key always gives
 of a unit has draws of its own; with dropout 0 the pieces are the library's own.
 
 No merge crosses the place between a character and a following word mark, nor any side of a line feed, so texts are
-worked on as units (marks with the word behind them). Each distinct unit of a block is segmented once without dropout;
-an occurrence that skips none of the candidates met there has just these pieces, all others are run with their own draws.
+worked on as units (marks with the word behind them). Occurrences of a unit share their agenda as long as their draws do:
+each distinct unit of a block is segmented once without dropout, and an occurrence that skips none of the candidates met
+there has just these pieces. The others are grouped by what they skip there; one of each group is run with its own draws,
+and whoever draws alike for every candidate which that run has met has its pieces. The rest is grouped again.
 All units of a length class take one agenda step at a time in NumPy; units above ``LONG`` characters have an agenda of
 their own.
 
@@ -31,9 +33,10 @@ from rowtide.llm.blocks import blocks, mix, ragged, text_of
 
 DROPOUT = 0.1
 SEED = 17
-VARIANTS = 1 << 64  # the whole range of a draw: no two occurrences share a key by design
 DRAWS = 1 << 20
+BLOCK = 1 << 20  # bytes of text worked on at once: more of them share more units
 LONG = 64
+ALONE = 0.7  # with more groups of equal draws than this share of the units, each unit is run for itself
 MARK = 0x2581
 FEED = 0x0A
 NONE = np.int32(1 << 30)
@@ -62,6 +65,8 @@ class Vocabulary:
         keys = np.array([m[0] for m in merges], np.int64)
         order = np.argsort(keys)
         self.keys, self.rank, self.merged = keys[order], np.array([m[1] for m in merges], np.int32)[order], np.array([m[2] for m in merges], np.int32)[order]
+        # What a look-up without a hit (-1) finds.
+        self.rank, self.merged = np.append(self.rank, NONE), np.append(self.merged, np.int32(-1))
         # The merge table, open addressing: two look-ups in three end at the first place.
         self.bits = int(len(keys) * 4).bit_length()
         self.slots = np.full(1 << self.bits, -1, np.int32)
@@ -73,8 +78,10 @@ class Vocabulary:
             mine = self.slots[slot] == left
             left, slot = left[~mine], (slot[~mine] + 1) & ((1 << self.bits) - 1)
         self.slot_keys = np.where(self.slots >= 0, self.keys[self.slots], -1)
-        self.codes = np.array(sorted(ord(c) for c in ids if len(c) == 1), np.uint32)
-        self.chars = np.array([ids[chr(c)] for c in self.codes], np.int32)
+        self.of_code = np.full(0x110000, self.unknown, np.int32)
+        for c in ids:
+            if len(c) == 1:
+                self.of_code[ord(c)] = ids[c]
         # What each piece decodes to; the mark is a blank.
         known = set(plain)
         text = [names[i].replace(chr(MARK), " ").encode() if i in known else b"" for i in range(self.size)]
@@ -88,22 +95,25 @@ class Vocabulary:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
-        found = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        return np.where(self.codes[found] == codes, self.chars[found], self.unknown).astype(np.int32)
+        return self.of_code[codes]
 
     def joins(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (``NONE``: no merge) and merged symbol of neighbours."""
+        """Rank (``NONE``: no merge) and merged symbol (-1) of neighbours; a negative symbol joins nothing."""
         keys = left.astype(np.int64) << 20 | right
         slot = self._slot(keys)
-        place = np.full(len(keys), -1, np.int64)
-        look = np.arange(len(keys))
+        here = self.slot_keys[slot]
+        same = here == keys
+        place = np.where(same, self.slots[slot], -1)
+        look = np.flatnonzero(~same & (here >= 0))
+        slot = slot[look]
         while len(look):
+            slot = (slot + 1) & ((1 << self.bits) - 1)
             here = self.slot_keys[slot]
             same = here == keys[look]
             place[look[same]] = self.slots[slot[same]]
             go = ~same & (here >= 0)
-            look, slot = look[go], (slot[go] + 1) & ((1 << self.bits) - 1)
-        return np.where(place >= 0, self.rank[place], NONE), np.where(place >= 0, self.merged[place], -1)
+            look, slot = look[go], slot[go]
+        return self.rank[place], self.merged[place]
 
 
 @functools.cache
@@ -111,12 +121,20 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _kept(keys: np.ndarray, place: np.ndarray, merged: np.ndarray, dropout: float) -> np.ndarray:
+def _token(place: np.ndarray, merged: np.ndarray) -> np.ndarray:
+    """What a candidate is known by in draws."""
+    return mix((place.astype(np.uint64) << np.uint64(32)) + merged.astype(np.int64).view(np.uint64))
+
+
+def _stays(keys: np.ndarray, token: np.ndarray, dropout: float) -> np.ndarray:
     """Whether the keyed hash lets each candidate stay."""
+    return mix(keys ^ token) >= np.uint64(min(dropout * 2.0**64, 2.0**64 - 2048))
+
+
+def _kept(keys: np.ndarray, place: np.ndarray, merged: np.ndarray, dropout: float) -> np.ndarray:
     if dropout <= 0:
         return merged >= 0
-    draw = mix(keys ^ mix((place.astype(np.uint64) << np.uint64(32)) + merged.astype(np.int64).view(np.uint64)))
-    return (merged >= 0) & (draw >= np.uint64(min(dropout * 2.0**64, 2.0**64 - 2048)))
+    return (merged >= 0) & _stays(keys, _token(place, merged), dropout)
 
 
 def _agenda_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout: float, met: list | None = None) -> np.ndarray:
@@ -125,44 +143,42 @@ def _agenda_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout:
     ``met`` gets (row, place, merge) of the candidates that came up.
     """
     rows, width = symbols.shape
-    symbols = symbols.copy()
-    after = np.tile(np.arange(1, width + 1, dtype=np.int32), (rows, 1))
-    ahead = after - 2
-    rank = np.full((rows, width), NONE, np.int32)
-    merged = np.full((rows, width), -1, np.int32)
-
-    def enter(row, place):
+    wide = width + 1  # a column that holds no symbol stands between the rows
+    sym = np.full((rows, wide), -1, np.int32)
+    sym[:, :width] = symbols
+    sym = sym.ravel()
+    after = np.arange(1, rows * wide + 1, dtype=np.int32)
+    after[-1:] -= 1
+    ahead = np.arange(-1, rows * wide - 1, dtype=np.int32)
+    ranks = np.full((rows, wide), NONE, np.int32)
+    rank = ranks.ravel()
+    merged = np.full(rows * wide, -1, np.int32)
+
+    def enter(at):
         """Candidates that begin at these places."""
-        right = after[row, place]
-        inside = right < width
-        inside[inside] = symbols[row[inside], right[inside]] >= 0
-        rank[row[~inside], place[~inside]] = NONE
-        row, place, right = row[inside], place[inside], right[inside]
-        r, m = v.joins(symbols[row, place], symbols[row, right])
-        if met is not None:
-            met.append((row[m >= 0], place[m >= 0], m[m >= 0]))
-        stay = _kept(keys[row], place, m, dropout)
-        rank[row, place] = np.where(stay, r, NONE)
-        merged[row, place] = m
-
-    enter(*np.nonzero(symbols >= 0))
+        r, m = v.joins(sym[at], sym[after[at]])
+        if met is not None or dropout > 0:
+            some = np.flatnonzero(m >= 0)
+            row, place = np.divmod(at[some], wide)
+            if met is not None:
+                met.append((row, place, m[some]))
+            if dropout > 0:
+                r[some[~_kept(keys[row], place, m[some], dropout)]] = NONE
+        rank[at], merged[at] = r, m
+
+    enter(np.flatnonzero(sym >= 0))
     row = np.arange(rows)
     while len(row):
-        place = rank[row].argmin(1)
-        go = rank[row, place] < NONE
-        row, place = row[go], place[go]
-        right = after[row, place]
-        symbols[row, place] = merged[row, place]
-        symbols[row, right] = -1
-        rank[row, right] = NONE
-        after[row, place] = after[row, right]
-        follow = after[row, right]
-        some = follow < width
-        ahead[row[some], follow[some]] = place[some]
-        enter(row, place)
-        some = ahead[row, place] >= 0
-        enter(row[some], ahead[row, place][some])
-    return symbols
+        at = row * wide + ranks[row].argmin(1)
+        go = rank[at] < NONE
+        row, at = row[go], at[go]
+        right = after[at]
+        sym[at], sym[right] = merged[at], -1
+        rank[right] = NONE
+        follow = after[right]
+        after[at], ahead[follow] = follow, at
+        enter(np.concatenate([at, ahead[at]]))
+    return sym.reshape(rows, wide)[:, :width]
 
 
 def _agenda_long(v: Vocabulary, symbols: np.ndarray, key: np.uint64, dropout: float) -> np.ndarray:
@@ -192,10 +208,10 @@ def _agenda_long(v: Vocabulary, symbols: np.ndarray, key: np.uint64, dropout: fl
     return symbols
 
 
-def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: float, seed: int, variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of all texts one after the other, and how many stand before each text (the total last).
 
-    ``keys`` is the number that a text's draws come from; ``variants`` below ``VARIANTS`` folds the keys of its units.
+    ``keys`` is the number that a text's draws come from.
     """
     marked = [chr(MARK) + t if t else "" for t in texts]
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), np.uint32)
@@ -220,8 +236,7 @@ def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: flo
     first = np.searchsorted(starts, at)  # units before each text
     owner = np.repeat(np.arange(len(texts)), np.diff(first))
     number = np.arange(len(starts)) - first[owner]
-    draw = mix(keys[owner] + mix(number.astype(np.uint64) + np.uint64(seed)))
-    own = draw if variants >= VARIANTS else mix(draw % np.uint64(variants))
+    own = mix(keys[owner] + mix(number.astype(np.uint64) + np.uint64(seed)))
 
     # A hash of each unit's characters: a polynomial over prefix sums, then scrambled.
     power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), _BASE, np.uint64)]))
@@ -253,30 +268,56 @@ def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: flo
             out[base[k] : base[k] + size[k]] = _agenda_long(v, symbols[s : s + size[k]], own[some[k]], rate)
         return out
 
+    def other_draws(some, group, lead, met):
+        """Which units draw otherwise than their group's leader for a candidate it met, and a hash of what they skip there.
+
+        Without leaders the groups have run without dropout: they have skipped nothing.
+        """
+        at, place, merge = (np.concatenate(x) for x in zip(*met))
+        order = np.argsort(at, kind="stable")
+        at, place, merge = at[order], place[order], merge[order]
+        candidate = _token(place, merge)
+        stays = np.ones(len(at), bool) if lead is None else _stays(own[lead[at]], candidate, dropout)
+        first_met = np.searchsorted(at, np.arange(int(group.max()) + 2))
+        many = np.diff(first_met)[group]
+        token = mix(np.arange(len(at)).astype(np.uint64) + np.uint64(1))
+        differs, pattern = np.zeros(len(some), bool), np.zeros(len(some), np.uint64)
+        total = np.cumsum(many)
+        for part in np.split(np.arange(len(some)), np.flatnonzero(np.diff(total // DRAWS)) + 1):
+            asked = ragged(first_met[group[part]], many[part])
+            kept = _stays(np.repeat(own[some[part]], many[part]), candidate[asked], dropout)
+            edge = np.concatenate([[0], np.cumsum(many[part])])
+            wrong = np.concatenate([[0], np.cumsum(kept != stays[asked])])
+            skips = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(kept, np.uint64(0), token[asked]))])
+            differs[part] = wrong[edge[1:]] > wrong[edge[:-1]]
+            pattern[part] = skips[edge[1:]] - skips[edge[:-1]]
+        return differs, pattern
+
     if dropout > 0:
         # Long units have so many candidates that nearly each occurrence skips one: all of them run with their draws.
-        met = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
-        long = sizes > LONG
-        plain = np.flatnonzero(~long[one])
-        shared = segment(one[plain], 0.0, met)
-        unit_at, place, merge = (np.concatenate(x) for x in zip(*met))
-        order = np.argsort(unit_at, kind="stable")
-        unit_at, place, merge = plain[unit_at[order]], place[order], merge[order]
-        first_met = np.searchsorted(unit_at, np.arange(len(one) + 1))
-        many = np.diff(first_met)[which]
-        again = long.copy()
-        total = np.cumsum(many)
-        for part in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(total // DRAWS)) + 1):
-            asked = ragged(first_met[which[part]], many[part])
-            by = np.repeat(part, many[part])
-            again[by[~_kept(own[by], place[asked], merge[asked], dropout)]] = True
-        again = np.flatnonzero(again)
-        out = np.concatenate([shared, segment(again, dropout)])
-        slot = np.zeros(len(one), np.int64)
-        slot[plain] = np.arange(len(plain))
-        which = slot[which]
-        which[again] = len(plain) + np.arange(len(again))
-        one = np.concatenate([one[plain], again])
+        parts, runs, slot = [], [], np.empty(len(starts), np.int64)
+
+        def run(some, rate, met=None):
+            parts.append(segment(some, rate, met))
+            runs.append(some)
+            return sum(map(len, runs)) - len(some)
+
+        long = np.flatnonzero(sizes > LONG)
+        slot[long] = run(long, dropout) + np.arange(len(long))
+        left = np.flatnonzero(sizes <= LONG)
+        short = sizes[one] <= LONG
+        lead, group, rate = one[short], (np.cumsum(short) - 1)[which[left]], 0.0
+        while len(left):
+            met = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
+            slot[left] = run(lead, rate, met) + group
+            differs, pattern = other_draws(left, group, lead if rate else None, met)
+            left, group = left[differs], group[differs]
+            _, first_of, group = np.unique(mix(pattern[differs] + mix(group.astype(np.uint64))), return_index=True, return_inverse=True)
+            lead, rate = left[first_of], dropout
+            if len(lead) > ALONE * len(left):
+                slot[left] = run(left, dropout) + np.arange(len(left))
+                break
+        out, one, which = np.concatenate(parts), np.concatenate(runs), slot
     else:
         out = segment(one, 0.0)
     size = sizes[one]
@@ -315,7 +356,7 @@ def _keys(ids: pa.Array, seed: int) -> np.ndarray:
     return mix(np.asarray(ids.fill_null(0), np.int64).view(np.uint64) + mix(np.array([seed], np.uint64)))
 
 
-def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """``doc_id, n_pieces, lossless`` and the ``pieces`` (or, with ``digest``, ``pieces_sha256`` of them as 32-bit numbers).
 
     ``lossless`` tells whether decoding the pieces has given back the very bytes of the text.
@@ -324,9 +365,9 @@ def encode(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SE
     def run(batches):
         v = vocabulary(model)
         for batch in batches:
-            for part in blocks(batch):
+            for part in blocks(batch, limit=BLOCK):
                 texts = part.column(1).fill_null("")
-                pieces, before = encode_block(v, texts.to_pylist(), _keys(part.column(0), seed), dropout, seed, variants)
+                pieces, before = encode_block(v, texts.to_pylist(), _keys(part.column(0), seed), dropout, seed)
                 flat, at = text_of(texts)
                 raw = flat.tobytes()
                 same = [raw[a:b] == t for a, b, t in zip(at.tolist(), at[1:].tolist(), decode_block(v, pieces, before))]

@@ -5,7 +5,7 @@ import public_tokenizers
 import sentencepiece
 
 from rowtide.llm.blocks import mix
-from rowtide.llm.merge_dropout import VARIANTS, _agenda_long, _agenda_rows, decode, encode, encode_block, vocabulary
+from rowtide.llm.merge_dropout import _agenda_long, _agenda_rows, decode, encode, encode_block, vocabulary
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -13,7 +13,7 @@ TEXTS = ["", "a  b", " x ", "a\n\n b", "日本語 テスト\r\n", "😀 x😀",
 
 
 def pieces_of(texts, dropout, seed=17):
-    p, before = encode_block(vocabulary(MODEL), texts, np.arange(len(texts)).astype(np.uint64), dropout, seed, VARIANTS)
+    p, before = encode_block(vocabulary(MODEL), texts, np.arange(len(texts)).astype(np.uint64), dropout, seed)
     return [p[a:b].tolist() for a, b in zip(before, before[1:])]
 
 
@@ -93,3 +93,48 @@ def test_occurrences_of_a_word_are_not_capped():
     plain = pieces_of(["of"], 0.0)[0]
     varied = [sum(p != plain for p in pieces_of(["of"] * n, 0.1, seed)) for seed in range(5)]
     assert all(0.05 * n < x < 0.4 * n for x in varied)
+
+
+def plain_pieces(text, key, dropout, seed=17):
+    """Lists of strings, merged one pair at a time by the vocabulary file's scores; a pair is drawn when it first stands there."""
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    size = library.get_piece_size()
+    score = {library.id_to_piece(i): library.get_score(i) for i in range(size) if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i))}
+    number_of = {p: library.piece_to_id(p) for p in score}
+    mask = (1 << 64) - 1
+
+    def scramble(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    out = []
+    for number, word in enumerate(text.split(" ")):
+        own = scramble((key + scramble((number + seed) & mask)) & mask)
+        parts = [(k, c) for k, c in enumerate("\u2581" + word)]
+        skipped, stays = set(), {}
+        while True:
+            best = None
+            for k in range(len(parts) - 1):
+                (a, left), (_, right) = parts[k], parts[k + 1]
+                if left + right not in score:
+                    continue
+                now = (a, left, right)
+                if now not in stays:
+                    draw = scramble(own ^ scramble(((a << 32) + number_of[left + right]) & mask))
+                    stays[now] = draw >= min(dropout * 2.0**64, 2.0**64 - 2048)
+                if stays[now] and (best is None or score[left + right] > best[0]):
+                    best = (score[left + right], k)
+            if best is None:
+                break
+            k = best[1]
+            parts[k : k + 2] = [(parts[k][0], parts[k][1] + parts[k + 1][1])]
+        out += [number_of[p] for _, p in parts]
+    return out
+
+
+def test_pieces_are_those_of_a_plain_merge_loop(spark):
+    words_ = [w for r in table(spark, "documents").where("lang = 'en'").limit(12).collect() for w in (r.text or "").split() if w.isascii() and w.isalpha()]
+    texts = [" ".join(words_[i : i + 150]) for i in range(0, 900, 150)] + ["international internationally documentation " * 40 + "a" * 70]
+    for dropout in (0.1, 0.35, 0.8):
+        assert pieces_of(texts, dropout) == [plain_pieces(t, k, dropout) for k, t in enumerate(texts)]
