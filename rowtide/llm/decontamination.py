@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from rowtide.llm.blocks import ALNUM, blocks, ragged, text_of, word_hashes, written
+from rowtide.llm.blocks import ALNUM, blocks, fresh, ragged, text_of, word_hashes, written
 
 WORDS = 13
 LISTS = 3
@@ -194,6 +194,13 @@ def row_contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lis
     return own.join(judged_rows(docs, tests, words, lists, share, doc_id, doc_text, item_id, item_text, limit), "row_key").drop("row_key")
 
 
+def without_contaminated(docs: DataFrame, tests: DataFrame, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
+    """The rows that are not contaminated, with all their columns; each is judged by its own text."""
+    own = fresh(docs, "bad_key")
+    bad = judged_rows(docs, tests, doc_id=doc_id, doc_text=doc_text).where("contaminated").select(F.col("row_key").alias(own))
+    return docs.join(bad, row_key(doc_id, doc_text) == F.col(own), "left_anti")
+
+
 def _judged(rows: DataFrame, tests: DataFrame, size, words: int, lists: int, share: int, item_id: str, item_text: str, limit: int) -> DataFrame:
     """The columns of ``contamination`` for each id of ``id, text`` rows; ``size`` makes one word count of an id's several."""
     windows = written(item_windows(tests, item_id, item_text, words), "windows")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.blocks import SPACES, blocks, mix, text_of, word_hashes, written
+from rowtide.llm.blocks import SPACES, blocks, fresh, mix, text_of, word_hashes, written
 from rowtide.llm.components import components
 
 WORDS = 5
@@ -266,3 +266,24 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     own = signed.select("doc_id", "n", "d1", "d2").join(placed, ["n", "d1", "d2"], "left")
     component = F.coalesce("component_id", "doc_id")
     return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows without near copies, and of each group those with the smallest id, with all their columns.
+
+    Rows that repeat an id stay or go together. Rows without an id rank behind all others, by a hash of their text, and of
+    several with the same text one stays; rows without words are copies of nothing.
+    """
+    number, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    key = F.coalesce(number, F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2))
+    found = near_duplicates(docs.select(key.alias("doc_id"), text.alias("text"))).where("kept")
+    own = fresh(docs, "kept_id")
+    kept = written(found.select(F.col("doc_id").alias(own)).distinct(), "kept-ids")
+    named = number.isNotNull() | ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    stay, copies = (docs.where(x).join(kept, key == F.col(own), "left_semi") for x in (named, ~named))
+    # Rows without an id that have the same text: the one with the least hash of all columns, and of equal rows one.
+    held, least = fresh(docs, "held_text"), fresh(docs, "least_row")
+    row = F.xxhash64(*[F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))])
+    first = copies.groupBy(text.alias(held)).agg(F.min(row).alias(least))
+    chosen = copies.join(first, (text == F.col(held)) & (row == F.col(least)), "left_semi")
+    return stay.unionByName(chosen.dropDuplicates([c for c in docs.columns if c in (id_col, text_col)]))

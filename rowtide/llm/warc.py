@@ -3,8 +3,9 @@
 Only headers (id, address, digest, length) are shuffled by digest. The largest id of each digest is the response, the
 others become revisits of it; both get fresh headers. Records are written by Spark's text writer, whose line separator
 is the record terminator of the format, so a lost executor's file is committed once or not at all, in any store that
-Spark writes to. A file is one gzip stream. Reading goes by Content-Length; each payload's digest is computed anew and
-compared.
+Spark writes to. A file written here is one gzip stream. Reading takes files of any number of gzip members
+(``*.gz``), inflates them piece by piece and goes by Content-Length, a record at a time; a cut member or record raises, and
+each payload's digest is computed anew and compared.
 
 A null html is an empty payload; a null url leaves its header out; a null id is written as ``null`` and read as null,
 and never refers or is referred to unless all copies lack an id (then all are responses). Repeated rows of one id and
@@ -95,6 +96,7 @@ def record_text(date: str) -> Column:
         _line("WARC-Profile", F.when(again, PROFILE)),
         _line("WARC-Refers-To", F.when(again, _urn(F.col("refers_to")))),
         _line("WARC-Refers-To-Target-URI", F.when(again, F.col("refers_url"))),
+        _line("WARC-Refers-To-Date", F.when(again, date)),
         _line("Content-Type", F.lit("application/http; msgtype=response")),
         _line("Content-Length", length.cast("string")),
         F.lit("\r\n"),
@@ -116,27 +118,94 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str =
     rows.select(record_text(date).alias("value")).write.options(lineSep=END, compression="gzip", maxRecordsPerFile=each).text(path)
 
 
-def parse(archive: bytes) -> Iterator[tuple]:
-    """The records of one archive, in the order of ``RECORD``; raises where one is broken."""
+def inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """The content of all members of a gzip file, in pieces of at most ``step`` bytes; raises where one is cut short."""
     at = 0
-    while at < len(archive):
-        stop = archive.index(b"\r\n\r\n", at)
-        first, *lines = archive[at:stop].decode().split("\r\n")
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        feed = data[at : at + step]
+        while True:
+            piece = member.decompress(feed, step)
+            yield piece
+            if member.eof:
+                break
+            feed = member.unconsumed_tail
+            if not feed and len(piece) < step:
+                at += step
+                feed = data[at : at + step]
+                if not feed:
+                    raise ValueError(f"gzip member cut short at byte {len(data)}")
+        at = min(at + step, len(data)) - len(member.unused_data)
+
+
+class _Stream:
+    """A moving piece of an archive."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at, self.passed = pieces, bytearray(), 0, 0
+
+    def more(self) -> bool:
+        piece = next(self.pieces, None)
+        if piece is None:
+            return False
+        if self.at:
+            del self.held[: self.at]
+            self.passed, self.at = self.passed + self.at, 0
+        self.held += piece
+        return True
+
+    def ended(self) -> bool:
+        while self.at >= len(self.held):
+            if not self.more():
+                return True
+        return False
+
+    def up_to(self, mark: bytes) -> bytes:
+        """What stands before the mark; both are used up."""
+        looked = 0
+        while (end := self.held.find(mark, self.at + looked)) < 0:
+            looked = max(0, len(self.held) - self.at - len(mark))
+            if not self.more():
+                raise ValueError(f"broken record at byte {self.passed + self.at}")
+        out = bytes(self.held[self.at : end])
+        self.at = end + len(mark)
+        return out
+
+    def take(self, size: int) -> bytes:
+        while len(self.held) - self.at < size:
+            if not self.more():
+                raise ValueError(f"record cut short at byte {self.passed + self.at}")
+        out = bytes(self.held[self.at : self.at + size])
+        self.at += size
+        return out
+
+
+def parse(archive: bytes | Iterator[bytes]) -> Iterator[tuple]:
+    """The responses and revisits of an archive, in the order of ``RECORD``; raises where a record is broken.
+
+    One record is held at a time. Other record types are passed over.
+    """
+    stream = _Stream(iter([archive]) if isinstance(archive, (bytes, bytearray)) else archive)
+    while not stream.ended():
+        at = stream.passed + stream.at
+        first, *lines = stream.up_to(b"\r\n\r\n").decode().split("\r\n")
         head = dict(x.split(": ", 1) for x in lines)
-        begin, end = stop + 4, stop + 4 + int(head["Content-Length"])
-        if first != VERSION or archive[end : end + 4] != b"\r\n\r\n":
+        block = stream.take(int(head["Content-Length"]))
+        if not first.startswith("WARC/1.") or stream.take(4) != b"\r\n\r\n":
             raise ValueError(f"broken record at byte {at}")
-        body = archive.index(b"\r\n\r\n", begin, end) + 4
-        size = int(archive[begin:body].rpartition(b"Content-Length: ")[2])
-        kind, digest, payload = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:"), None
-        if kind == "response":
-            payload = archive[body:end]
-            if len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
+        kind = head["WARC-Type"]
+        if kind not in ("response", "revisit"):
+            continue
+        http, _, payload = block.partition(b"\r\n\r\n")
+        size = int(http.rpartition(b"Content-Length: ")[2])
+        digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
+        if kind == "revisit":
+            payload = None
+        elif len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+            raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
         ids = [x if x is None else x[len("<urn:page:") : -1] for x in (head["WARC-Record-ID"], head.get("WARC-Refers-To"))]
         page, refers = (None if x in (None, "null") else int(x) for x in ids)
         yield page, head.get("WARC-Target-URI"), kind, refers, size, digest, payload
-        at = end + 4
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
@@ -147,14 +216,14 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     def read(batches):
         for batch in batches:
             for content in batch.column(0):
-                records = parse(zlib.decompress(content.as_py(), 31))
+                records = parse(inflated(content.as_py()))
                 while rows := list(islice(records, 500)):
                     columns = list(zip(*rows))
                     if not payload:
                         columns[-1] = [None] * len(rows)
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return files.select("content").mapInArrow(read, RECORD)
 
 

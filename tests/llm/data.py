@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from rowtide.frames import small_frame
 
 SF = "/root/testdata/sf0.001"
-CLASHES = ["id", "node", "bin", "term", "own", "own_id", "component", "kept", "value", "n"]
+CLASHES = ["id", "node", "bin", "term", "own", "own_id", "component", "kept", "value", "n", "kept_id", "copy_number", "bad_key", "row_key", "held_text", "least_row", "text_sha256", "signature"]
 SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())]
     + [T.StructField(c, T.StringType()) for c in CLASHES]

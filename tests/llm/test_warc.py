@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.frames import small_frame
-from rowtide.llm.warc import parse, payload_digest, read_archives, resolve, write_archives
+from rowtide.llm.warc import inflated, parse, payload_digest, read_archives, resolve, write_archives
 from tests.llm.data import rows, same_rows, table
 
 SCHEMA = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("refers_to", T.StringType())])
@@ -106,3 +106,24 @@ def test_empty(spark, tmp_path):
 def test_digest(spark):
     got = spark.range(200).select(F.col("id").cast("string").alias("t")).select("t", payload_digest(F.col("t")).alias("d")).collect()
     assert all(r.d == digest(r.t) for r in got)
+
+
+def test_a_member_per_record_and_other_record_types(spark, tmp_path):
+    write_archives(pages_of(spark, ODD), str(tmp_path / "w"))
+    whole = b"".join(gzip.open(p).read() for p in (tmp_path / "w").glob("*.gz"))
+    info = b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 3\r\n\r\na b\r\n\r\n"
+    parts = [info] + [b"WARC/1.1\r\nWARC-Type: re" + x for x in whole.split(b"WARC/1.1\r\nWARC-Type: re")[1:]]
+    (tmp_path / "usual").mkdir()
+    (tmp_path / "usual" / "a.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    assert same_rows(short(read_archives(spark, str(tmp_path / "usual"))), expected(ODD))
+
+
+def test_pieces_of_any_size():
+    data = b"".join(gzip.compress(bytes([65 + k]) * (k * 1000)) for k in range(20))
+    whole = b"".join(bytes([65 + k]) * (k * 1000) for k in range(20))
+    for step in (1, 7, 64, 1000, 1 << 20):
+        assert b"".join(inflated(data, step)) == whole
+    with pytest.raises(ValueError):
+        list(inflated(data[:-5], 64))
+    with pytest.raises(ValueError):
+        list(parse(b"WARC/1.1\r\nContent-Length: 900\r\n\r\nabc"))
