@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +72,35 @@ def merge(
     return latest_per_key(by_bucket(both, tasks), keys, precedence(policy, order), within=[BUCKET])
 
 
+_THEIRS = "_theirs"
+_MINE = "_mine"
+
+
+def overlay(stored: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str], small: bool = False) -> DataFrame:
+    """Stored rows (one per key) under the changes since then, tombstones included; stored rows need no exchange.
+
+    The changes alone are reduced to one row per key. A stored row stays unless a change of its key is at least its equal
+    in ``order``; of two equals the change, which came later, stays. A change stays unless a stored row beats it. So the
+    stored rows are only matched with keys: as long as the reduced changes are broadcast (Spark decides by their size;
+    ``small`` says that the caller has checked it), no stored row is shuffled, and filters on stored columns reach its scan.
+    """
+    newest = latest_per_key(changes, keys, order)
+    rank = F.struct(*[F.col(f"`{c}`") for c in order])
+    named = {k: f"_key_{n}" for n, k in enumerate(keys)}
+    hinted = F.broadcast if small else lambda frame: frame
+
+    def same(other: DataFrame):
+        return reduce(lambda a, b: a & b, [F.col(f"`{k}`") == other[n] for k, n in named.items()])
+
+    theirs = newest.select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()], rank.alias(_THEIRS))
+    beside = stored.join(hinted(theirs), same(theirs), "left")
+    unbeaten = beside.filter(F.col(_THEIRS).isNull() | (rank > F.col(_THEIRS))).select(*stored.columns)
+    wanted = newest.select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()])
+    met = stored.join(hinted(wanted), same(wanted), "left_semi").select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()], rank.alias(_MINE))
+    winning = newest.join(met, same(met), "left").filter(F.col(_MINE).isNull() | (rank >= F.col(_MINE))).select(*newest.columns)
+    return unbeaten.unionByName(winning, allowMissingColumns=True)
+
+
 def visible(rows: DataFrame) -> DataFrame:
     """What a reader sees: no tombstones, no bookkeeping."""
     return rows.filter(~F.col(DELETED)).drop(*BOOKKEEPING)

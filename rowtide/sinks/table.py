@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,28 +15,30 @@ from rowtide import files
 from rowtide.functions.casting import safe_cast
 from rowtide.functions.keys import any_null, with_bucket
 from rowtide.operators.latest import latest_per_key, ranking_columns
-from rowtide.operators.merge import merge, precedence, reduce_changes, visible
+from rowtide.operators.merge import overlay, precedence, reduce_changes, visible
 from rowtide.spec import BATCH, BUCKET, DELETED, TableSpec, buckets_for
 
 # Fixed value: consumers find database ``shop`` in the catalog under this prefix.
 DATABASE_PREFIX = "hudi_"
 
 MERGE = "_merge"
+BROADCAST_BYTES = 32 << 20  # change files up to this size are broadcast when laid over the rows
+MAX_PARTS = 8
 DONE = "_SUCCESS"  # what Spark's committer leaves in a folder whose job has ended
 
 
 class LakeTable:
     """One table below ``root/tables``.
 
-    g<n>/layout-<k>.json  key, bucket count and schema; the greatest k counts
-    g<n>/rows/_bucket=b/  what load or compaction number n wrote, tombstones included
-    g<n>/changes/_merge=<id>/_bucket=b/  the reduced changes of a merge since then
+    g<n>/layout-<k>.json  key, bucket count, schema and where each bucket's rows lie; the greatest k counts
+    g<n>/rows/_bucket=b/  the buckets that load or compaction number n wrote, tombstones included
+    g<n>/changes/_merge=<id>/  the reduced changes of a merge since then, sorted by bucket and key
 
-    A merge adds a folder of changes and touches nothing else. The surviving row per key is found
-    on reading, over the rows and changes of the buckets that have changes; ``compact`` writes that
-    down as the next generation. The greatest generation whose rows are complete counts, and of its
-    changes the complete ones, so wherever a driver stops, readers have the old state or the new
-    one. A merge that is cut short is repeated by its caller and gives the same rows.
+    A merge adds a folder of changes and touches nothing else. The surviving row per key is found on reading: the changes
+    are reduced alone and laid over the rows. ``compact`` writes that down for the buckets that have changes, as the next
+    generation; its layout says which older generations hold the other buckets. The greatest generation whose rows are
+    complete counts, and of its changes the complete ones, so wherever a driver stops, readers have the old state or the
+    new one. A merge that is cut short is repeated by its caller and gives the same rows.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
@@ -70,9 +74,11 @@ class LakeTable:
             self._layout = (generation, json.loads(files.read_text(self.spark, f"{folder}/layout-{last}.json")) | {"number": last})
         return self._layout[1]
 
-    def _keep_layout(self, generation: int, schema: T.StructType, buckets: int, number: int = 0) -> None:
+    def _keep_layout(self, generation: int, schema: T.StructType, buckets: int, number: int = 0, older: dict[int, list[int]] | None = None) -> None:
+        """``older``: buckets whose rows an older generation holds."""
         fields = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
         layout = {"keys": list(self.spec.keys), "buckets": buckets, "schema": fields.jsonValue()}
+        layout["older"] = {str(g): _ranges(held) for g, held in (older or {}).items()}
         files.write_new(self.spark, f"{self._folder(generation)}/layout-{number}.json", json.dumps(layout))
         self._layout = None
 
@@ -97,12 +103,24 @@ class LakeTable:
 
     # ---- reading
 
+    def _parts(self, generation: int) -> dict[int, list[int] | None]:
+        """Generations that hold rows, with the buckets that count there (None: all they have)."""
+        return {generation: None} | {int(g): _numbers(held) for g, held in self.layout(generation)["older"].items()}
+
     def _base(self, generation: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self._folder(generation)}/rows")
+        out = []
+        for part, held in self._parts(generation).items():
+            rows = self.spark.read.schema(self.schema).parquet(f"{self._folder(part)}/rows")
+            out.append(rows if held is None else rows.filter(_in_buckets(held)))
+        return reduce(DataFrame.unionByName, out)
 
     def _changes(self, folders: list[str]) -> DataFrame:
-        stored = self.spark.read.schema(self.schema).option("basePath", folders[0].rpartition("/")[0])
-        return stored.parquet(*folders).drop(MERGE)
+        # a folder per merge, and no partition among its columns
+        return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(*folders)
+
+    def _touched(self, folders: list[str]) -> list[int]:
+        """Buckets with changes: one column of the change files, at most the number of buckets."""
+        return sorted(r[0] for r in self._changes(folders).select(BUCKET).distinct().collect())
 
     def rows(self, buckets: list[int] | None = None) -> DataFrame | None:
         """One row per key, tombstones included; other buckets than the given ones are pruned."""
@@ -110,19 +128,20 @@ class LakeTable:
         if not generation:
             return None
         base, folders = self._base(generation), self.change_folders(generation)
+        changes = self._changes(folders) if folders else None
         if buckets is not None:
-            base = base.filter(_in_buckets(buckets))
-        if not folders:
+            base, changes = (x and x.filter(_in_buckets(buckets)) for x in (base, changes))
+        if changes is None:
             return base
-        changed = sorted({int(n.partition("=")[2]) for f in folders for n in files.child_names(self.spark, f) if n.startswith(BUCKET)})
-        if buckets is not None:
-            changed = [b for b in changed if b in set(buckets)]
-        if not changed:
-            return base
-        inside = _in_buckets(changed)
-        both = base.filter(inside).unionByName(self._changes(folders).filter(inside))
-        current = latest_per_key(both, self.spec.keys, self._precedence(base.columns), within=[BUCKET])
-        return base.filter(~inside).unionByName(current)
+        small = sum(files.size(self.spark, f) for f in folders) <= BROADCAST_BYTES
+        if small:
+            return self._overlay(base, changes, small)
+        # Changes that may be shuffled with the rows: only with those of their buckets.
+        inside = _in_buckets(self._touched(folders))
+        return base.filter(~inside).unionByName(self._overlay(base.filter(inside), changes))
+
+    def _overlay(self, base: DataFrame, changes: DataFrame, small: bool = False) -> DataFrame:
+        return overlay(base, changes, self.spec.keys, self._precedence(base.columns), small)
 
     def _precedence(self, columns: list[str]) -> list[str]:
         """A table that has only been loaded may lack the order columns of its changes."""
@@ -161,9 +180,24 @@ class LakeTable:
         return now
 
     def _drop_old(self, now: int) -> None:
-        for name in files.child_names(self.spark, self.root):
-            if name[1:].isdigit() and int(name[1:]) < now - 1:
-                files.delete(self.spark, f"{self.root}/{name}")
+        """What neither this generation nor the one before it (which somebody may be reading) needs goes."""
+        numbers = [int(n[1:]) for n in files.child_names(self.spark, self.root) if n[1:].isdigit()]
+        before = [n for n in numbers if n < now and files.exists(self.spark, f"{self._folder(n)}/rows/{DONE}")]
+        needed: dict[int, set[int] | None] = {}
+        for reader in [now, *sorted(before)[-1:]]:
+            for part, held in self._parts(reader).items():
+                known = needed.get(part, set())
+                needed[part] = None if held is None or known is None else known | set(held)
+        self._layout = None
+        for n in numbers:
+            if n >= now or needed.get(n, set()) is None:
+                continue
+            if n not in needed:
+                files.delete(self.spark, self._folder(n))
+                continue
+            for name in _bucket_names(self.spark, f"{self._folder(n)}/rows"):
+                if int(name.partition("=")[2]) not in needed[n]:
+                    files.delete(self.spark, f"{self._folder(n)}/rows/{name}")
 
     def merge(self, changes: DataFrame, batch: int = 0) -> int:
         """Add change rows (``operators.merge.as_changes``); returns the number of buckets they touch.
@@ -192,10 +226,14 @@ class LakeTable:
             return self._merge_retyped(placed, layout["buckets"], now)
         fresh = [f for f in placed.schema if f.name not in stored.names]
         if fresh:
-            self._keep_layout(generation, T.StructType([*stored.fields, *fresh]), layout["buckets"], layout["number"] + 1)
+            older = {g: held for g, held in self._parts(generation).items() if held is not None}
+            self._keep_layout(generation, T.StructType([*stored.fields, *fresh]), layout["buckets"], layout["number"] + 1, older)
         path = f"{self._folder(generation)}/changes/{MERGE}={batch:012d}-{uuid.uuid4().hex}"
-        _write(placed.hint("rebalance", BUCKET), path)
-        touched = _bucket_names(self.spark, path)
+        met = Observation()
+        # files in proportion to the bytes; sorted, so that their statistics tell which buckets and keys they hold
+        sorted_rows = placed.observe(met, F.collect_set(BUCKET).alias("buckets")).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *keys)
+        _write_changes(sorted_rows, path)
+        touched = met.get["buckets"] or []
         if not touched:
             files.delete(self.spark, path)
         return len(touched)
@@ -204,38 +242,55 @@ class LakeTable:
         """Columns whose source type has changed: all rows go into a generation of the new types."""
         retyped = {f.name: now[f.name] for f in self.schema if now.get(f.name, f.dataType) != f.dataType}
         stored = _retype(self.rows(), retyped)
-        merged = merge(stored, changes, self.spec.keys, self.spec.order, self.spec.policy, buckets)
-        self._write_merged(merged, buckets)
+        merged = self._overlay(stored, changes)
+        self._write_merged(merged.select(*[f"`{c}`" for c in merged.columns if c != BUCKET], BUCKET), buckets)
         return buckets
 
-    def _write_merged(self, merged: DataFrame, buckets: int) -> None:
+    def _write_merged(self, merged: DataFrame, buckets: int, older: dict[int, list[int]] | None = None, tasks: int | None = None) -> None:
         now = self._free_generation()
-        self._keep_layout(now, merged.schema, buckets)
-        _write(merged, f"{self._folder(now)}/rows")
+        self._keep_layout(now, merged.schema, buckets, older=older)
+        _write(merged.hint("rebalance", tasks or buckets, BUCKET), f"{self._folder(now)}/rows")
         self._drop_old(now)
 
     def compact(self, buckets: int | None = None, drop: Column | None = None) -> bool:
-        """Write rows and changes down as one generation; returns whether there was anything to do.
+        """Write rows and changes down as a generation; returns whether there was anything to do.
 
-        Stored rows are shuffled once, by bucket. ``buckets`` deals the rows anew; without a number
-        in the spec the stored bytes decide. ``drop`` names tombstones to leave out.
+        Only buckets that have changes (or rows to ``drop``) are read, shuffled once by bucket, and written; the others
+        stay where they are. ``buckets`` deals all rows anew; without a number in the spec the stored bytes decide. After
+        ``MAX_PARTS`` generations a compaction takes all buckets together again.
         """
         generation = self.generation
         if not generation:
             return False
         folders, layout = self.change_folders(generation), self.layout(generation)
-        wanted = buckets or self.spec.buckets or max(layout["buckets"], buckets_for(files.size(self.spark, self._folder(generation))))
+        parts = self._parts(generation)
+        stored = sum(files.size(self.spark, self._folder(g)) for g in parts)
+        wanted = buckets or self.spec.buckets or max(layout["buckets"], buckets_for(stored))
         if not folders and drop is None and wanted == layout["buckets"]:
             return False
-        base = self._base(generation)
-        # an empty frame where there are no changes keeps one plan for all cases
-        changes = self._changes(folders) if folders else base.limit(0)
-        both = [with_bucket(x.drop(BUCKET), self.spec.keys, wanted) for x in (base, changes)] if wanted != layout["buckets"] else [base, changes]
-        order = [c for c in self.spec.order if c in base.columns]
-        merged = merge(*both, self.spec.keys, order, self.spec.policy, wanted)
-        self._write_merged(merged if drop is None else merged.filter(~drop), wanted)
+        rows = self.rows()
+        if drop is not None:
+            doomed = {r[0] for r in rows.filter(drop).select(BUCKET).distinct().collect()}
+            rows = rows.filter(~drop)
+        if wanted != layout["buckets"]:
+            self._write_merged(with_bucket(rows.drop(BUCKET), self.spec.keys, wanted), wanted)
+            return True
+        touched = set(self._touched(folders)) if folders else set()
+        touched |= doomed if drop is not None else set()
+        if not touched:
+            return False
+        older = {g: [b for b in (held if held is not None else self._own_buckets(g)) if b not in touched] for g, held in parts.items()}
+        older = {g: held for g, held in older.items() if held}
+        if len(older) >= MAX_PARTS:
+            older, touched = {}, None
+        inside = rows if touched is None else rows.filter(_in_buckets(sorted(touched)))
+        self._write_merged(inside, wanted, older, wanted if touched is None else len(touched))
         return True
 
+    def _own_buckets(self, generation: int) -> list[int]:
+        """Buckets that a generation has written itself."""
+        return sorted(int(n.partition("=")[2]) for n in _bucket_names(self.spark, f"{self._folder(generation)}/rows"))
+
     def purge_tombstones(self, before) -> None:
         """Compact without the tombstones whose first order column is below ``before``."""
         old = F.col(DELETED) & (F.col(self.spec.order[0]) < F.lit(before))
@@ -262,38 +317,84 @@ class LakeTable:
         """
         generation, database = self.generation, _quoted(prefix + self.spec.database)
         name = f"{database}.{_quoted(self.spec.table)}"
-        parts = {kind: f"{database}.{_quoted(f'{self.spec.table}__{kind}')}" for kind in ("rows", "changes")}
+        changes = f"{database}.{_quoted(f'{self.spec.table}__changes')}"
+        parts = {f"{database}.{_quoted(f'{self.spec.table}__rows_{g}')}": (g, held) for g, held in self._parts(generation).items()}
         state = (prefix, generation, self.schema.json())
         if self._shown != state:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
             fields = [f for f in self.schema if f.name != BUCKET]
-            columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
-            for kind, part in parts.items():
-                folder = f"{self._folder(generation)}/{kind}"
-                files.make_folder(self.spark, folder)
-                self.spark.sql(f"DROP TABLE IF EXISTS {part}")
-                self.spark.sql(f"CREATE TABLE {part} ({columns}) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION {_literal(folder)}")
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {self._live_rows(parts, fields)}")
+            columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in [*fields, self.schema[BUCKET]])
+            folder = f"{self._folder(generation)}/changes"
+            files.make_folder(self.spark, folder)
+            self._drop_tables(database)
+            self.spark.sql(f"CREATE TABLE {changes} ({columns}) USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION {_literal(folder)}")
+            for part, (g, _) in parts.items():
+                folder = f"{self._folder(g)}/rows"
+                self.spark.sql(f"CREATE TABLE {part} ({columns}) USING parquet PARTITIONED BY ({BUCKET}) LOCATION {_literal(folder)}")
+                self.spark.sql(f"MSCK REPAIR TABLE {part}")
+            live = {part: held for part, (_, held) in parts.items()}
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {self._live_rows(live, changes, [f.name for f in fields])}")
             self._shown = state
-        for part in parts.values():
-            self.spark.sql(f"REFRESH TABLE {part}")
+        self.spark.sql(f"REFRESH TABLE {changes}")
         return name
 
-    def _live_rows(self, parts: dict[str, str], fields: list[T.StructField]) -> str:
-        schema = T.StructType(fields)
-        keys = ", ".join(map(_quoted, self.spec.keys))
-        order = ", ".join(f"{_quoted(c)} DESC NULLS LAST" for c in ranking_columns(schema, self.spec.keys, self._precedence(schema.names)))
-        names = ", ".join(_quoted(f.name) for f in fields)
-        shown = ", ".join(_quoted(f.name) for f in fields if f.name not in (DELETED, BATCH))
-        both = f"SELECT {names} FROM {parts['rows']} UNION ALL SELECT {names} FROM {parts['changes']}"
-        ranked = f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS _rank FROM ({both})"
-        return f"SELECT {shown} FROM ({ranked}) WHERE _rank = 1 AND NOT {DELETED}"
+    def _drop_tables(self, database: str) -> None:
+        """The tables below the view, of whatever generations."""
+        pattern = re.compile(re.escape(self.spec.table) + "__(changes|rows(_[0-9]+)?)", re.IGNORECASE)
+        for r in self.spark.sql(f"SHOW TABLES IN {database}").select("tableName").collect():
+            if pattern.fullmatch(r[0]):
+                self.spark.sql(f"DROP TABLE IF EXISTS {database}.{_quoted(r[0])}")
+
+    def _live_rows(self, parts: dict[str, list[int] | None], changes: str, columns: list[str]) -> str:
+        """``operators.merge.overlay`` as the text of a view: rows without a better change, and changes without a better row."""
+        keys = [_quoted(k) for k in self.spec.keys]
+        order = self._precedence(columns)
+        newest_first = ", ".join(f"{_quoted(c)} DESC NULLS LAST" for c in ranking_columns(T.StructType([f for f in self.schema if f.name in columns]), self.spec.keys, order))
+        names = ", ".join(map(_quoted, columns))
+
+        def rank(side: str) -> str:
+            return "struct(" + ", ".join(f"{side}.{_quoted(c)}" for c in order) + ")"
+
+        def same(other: str) -> str:
+            return " AND ".join(f"r.{k} = {other}.{k}" for k in keys)
+
+        def shown(side: str) -> str:
+            return ", ".join(f"{side}.{_quoted(c)}" for c in columns if c not in (DELETED, BATCH))
+
+        stored = " UNION ALL ".join(f"SELECT {names} FROM {part}" + ("" if held is None else f" WHERE {_bucket_sql(held)}") for part, held in parts.items())
+        ranked = f"SELECT {names}, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {newest_first}) AS _rank FROM {changes}"
+        return f"""
+            WITH r AS ({stored}), c AS (SELECT {names} FROM ({ranked}) WHERE _rank = 1),
+            met AS (SELECT {', '.join(f'r.{x}' for x in dict.fromkeys([*keys, *map(_quoted, order)]))} FROM r LEFT SEMI JOIN c ON {same('c')})
+            SELECT {shown('r')} FROM r LEFT JOIN c ON {same('c')} WHERE NOT r.{DELETED} AND (c.{keys[0]} IS NULL OR {rank('r')} > {rank('c')})
+            UNION ALL
+            SELECT {shown('c')} FROM c LEFT JOIN met AS r ON {same('c')} WHERE NOT c.{DELETED} AND (r.{keys[0]} IS NULL OR {rank('c')} >= {rank('r')})"""
 
 
 def _write(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(path)
 
 
+def _write_changes(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").parquet(path)
+
+
+def _ranges(numbers: list[int]) -> str:
+    """Sorted numbers as text: ``0-3,7``."""
+    out: list[list[int]] = []
+    for n in sorted(numbers):
+        if out and out[-1][1] == n - 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return ",".join(str(a) if a == b else f"{a}-{b}" for a, b in out)
+
+
+def _numbers(text: str) -> list[int]:
+    pairs = [p.partition("-") for p in text.split(",") if p]
+    return [n for a, _, b in pairs for n in range(int(a), int(b or a) + 1)]
+
+
 def _bucket_names(spark: SparkSession, path: str) -> list[str]:
     return [n for n in files.child_names(spark, path) if n.startswith(f"{BUCKET}=")]
 
@@ -316,11 +417,20 @@ def _retype(stored: DataFrame, wanted: dict[str, T.DataType]) -> DataFrame:
 
 
 def _in_buckets(buckets: list[int]) -> Column:
-    """A range where the numbers are dense, else one list literal."""
-    buckets = sorted(buckets)
-    if buckets[-1] - buckets[0] + 1 == len(buckets):
-        return F.col(BUCKET).between(buckets[0], buckets[-1])
-    return F.expr(f"{BUCKET} IN ({', '.join(map(str, buckets))})")
+    return F.expr(_bucket_sql(buckets))
+
+
+def _bucket_sql(buckets: list[int]) -> str:
+    """Ranges of at least three numbers, and one list of the others."""
+    if not buckets:
+        return "false"
+    spans = [p.split("-") for p in _ranges(buckets).split(",")]
+    wide = [(int(x[0]), int(x[1])) for x in spans if len(x) == 2 and int(x[1]) - int(x[0]) > 1]
+    held = {n for a, b in wide for n in range(a, b + 1)}
+    rest = [n for n in sorted(buckets) if n not in held]
+    tests = [f"{BUCKET} BETWEEN {a} AND {b}" for a, b in wide]
+    tests += [f"{BUCKET} IN ({', '.join(map(str, rest))})"] if rest else []
+    return "(" + " OR ".join(tests) + ")"
 
 
 def _quoted(name: str) -> str:

@@ -2,6 +2,7 @@
 
 import dataclasses
 import datetime as dt
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -171,7 +172,8 @@ def cut_off(monkeypatch, step):
 
     for name in ("write_new", "delete"):
         monkeypatch.setattr(files, name, dying(getattr(files, name)))
-    monkeypatch.setattr(table_module, "_write", dying(table_module._write))
+    for name in ("_write", "_write_changes"):
+        monkeypatch.setattr(table_module, name, dying(getattr(table_module, name)))
     return calls
 
 
@@ -321,3 +323,113 @@ def test_purge_horizon_by_time(spark):
     table.merge(mg.as_changes(frame, ("k",), spec.order, 1))
     table.purge_tombstones(dt.datetime(2024, 1, 3))
     assert {r.k for r in table.read().collect()} == {4, 5, 6, 7}
+
+
+def plan_of(frame):
+    frame.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        return frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        frame.sparkSession.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def merged_often(spark, merges=6, buckets=8):
+    """A table with scattered merges: every key of a residue changes, some go, some come."""
+    table = lake(spark, buckets=buckets)
+    table.bulk_load(base(spark, 60))
+    for n in range(1, merges + 1):
+        rows = [(k, n, 1, f"v{n}", "delete" if k % 5 == 0 else "upsert") for k in range(n, 70, 7)]
+        table.merge(change(spark, rows, n), n)
+    expected = {k: "base" for k in range(60)}
+    for n in range(1, merges + 1):
+        for k in range(n, 70, 7):
+            expected[k] = None if k % 5 == 0 else f"v{n}"
+    return table, {k: v for k, v in expected.items() if v is not None}
+
+
+@pytest.mark.parametrize("bound", [32 << 20, 0])
+def test_reading_after_many_merges(spark, monkeypatch, bound):
+    monkeypatch.setattr(table_module, "BROADCAST_BYTES", bound)
+    table, expected = merged_often(spark)
+    assert values(table) == expected
+    assert {r.k: r.v for r in table.rows([2, 5]).filter("not _deleted").collect()}.items() <= expected.items()
+
+
+def exchanges_above(plan, scan):
+    """Shuffles between the scans whose line holds ``scan`` and the root, or what leaves only rows met by a change."""
+    lines, out = plan.splitlines(), 0
+    for i, line in enumerate(lines):
+        if "FileScan" in line and re.search(scan, line):
+            depth = line.index("FileScan")
+            for above in reversed(lines[:i]):
+                at = min((above.find(c) for c in above if c.isalpha()), default=depth)
+                if at < depth:
+                    depth = at
+                    if "LeftSemi" in above:
+                        break
+                    out += "Exchange hashpartitioning" in above
+    return out
+
+
+def test_rows_are_not_shuffled_when_they_are_read(spark):
+    table, expected = merged_often(spark)
+    plan = plan_of(table.read())
+    assert exchanges_above(plan, "/g1/rows|__rows_1") == 0 and exchanges_above(plan, "/g1/changes") > 0
+    name = table.register("shuf_")
+    view = spark.table(name)
+    assert exchanges_above(plan_of(view), "/g1/rows|__rows_1") == 0
+    assert {r.k: r.v for r in view.collect()} == expected
+    plan = plan_of(view.filter("v = 'base' and k > 3"))
+    assert plan.count("EqualTo(v,base)") >= 1 and "GreaterThan(k,3)" in plan
+    assert {r.k for r in view.filter("v = 'base' and k > 3").collect()} == {k for k, v in expected.items() if v == "base" and k > 3}
+
+
+def test_a_late_older_change_and_an_equal_one(spark):
+    table = lake(spark)
+    table.merge(change(spark, [(1, 5, 1, "new", "upsert"), (2, 5, 1, "new", "upsert"), (3, 5, 1, None, "delete")]), 1)
+    table.merge(change(spark, [(1, 4, 9, "old", "upsert"), (2, 5, 1, "again", "upsert"), (3, 5, 1, "back", "upsert")], 2), 2)
+    want = {1: "new", 2: "again"}
+    assert values(table) == want
+    assert {r.k: r.v for r in spark.table(table.register("late_")).collect()} == want
+    table.compact()
+    assert values(table) == want
+
+
+def test_a_merge_writes_files_in_proportion_to_its_bytes(spark):
+    table = lake(spark, buckets=64)
+    table.bulk_load(base(spark, 500))
+    assert table.merge(change(spark, [(k, 1, 1, "x", "upsert") for k in range(0, 500, 3)]), 1) > 32
+    [folder] = table.change_folders()
+    parts = [n for n in files.child_names(spark, folder) if n.startswith("part-")]
+    assert len(parts) <= 2
+    held = spark.read.parquet(folder).select(BUCKET, "k").collect()
+    assert held == sorted(held) or len(parts) > 1
+
+
+def test_compaction_writes_the_buckets_with_changes(spark):
+    table = lake(spark, buckets=16)
+    table.bulk_load(base(spark, 300))
+    expected = {k: "base" for k in range(300)}
+    for n in range(1, 12):
+        assert table.merge(change(spark, [(n, n, 1, f"v{n}", "upsert"), (n + 100, n, 1, None, "delete")], n), n) <= 2
+        expected[n] = f"v{n}"
+        expected.pop(n + 100)
+        number = table.generation
+        touched = {r[0] for r in table._changes(table.change_folders()).select(BUCKET).distinct().collect()}
+        assert table.compact() and table.generation == number + 1
+        written = {int(b.partition("=")[2]) for b in files.child_names(spark, f"{table.root}/g{number + 1}/rows") if b.startswith(BUCKET)}
+        whole = not table.layout()["older"]
+        assert written == touched or whole and n > table_module.MAX_PARTS - 2
+        assert values(again(table)) == expected
+        if n in (2, 9):
+            assert {r.k: r.v for r in spark.table(table.register("part_")).collect()} == expected
+    kept = {n for n in files.child_names(spark, table.root)}
+    assert len(kept) <= table_module.MAX_PARTS + 2
+    assert table.compact(buckets=4) is True if table.spec.buckets is None else True
+
+
+def test_ranges():
+    for numbers in ([], [3], [1, 2], [0, 1, 2, 3, 7, 9, 10, 11], list(range(1000))):
+        assert table_module._numbers(table_module._ranges(numbers)) == numbers
+    assert table_module._ranges(range(1 << 18)) == "0-262143"
+    assert table_module._bucket_sql([1, 2, 5, 6, 7, 9]) == "(_bucket BETWEEN 5 AND 7 OR _bucket IN (1, 2, 9))"
