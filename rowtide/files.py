@@ -52,6 +52,15 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot write {path}")
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """A folder to a place that isn't there yet, below a folder that may not be there either."""
+    fs, source = _fs(spark, path)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(source, to):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.mkdirs(target)

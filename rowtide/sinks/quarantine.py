@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from rowtide.schemas import QUARANTINE
 
 
-def quarantine_rows(rows: DataFrame, reason: Column, batch: int, origin: str, value: Column, writer: str) -> DataFrame:
+def quarantine_rows(rows: DataFrame, reason: Column, batch: int, origin: str | Column, value: Column, writer: str) -> DataFrame:
     return rows.select(
         reason.cast("string").alias("reason"),
         F.col("schema"),
         F.col("table"),
         value.cast("string").alias("value"),
         F.lit(batch).cast("bigint").alias("batch_id"),
-        F.lit(origin).alias("origin"),
+        (F.lit(origin) if isinstance(origin, str) else origin).alias("origin"),
         F.lit(writer).alias("writer"),
     )
 

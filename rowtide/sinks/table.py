@@ -129,6 +129,10 @@ class LakeTable:
             return None
         base, folders = self._base(generation), self.change_folders(generation)
         changes = self._changes(folders) if folders else None
+        if len(self._parts(generation)) == 1 and not self._own_buckets(generation) and changes is not None:
+            # nothing but changes yet; those of one merge are reduced
+            changes = changes if buckets is None else changes.filter(_in_buckets(buckets))
+            return changes if len(folders) == 1 else latest_per_key(changes, self.spec.keys, self._precedence(changes.columns))
         if buckets is not None:
             base, changes = (x and x.filter(_in_buckets(buckets)) for x in (base, changes))
         if changes is None:
@@ -224,10 +228,7 @@ class LakeTable:
         stored, now = self.schema, {f.name: f.dataType for f in placed.schema}
         if any(now.get(f.name, f.dataType) != f.dataType for f in stored):
             return self._merge_retyped(placed, layout["buckets"], now)
-        fresh = [f for f in placed.schema if f.name not in stored.names]
-        if fresh:
-            older = {g: held for g, held in self._parts(generation).items() if held is not None}
-            self._keep_layout(generation, T.StructType([*stored.fields, *fresh]), layout["buckets"], layout["number"] + 1, older)
+        self._add_columns(generation, placed.schema)
         path = f"{self._folder(generation)}/changes/{MERGE}={batch:012d}-{uuid.uuid4().hex}"
         met = Observation()
         # files in proportion to the bytes; sorted, so that their statistics tell which buckets and keys they hold
@@ -238,6 +239,43 @@ class LakeTable:
             files.delete(self.spark, path)
         return len(touched)
 
+    def placement(self) -> int:
+        """The number of buckets that adopted changes must be dealt by."""
+        generation = self.generation
+        return self._checked(generation)["buckets"] if generation else self.spec.buckets or 1
+
+    def takes(self, types: dict[str, str]) -> bool:
+        """Whether changes with these column types can be added without writing stored rows anew."""
+        stored = {f.name: f.dataType.simpleString() for f in self.schema or []}
+        return all(stored.get(c, t) == t for c, t in types.items())
+
+    def adopt(self, folder: str, schema: T.StructType, batch: int) -> None:
+        """Add a folder of change rows that another job has written: reduced, with the buckets of ``placement``.
+
+        The folder is moved to its place and counts from when it is marked complete. A table that isn't there yet begins
+        with a generation without rows.
+        """
+        generation = self.generation
+        if not generation:
+            generation = self._free_generation()
+            self._keep_layout(generation, schema, self.spec.buckets or 1)
+            files.make_folder(self.spark, f"{self._folder(generation)}/rows")
+            files.write_new(self.spark, f"{self._folder(generation)}/rows/{DONE}", "")
+        elif not self.takes({f.name: f.dataType.simpleString() for f in schema}):
+            raise ValueError(f"{self.root} stores other column types than {schema.simpleString()}")
+        else:
+            self._add_columns(generation, schema)
+        target = f"{self._folder(generation)}/changes/{MERGE}={batch:012d}-{uuid.uuid4().hex}"
+        files.move(self.spark, folder, target)
+        files.write_new(self.spark, f"{target}/{DONE}", "")
+
+    def _add_columns(self, generation: int, schema: T.StructType) -> None:
+        stored, layout = self.schema, self.layout(generation)
+        fresh = [f for f in schema if f.name not in stored.names]
+        if fresh:
+            older = {g: held for g, held in self._parts(generation).items() if held is not None}
+            self._keep_layout(generation, T.StructType([*stored.fields, *fresh]), layout["buckets"], layout["number"] + 1, older)
+
     def _merge_retyped(self, changes: DataFrame, buckets: int, now: dict[str, T.DataType]) -> int:
         """Columns whose source type has changed: all rows go into a generation of the new types."""
         retyped = {f.name: now[f.name] for f in self.schema if now.get(f.name, f.dataType) != f.dataType}

@@ -20,6 +20,7 @@ from rowtide.operators.latest import preview_topn
 from rowtide.operators.merge import as_changes
 from rowtide.operators.typed import STREAM_LABEL, row_column, typed_events
 from rowtide.plans.tables import NAME, Name, for_each, table_columns
+from rowtide.plans.together import SmallTable, groups, merge_together, null_key, typed_together
 from rowtide.schemas import VALUES_MAP
 from rowtide.sinks.metrics import COUNT, append_metrics, metric_row
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
@@ -39,7 +40,7 @@ _LISTED = ("schema", "table", "table_id")
 
 @dataclass
 class ChangeApplier:
-    """``foreachBatch`` function: parse once, stage by table, then one job per table.
+    """``foreachBatch`` function: parse once, stage by table, one job for all small tables and one for each large one.
 
     The staged batch is the only pass over the source. Every table reads its own partition of it,
     so the batch is not scanned once per table, and a lost executor costs no second read of the
@@ -67,6 +68,7 @@ class ChangeApplier:
     batch_offset: int = 0  # raise it above the last batch when a checkpoint starts anew
     time_unit: str = "ms"  # what a bare number in date_action counts
     compact_after: int = 20  # merges of a table until its changes are folded into its rows
+    together_rows: int = 100_000  # tables with fewer rows in a batch share its jobs; 0: each has jobs of its own
     _lakes: dict[TableSpec, LakeTable] = field(default_factory=dict)
     _unregistered: list[Name] = field(default_factory=list)
     _lost: dict[Name, int] = field(default_factory=dict)
@@ -105,7 +107,8 @@ class ChangeApplier:
             rows = quarantine_rows(reject, F.col(REASON), batch_id, "parse", F.col("value"), self.name)
             write_quarantine(rows, self.quarantine_path)
         keys = {n: split_keys(r["table_id"]) for n, r in good.items()}
-        failed = self._apply_tables(staged, keys, batch_id) if good else {}
+        counts = {n: r["count"] for n, r in good.items()}
+        failed = self._apply_tables(staged, keys, counts, batch_id) if good else {}
         self._report({n: r["count"] for n, r in good.items()}, bad, failed, batch_id)
         if failed and self.on_error == "fail":
             raise RuntimeError(f"batch {batch_id} failed for {sorted(failed)}") from next(iter(failed.values()))
@@ -139,45 +142,92 @@ class ChangeApplier:
             events = events.filter(named(self.only))
         return events.filter(~named(self.skip)) if self.skip else events
 
-    def _apply_tables(self, staged: DataFrame, keys: dict[Name, tuple | None], batch_id: int) -> dict[Name, Exception]:
+    def _apply_tables(self, staged: DataFrame, keys: dict[Name, tuple], counts: dict[Name, int], batch_id: int) -> dict[Name, Exception]:
         columns = table_columns(small_frame(self.spark, list(keys), NAME), self.catalog(), self.rules)
+        known = {n: self._table(n, keys[n], columns[n]) for n in keys if n in columns}
+        if len(known) < len(keys):
+            strangers = small_frame(self.spark, [n for n in keys if n not in known], NAME)
+            rows = staged.filter(F.col(_OK)).join(strangers, ["schema", "table"], "left_semi")
+            self._quarantine(rows, "no_catalog", None, batch_id)
+        small = [t for n, t in known.items() if counts[n] <= self.together_rows and self._fits(t)]
+        shared = [g for g in groups(small, self._keep) if len(g) > 1]
+        single = known.keys() - {t.name for g in shared for t in g}
 
-        def work(name: Name) -> None:
-            rows = _rows_of(staged, name)
-            if name not in columns:
-                self._quarantine(rows, "no_catalog", name, batch_id)
+        def work(tables: list[SmallTable]) -> None:
+            if len(tables) == 1:
+                self._merge(_rows_of(staged, tables[0].name), tables[0], batch_id)
             else:
-                self._merge(rows, name, keys[name], columns[name], batch_id)
+                self._merge_together(staged, tables, batch_id)
 
-        failed = {n: e for n, _, e in for_each(self.spark, keys, work, self.parallel) if e is not None}
+        def one_by_one(jobs: list[list[SmallTable]]) -> list:
+            return for_each(self.spark, jobs, work, self.parallel)
+
+        results = one_by_one([*shared, *([known[n]] for n in sorted(single))])
+        # what spoils a shared job is one of its tables: each has another try on its own
+        again = [[t] for tables, _, error in results if error is not None and len(tables) > 1 for t in tables]
+        results = [r for r in results if r[2] is None or len(r[0]) == 1] + one_by_one(again)
+        failed = {tables[0].name: error for tables, _, error in results if error is not None}
+        merged = [t for tables, _, error in results if error is None for t in tables]
+        for table, _, error in for_each(self.spark, merged, self._settle, self.parallel):
+            if error is not None:
+                failed[table.name] = error
         if self.on_error == "quarantine":
             for name, error in failed.items():
                 self._quarantine(_rows_of(staged, name), f"write_failed: {type(error).__name__}", name, batch_id)
         return failed
 
-    def _merge(self, rows: DataFrame, name: Name, keys, columns, batch_id: int) -> None:
-        missing = set(keys) - {c for c, _ in columns}
+    @property
+    def _keep(self) -> tuple[str, ...]:
+        return (*STREAM_ORDER, *self.extras, SIDE)
+
+    def _table(self, name: Name, keys: tuple, columns: list[tuple[str, str]]) -> SmallTable:
+        keys = tuple(row_column(k, self._keep) for k in keys)
+        spec = TableSpec(*name, keys, STREAM_ORDER, self.buckets.get(name, self.default_buckets), self.policy)
+        return SmallTable(self._lakes.setdefault(spec, LakeTable(self.spark, self.root, spec)), columns)
+
+    def _fits(self, table: SmallTable) -> bool:
+        """Whether a table can share a job: its keys are in the catalog, and its stored columns keep their types."""
+        types = {row_column(c, self._keep): t for c, t in table.columns}
+        return set(table.lake.spec.keys) <= types.keys() and table.lake.takes(types)
+
+    def _merge_together(self, staged: DataFrame, tables: list[SmallTable], batch_id: int) -> None:
+        rows = staged.filter(F.col(_OK) & F.col(_WHERE).isin([".".join(t.name) for t in tables])).drop("table_id")
+        path = f"{self.root}/stage/{self.name}/together-{batch_id}-{'.'.join(tables[0].name)}"
+        seen = merge_together(self.spark, rows, tables, path, self.extras, self.label, batch_id)
+        if seen["lost"] or seen["keyless"]:  # only then are the rows read a second time
+            typed = typed_together(rows, tables, self.extras, self.label, batch_id)
+            found = typed.groupBy("_slot").agg(F.sum(F.col("_lost")).alias("lost"), F.count_if(null_key()).alias("keyless"))
+            for r in found.collect():
+                table = tables[r["_slot"]]
+                self._lost[table.name] = r["lost"] or 0
+                if r["keyless"]:
+                    self._quarantine_keyless(_rows_of(staged, table.name), table, batch_id)
+
+    def _merge(self, rows: DataFrame, table: SmallTable, batch_id: int) -> None:
+        lake, keys = table.lake, table.lake.spec.keys
+        missing = set(keys) - {row_column(c, self._keep) for c, _ in table.columns}
         if missing:
             raise LookupError(f"key columns {sorted(missing)} are not in the catalog")
-        keep = (*STREAM_ORDER, *self.extras, SIDE)
-        keys = tuple(row_column(k, keep) for k in keys)
-        buckets = self.buckets.get(name, self.default_buckets)
-        spec = TableSpec(*name, keys, STREAM_ORDER, buckets, self.policy)
-        typed = typed_events(tag_binlog(rows), columns, self.label, keep, lost=_LOST)
+        typed = typed_events(tag_binlog(rows), table.columns, self.label, self._keep, lost=_LOST)
         nulls = Observation()
         typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"), F.sum(_LOST).alias("lost")).drop(_LOST)
-        lake = self._lakes.setdefault(spec, LakeTable(self.spark, self.root, spec))
         lake.merge(as_changes(typed, keys, STREAM_ORDER, batch_id), batch_id)
-        self._lost[name] = nulls.get["lost"] or 0
+        self._lost[table.name] = nulls.get["lost"] or 0
         if nulls.get["n"]:
-            whole = (*self._event_columns, "values")
-            keyed = typed_events(rows, columns, self.label, whole)
-            names = [row_column(c, whole) for c, _ in columns if row_column(c, keep) in keys]
-            self._quarantine(keyed.filter(any_null(names)), "null_key", name, batch_id)
-        if len(lake.change_folders()) >= self.compact_after:
-            lake.compact()
-        if lake.schema is not None:
-            self._register(lake)
+            self._quarantine_keyless(rows, table, batch_id)
+
+    def _quarantine_keyless(self, rows: DataFrame, table: SmallTable, batch_id: int) -> None:
+        whole = (*self._event_columns, "values")
+        keyed = typed_events(rows, table.columns, self.label, whole)
+        names = [row_column(c, whole) for c, _ in table.columns if row_column(c, self._keep) in table.lake.spec.keys]
+        self._quarantine(keyed.filter(any_null(names)), "null_key", table.name, batch_id)
+
+    def _settle(self, table: SmallTable) -> None:
+        """What follows a merge: compaction where it is due, and the catalog."""
+        if len(table.lake.change_folders()) >= self.compact_after:
+            table.lake.compact()
+        if table.lake.schema is not None:
+            self._register(table.lake)
 
     def _register(self, lake: LakeTable) -> None:
         """The rows are stored by now; a catalog that takes no name or is away is no reason to store them twice."""
@@ -187,11 +237,11 @@ class ChangeApplier:
             log.exception("%s not registered", lake.root)
             self._unregistered.append((lake.spec.database, lake.spec.table))
 
-    def _quarantine(self, rows: DataFrame, reason: str, name: Name, batch_id: int) -> None:
-        """The kept text is a whole event again, so it can be sent once more."""
+    def _quarantine(self, rows: DataFrame, reason: str, name: Name | None, batch_id: int) -> None:
+        """The kept text is a whole event again, so it can be sent once more. Without a name the rows are of several tables."""
         row = F.struct(F.from_json("values", VALUES_MAP).alias("values")).alias("row")
         value = F.to_json(F.struct(*self._event_columns, row), {"ignoreNullFields": "false"})
-        out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name), value, self.name)
+        out = quarantine_rows(rows, F.lit(reason), batch_id, ".".join(name) if name else F.concat_ws(".", "schema", "table"), value, self.name)
         write_quarantine(out, self.quarantine_path)
 
     def _report(self, good: dict[Name, int], bad: int, failed: dict, batch_id: int) -> None:
