@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowtide.operators.events import DELETE, REJECT, SIDE
-from rowtide.operators.latest import latest_per_key
+from rowtide.operators.latest import latest_per_key, ranking_columns
 from rowtide.spec import ARRIVAL, BATCH, BOOKKEEPING, BUCKET, DELETED, EVENT_ORDER
 
 
@@ -80,25 +81,39 @@ def overlay(stored: DataFrame, changes: DataFrame, keys: Sequence[str], order: S
     """Stored rows (one per key) under the changes since then, tombstones included; stored rows need no exchange.
 
     The changes alone are reduced to one row per key. A stored row stays unless a change of its key is at least its equal
-    in ``order``; of two equals the change, which came later, stays. A change stays unless a stored row beats it. So the
+    in ``order`` and, where that ties, in the remaining columns; a change stays unless a stored row beats it. So the
     stored rows are only matched with keys: as long as the reduced changes are broadcast (Spark decides by their size;
-    ``small`` says that the caller has checked it), no stored row is shuffled, and filters on stored columns reach its scan.
+    ``small`` says that the caller has checked it), no stored row is shuffled, and filters on stored columns reach its
+    scan. What changes are compared with is read again, but only its key and order columns, and whole rows only for the
+    keys that tie, if there are any.
     """
     newest = latest_per_key(changes, keys, order)
-    rank = F.struct(*[F.col(f"`{c}`") for c in order])
+    both = T.StructType([f for f in stored.schema if f.name in newest.columns])
     named = {k: f"_key_{n}" for n, k in enumerate(keys)}
     hinted = F.broadcast if small else lambda frame: frame
 
-    def same(other: DataFrame):
+    def rank(columns: Sequence[str]) -> Column:
+        return F.struct(*[F.col(f"`{c}`") for c in columns])
+
+    def keyed(frame: DataFrame, *more: Column) -> DataFrame:
+        return frame.select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()], *more)
+
+    def same(other: DataFrame) -> Column:
         return reduce(lambda a, b: a & b, [F.col(f"`{k}`") == other[n] for k, n in named.items()])
 
-    theirs = newest.select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()], rank.alias(_THEIRS))
+    whole = rank(ranking_columns(both, keys, order))
+    theirs, wanted = keyed(newest, whole.alias(_THEIRS)), keyed(newest)
     beside = stored.join(hinted(theirs), same(theirs), "left")
-    unbeaten = beside.filter(F.col(_THEIRS).isNull() | (rank > F.col(_THEIRS))).select(*stored.columns)
-    wanted = newest.select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()])
-    met = stored.join(hinted(wanted), same(wanted), "left_semi").select(*[F.col(f"`{k}`").alias(n) for k, n in named.items()], rank.alias(_MINE))
-    winning = newest.join(met, same(met), "left").filter(F.col(_MINE).isNull() | (rank >= F.col(_MINE))).select(*newest.columns)
-    return unbeaten.unionByName(winning, allowMissingColumns=True)
+    unbeaten = beside.filter(F.col(_THEIRS).isNull() | (whole > F.col(_THEIRS))).select(*stored.columns)
+    met = keyed(stored.join(hinted(wanted), same(wanted), "left_semi"), rank(order).alias(_MINE))
+    judged = newest.join(met, same(met), "left")
+    winning = judged.filter(F.col(_MINE).isNull() | (rank(order) > F.col(_MINE))).select(*newest.columns)
+    tied = judged.filter(rank(order) == F.col(_MINE)).select(*newest.columns)
+    open_keys = keyed(tied)
+    equals = keyed(stored.join(hinted(open_keys), same(open_keys), "left_semi"), whole.alias(_MINE))
+    settled = tied.join(equals, same(equals)).filter(whole >= F.col(_MINE)).select(*newest.columns)
+    out = unbeaten.unionByName(winning, allowMissingColumns=True)
+    return out.unionByName(settled, allowMissingColumns=True)
 
 
 def visible(rows: DataFrame) -> DataFrame:

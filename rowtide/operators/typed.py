@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.functions.casting import TypeRules, known_type, override_type, safe_cast, spark_type
+from rowtide.operators.drift import unlisted_fields
 from rowtide.operators.events import SNAPSHOT_OP
 from rowtide.spec import BOOKKEEPING
 
@@ -67,10 +68,12 @@ def typed_events(
     keep: Sequence[str] = EVENT_KEEP,
     values: str = "values",
     lost: str | None = None,
+    rest: str | None = None,
 ) -> DataFrame:
     """Events of one table as typed rows.
 
-    ``lost`` names a further column with the number of the row's values that its types don't take.
+    ``lost`` names a further column with the number of the row's values that its types don't take, ``rest`` one with the
+    fields that the catalog lacks, as JSON text (for values that are text themselves).
 
     The values live apart until here, so source columns called ``table`` or ``schema`` cannot
     collide with the envelope. One that is called like a kept or a bookkeeping column comes out
@@ -88,6 +91,8 @@ def typed_events(
     if lost is not None:
         gone = [(held[c].isNotNull() & v.isNull()).cast("int") for v, (c, _) in zip(typed, columns)]
         named.append(reduce(Column.__add__, gone, F.lit(0)).alias(lost))
+    if rest is not None:
+        named.append(unlisted_fields(F.col(values), [c for c, _ in columns]).alias(rest))
     return events.select(*named, *keep, F.lit(label).alias(LABEL_COLUMN))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -21,12 +22,14 @@ from rowtide.schemas import CONTROL
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
 from rowtide.sinks.table import DATABASE_PREFIX, LakeTable
 from rowtide.sources.control import CONTROL_KEYS, advance, due
-from rowtide.sources.files import read_changes_for_day, read_snapshot
-from rowtide.spec import BATCH_ORDER, EVENT_ORDER, TableSpec, split_keys
+from rowtide.sources.files import DAY, available_days, read_changes_for_days, read_snapshot
+from rowtide.spec import BATCH, BATCH_ORDER, EVENT_ORDER, TableSpec, split_keys
 
 
 log = logging.getLogger(__name__)
 
+DAYS_AT_ONCE = 366
+
 
 @dataclass(frozen=True)
 class BatchJob:
@@ -99,18 +102,20 @@ def daily_changes(day_rows: DataFrame, spec: TableSpec, columns, job: BatchJob)
     return typed.withColumn("__table", F.lit(spec.table))
 
 
-def apply_day(spark: SparkSession, job: BatchJob, spec: TableSpec, columns, day) -> LakeTable:
-    files = read_changes_for_day(spark, job.changes, spec.database, spec.table, day, job.layout)
-    tagged = daily_changes(files, spec, columns, job)
-    number = day.toordinal()
+def apply_days(spark: SparkSession, job: BatchJob, spec: TableSpec, columns, days: dict[dt.date, str]) -> LakeTable:
+    """Days of change files (``sources.files.available_days``) in one merge; a row's day is its batch, as in a merge of its own."""
+    number = max(days).toordinal()
+    day = F.unix_date(F.col(DAY)) + dt.date(1970, 1, 1).toordinal()
+    rows = read_changes_for_days(spark, days).withColumn(BATCH, day.cast("bigint")).drop(DAY)
+    tagged = daily_changes(rows, spec, columns, job)
     rejected = (F.col(SIDE) == REJECT) | any_null(spec.keys)
     found = Observation()
     seen = tagged.observe(found, F.count_if(rejected).alias("n"))
     lake = LakeTable(spark, job.root, spec)
-    lake.merge(as_changes(seen, spec.keys, spec.order, number), number)
+    lake.merge(as_changes(seen, spec.keys, spec.order), number)
     if found.get["n"]:  # only then are the files read a second time
         reason = F.when(F.col(SIDE) == REJECT, "unknown_operation").otherwise("null_key")
-        _quarantine(job, spec, tagged.filter(rejected), reason, number)
+        _quarantine(job, spec, tagged.filter(rejected).drop(BATCH), reason, number)
     if len(lake.change_folders()) >= job.compact_after:
         lake.compact()
     if lake.schema is not None:  # else no day has brought a row yet
@@ -118,56 +123,90 @@ def apply_day(spark: SparkSession, job: BatchJob, spec: TableSpec, columns, day)
     return lake
 
 
+def apply_day(spark: SparkSession, job: BatchJob, spec: TableSpec, columns, day: dt.date) -> LakeTable:
+    days = available_days(spark, job.changes, spec.database, spec.table, day, job.layout, 1)
+    if not days:
+        raise FileNotFoundError(f"no change files of {spec.database}.{spec.table} for {day} below {job.changes}")
+    return apply_days(spark, job, spec, columns, days)
+
+
 @dataclass
 class Outcome:
     """What one pass over the control table did, by table."""
 
     done: list[tuple[str, str]] = field(default_factory=list)
+    days: dict[tuple[str, str], int] = field(default_factory=dict)  # how far each of them has moved on
     absent: list[tuple[str, str]] = field(default_factory=list)  # the day has not been delivered yet
     failed: list[tuple[tuple[str, str], Exception]] = field(default_factory=list)
 
 
-def run_batch(spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame) -> Outcome:
-    """One pass over the control table: one snapshot or one day for each table.
+class _Stopped(Exception):
+    """A table that has failed after some of its days."""
+
+    def __init__(self, days: int, error: Exception):
+        super().__init__(str(error))
+        self.days, self.error = days, error
+
+
+def run_batch(spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame, most: int = 1) -> Outcome:
+    """One pass over the control table: one snapshot, or up to ``most`` days in one merge, for each table.
 
-    Only tables whose work succeeded move on by a day, in one write for all of them. A table whose
-    day is absent stays where it is, and gets that day once it is there.
+    Tables move on by the days that have succeeded, in one write for all of them. A table whose day is absent stays where
+    it is, and gets that day once it is there. Where a merge of several days fails, they are tried one by one.
     """
     rows = due(control.read())
     tables = rows.select(F.col("database").alias("schema"), "table")
     columns = table_columns(tables, catalog, job.rules)
 
-    def work(row) -> None:
+    def work(row) -> int:
         name = (row["database"], row["table"])
         if name not in columns:
             raise LookupError(f"no catalog columns for {name[0]}.{name[1]}")
         spec = job.spec(*name, row["table_id"])
         if row["first_load"]:
             load_snapshot(spark, job, spec, columns[name])
-        else:
-            apply_day(spark, job, spec, columns[name], row["load_date"])
+            return 1
+        days = available_days(spark, job.changes, *name, row["load_date"], job.layout, most)
+        if not days:
+            raise FileNotFoundError(f"no change files of {name[0]}.{name[1]} for {row['load_date']} below {job.changes}")
+        try:
+            apply_days(spark, job, spec, columns[name], days)
+        except Exception:
+            if len(days) == 1:
+                raise
+            log.warning("%s.%s: days %s to %s one by one", *name, min(days), max(days), exc_info=True)
+            for n, day in enumerate(sorted(days)):
+                try:
+                    apply_days(spark, job, spec, columns[name], {day: days[day]})
+                except Exception as error:
+                    raise _Stopped(n, error) from error
+        return len(days)
 
     out = Outcome()
-    for r, _, error in for_each(spark, rows.collect(), work, job.parallel):  # one small metadata row per table
+    for r, days, error in for_each(spark, rows.collect(), work, job.parallel):  # one small metadata row per table
         name = (r["database"], r["table"])
-        if error is None:
+        if isinstance(error, _Stopped):
+            days, error = error.days, error.error
+        if days:
             out.done.append(name)
-        elif isinstance(error, FileNotFoundError):
+            out.days[name] = days
+        if isinstance(error, FileNotFoundError):
             log.info("%s", error)
             out.absent.append(name)
-        else:
+        elif error is not None:
             out.failed.append((name, error))
     if out.done:
-        finished = small_frame(spark, out.done, T.StructType(CONTROL.fields[:2]))
-        put_control(control, advance(control.read().join(finished, list(CONTROL_KEYS), "left_semi")))
+        moved = [(*name, days) for name, days in out.days.items()]
+        finished = small_frame(spark, moved, T.StructType([*CONTROL.fields[:2], T.StructField("_days", T.IntegerType())]))
+        put_control(control, advance(control.read().join(finished, list(CONTROL_KEYS)), F.col("_days")))
     return out
 
 
-def run_days(spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame) -> Outcome:
+def run_days(spark: SparkSession, job: BatchJob, control: LakeTable, catalog: DataFrame, most: int = DAYS_AT_ONCE) -> Outcome:
     """Passes until no table moves on: every table ends before its first day that is absent or fails."""
-    out = run_batch(spark, job, control, catalog)
+    out = run_batch(spark, job, control, catalog, most)
     while out.done:
-        out = run_batch(spark, job, control, catalog)
+        out = run_batch(spark, job, control, catalog, most)
     return out
 
 

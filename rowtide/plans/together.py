@@ -18,6 +18,7 @@ from rowtide.operators.events import DELETE, SIDE, tag_binlog
 from rowtide.operators.latest import latest_per_key
 from rowtide.operators.merge import precedence
 from rowtide.operators.typed import LABEL_COLUMN, STREAM_LABEL, row_column
+from rowtide.plans.tables import for_each
 from rowtide.sinks.table import LakeTable
 from rowtide.spec import BATCH, BUCKET, DELETED, STREAM_ORDER
 
@@ -127,10 +128,15 @@ def merge_together(spark: SparkSession, staged: DataFrame, tables: Sequence[Smal
     ordered.write.mode("overwrite").partitionBy(_SLOT).parquet(path)
     types = {f.name: f for f in placed.schema}
     written = {int(n.partition("=")[2]) for n in files.child_names(spark, path) if n.startswith(f"{_SLOT}=")}
-    for n, table in enumerate(tables):
-        if n in written:
-            names = [row_column(c, (*STREAM_ORDER, *extras, SIDE)) for c, _ in table.columns]
-            order = [*names, *STREAM_ORDER, *extras, LABEL_COLUMN, BATCH, DELETED, BUCKET]
-            table.lake.adopt(f"{path}/{_SLOT}={n}", T.StructType([types[c] for c in order]), batch)
+
+    def hand_over(n: int) -> None:
+        table = tables[n]
+        names = [row_column(c, (*STREAM_ORDER, *extras, SIDE)) for c, _ in table.columns]
+        order = [*names, *STREAM_ORDER, *extras, LABEL_COLUMN, BATCH, DELETED, BUCKET]
+        table.lake.adopt(f"{path}/{_SLOT}={n}", T.StructType([types[c] for c in order]), batch)
+
+    errors = [error for _, _, error in for_each(spark, sorted(written), hand_over) if error is not None]
+    if errors:
+        raise errors[0]
     files.delete(spark, path)
     return seen.get

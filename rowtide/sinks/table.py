@@ -129,7 +129,7 @@ class LakeTable:
             return None
         base, folders = self._base(generation), self.change_folders(generation)
         changes = self._changes(folders) if folders else None
-        if len(self._parts(generation)) == 1 and not self._own_buckets(generation) and changes is not None:
+        if changes is not None and not self._has_rows(generation):
             # nothing but changes yet; those of one merge are reduced
             changes = changes if buckets is None else changes.filter(_in_buckets(buckets))
             return changes if len(folders) == 1 else latest_per_key(changes, self.spec.keys, self._precedence(changes.columns))
@@ -325,6 +325,10 @@ class LakeTable:
         self._write_merged(inside, wanted, older, wanted if touched is None else len(touched))
         return True
 
+    def _has_rows(self, generation: int) -> bool:
+        """A table that began with adopted changes has none before its first compaction."""
+        return len(self._parts(generation)) > 1 or bool(self._own_buckets(generation))
+
     def _own_buckets(self, generation: int) -> list[int]:
         """Buckets that a generation has written itself."""
         return sorted(int(n.partition("=")[2]) for n in _bucket_names(self.spark, f"{self._folder(generation)}/rows"))
@@ -356,7 +360,8 @@ class LakeTable:
         generation, database = self.generation, _quoted(prefix + self.spec.database)
         name = f"{database}.{_quoted(self.spec.table)}"
         changes = f"{database}.{_quoted(f'{self.spec.table}__changes')}"
-        parts = {f"{database}.{_quoted(f'{self.spec.table}__rows_{g}')}": (g, held) for g, held in self._parts(generation).items()}
+        stored = self._parts(generation) if self._has_rows(generation) else {}
+        parts = {f"{database}.{_quoted(f'{self.spec.table}__rows_{g}')}": (g, held) for g, held in stored.items()}
         state = (prefix, generation, self.schema.json())
         if self._shown != state:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -379,7 +384,8 @@ class LakeTable:
     def _drop_tables(self, database: str) -> None:
         """The tables below the view, of whatever generations."""
         pattern = re.compile(re.escape(self.spec.table) + "__(changes|rows(_[0-9]+)?)", re.IGNORECASE)
-        for r in self.spark.sql(f"SHOW TABLES IN {database}").select("tableName").collect():
+        near = re.sub(r"[^0-9A-Za-z_]", ".", self.spec.table)
+        for r in self.spark.sql(f"SHOW TABLES IN {database} LIKE {_literal(near + '__*')}").select("tableName").collect():
             if pattern.fullmatch(r[0]):
                 self.spark.sql(f"DROP TABLE IF EXISTS {database}.{_quoted(r[0])}")
 
@@ -387,11 +393,12 @@ class LakeTable:
         """``operators.merge.overlay`` as the text of a view: rows without a better change, and changes without a better row."""
         keys = [_quoted(k) for k in self.spec.keys]
         order = self._precedence(columns)
-        newest_first = ", ".join(f"{_quoted(c)} DESC NULLS LAST" for c in ranking_columns(T.StructType([f for f in self.schema if f.name in columns]), self.spec.keys, order))
+        ranking = ranking_columns(T.StructType([f for f in self.schema if f.name in columns]), self.spec.keys, order)
+        newest_first = ", ".join(f"{_quoted(c)} DESC NULLS LAST" for c in ranking)
         names = ", ".join(map(_quoted, columns))
 
-        def rank(side: str) -> str:
-            return "struct(" + ", ".join(f"{side}.{_quoted(c)}" for c in order) + ")"
+        def rank(side: str, by: list[str]) -> str:
+            return "struct(" + ", ".join(f"{side}.{_quoted(c)}" for c in by) + ")"
 
         def same(other: str) -> str:
             return " AND ".join(f"r.{k} = {other}.{k}" for k in keys)
@@ -400,13 +407,20 @@ class LakeTable:
             return ", ".join(f"{side}.{_quoted(c)}" for c in columns if c not in (DELETED, BATCH))
 
         stored = " UNION ALL ".join(f"SELECT {names} FROM {part}" + ("" if held is None else f" WHERE {_bucket_sql(held)}") for part, held in parts.items())
+        if not parts:
+            ranked = f"SELECT *, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {newest_first}) AS _rank FROM {changes} AS c"
+            return f"SELECT {shown('c')} FROM ({ranked}) AS c WHERE _rank = 1 AND NOT {DELETED}"
         ranked = f"SELECT {names}, row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {newest_first}) AS _rank FROM {changes}"
         return f"""
             WITH r AS ({stored}), c AS (SELECT {names} FROM ({ranked}) WHERE _rank = 1),
-            met AS (SELECT {', '.join(f'r.{x}' for x in dict.fromkeys([*keys, *map(_quoted, order)]))} FROM r LEFT SEMI JOIN c ON {same('c')})
-            SELECT {shown('r')} FROM r LEFT JOIN c ON {same('c')} WHERE NOT r.{DELETED} AND (c.{keys[0]} IS NULL OR {rank('r')} > {rank('c')})
+            met AS (SELECT {', '.join(f'r.{x}' for x in dict.fromkeys([*keys, *map(_quoted, order)]))} FROM r LEFT SEMI JOIN c ON {same('c')}),
+            tied AS (SELECT c.* FROM c JOIN met AS r ON {same('c')} AND {rank('c', order)} = {rank('r', order)}),
+            equals AS (SELECT r.* FROM r LEFT SEMI JOIN tied ON {same('tied')})
+            SELECT {shown('r')} FROM r LEFT JOIN c ON {same('c')} WHERE NOT r.{DELETED} AND (c.{keys[0]} IS NULL OR {rank('r', ranking)} > {rank('c', ranking)})
+            UNION ALL
+            SELECT {shown('c')} FROM c LEFT JOIN met AS r ON {same('c')} WHERE NOT c.{DELETED} AND (r.{keys[0]} IS NULL OR {rank('c', order)} > {rank('r', order)})
             UNION ALL
-            SELECT {shown('c')} FROM c LEFT JOIN met AS r ON {same('c')} WHERE NOT c.{DELETED} AND (r.{keys[0]} IS NULL OR {rank('c')} >= {rank('r')})"""
+            SELECT {shown('tied')} FROM tied JOIN equals AS r ON {same('tied')} WHERE NOT tied.{DELETED} AND {rank('tied', ranking)} >= {rank('r', ranking)}"""
 
 
 def _write(rows: DataFrame, path: str) -> None:

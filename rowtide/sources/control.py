@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.dates import add_days, lenient_date
@@ -26,7 +26,7 @@ def due(control: DataFrame, first_load: bool | None = None) -> DataFrame:
     return rows if first_load is None else rows.filter(F.col("first_load") == first_load)
 
 
-def advance(control: DataFrame, days: int = 1) -> DataFrame:
+def advance(control: DataFrame, days: int | Column = 1) -> DataFrame:
     """The rows to put back once their work is done."""
     return control.withColumns(
         {

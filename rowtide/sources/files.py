@@ -38,6 +38,37 @@ def read_changes_for_day(
     return reader.parquet(folder)
 
 
+DAY = "_day"
+
+
+def available_days(spark: SparkSession, root: str, database: str, table: str, first: dt.date, layout: str = "hive", most: int = 366) -> dict[dt.date, str]:
+    """Days from ``first`` on up to the first that has not been delivered, with their folders; one listing per month."""
+    base = f"{root.rstrip('/')}/{database}/{table}"
+    found: dict[dt.date, str] = {}
+    last = first + dt.timedelta(days=most)
+
+    def numbered(folder: str, part: str) -> dict[int, str]:
+        names = {n: n if layout == "plain" else n.removeprefix(f"{part}=") for n in files.child_names(spark, folder)}
+        return {int(x): f"{folder}/{n}" for n, x in sorted(names.items()) if x.isdigit()}
+
+    for year, in_year in numbered(base, "year").items():
+        for month, in_month in numbered(in_year, "month").items() if first.year <= year <= last.year else ():
+            if (first.year, first.month) <= (year, month) <= (last.year, last.month):
+                found |= {dt.date(year, month, day): f for day, f in numbered(in_month, "day").items()}
+    out = {}
+    while len(out) < most and (day := first + dt.timedelta(days=len(out))) in found:
+        out[day] = found[day]
+    return out
+
+
+def read_changes_for_days(spark: SparkSession, days: dict[dt.date, str], schema: T.StructType | None = None) -> DataFrame:
+    """Days of change files (``available_days``) in one scan, with the day of each row as ``_day``."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+    rows = reader.parquet(*days.values())
+    parts = [F.regexp_extract("_metadata.file_path", r"(\d+)/(?:month=)?(\d+)/(?:day=)?(\d+)/[^/]*$", n).cast("int") for n in (1, 2, 3)]
+    return rows.withColumn(DAY, F.make_date(*parts))
+
+
 def _day_folder(spark: SparkSession, base: str, day: dt.date) -> str | None:
     """``base/year=y/month=m/day=d``, however its numbers are padded."""
     for part, wanted in (("year", day.year), ("month", day.month), ("day", day.day)):

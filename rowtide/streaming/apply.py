@@ -63,12 +63,13 @@ class ChangeApplier:
     skip: frozenset[Name] = frozenset()  # which the other stream then leaves out
     extras: tuple[str, ...] = ()  # further top-level event fields to keep as text columns
     label: str = STREAM_LABEL
-    prefix: str = DATABASE_PREFIX
+    prefix: str | None = DATABASE_PREFIX  # None: tables are not shown in the catalog
     name: str = "changes"  # streams that share a root need names of their own
     batch_offset: int = 0  # raise it above the last batch when a checkpoint starts anew
     time_unit: str = "ms"  # what a bare number in date_action counts
     compact_after: int = 20  # merges of a table until its changes are folded into its rows
     together_rows: int = 100_000  # tables with fewer rows in a batch share its jobs; 0: each has jobs of its own
+    rest: str | None = None  # a column for the fields that the catalog lacks, as JSON text; tables then have jobs of their own
     _lakes: dict[TableSpec, LakeTable] = field(default_factory=dict)
     _unregistered: list[Name] = field(default_factory=list)
     _lost: dict[Name, int] = field(default_factory=dict)
@@ -149,7 +150,7 @@ class ChangeApplier:
             strangers = small_frame(self.spark, [n for n in keys if n not in known], NAME)
             rows = staged.filter(F.col(_OK)).join(strangers, ["schema", "table"], "left_semi")
             self._quarantine(rows, "no_catalog", None, batch_id)
-        small = [t for n, t in known.items() if counts[n] <= self.together_rows and self._fits(t)]
+        small = [t for n, t in known.items() if counts[n] <= self.together_rows and self.rest is None and self._fits(t)]
         shared = [g for g in groups(small, self._keep) if len(g) > 1]
         single = known.keys() - {t.name for g in shared for t in g}
 
@@ -208,7 +209,7 @@ class ChangeApplier:
         missing = set(keys) - {row_column(c, self._keep) for c, _ in table.columns}
         if missing:
             raise LookupError(f"key columns {sorted(missing)} are not in the catalog")
-        typed = typed_events(tag_binlog(rows), table.columns, self.label, self._keep, lost=_LOST)
+        typed = typed_events(tag_binlog(rows), table.columns, self.label, self._keep, lost=_LOST, rest=self.rest)
         nulls = Observation()
         typed = typed.observe(nulls, F.count_if(any_null(keys)).alias("n"), F.sum(_LOST).alias("lost")).drop(_LOST)
         lake.merge(as_changes(typed, keys, STREAM_ORDER, batch_id), batch_id)
@@ -226,7 +227,7 @@ class ChangeApplier:
         """What follows a merge: compaction where it is due, and the catalog."""
         if len(table.lake.change_folders()) >= self.compact_after:
             table.lake.compact()
-        if table.lake.schema is not None:
+        if self.prefix is not None and table.lake.schema is not None:
             self._register(table.lake)
 
     def _register(self, lake: LakeTable) -> None:

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.functions.casting import MYSQL_TYPES, TypeRules
+from rowtide.frames import small_frame
 from rowtide.functions.dates import add_days_text
 from rowtide.operators import events as ev
 from rowtide.operators import latest as lt
 from rowtide.operators import merge as mg
 from rowtide.operators import typed as ty
+from rowtide.operators.drift import drifted_columns as drifted
 from rowtide.plans.batch import BatchJob, control_table, put_control, run_batch, run_days
 from rowtide.session import configure, shared_dir
 from rowtide.sinks.metrics import batch_metrics, read_metrics
@@ -28,6 +30,7 @@ from rowtide.sources.files import read_changes_for_day, read_snapshot, write_cha
 from rowtide.spec import ARRIVAL, EVENT_ORDER, STREAM_ORDER, TableSpec
 from rowtide.streaming.apply import ChangeApplier
 from rowtide.streaming.job import run_available
+from rowtide.streaming.replay import open_rejects, replay_rejects
 from rowtide.workload import changelog as cl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -585,6 +588,38 @@ def compact_table(spark, sf):
     return LakeTable(spark, lake.root.removesuffix(f"/tables/{spec.database}/{spec.table}"), spec).read()
 
 
+def _often_merged(spark, sf, merges=20, compact_at=()):
+    """The orders under line items that come in many merges, each with keys of every bucket."""
+    keys = ("o_orderkey",)
+    lake = LakeTable(spark, shared_dir(spark, "often"), TableSpec(cl.SCHEMA, "orders_often", keys, _CHANGE_ORDER, 8))
+    lake.bulk_load(order_rows(spark, sf))
+    lines = line_rows(spark, sf)
+    part = F.pmod(F.xxhash64("part", "position"), F.lit(merges))
+    for n in range(merges):
+        lake.merge(mg.as_changes(lines.filter(part == n), keys, _CHANGE_ORDER, n + 1), n + 1)
+        if n in compact_at:
+            lake.compact()
+    return lake
+
+
+@query("merge_table_many_merges", _MERGED_EVENT_ORDER)
+def merge_table_many_merges(spark, sf):
+    """Twenty merges of scattered keys, then one read that lays their reduced changes over the rows."""
+    return _often_merged(spark, sf).read()
+
+
+@query("merge_table_compacted_between", _MERGED_EVENT_ORDER)
+def merge_table_compacted_between(spark, sf):
+    """Compaction by bucket in the midst of merges."""
+    return _often_merged(spark, sf, 6, (1, 4)).read()
+
+
+@query("registered_after_merges", _MERGED_EVENT_ORDER)
+def registered_after_merges(spark, sf):
+    """The same rows by the name in the catalog."""
+    return spark.table(_often_merged(spark, sf, 4).register("often_"))
+
+
 @query("catalog_register", "select o_orderkey, o_custkey, o_totalprice, o_orderdate from orders")
 def catalog_register(spark, sf):
     rows = cl.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
@@ -731,6 +766,68 @@ def fanout_tables(spark, sf):
     )
 
 
+_MANY = 200
+
+
+@query(
+    "many_tables",
+    f"""select "table", id, date_action, log_position, value from (
+            select *, row_number() over (partition by "table", id order by date_action desc, log_position desc) as rn
+            from (select * replace ('t' || (log_position % {_MANY}) as "table") from ({cl.ACTIVITY})))
+        where rn = 1 and log_type <> 'DeleteRowsEvent'""",
+)
+def many_tables(spark, sf):
+    """The events dealt over two hundred small tables, applied as one batch."""
+    root = shared_dir(spark, "many")
+    rows = cl.activity(spark, sf).withColumn("table", F.concat(F.lit("t"), F.pmod("log_position", F.lit(_MANY))))
+    names = rows.select("schema", "table").distinct()
+    control = names.select(F.col("schema").alias("database"), "table", F.lit("id").alias("table_id"))
+    catalog = cl.declared_catalog(names)
+    applier = ChangeApplier(spark, root, lambda: control, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=1, prefix=None)
+    applier(cl.event_text(rows, ["id", "value"]), 0)
+    specs = [TableSpec(cl.SCHEMA, r["table"], ("id",), buckets=1) for r in names.collect()]
+    return _read_tables(spark, root, specs).select("table", "id", "date_action", "log_position", "value")
+
+
+@query(
+    "drifted_columns",
+    f"""select 'shop' as "schema", "table", 'kind' as "column", count(*) as n_events, 'STRING' as seen_type
+        from ({cl.ACTIVITY}) where event_type is not null group by "table"
+        union all
+        select 'shop', "table", 'size', count(*), 'BIGINT' from ({cl.ACTIVITY}) where log_position % 3 = 0 group by "table" """,
+)
+def drifted_columns(spark, sf):
+    """Fields that the catalog does not list yet, as the events bring them."""
+    rows = cl.activity(spark, sf).withColumns({"kind": F.col("event_type"), "size": F.expr("if(log_position % 3 = 0, 1000 + log_position, null)")})
+    parsed = ev.accepted(ev.parse_events(cl.event_text(rows, ["id", "value", "kind", "size"]), time_type=NTZ, values=T.StringType()))
+    return drifted(parsed, cl.declared_catalog(rows.select("schema", "table").distinct()))
+
+
+@query(
+    "quarantine_replay",
+    f"""select 'table' as what, "table", count(*) as n from ({_LAST_ACTIVITY}) where rn = 1 and log_type <> 'DeleteRowsEvent' group by "table"
+        union all
+        select 'sent', 'profiles', count(*) from ({cl.ACTIVITY}) where "table" = 'profiles'
+        union all
+        select 'open', 'none', 0""",
+)
+def quarantine_replay(spark, sf):
+    """Events of a table that is registered late: rejected, then sent once more, then settled."""
+    root = shared_dir(spark, "replayed")
+    rows = cl.activity(spark, sf)
+    names = rows.select("schema", "table").distinct()
+    early, catalog = cl.registry(names), cl.declared_catalog(names)
+    late = names.select(F.col("schema").alias("database"), "table", F.lit("id").alias("table_id"))
+    ChangeApplier(spark, root, lambda: early, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=4, prefix="late_")(cl.event_text(rows, ["id", "value"]), 0)
+    again = ChangeApplier(spark, root, lambda: late, lambda: catalog, EVENT_ORDER, SPARK_TYPES, NTZ, default_buckets=4, prefix="late_", name="replay")
+    sent = replay_rejects(again)
+    replay_rejects(again)
+    left = open_rejects(spark, again.quarantine_path, f"{root}/replay/replay").count()
+    counts = _read_tables(spark, root, _activity_specs()).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    report = small_frame(spark, [("sent", "profiles", sent), ("open", "none", left)], T.StructType([T.StructField("what", T.StringType()), T.StructField("table", T.StringType()), T.StructField("n", T.LongType())]))
+    return counts.select(F.lit("table").alias("what"), "table", "n").unionByName(report)
+
+
 @query(
     "quarantine_sink",
     f"""select 'no_key' as reason, 'shop' as "schema", 'profiles' as "table", count(*) as n_rows
