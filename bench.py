@@ -27,6 +27,8 @@ HEADLINE = [
     "merge_arrival",
     "merge_stored_event_order",
     "merge_table_event_order",
+    "merge_table_compacted_between",
+    "registered_after_merges",
     "snapshot_load",
     "fanout_tables",
     "stream_replay",

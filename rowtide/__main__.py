@@ -32,12 +32,15 @@ def names(items: list[str]) -> frozenset[tuple[str, str]]:
     return frozenset(tuple(item.split(".", 1)) for item in items)
 
 
+DEFAULT_NAME = "rowtide"
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rowtide")
     commands = top.add_subparsers(dest="command", required=True)
 
     common = argparse.ArgumentParser(add_help=False)
-    common.add_argument("--name", default="rowtide", help="application name")
+    common.add_argument("--name", default=DEFAULT_NAME, help="application name")
     common.add_argument("--root", required=True, help="folder of the lake tables")
     common.add_argument("--control-root", help="folder of the control table; default: --root")
     common.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="Spark setting")
@@ -68,6 +71,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--only", action="append", default=[], metavar="DB.TABLE", help="apply these tables only")
     stream.add_argument("--skip", action="append", default=[], metavar="DB.TABLE", help="leave these to another stream")
 
+    stream.add_argument("--compact-after", type=int, default=20, help="merges of a table until its changes are folded into its rows")
+
     batch = commands.add_parser("batch", parents=[common, job], help="snapshot and daily loads that are due")
     batch.add_argument("--snapshots", required=True, help="path with {database} and {table}")
     batch.add_argument("--changes", required=True, help="root of the daily change files")
@@ -95,6 +100,8 @@ def catalog(spark: SparkSession, args) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    if args.command == "stream" and (args.only or args.skip) and args.name == DEFAULT_NAME:
+        raise SystemExit("streams that share a root (--only, --skip) each need a --name")
     spark = build_session(args.name, **pairs(args.conf))
     control = control_table(spark, args.control_root or args.root)
     if args.command == "control":
@@ -119,6 +126,7 @@ def main(argv: list[str] | None = None) -> int:
         table_buckets(args.table_buckets), args.buckets, args.parallel, args.parse_tasks,
         args.on_error, names(args.only), names(args.skip),
         tuple(args.extra), name=args.name, batch_offset=args.batch_offset, time_unit=args.time_unit,
+        compact_after=args.compact_after,
     )
     source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:
