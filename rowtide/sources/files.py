@@ -47,14 +47,16 @@ def available_days(spark: SparkSession, root: str, database: str, table: str, fi
     found: dict[dt.date, str] = {}
     last = first + dt.timedelta(days=most)
 
-    def numbered(folder: str, part: str) -> dict[int, str]:
-        names = {n: n if layout == "plain" else n.removeprefix(f"{part}=") for n in files.child_names(spark, folder)}
-        return {int(x): f"{folder}/{n}" for n, x in sorted(names.items()) if x.isdigit()}
+    def numbered(folder: str, part: str) -> list[tuple[int, str]]:
+        """Folders with their numbers; two may have the same one, padded and not."""
+        names = [(n if layout == "plain" else n.removeprefix(f"{part}="), n) for n in files.child_names(spark, folder)]
+        return sorted((int(x), f"{folder}/{n}") for x, n in names if x.isdigit())
 
-    for year, in_year in numbered(base, "year").items():
-        for month, in_month in numbered(in_year, "month").items() if first.year <= year <= last.year else ():
+    for year, in_year in numbered(base, "year"):
+        for month, in_month in numbered(in_year, "month") if first.year <= year <= last.year else ():
             if (first.year, first.month) <= (year, month) <= (last.year, last.month):
-                found |= {dt.date(year, month, day): f for day, f in numbered(in_month, "day").items()}
+                for day, folder in numbered(in_month, "day"):
+                    found.setdefault(dt.date(year, month, day), folder)
     out = {}
     while len(out) < most and (day := first + dt.timedelta(days=len(out))) in found:
         out[day] = found[day]
