@@ -15,6 +15,7 @@ from rowtide.session import build_session
 from rowtide.sources.catalog import read_catalog, read_catalog_files
 from rowtide.sources.control import read_control
 from rowtide.sources.events import event_stream
+from rowtide.sources.shards import EARLIEST, FORMAT, LATEST, shard_stream
 from rowtide.spec import ARRIVAL, EVENT_ORDER
 from rowtide.streaming.apply import ChangeApplier
 from rowtide.streaming.job import BATCH_SECONDS, run_available, start_stream
@@ -57,9 +58,10 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--datetime-type", choices=["timestamp", "timestamp_ntz"], default="timestamp")
 
     stream = commands.add_parser("stream", parents=[common, job], help="apply a stream of row changes")
-    stream.add_argument("--format", required=True, help="streaming source, e.g. text, kafka")
+    stream.add_argument("--format", required=True, help=f"streaming source, e.g. text, kafka, {FORMAT} (a folder per shard below --path)")
     stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option")
     stream.add_argument("--path")
+    stream.add_argument("--start", choices=[LATEST, EARLIEST], default=LATEST, help=f"where a new stream begins, with --format {FORMAT}")
     stream.add_argument("--value", default="value", help="column that holds the event text")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", type=int, default=BATCH_SECONDS, help="seconds per batch; 0: what is there, then stop")
@@ -102,6 +104,8 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command == "stream" and (args.only or args.skip) and args.name == DEFAULT_NAME:
         raise SystemExit("streams that share a root (--only, --skip) each need a --name")
+    if args.command == "stream" and args.format == FORMAT and not args.path:
+        raise SystemExit(f"--format {FORMAT} needs a --path")
     spark = build_session(args.name, **pairs(args.conf))
     control = control_table(spark, args.control_root or args.root)
     if args.command == "control":
@@ -128,7 +132,10 @@ def main(argv: list[str] | None = None) -> int:
         tuple(args.extra), name=args.name, batch_offset=args.batch_offset, time_unit=args.time_unit,
         compact_after=args.compact_after,
     )
-    source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
+    if args.format == FORMAT:
+        source = shard_stream(spark, args.path, args.checkpoint, args.start)
+    else:
+        source = event_stream(spark, args.format, args.value, args.path, **pairs(args.option))
     if args.every == 0:
         run_available(source, applier, args.checkpoint, args.name)
     else:

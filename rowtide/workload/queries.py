@@ -27,6 +27,7 @@ from rowtide.sources import control as ct
 from rowtide.sources.catalog import normalise, read_catalog_files
 from rowtide.sources.events import event_stream, shard_union
 from rowtide.sources.files import read_changes_for_day, read_snapshot, write_changes_by_day
+from rowtide.sources.shards import EARLIEST, LATEST, shard_stream
 from rowtide.spec import ARRIVAL, EVENT_ORDER, STREAM_ORDER, TableSpec
 from rowtide.streaming.apply import ChangeApplier
 from rowtide.streaming.job import run_available
@@ -987,6 +988,47 @@ def stream_restart(spark, sf):
     return _read_tables(spark, f"{root}/lake", _activity_specs())
 
 
+def append_shards(spark, sf, path, third):
+    """A third of the days of the events, as the next segment of each of seven shards of a log."""
+    text = cl.event_text(cl.activity(spark, sf), ["id", "value"], ("batch", "log_position"))
+    rows = text.filter(F.pmod(F.unix_date("batch"), F.lit(3)) == third)
+    rows.select(F.pmod("log_position", F.lit(7)).alias("shard"), F.lit(f"{third:06}").alias("segment"), "value").write.mode("append").partitionBy(
+        "shard", "segment"
+    ).text(path)
+
+
+@query(
+    "shard_replay",
+    f"""select {_ACTIVITY_SHOWN}, 'Streaming' as "Action" from ({_LAST_ACTIVITY})
+        where rn = 1 and log_type <> 'DeleteRowsEvent'""",
+)
+def shard_replay(spark, sf):
+    """A sharded log from its earliest record, in three runs of the stream, each with a new segment of every shard."""
+    root = shared_dir(spark, "shards")
+    for third in range(3):
+        append_shards(spark, sf, f"{root}/log", third)
+        source = shard_stream(spark, f"{root}/log", f"{root}/checkpoint", EARLIEST)
+        run_available(source, _activity_applier(spark, f"{root}/lake", sf), f"{root}/checkpoint")
+    return _read_tables(spark, f"{root}/lake", _activity_specs())
+
+
+@query(
+    "shard_latest",
+    f"""select log_position, cast(log_position % 7 as varchar) as shard from ({cl.ACTIVITY})
+        where (batch - date '1970-01-01') % 3 > 0""",
+)
+def shard_latest(spark, sf):
+    """A sharded log from its latest record: what was there when the stream first ran is left out, all that follows isn't."""
+    root = shared_dir(spark, "shards")
+    for third in range(3):
+        append_shards(spark, sf, f"{root}/log", third)
+        source = shard_stream(spark, f"{root}/log", f"{root}/checkpoint", LATEST, split_bytes=1 << 20, where=True)
+        sink = source.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
+        sink.trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema("value string, shard string").parquet(f"{root}/out")
+    return rows.select(F.get_json_object("value", "$.log_position").cast("bigint").alias("log_position"), "shard")
+
+
 @query(
     "stream_metrics",
     f"""select 'numRecords' as name, cast(null as varchar) as "table", cast(count(*) as double) as total from ({cl.ACTIVITY})
