@@ -7,7 +7,14 @@ whose tree codes all its bytes shortest. Once the counts are frozen, the cost is
 bytes, so it is kept per run of bytes for all languages side by side and a text is scored by table look-ups.
 
 Trees are fitted on a bounded sample: about ``SAMPLE`` labelled texts of each language, picked by a hash of the id, whole
-texts, and in all at most ``ENTRIES`` of the most frequent runs. Only text and label of these rows are learnt.
+texts, and of each language its most frequent runs, an equal share of ``ENTRIES``. Only text and label of these rows are
+learnt.
+
+Which texts are no learnt language is measured: a tenth of the sample is left out of the fit and coded by its best trees. A
+language's bound is ``TIMES`` the median of these bits a byte, but never so low that one in a thousand of the texts left out
+would go. A text is rejected if its bits exceed the bound of its best language at every byte plus ``ALLOWED`` bits, so that
+short texts and those that hold a key, a link or a quotation stay. Labels that are wrong don't move the bound. A language
+with fewer than ``ENOUGH`` texts left out has the bound ``REJECT_BITS``.
 
 A text without letters, null or empty, is ``und`` with score 0, as is every text when nothing could be learnt. Equal
 code lengths go to the first language by name. A null id is never learnt from and counts as held out. Repeated rows are
@@ -22,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.blocks import blocks, text_of
@@ -33,8 +40,12 @@ ENTRIES = 1 << 20
 UNKNOWN = "und"
 BLOCK = 512 << 10
 RAW_BITS = 8.0
-#: Bits a byte at which a text is no learnt language: about what bytes cost that its tree has never seen.
+#: Bits a byte at which a text is no learnt language where nothing could be measured: what wholly unseen bytes cost.
 REJECT_BITS = 16.0
+LEFT_OUT = 0.1
+TIMES = 2.0
+ALLOWED = 1024.0
+ENOUGH = 30
 
 
 def held_out(doc_id: Column) -> Column:
@@ -104,6 +115,8 @@ class Trees:
     contexts: list[np.ndarray]
     escapes: list[np.ndarray]
     tables: list | None = None
+    #: Of each language the bits a byte above which a text is none of it.
+    bounds: np.ndarray | None = None
 
     def __getstate__(self):
         return self.__dict__ | {"tables": None}
@@ -129,15 +142,18 @@ class Trees:
         return out
 
 
-def sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """``lang, text`` of about ``per_language`` labelled rows of each language, chosen by a hash of the id."""
+def sample(docs: DataFrame, per_language: int, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """``lang, text`` of about ``per_language`` labelled rows of each language, chosen by a hash of the id.
+
+    ``low`` and ``high`` cut a part out of the sample; parts that don't overlap share no id.
+    """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     shares = {r["lang"]: per_language / max(r["n"], per_language) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
     if not shares:
         return labelled.select("lang", "text").limit(0)
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
     even = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return labelled.where(even < share).select("lang", "text")
+    return labelled.where((even >= share * low) & (even < share * high)).select("lang", "text")
 
 
 def run_counts(texts: DataFrame, order: int) -> DataFrame:
@@ -155,10 +171,17 @@ def run_counts(texts: DataFrame, order: int) -> DataFrame:
     return texts.mapInArrow(count, "lang string, run long, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE, entries: int = ENTRIES) -> Trees:
-    """Trees from ``doc_id, text, lang``; the driver gets at most ``entries`` counts."""
-    counts = run_counts(sample(docs, per_language), order)
-    best = counts.orderBy(F.desc("n"), "lang", "run").limit(entries).toArrow().combine_chunks()
+def frequent(counts: DataFrame, entries: int) -> DataFrame:
+    """Of each language its most frequent runs, an equal share of ``entries``; ties to the smaller run."""
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "run")))
+    languages = counts.agg(F.greatest(F.count_distinct("lang"), F.lit(1)).alias("languages"))
+    return ranked.join(F.broadcast(languages)).where(F.col("rank") * F.col("languages") <= entries).select("lang", "run", "n")
+
+
+def fit(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE, entries: int = ENTRIES, part: float = 1.0) -> Trees:
+    """Trees from ``doc_id, text, lang``, of the first ``part`` of the sample; the driver gets at most ``entries`` counts."""
+    counts = run_counts(sample(docs, per_language, 0.0, part), order)
+    best = frequent(counts, entries).toArrow().combine_chunks()
     languages = sorted(set(best.column("lang").to_pylist()))
     code = {x: i for i, x in enumerate(languages)}
     lang = np.array([code[x] for x in best.column("lang").to_pylist()], np.int64)
@@ -186,16 +209,51 @@ def fit(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE, entries
     return Trees(languages, order, known, full, contexts, escapes)
 
 
+def code_lengths(model: Trees, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of each lower-cased text and its bits in each language."""
+    bits = np.zeros((len(text), len(model.languages)))
+    for runs, inside in _runs(text, model.order):
+        some = np.diff(inside) > 0
+        bits[some] += np.add.reduceat(model.costs(runs), inside[:-1][some], axis=0, dtype=np.float64)
+    return np.asarray(pc.binary_length(pc.utf8_lower(text)), np.int64), bits
+
+
+def lettered(text: pa.Array) -> np.ndarray:
+    return np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool)
+
+
+def fit_bounded(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE, entries: int = ENTRIES) -> Trees:
+    """Trees of nine tenths of the sample, with the languages' bounds measured on the tenth left out."""
+    trees = fit(docs, order, per_language, entries, 1 - LEFT_OUT)
+    if not trees.languages:
+        return trees
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
+
+    def measure(batches):
+        for batch in batches:
+            for part in blocks(batch, limit=BLOCK):
+                text = part.column(1).filter(pa.array(lettered(part.column(1))))
+                size, bits = code_lengths(shared.value, text)
+                own = bits.argmin(1)
+                best = bits.min(1)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(best / size), pa.array((best - ALLOWED) / size)], names=["own", "best", "least"])
+
+    left = sample(docs, per_language, 1 - LEFT_OUT, 1.0).mapInArrow(measure, "own long, best double, least double")
+    measured = left.groupBy("own").agg(
+        F.count("*").alias("n"), (F.median("best") * TIMES).alias("times"), F.percentile("least", F.lit(0.999)).alias("least")
+    )
+    trees.bounds = np.full(len(trees.languages), REJECT_BITS)
+    for row in measured.where(F.col("n") >= ENOUGH).toLocalIterator():
+        trees.bounds[row.own] = min(REJECT_BITS, max(row.times, row.least))
+    return trees
+
+
 def score_texts(model: Trees, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each text the best language's place (the number of languages: unknown), its share and its bits a byte."""
-    known = np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool) & bool(model.languages)
+    known = lettered(text) & bool(model.languages)
     best, share, each = np.full(len(known), len(model.languages)), np.zeros(len(known)), np.zeros(len(known))
     if known.any():
-        text, bits = text.filter(pa.array(known)), np.zeros((known.sum(), len(model.languages)))
-        size = np.asarray(pc.binary_length(pc.utf8_lower(text)), np.int64)
-        for runs, inside in _runs(text, model.order):
-            some = np.diff(inside) > 0
-            bits[some] += np.add.reduceat(model.costs(runs), inside[:-1][some], axis=0, dtype=np.float64)
+        size, bits = code_lengths(model, text.filter(pa.array(known)))
         best[known] = bits.argmin(1)
         share[known] = 1 / np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000)).sum(1)
         each[known] = bits.min(1) / size
@@ -218,9 +276,10 @@ def identify(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a letter and takes some learnt language less than ``REJECT_BITS`` a byte; same columns.
+    """The rows whose text has a letter and is some learnt language by the bounds of the trees; same columns.
 
-    Where nothing could be learnt, every text with a letter stays.
+    Trees without bounds reject texts of ``REJECT_BITS`` a byte or more. Where nothing could be learnt, every text with a
+    letter stays.
     """
     place = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
@@ -228,9 +287,14 @@ def keep_known(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFra
     def keep(batches):
         for batch in batches:
             for part in blocks(batch, text_col, BLOCK):
-                text = pc.fill_null(part.column(place), "")
-                best, _, each = score_texts(shared.value, text)
-                known = best < len(shared.value.languages) if shared.value.languages else np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool)
-                yield part.filter(pa.array(known & (each < REJECT_BITS)))
+                model, text = shared.value, pc.fill_null(part.column(place), "")
+                best, _, each = score_texts(model, text)
+                known = best < len(model.languages) if model.languages else lettered(text)
+                stays = each < REJECT_BITS
+                if model.bounds is not None:
+                    size = np.maximum(np.asarray(pc.binary_length(pc.utf8_lower(text)), np.int64), 1)
+                    bound = np.append(model.bounds, REJECT_BITS)[best]
+                    stays &= (bound >= REJECT_BITS) | (each * size <= bound * size + ALLOWED)
+                yield part.filter(pa.array(known & stays))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from rowtide.llm.language_id import HashTable, Trees, fit, held_out, identify, keep_known
+from rowtide.llm.language_id import HashTable, Trees, fit, fit_bounded, frequent, held_out, identify, keep_known
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
 
 SF = "/root/testdata/sf0.01"
@@ -87,10 +87,41 @@ def test_kept_rows_and_columns(spark):
     assert same_rows([r for r in rows(kept) if r[0] == 8], [r for r in rows(odd) if r[0] == 8])
 
 
+def test_each_language_keeps_its_share_of_runs(spark):
+    counts = [("big", r, 1000 - r) for r in range(100)] + [("rare", r, 1) for r in range(100)]
+    kept = frequent(spark.createDataFrame(counts, "lang string, run long, n long"), 60).collect()
+    assert sorted((r.lang, r.run) for r in kept) == [(x, r) for x in ("big", "rare") for r in range(30)]
+
+
+def test_bounds_drop_noise_and_unlearnt_languages_and_keep_clean_documents(spark):
+    docs = table(spark, "documents", "/root/testdata/sf0.1")
+    trees = fit_bounded(docs)
+    assert len(trees.bounds) == 4 and (trees.bounds < 8).all()
+    assert keep_known(docs, trees).count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
+    rng = np.random.default_rng(5)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 600)) for _ in range(20)]
+    assert keep_known(docs_of(spark, list(enumerate(noise))), trees).count() == 0
+    # A key in a short text is no reason to reject it.
+    odd = docs_of(spark, [(1, "token: xK9vQ2mZ7rT4wB8nL1pS the and of in"), (2, "x"), (3, "")])
+    assert [r.doc_id for r in keep_known(odd, trees).orderBy("doc_id").collect()] == [1]
+    without = fit_bounded(docs.where("lang <> 'fr'"))
+    assert without.languages == ["de", "en", "es"]
+    long = docs.where((F.col("lang") == "fr") & (F.octet_length("text") > 1000))
+    assert keep_known(long, without).count() < 0.02 * long.count()
+    rest = docs.where("lang <> 'fr'")
+    assert keep_known(rest, without).count() == rest.where(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_too_few_texts_have_no_bound(spark):
+    docs = docs_of(spark, [(i, f"the text number {i}") for i in range(40)])
+    trees = fit_bounded(docs)
+    assert (trees.bounds == 16).all() and keep_known(docs, trees).count() == 40
+
+
 def test_nothing_to_learn(spark):
     odd = docs_of(spark, odd_texts(), None)
     trees = fit(odd)
-    assert isinstance(trees, Trees) and trees.languages == []
+    assert isinstance(trees, Trees) and trees.languages == [] == fit_bounded(odd).languages
     assert {r.lang_pred for r in identify(odd, trees).collect()} == {"und"}
     assert {4, 5, 6, 11} <= {r.doc_id for r in keep_known(odd, trees).collect()}
     assert rows(identify(docs_of(spark, []), fit(docs_of(spark, [])))) == []
