@@ -1,7 +1,10 @@
+import math
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from rowtide.llm.quality import fit, kth_largest, resample, weigh
+from rowtide.llm.quality import buckets_for, fit, kth_largest, resample, weigh
 from tests.llm.data import docs_of, odd_texts, rows, table, words
 
 SF = "/root/testdata/sf0.01"
@@ -63,3 +66,36 @@ def test_odd_texts(spark):
     assert len({r.selected for r in got if r.doc_id == 8}) == 1
     assert rows(resample(docs_of(spark, []), ids(spark, []))) == []
     assert len(rows(resample(docs_of(spark, odd_texts()), ids(spark, [])))) == len(odd_texts())
+
+
+def scrambled(x):
+    x &= (1 << 64) - 1
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    x = (x ^ x >> 27) * 0x94D049BB133111EB % (1 << 64)
+    return x ^ x >> 31
+
+
+def test_whole_operator_against_brute_force(spark):
+    texts = [(i, " ".join(words(30 + i % 7, i % 90, 40))) for i in range(1, 120)] + [(200, None), (201, "")]
+    targets, share, seed, buckets = range(1, 40), 0.3, 5, 1 << 24
+    grams = {i: Counter(w := (t or "").split()) + Counter(zip(w, w[1:])) for i, t in texts}
+    raw, target = (sum((g for i, g in grams.items() if i in among), Counter()) for among in (grams, targets))
+    total = [math.log(buckets + sum(c.values())) for c in (raw, target)]
+    weight = {i: sum(n * (math.log(1 + target[x]) - total[1] - math.log(1 + raw[x]) + total[0]) for x, n in g.items()) for i, g in grams.items()}
+    draw = {i: w - math.log(-math.log(((scrambled(i + scrambled(seed)) >> 11) + 0.5) / (1 << 53))) for i, w in weight.items()}
+    chosen = set(sorted(draw, key=draw.get)[-round(share * len(texts)) :])
+    got = resample(docs_of(spark, texts), ids(spark, targets), share, seed, buckets).collect()
+    assert np.allclose([r.log_weight for r in got], [weight[r.doc_id] for r in got], rtol=1e-5, atol=1e-4)
+    assert np.allclose([r.draw for r in got], [draw[r.doc_id] for r in got], rtol=1e-5, atol=1e-4)
+    assert {r.doc_id for r in got if r.selected} == chosen and len(got) == len(texts)
+
+
+def test_buckets_grow_with_the_texts(spark):
+    number = [buckets_for(docs_of(spark, [(i, "x" * size) for i in range(4)])) for size in (1, 1 << 18, 1 << 20, 1 << 22)]
+    assert number[0] == 16 and number[1] == 1 << 12 and number[2] == 1 << 13 and number[3] == 1 << 14
+    assert buckets_for(docs_of(spark, [])) == 16
+
+
+def test_rows_without_an_id_draw_by_their_text(spark):
+    got = resample(docs_of(spark, [(None, "a b"), (None, "c d"), (None, "a b")]), ids(spark, []), 0.5).collect()
+    assert len({r.draw for r in got}) == 2
