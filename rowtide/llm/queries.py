@@ -18,7 +18,7 @@ from rowtide.llm.near_dedup import near_duplicates
 from rowtide.llm.neighbours import nearest
 from rowtide.llm.quality import resample
 from rowtide.llm.quality_rules import quality_rules
-from rowtide.llm.secret_scan import find_secrets
+from rowtide.llm.secret_scan import find_secrets, learn_words
 from rowtide.llm.token_counts import token_counts
 from rowtide.llm.warc import read_archives, write_archives
 from rowtide.session import shared_dir
@@ -260,7 +260,8 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_secrets(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return find_secrets(docs, words=learn_words(docs))
 
 
 @query()

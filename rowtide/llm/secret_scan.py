@@ -7,6 +7,12 @@ kind ``guess`` unless a pattern's span already covers it whole. A value begins b
 another value, and ends at a blank, at its closing quote or, without quotes, at a ``&``, ``,`` or ``;`` before a next key.
 Offsets are code points, ends exclusive.
 
+The dictionary has two parts: a fixed list, and the words of the scanned texts themselves (``learn_words``): every run of
+letters a to z that at least ``LEAST_DOCS`` rows hold and at least one row in ``ONE_IN``, ranked by the rows that hold it.
+A share of the rows means the same at every size and bounds the dictionary: it has at most ``ONE_IN`` times as many words
+as a row has different words on average. The lower of a word's two ranks counts. A value that the corpus repeats that often thereby is a known word; the
+patterns are not touched by it.
+
 A null text is an empty one; a null id stays null; repeated rows are scanned one by one; an empty table gives no rows;
 other columns are not read. A value of any length is segmented as a whole, in time about in proportion to its length.
 """
@@ -16,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +55,43 @@ iloveyou hello freedom whatever trust hunter summer winter spring autumn monday
 server service account token key access api client data base change reset required expired invalid must should not""".split()
 
 MIN_GUESSES = 10.0
-_RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(WORDS))}
-_LONGEST = max(map(len, _RANK))
+LEAST_DOCS = 10
+ONE_IN = 10_000
+LONGEST = 24
 _LEET = str.maketrans("@4301!$57", "aaeoiisst")
 _DATE = re.compile(r"(?:19|20)\d\d[-/.]?\d\d[-/.]?\d\d|\d\d?[-/.]\d\d?[-/.](?:19|20)\d\d|(?:19|20)\d\d")
 _STEPS = {x for w in WALKS for v in (w, w[::-1]) for x in zip(v, v[1:])}
 
 
+@dataclass(frozen=True)
+class Words:
+    """Ranks of known words (from 1, most frequent first) and the length of the longest."""
+
+    rank: dict[str, int]
+    longest: int
+
+    @classmethod
+    def of(cls, ranked: list[str]) -> Words:
+        """The given words in their order, beside the fixed list."""
+        rank = {w: i + 1 for i, w in enumerate(dict.fromkeys(WORDS))}
+        for i, w in enumerate(ranked):
+            rank[w] = min(i + 1, rank.get(w, i + 1))
+        return cls(rank, max(map(len, rank)))
+
+
+FIXED = Words.of([])
+
+
+def learn_words(docs: DataFrame, text_col: str = "text", least_docs: int = LEAST_DOCS, one_in: int = ONE_IN) -> Words:
+    """The words of 3 to ``LONGEST`` letters that enough rows hold, most rows first, ties by name; counted over all rows."""
+    texts = docs.select(F.lower(F.col(text_col).cast("string")).alias("text"))
+    held = texts.select(F.explode(F.array_distinct(F.split("text", "[^a-z]+"))).alias("word"))
+    counted = held.where(F.length("word").between(3, LONGEST)).groupBy("word").agg(F.count("*").alias("n"))
+    least = max(least_docs, docs.count() / one_in)
+    known = counted.where(F.col("n") >= least).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return Words.of(known.column("word").to_pylist())
+
+
 def _alphabet(piece: str) -> int:
     kinds = [(str.isdigit, 10), (str.islower, 26), (str.isupper, 26)]
     size = sum(n for f, n in kinds if any(map(f, piece)))
@@ -73,8 +110,9 @@ def _nearest(starts: list[int], best: list[float], j: int) -> float:
     return least
 
 
-def guesses(value: str) -> float:
+def guesses(value: str, words: Words = FIXED) -> float:
     """log10 of the guesses that the cheapest segmentation needs."""
+    ranks = words.rank
     n, low = len(value), value.lower()
     plain = low.translate(_LEET)
     letter = math.log10(_alphabet(value))
@@ -93,8 +131,8 @@ def guesses(value: str) -> float:
             walk = j - 1
             walks.clear()
         best[j] = best[j - 1] + letter
-        for i in range(max(0, j - _LONGEST), j):
-            rank = _RANK.get(low[i:j]) or _RANK.get(plain[i:j])
+        for i in range(max(0, j - words.longest), j):
+            rank = ranks.get(low[i:j]) or ranks.get(plain[i:j])
             if rank and j - i > 1:
                 twist = (value[i:j] != low[i:j]) + (plain[i:j] != low[i:j])
                 best[j] = min(best[j], best[i] + math.log10(rank + 1) + twist * math.log10(4))
@@ -121,7 +159,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]], least: float = MIN_GUESSES) -> list[tuple[int, int, int]]:
+def guess_spans(text: str, base: list[tuple[int, int, int]], least: float = MIN_GUESSES, words: Words = FIXED) -> list[tuple[int, int, int]]:
     """Values in a credential's context that are costly to guess and that no pattern has found."""
     low = text.lower()
     if not any(m in low for m in MARKS):
@@ -138,7 +176,7 @@ def guess_spans(text: str, base: list[tuple[int, int, int]], least: float = MIN_
         if len(value) < 6 or end == judged or any(s <= start and end <= e for s, _, e in base):
             continue
         judged = end
-        if guesses(value) >= least:
+        if guesses(value, words) >= least:
             found.append((start, 3, end))
     return found
 
@@ -147,20 +185,21 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def scan(text: str, least: float = MIN_GUESSES) -> tuple[list, list]:
+def scan(text: str, least: float = MIN_GUESSES, words: Words = FIXED) -> tuple[list, list]:
     """The patterns' spans, and these with the values found by guess cost, both by start and kind."""
     base = base_spans(text)
-    return base, sorted(base + guess_spans(text, base, least))
+    return base, sorted(base + guess_spans(text, base, least, words))
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = MIN_GUESSES) -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = MIN_GUESSES, words: Words = FIXED) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans`` of each row."""
+    known = docs.sparkSession.sparkContext.broadcast(words)
     schema = "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string"
 
     def find(batches):
         for batch in batches:
             for part in blocks(batch):
-                found = [scan(t or "", least) for t in part.column(1).to_pylist()]
+                found = [scan(t or "", least, known.value) for t in part.column(1).to_pylist()]
                 n = np.array([[sum(k == kind for _, k, _ in every) for kind in range(4)] for _, every in found], np.int64).reshape(-1, 4)
                 digests = [hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found]
                 yield pa.RecordBatch.from_arrays(
@@ -172,14 +211,15 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(find, schema)
 
 
-def mask_secrets(docs: DataFrame, text_col: str = "text", least: float = MIN_GUESSES) -> DataFrame:
+def mask_secrets(docs: DataFrame, text_col: str = "text", least: float = MIN_GUESSES, words: Words = FIXED) -> DataFrame:
     """The same rows and columns with each found span overwritten by ``[SECRET]`` (overlapping spans by one)."""
+    known = docs.sparkSession.sparkContext.broadcast(words)
 
     def mask(text: str | None) -> str | None:
         if text is None:
             return None
         out, at = [], 0
-        for start, _, end in scan(text, least)[1]:
+        for start, _, end in scan(text, least, known.value)[1]:
             if start >= at:
                 out += [text[at:start], "[SECRET]"]
             at = max(at, end)

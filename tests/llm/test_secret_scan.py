@@ -5,7 +5,7 @@ import re
 import time
 
 from rowtide.llm import secret_scan
-from rowtide.llm.secret_scan import base_spans, find_secrets, guess_spans, guesses, mask_secrets, scan
+from rowtide.llm.secret_scan import FIXED, base_spans, find_secrets, guess_spans, guesses, learn_words, mask_secrets, scan
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
 
 
@@ -108,7 +108,7 @@ def test_nested_credential_words_take_time_in_proportion():
     assert time.perf_counter() - began < 20
 
 
-def guesses_brute(value):
+def guesses_brute(value, words=secret_scan.FIXED):
     """Every segmentation's pieces, each start tried for each end."""
     low, n = value.lower(), len(value)
     plain, letter = low.translate(secret_scan._LEET), math.log10(secret_scan._alphabet(value))
@@ -118,7 +118,7 @@ def guesses_brute(value):
         best[j] = best[j - 1] + letter
         for i in range(j):
             w, costs = low[i:j], []
-            rank = secret_scan._RANK.get(w) or secret_scan._RANK.get(plain[i:j])
+            rank = words.rank.get(w) or words.rank.get(plain[i:j])
             if rank and j - i > 1:
                 costs.append(math.log10(rank + 1) + ((value[i:j] != w) + (plain[i:j] != w)) * math.log10(4))
             if (i, j) in dates:
@@ -137,9 +137,38 @@ def test_long_values_have_their_cheapest_segmentation():
     for n in (3, 8, 20, 40):
         for _ in range(15):
             value = "".join(rng.choice(parts) for _ in range(n))
-            assert math.isclose(guesses(value), guesses_brute(value), rel_tol=1e-9), value
+            for known in (secret_scan.FIXED, secret_scan.Words.of(["zxaaaa", "wertyp", "the"])):
+                assert math.isclose(guesses(value, known), guesses_brute(value, known), rel_tol=1e-9), value
     assert guesses("-" * 300) < 4.1 and guesses("*" * 70) < 4
     assert scan("login: " + "-" * 200)[1] == [] == scan("token: " + "*" * 300)[1]
     began = time.perf_counter()
     assert guesses("asdf" * 25_000 + "-" * 100_000) > 4
     assert time.perf_counter() - began < 30
+
+
+PROSE = [
+    "login is impossible today",
+    "auth: authentication failed",
+    "the password is unbelievably important, said the administrator",
+    "pin: pronunciation; token is responsibility",
+    "pass: photosynthesis",
+]
+
+
+def test_words_are_learnt_by_the_rows_that_hold_them(spark):
+    texts = [(i, "alpha alpha Beta" + (" gamma's" if i % 2 else "") + (" rare" if i < 9 else "")) for i in range(30)] + [(None, None), (40, ""), (41, "x" * 50 + " of")]
+    got = learn_words(docs_of(spark, texts)).rank
+    assert [got[w] for w in ("alpha", "beta", "gamma")] == [1, 2, 3] and not {"rare", "x" * 50, "s", ""} & set(got)
+    assert got["the"] == 1 and got["of"] == FIXED.rank["of"]
+    assert learn_words(docs_of(spark, [])) == FIXED
+    assert "alpha" not in learn_words(docs_of(spark, texts), one_in=1).rank  # 30 of 33 rows are not every row
+
+
+def test_prose_has_no_spans_and_secrets_stay_found(spark):
+    secret = (100, "the passphrase is vR7#kQ2!mZx9 and pwd: kqzvbxwjtr")
+    docs = docs_of(spark, [(i, PROSE[i % 5]) for i in range(50)] + [secret])
+    assert any(scan(t)[1] for t in PROSE)
+    words = learn_words(docs)
+    assert {r.spans for r in find_secrets(docs, words=words).where("doc_id < 100").collect()} == {""}
+    assert [r.text for r in mask_secrets(docs, words=words).where("doc_id = 100").collect()] == ["the passphrase is [SECRET] and pwd: [SECRET]"]
+    assert sorted(r.text for r in mask_secrets(docs, words=words).where("doc_id < 100").collect()) == sorted(PROSE * 10)
