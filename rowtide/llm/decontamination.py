@@ -6,6 +6,9 @@ candidate start, and each further list keeps those that have its term at the off
 all words of the window stand there in order. Which terms are rare is counted over all documents. Postings of a first
 term carry the words around them, so that the last comparison reads no text again.
 
+With ``near``, proximity matches are counted beside the phrases: places of a window's rarest term with all other words of
+the window within ``words - 1`` words of it, in any order. They are read off the same postings.
+
 Terms are 64-bit hashes of lower-cased words. The vocabulary of the tests reaches the tasks in blocks of at most
 ``BLOCK_TERMS`` terms (8 bytes each); a larger one takes more passes over the documents.
 
@@ -161,6 +164,14 @@ def occurrences(index: DataFrame, windows: DataFrame, words: int = WORDS, lists:
     return found.select("window", "doc_id", "at", F.size("terms").alias("n")).distinct()
 
 
+def proximity(index: DataFrame, windows: DataFrame) -> DataFrame:
+    """``window, doc_id, at``: postings of a window's rarest term (``rarest_terms``) that have all its words around them."""
+    asked = windows.select("window", "terms", "rare", F.col("rare")[0]["term"].alias("term"))
+    found = index.where(F.col("around").isNotNull()).join(asked, "term")
+    second = F.coalesce(F.array_contains("around", F.get("rare", F.lit(1))["term"]), F.lit(True))
+    return found.where(second & (F.size(F.array_except("terms", "around")) == 0)).select("window", "doc_id", "at").distinct()
+
+
 def near_terms(index: DataFrame, terms: list[int], span: int) -> DataFrame:
     """Proximity: ``doc_id, at``: places from where ``span`` words hold all the terms, in any order (``index`` of all of them)."""
     asked = index.where(F.col("term").isin(terms)).select("doc_id", "at", "term")
@@ -168,13 +179,13 @@ def near_terms(index: DataFrame, terms: list[int], span: int) -> DataFrame:
     return asked.withColumn("n", F.size(F.collect_set("term").over(ahead))).where(F.col("n") == len(set(terms))).select("doc_id", "at").distinct()
 
 
-def contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS) -> DataFrame:
-    """Per document ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
+def contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS, near: bool = False) -> DataFrame:
+    """Per document ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``, with ``near`` also ``n_near_items``.
 
     A word inside any occurrence of a window is hit; a document is contaminated when ``share * n_hit >= n_words > 0``
-    with at least one hit.
+    with at least one hit. ``n_near_items`` counts the items with a proximity match, which decides nothing.
     """
-    return _judged(_rows(docs, doc_id, doc_text), tests, F.sum, words, lists, share, item_id, item_text, limit)
+    return _judged(_rows(docs, doc_id, doc_text), tests, F.sum, words, lists, share, item_id, item_text, limit, near)
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text"):
@@ -182,16 +193,16 @@ def row_key(id_col: str = "doc_id", text_col: str = "text"):
     return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
 
 
-def judged_rows(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS) -> DataFrame:
+def judged_rows(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS, near: bool = False) -> DataFrame:
     """As ``contamination``, per distinct row: ``row_key`` in place of ``doc_id``."""
     rows = docs.select(row_key(doc_id, doc_text).alias("id"), F.col(doc_text).cast("string").alias("text"))
-    return _judged(rows, tests, F.max, words, lists, share, item_id, item_text, limit).withColumnRenamed("doc_id", "row_key")
+    return _judged(rows, tests, F.max, words, lists, share, item_id, item_text, limit, near).withColumnRenamed("doc_id", "row_key")
 
 
-def row_contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS) -> DataFrame:
+def row_contamination(docs: DataFrame, tests: DataFrame, words: int = WORDS, lists: int = LISTS, share: int = SHARE, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = BLOCK_TERMS, near: bool = False) -> DataFrame:
     """As ``contamination``, but one result for each row, whether or not others have its id."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, doc_text).alias("row_key"))
-    return own.join(judged_rows(docs, tests, words, lists, share, doc_id, doc_text, item_id, item_text, limit), "row_key").drop("row_key")
+    return own.join(judged_rows(docs, tests, words, lists, share, doc_id, doc_text, item_id, item_text, limit, near), "row_key").drop("row_key")
 
 
 def without_contaminated(docs: DataFrame, tests: DataFrame, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
@@ -201,7 +212,12 @@ def without_contaminated(docs: DataFrame, tests: DataFrame, doc_id: str = "doc_i
     return docs.join(bad, row_key(doc_id, doc_text) == F.col(own), "left_anti")
 
 
-def _judged(rows: DataFrame, tests: DataFrame, size, words: int, lists: int, share: int, item_id: str, item_text: str, limit: int) -> DataFrame:
+def _items(places: DataFrame, windows: DataFrame) -> DataFrame:
+    """``doc_id, item_id`` of the windows that stand somewhere in a document."""
+    return places.select("doc_id", "window").distinct().join(windows.select("window", "item_id"), "window").select("doc_id", "item_id").distinct()
+
+
+def _judged(rows: DataFrame, tests: DataFrame, size, words: int, lists: int, share: int, item_id: str, item_text: str, limit: int, near: bool) -> DataFrame:
     """The columns of ``contamination`` for each id of ``id, text`` rows; ``size`` makes one word count of an id's several."""
     windows = written(item_windows(tests, item_id, item_text, words), "windows")
     vocabulary = windows.select(F.explode("terms").alias("term")).distinct()
@@ -214,8 +230,7 @@ def _judged(rows: DataFrame, tests: DataFrame, size, words: int, lists: int, sha
     end = F.col("at") + F.col("n")
     covered = F.greatest(F.lit(0), end - F.greatest("at", F.coalesce(F.max(end).over(before), F.lit(0))))
     hit = found.select("doc_id", "at", "n").distinct().withColumn("new", covered).groupBy("doc_id").agg(F.sum("new").alias("n_hit"))
-    items = found.select("doc_id", "window").distinct().join(windows.select("window", "item_id"), "window").select("doc_id", "item_id").distinct()
-    listed = items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list(F.col("item_id").cast("string"))), ",").alias("listed"))
+    listed = _items(found, windows).groupBy("doc_id").agg(F.count("*").alias("n_items"), F.array_join(F.sort_array(F.collect_list(F.col("item_id").cast("string"))), ",").alias("listed"))
     sizes = index.where(F.col("term").isNull()).groupBy("doc_id").agg(size("n_words").alias("n_words"))
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -223,11 +238,17 @@ def _judged(rows: DataFrame, tests: DataFrame, size, words: int, lists: int, sha
         return left.join(right, left.doc_id.eqNullSafe(right.own), "left").drop("own")
 
     n_hit, n_items = F.coalesce("n_hit", F.lit(0)).cast(T.LongType()), F.coalesce("n_items", F.lit(0))
-    return beside(beside(sizes, hit), listed).select(
+    judged = beside(beside(sizes, hit), listed)
+    close = []
+    if near:
+        judged = beside(judged, _items(proximity(index, rare), windows).groupBy("doc_id").agg(F.count("*").alias("n_near_items")))
+        close = [F.coalesce("n_near_items", F.lit(0)).alias("n_near_items")]
+    return judged.select(
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
         n_items.alias("n_items"),
         F.sha2(F.coalesce("listed", F.lit("")).cast("binary"), 256).alias("items_sha256"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
+        *close,
     )

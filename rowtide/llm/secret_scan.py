@@ -10,8 +10,8 @@ Offsets are code points, ends exclusive.
 The dictionary has two parts: a fixed list, and the words of the scanned texts themselves (``learn_words``): every run of
 letters a to z that at least ``LEAST_DOCS`` rows hold and at least one row in ``ONE_IN``, ranked by the rows that hold it.
 A share of the rows means the same at every size and bounds the dictionary: it has at most ``ONE_IN`` times as many words
-as a row has different words on average. The lower of a word's two ranks counts. A value that the corpus repeats that often thereby is a known word; the
-patterns are not touched by it.
+as a row has different words on average. The lower of a word's two ranks counts. A value that the corpus repeats that
+often thereby is a known word; the patterns are not touched by it.
 
 A null text is an empty one; a null id stays null; repeated rows are scanned one by one; an empty table gives no rows;
 other columns are not read. A value of any length is segmented as a whole, in time about in proportion to its length.

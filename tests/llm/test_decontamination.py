@@ -1,11 +1,14 @@
 import hashlib
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.frames import small_frame
-from rowtide.llm.blocks import written
+from rowtide.llm.blocks import ALNUM, text_of, word_hashes, written
 from rowtide.llm.decontamination import contamination, near_terms, postings, row_contamination
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table, words
 
@@ -117,3 +120,42 @@ def test_rows_that_share_an_id_or_have_none_are_judged_one_by_one(spark):
     got = rows(row_contamination(docs, tests))
     assert same_rows(got, brute(texts, [(7, " ".join(item))]))
     assert sum(r[5] for r in got) == 5
+
+
+def near_brute(docs, tests, n=13):
+    """Items with a window whose rarest word (postings, hash) has all the others within ``n - 1`` words of some place of it."""
+    every = [(doc, split(text)) for doc, text in docs]
+    known = sorted({x for _, w in every for x in w})
+    postings = {x: sum(w.count(x) for _, w in every) for x in known}
+    hashed = dict(zip(known, word_hashes(*text_of(pa.array(known)), ALNUM)[0].view(np.int64)))
+    out = {doc: set() for doc, _ in docs}
+    for item, text in tests:
+        w = split(text)
+        for i in range(max(1, len(w) - n + 1)) if w else ():
+            window = set(w[i : i + n])
+            if window <= set(known):
+                rarest = min(window, key=lambda x: (postings[x], hashed[x]))
+                for doc, d in every:
+                    if any(x == rarest and window <= set(d[max(0, k - n + 1) : k + n]) for k, x in enumerate(d)):
+                        out[doc].add(item)
+    return {doc: len(items) for doc, items in out.items()}
+
+
+def test_proximity_matches_beside_phrases(spark):
+    rng = random.Random(4)
+    texts, items = small()
+    items = [x for x in items if x[0] is not None]
+    for i in range(20, 60):
+        part = split(rng.choice(items[:3])[1])[:13] if i % 2 else words(13, i, 8)
+        rng.shuffle(part)
+        at = rng.randrange(len(part))
+        texts.append((i, " ".join(words(30, i) + part[:at] + words(i % 5, i) + part[at:] + words(30, i + 1))))
+    items.append((77, " ".join(words(13, 5, 8))))
+    got = contamination(docs_of(spark, texts), items_of(spark, items), near=True)
+    assert got.columns[-1] == "n_near_items"
+    want = near_brute(texts, items)
+    assert {r.doc_id: r.n_near_items for r in got.collect()} == want and len(set(want.values())) > 2
+    assert same_rows([r[:6] for r in rows(got)], brute(texts, items))
+    assert all(r.n_near_items >= r.n_items for r in got.collect())
+    alone = row_contamination(docs_of(spark, texts), items_of(spark, items), near=True)
+    assert {r.doc_id: r.n_near_items for r in alone.collect()} == want
