@@ -6,13 +6,12 @@ paid and the context loses its first byte; below the empty context every byte co
 whose tree codes all its bytes shortest. Once the counts are frozen, the cost is a function of the last ORDER + 1
 bytes, so it is kept per run of bytes for all languages side by side and a text is scored by table look-ups.
 
-Trees are fitted on a bounded sample: about ``SAMPLE`` labelled texts of each language, picked by a hash of the id, whole
-texts, and of each language its most frequent runs, an equal share of ``ENTRIES``. Only text and label of these rows are
-learnt.
+Trees are fitted on every labelled text that isn't held out: the runs of all of them are counted, and of each language its
+most frequent runs are kept, an equal share of ``ENTRIES``. Only text and label of these rows are learnt.
 
-Which texts are no learnt language is measured: a tenth of the sample is left out of the fit and coded by its best trees. A
-language's bound is ``TIMES`` the median of these bits a byte, but never so low that one in a thousand of the texts left out
-would go. A text is rejected if its bits exceed the bound of its best language at every byte plus ``ALLOWED`` bits, so that
+Which texts are no learnt language is measured: all labelled texts that are held out of the fit are coded by their best
+trees, and their bits a byte counted in steps of ``1 / STEPS`` bits. A language's bound is ``TIMES`` the median of these,
+but never so low that one in a thousand of the texts held out would go. A text is rejected if its bits exceed the bound of its best language at every byte plus ``ALLOWED`` bits, so that
 short texts and those that hold a key, a link or a quotation stay. Labels that are wrong don't move the bound. A language
 with fewer than ``ENOUGH`` texts left out has the bound ``REJECT_BITS``.
 
@@ -32,17 +31,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.blocks import blocks, text_of
+from rowtide.llm.blocks import blocks, text_of, written
 
 ORDER = 4
-SAMPLE = 3000
 ENTRIES = 1 << 20
+#: Counts of runs that a task holds before it gives them on.
+HELD = 1 << 20
 UNKNOWN = "und"
 BLOCK = 512 << 10
 RAW_BITS = 8.0
 #: Bits a byte at which a text is no learnt language where nothing could be measured: what wholly unseen bytes cost.
 REJECT_BITS = 16.0
-LEFT_OUT = 0.1
+STEPS = 1024
 TIMES = 2.0
 ALLOWED = 1024.0
 ENOUGH = 30
@@ -142,45 +142,84 @@ class Trees:
         return out
 
 
-def sample(docs: DataFrame, per_language: int, low: float = 0.0, high: float = 1.0) -> DataFrame:
-    """``lang, text`` of about ``per_language`` labelled rows of each language, chosen by a hash of the id.
+def labelled(docs: DataFrame, out: bool = False) -> DataFrame:
+    """``lang, text`` of all rows with both that may be learnt from, or with ``out`` of those held out."""
+    mine = held_out(F.col("doc_id")) if out else ~held_out(F.col("doc_id"))
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & mine).select("lang", "text")
 
-    ``low`` and ``high`` cut a part out of the sample; parts that don't overlap share no id.
-    """
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    shares = {r["lang"]: per_language / max(r["n"], per_language) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
-    if not shares:
-        return labelled.select("lang", "text").limit(0)
-    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
-    even = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return labelled.where((even >= share * low) & (even < share * high)).select("lang", "text")
+
+def _together(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Several counts of runs as one."""
+    run, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(run, kind="stable")
+    run, n = run[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
+    return run[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def run_counts(texts: DataFrame, order: int) -> DataFrame:
-    """``lang, run, n`` over all bytes of ``lang, text`` rows."""
+    """``lang, run, n`` over all bytes of ``lang, text`` rows; a task adds up at most about ``HELD`` counts before they go on."""
+
+    def given(held):
+        for lang, counts in held.items():
+            run, n = _together(counts)
+            for a in range(0, len(run), 1 << 16):
+                part = run[a : a + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(part)), pa.array(part), pa.array(n[a : a + (1 << 16)])], names=["lang", "run", "n"])
 
     def count(batches):
+        held, size = {}, 0
         for batch in batches:
             for part in blocks(batch, limit=BLOCK):
                 names = part.column(0)
                 for lang in pc.unique(names).to_pylist():
                     for runs, _ in _runs(part.column(1).filter(pc.equal(names, lang)), order):
                         run, n = np.unique(runs, return_counts=True)
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(run), pa.string()), pa.array(run.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "run", "n"])
+                        held.setdefault(lang, []).append((run, n.astype(np.int64)))
+                        size += len(run)
+                if size > HELD:
+                    held = {lang: [_together(counts)] for lang, counts in held.items()}
+                    size = sum(len(counts[0][0]) for counts in held.values())
+                if size > HELD // 2:
+                    yield from given(held)
+                    held, size = {}, 0
+        yield from given(held)
 
     return texts.mapInArrow(count, "lang string, run long, n long").groupBy("lang", "run").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, entries: int) -> DataFrame:
-    """Of each language its most frequent runs, an equal share of ``entries``; ties to the smaller run."""
-    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "run")))
-    languages = counts.agg(F.greatest(F.count_distinct("lang"), F.lit(1)).alias("languages"))
-    return ranked.join(F.broadcast(languages)).where(F.col("rank") * F.col("languages") <= entries).select("lang", "run", "n")
+def _reached(rows: DataFrame, by: Column, need: Column) -> DataFrame:
+    """``lang, at, left``: the value of ``by`` at which each language has ``need`` rows, from the least value on, and how many
+    are wanted of those with that value. Rows are counted by value first; a language with fewer rows isn't listed."""
+    counts = rows.groupBy("lang", by.alias("at")).agg(F.count("*").alias("rows"), F.max(need).alias("need"))
+    upto = F.sum("rows").over(Window.partitionBy("lang").orderBy("at"))
+    reached = counts.withColumn("upto", upto).where((F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("rows") < F.col("need")))
+    return reached.select("lang", "at", (F.col("need") - F.col("upto") + F.col("rows")).alias("left"))
 
 
-def fit(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE, entries: int = ENTRIES, part: float = 1.0) -> Trees:
-    """Trees from ``doc_id, text, lang``, of the first ``part`` of the sample; the driver gets at most ``entries`` counts."""
-    counts = run_counts(sample(docs, per_language, 0.0, part), order)
+def frequent(counts: DataFrame, entries: int) -> DataFrame:
+    """Of each language its most frequent runs, an equal share of ``entries``; ties to the smaller run.
+
+    Only counts of runs by their frequency, and of the last frequency's by their first bytes, are put in order: no task
+    sorts a language's runs.
+    """
+    share = entries // max(1, counts.agg(F.count_distinct("lang")).first()[0])
+    if not share:
+        return counts.select("lang", "run", "n").limit(0)
+    last = _reached(counts, -F.col("n"), F.lit(share)).withColumn("least", -F.col("at")).drop("at")
+    placed = counts.join(F.broadcast(last), "lang", "left")
+    tied = placed.where(F.col("n") == F.col("least"))
+    start = F.shiftright("run", 24)
+    open_ = tied.join(F.broadcast(_reached(tied, start, F.col("left")).withColumnRenamed("left", "few")), "lang")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("run"))
+    ends = open_.where(start == F.col("at")).withColumn("rank", rank).where(F.col("rank") <= F.col("few"))
+    parts = [placed.where(F.col("least").isNull() | (F.col("n") > F.col("least"))), open_.where(start < F.col("at")), ends]
+    return parts[0].select("lang", "run", "n").union(parts[1].select("lang", "run", "n")).union(parts[2].select("lang", "run", "n"))
+
+
+def fit(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Trees:
+    """Trees from all labelled rows of ``doc_id, text, lang`` that aren't held out; the driver gets at most ``entries`` counts."""
+    counts = written(run_counts(labelled(docs), order), "runs")
     best = frequent(counts, entries).toArrow().combine_chunks()
     languages = sorted(set(best.column("lang").to_pylist()))
     code = {x: i for i, x in enumerate(languages)}
@@ -222,9 +261,9 @@ def lettered(text: pa.Array) -> np.ndarray:
     return np.asarray(pc.match_substring_regex(text, r"\p{L}"), bool)
 
 
-def fit_bounded(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE, entries: int = ENTRIES) -> Trees:
-    """Trees of nine tenths of the sample, with the languages' bounds measured on the tenth left out."""
-    trees = fit(docs, order, per_language, entries, 1 - LEFT_OUT)
+def fit_bounded(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Trees:
+    """Trees of ``fit``, with the languages' bounds measured on all labelled texts that are held out of it."""
+    trees = fit(docs, order, entries)
     if not trees.languages:
         return trees
     shared = docs.sparkSession.sparkContext.broadcast(trees)
@@ -236,15 +275,20 @@ def fit_bounded(docs: DataFrame, order: int = ORDER, per_language: int = SAMPLE,
                 size, bits = code_lengths(shared.value, text)
                 own = bits.argmin(1)
                 best = bits.min(1)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(best / size), pa.array((best - ALLOWED) / size)], names=["own", "best", "least"])
-
-    left = sample(docs, per_language, 1 - LEFT_OUT, 1.0).mapInArrow(measure, "own long, best double, least double")
-    measured = left.groupBy("own").agg(
-        F.count("*").alias("n"), (F.median("best") * TIMES).alias("times"), F.percentile("least", F.lit(0.999)).alias("least")
-    )
+                steps = [np.clip(np.floor(x / size * STEPS), 0, REJECT_BITS * STEPS).astype(np.int64) for x in (best, best - ALLOWED)]
+                yield pa.RecordBatch.from_arrays([pa.array(own), *map(pa.array, steps)], names=["own", "best", "least"])
+
+    left = labelled(docs, out=True).mapInArrow(measure, "own long, best long, least long")
+    counts = left.groupBy("own", "best", "least").agg(F.count("*").alias("n"))
+    either = F.inline(F.array(*[F.struct(F.lit(x).alias("what"), F.col(x).alias("step")) for x in ("best", "least")]))
+    steps = counts.select("own", "n", either).groupBy("own", "what", "step").agg(F.sum("n").alias("n"))
+    each = Window.partitionBy("own", "what")
+    steps = steps.withColumns({"upto": F.sum("n").over(each.orderBy("step")), "of": F.sum("n").over(each)}).where(F.col("of") >= ENOUGH)
+    part = F.when(F.col("what") == "best", 0.5).otherwise(0.999)
+    edges = steps.where(F.col("upto") >= part * F.col("of")).groupBy("own").agg(*[F.min(F.when(F.col("what") == x, F.col("step") + 1)).alias(x) for x in ("best", "least")])
     trees.bounds = np.full(len(trees.languages), REJECT_BITS)
-    for row in measured.where(F.col("n") >= ENOUGH).toLocalIterator():
-        trees.bounds[row.own] = min(REJECT_BITS, max(row.times, row.least))
+    for row in edges.toLocalIterator():
+        trees.bounds[row.own] = min(REJECT_BITS, max(TIMES * row.best, row.least) / STEPS)
     return trees
 
 

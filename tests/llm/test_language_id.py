@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from rowtide.llm.language_id import HashTable, Trees, fit, fit_bounded, frequent, held_out, identify, keep_known
+from rowtide.llm.language_id import HashTable, Trees, fit, fit_bounded, frequent, held_out, identify, keep_known, run_counts
 from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
 
 SF = "/root/testdata/sf0.01"
@@ -133,3 +133,30 @@ def test_hash_table():
     found = HashTable(keys)
     assert (found.find(keys) == np.arange(len(keys))).all()
     assert (found.find(keys + np.uint64(1 << 63)) == -1).all()
+
+
+def test_every_labelled_text_is_learnt_and_every_held_out_one_measured(spark, monkeypatch):
+    """More texts a language than the 3000 that once were picked; the runs of each are counted, over several rounds of a task."""
+    from rowtide.llm import language_id as li
+
+    monkeypatch.setattr(li, "HELD", 64)
+    docs = spark.range(9000).selectExpr("id as doc_id", "concat('the number ', id) as text", "'en' as lang")
+    learnt = docs.where(~held_out(F.col("doc_id")))
+    assert learnt.count() > 4000
+    counts = li.written(run_counts(li.labelled(docs), 3), "runs")
+    assert counts.agg(F.sum("n")).first()[0] == learnt.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert counts.count() == counts.select("lang", "run").distinct().count()
+    got = {r.run: r.n for r in counts.collect()}
+    want = Counter(int.from_bytes(b[i - 3 : i + 1]) for r in learnt.collect() for b in [bytes(3) + r.text.encode()] for i in range(3, len(b)))
+    assert got == want
+    assert li.labelled(docs, out=True).count() == 9000 - learnt.count()
+    assert (fit_bounded(docs).bounds < 8).all()
+
+
+def test_ties_fall_to_the_smaller_run_of_all(spark):
+    rng = np.random.default_rng(3)
+    runs = {x: np.unique(rng.integers(0, 1 << 40, 3000)) for x in ("a", "b")}
+    counts = [(x, int(r), int(n)) for x, held in runs.items() for r, n in zip(held, rng.integers(1, 4, len(held)))] + [("c", 7, 1)]
+    kept = {tuple(r) for r in frequent(spark.createDataFrame(counts, "lang string, run long, n long"), 6000).collect()}
+    want = {r for x in ("a", "b", "c") for r in sorted((c for c in counts if c[0] == x), key=lambda c: (-c[2], c[1]))[:2000]}
+    assert kept == want
