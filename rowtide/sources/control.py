@@ -37,11 +37,18 @@ def advance(control: DataFrame, days: int | Column = 1) -> DataFrame:
     ).select(*[f.name for f in CONTROL])
 
 
+def stored_rows(rows: DataFrame, path: str) -> DataFrame:
+    """Few rows written down and read back, so that Spark's size check sees them and not the tables they are made from."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def key_lookup(rows: DataFrame, control: DataFrame, database: str = "schema", table: str = "table") -> DataFrame:
     """``rows`` with the ``table_id`` of their table, null where the table is not registered.
 
     No forced broadcast: Spark broadcasts the control rows only while they are below its own
-    size limit, and beyond it AQE splits the partition of a hot table.
+    size limit, and beyond it AQE splits the partition of a hot table. What that limit is held against is
+    Spark's estimate: control rows that are made from large tables go through ``stored_rows`` first.
     """
     ids = control.select(
         F.col("database").alias("_db"), F.col("table").alias("_tab"), F.col("table_id")

@@ -25,7 +25,7 @@ from rowtide.schemas import VALUES_MAP
 from rowtide.sinks.metrics import COUNT, append_metrics, metric_row
 from rowtide.sinks.quarantine import quarantine_rows, write_quarantine
 from rowtide.sinks.table import DATABASE_PREFIX, LakeTable
-from rowtide.sources.control import key_lookup
+from rowtide.sources.control import CONTROL_KEYS, key_lookup, stored_rows
 from rowtide.sources.events import spread
 from rowtide.spec import EVENT_ORDER, STREAM_ORDER, TableSpec, split_keys
 
@@ -36,6 +36,9 @@ _LOST = "_lost"
 _WHERE = "_where"  # registered tables only: names out of event text are no folders
 _PARTS = (_OK, _WHERE)
 _LISTED = ("schema", "table", "table_id")
+_SHARE = "_share"
+SHARES = 16  # parts in which a table's rows of a batch are dealt; small ones meet again in one task
+DIRECT_TABLES = 8  # up to so many registered tables, a batch in many splits is staged as it comes
 
 
 @dataclass
@@ -117,11 +120,15 @@ class ChangeApplier:
 
     def stage(self, batch: DataFrame, path: str) -> None:
         """Parsed batch as Parquet by table. ``rebalance`` splits the rows of a hot table over
-        several tasks and gives small tables one file each."""
+        several tasks and gives small tables one file each.
+
+        With few registered tables, a batch that comes in ``parse_tasks`` splits or more isn't moved at all: each task
+        keeps a file of every table open, and sorts only what goes beyond that many."""
         raw = spread(batch, self.parse_tasks)
         events = self._own(parse_events(raw, "value", self.time_type, self.extras, T.StringType(), self.time_unit))
         # Rows of unregistered tables leave with the other rejects: whatever names events hold, they are one write.
-        events = key_lookup(events, self.control())
+        control = stored_rows(self.control().select(*[F.col(c).cast("string") for c in (*CONTROL_KEYS, "table_id")]), f"{path}-control")
+        events = key_lookup(events, control)
         reason = F.coalesce(F.col(REASON), F.when(F.coalesce("table_id", F.lit("")) == "", "no_key"))
         events = events.withColumn(REASON, reason)
         keep_text = F.when(F.col(REASON).isNotNull(), F.col("value")).alias("value")
@@ -131,7 +138,12 @@ class ChangeApplier:
             ok.alias(_OK), F.when(ok, F.concat_ws(".", "schema", "table")).alias(_WHERE),
         )
         self._stage_schema = out.schema
-        out.hint("rebalance", *_PARTS).write.mode("overwrite").partitionBy(*_PARTS).parquet(path)
+        if self.parse_tasks is not None and raw is batch and control.count() <= DIRECT_TABLES:
+            _write_direct(out, path)
+        else:
+            dealt = out.withColumn(_SHARE, F.pmod(F.xxhash64("values", "value"), F.lit(SHARES)).cast("byte"))
+            _write_stage(dealt.hint("rebalance", *_PARTS, _SHARE).drop(_SHARE), path)
+        files.delete(self.spark, f"{path}-control")
 
     def _own(self, events: DataFrame) -> DataFrame:
         """Events of this stream's tables; what has no table belongs to the stream without ``only``."""
@@ -259,6 +271,21 @@ class ChangeApplier:
         append_metrics(self.spark, rows, self.metrics_path, self.name)
 
 
+def _write_stage(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*_PARTS).parquet(path)
+
+
+def _write_direct(rows: DataFrame, path: str) -> None:
+    """Without a sort by table: one open file for each, and one for the rejects."""
+    conf, name = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, DIRECT_TABLES + 1)
+    try:
+        _write_stage(rows, path)
+    finally:
+        conf.set(name, before)
+
+
 def _rows_of(staged: DataFrame, name: Name) -> DataFrame:
     """One table's rows; the partition is pruned, the names themselves decide."""
     part = F.col(_OK) & (F.col(_WHERE) == ".".join(name))

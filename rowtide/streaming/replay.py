@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowtide import files
 from rowtide.sinks.quarantine import read_quarantine
-from rowtide.sources.control import key_lookup
+from rowtide.sources.control import key_lookup, stored_rows
 from rowtide.streaming.apply import ChangeApplier
 
 # Reasons that another control table, catalog or store can do away with.
@@ -63,8 +63,12 @@ def replay_rejects(applier: ChangeApplier, reasons: Sequence[str] = CURABLE) ->
     number = next((n for n, done in rounds.items() if not done), max(rounds, default=-1) + 1)
     path = f"{folder}/round={number}"
     if not files.exists(spark, f"{path}/sent/_SUCCESS"):
-        rows = curable_rejects(open_rejects(spark, applier.quarantine_path, folder), applier.control(), applier.catalog(), reasons)
+        control = stored_rows(applier.control(), f"{path}/control")
+        known = stored_rows(applier.catalog().select("database", "table").distinct(), f"{path}/known")
+        rows = curable_rejects(open_rejects(spark, applier.quarantine_path, folder), control, known, reasons)
         rows.select(ID, "value").write.mode("overwrite").parquet(f"{path}/sent")
+        for name in ("control", "known"):
+            files.delete(spark, f"{path}/{name}")
     sent = spark.read.schema(f"{ID} string, value string").parquet(f"{path}/sent")
     count = sent.count()
     if count:
