@@ -12,7 +12,7 @@ from rowtide.session import shared_dir
 from rowtide.sinks import metrics as m
 from rowtide.sinks.quarantine import read_quarantine
 from rowtide.sinks.table import LakeTable
-from rowtide.sources.events import event_stream, shard_union
+from rowtide.sources.events import event_stream, shard_union, splits, spread
 from rowtide.spec import ARRIVAL, EVENT_ORDER, TableSpec
 from rowtide.streaming.apply import ChangeApplier
 from rowtide.streaming.job import run_available, start_stream
@@ -266,3 +266,43 @@ def test_last_report_of_a_replayed_batch_counts(spark):
 def test_shards_are_united_by_name(spark):
     a, b = spark.sql("select 1 x, 2 y"), spark.sql("select 3 y, 4 x")
     assert {tuple(r) for r in shard_union([a, b]).select("x", "y").collect()} == {(1, 2), (4, 3)}
+
+
+def _plans(spark, app, batch, path, monkeypatch):
+    """Exchanges of the plan that ``stage`` writes."""
+    from rowtide.streaming import apply
+
+    seen = []
+    monkeypatch.setattr(apply, "_write_stage", lambda rows, path: seen.append(rows._jdf.queryExecution().executedPlan().toString()))
+    app.stage(batch, path)
+    return seen[0]
+
+
+def test_control_rows_made_from_a_large_table_move_no_events(spark, monkeypatch):
+    """By the estimate of its source the control table is too large for a broadcast; the rows themselves are few."""
+    folder = shared_dir(spark, "big")
+    spark.range(20_000).selectExpr("'s' as database", "'a' as table", "'id' as table_id", "sha2(string(id), 256) as more").write.parquet(folder)
+    app = applier(spark, prefix=None)
+    app.control = lambda: spark.read.parquet(folder).select("database", "table", "table_id").distinct()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        plan = _plans(spark, app, frame(spark, event("a", schema="s", id=1, v="one")), f"{app.root}/st", monkeypatch)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_in_many_splits_are_not_dealt_again(spark, monkeypatch):
+    batch = frame(spark, *[event("a", schema="s", id=k, v=f"v{k}") for k in range(40)], '{"a":1')
+    dealt = batch.repartition(6).select("value")
+    assert splits(dealt) == 6 and splits(dealt.union(dealt)) == 12 and splits(dealt.coalesce(1)) == 1
+    assert spread(dealt, 6) is dealt and splits(spread(dealt, 7)) == 7
+    app = applier(spark, prefix=None, parse_tasks=6)
+    with monkeypatch.context() as m:
+        plan = _plans(spark, app, dealt, f"{app.root}/st", m)
+        assert plan.count("Exchange") == 1 + plan.count("BroadcastExchange") and "Sort " not in plan
+    app(dealt, 0)
+    assert values(app) == {k: f"v{k}" for k in range(40)}
+    assert [r.reason for r in read_quarantine(spark, app.quarantine_path).collect()] == ["malformed_json"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
