@@ -38,7 +38,7 @@ ENTRIES = 1 << 20
 #: Counts of runs that a task holds before it gives them on.
 HELD = 1 << 20
 UNKNOWN = "und"
-BLOCK = 512 << 10
+BLOCK = 128 << 10
 RAW_BITS = 8.0
 #: Bits a byte at which a text is no learnt language where nothing could be measured: what wholly unseen bytes cost.
 REJECT_BITS = 16.0

@@ -33,8 +33,10 @@ from rowtide.llm.blocks import blocks, mix, ragged, text_of
 
 DROPOUT = 0.1
 SEED = 17
-DRAWS = 1 << 20
-BLOCK = 1 << 20  # bytes of text worked on at once: more of them share more units
+DRAWS = 1 << 18
+HASHED = 1 << 17  # characters whose prefix sums are held at once
+CELLS = 1 << 18  # symbols, with the empty places behind shorter units, that take agenda steps together
+BLOCK = 1 << 19  # bytes of text worked on at once: more of them share more units, and hold more arrays
 LONG = 64
 ALONE = 0.7  # with more groups of equal draws than this share of the units, each unit is run for itself
 MARK = 0x2581
@@ -238,11 +240,17 @@ def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: flo
     number = np.arange(len(starts)) - first[owner]
     own = mix(keys[owner] + mix(number.astype(np.uint64) + np.uint64(seed)))
 
-    # A hash of each unit's characters: a polynomial over prefix sums, then scrambled.
-    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), _BASE, np.uint64)]))
-    inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(codes), pow(int(_BASE), -1, 1 << 64), np.uint64)]))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes.astype(np.uint64) + literal + np.uint64(1)) * power[:-1])])
-    unit = mix((sums[starts + sizes] - sums[starts]) * inverse[starts] + sizes.astype(np.uint64))
+    # A hash of each unit's characters: a polynomial over prefix sums of some of them at a time, then scrambled.
+    unit = np.empty(len(starts), np.uint64)
+    cuts = [0]
+    while cuts[-1] < len(starts):
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(starts, starts[cuts[-1]] + HASHED))))
+    for a, b in zip(cuts, cuts[1:]):
+        low, high = starts[a], starts[b - 1] + sizes[b - 1]
+        power, inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(high - low, base, np.uint64)])) for base in (_BASE, pow(int(_BASE), -1, 1 << 64)))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((codes[low:high].astype(np.uint64) + literal[low:high] + np.uint64(1)) * power[:-1])])
+        s = starts[a:b] - low
+        unit[a:b] = mix((sums[s + sizes[a:b]] - sums[s]) * inverse[s] + sizes[a:b].astype(np.uint64))
     _, one, which = np.unique(unit, return_index=True, return_inverse=True)
 
     def rows_of(part, high):
@@ -256,7 +264,7 @@ def encode_block(v: Vocabulary, texts: list[str], keys: np.ndarray, dropout: flo
         base = np.cumsum(size) - size
         for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, 32), (32, LONG)):
             fit = np.flatnonzero((size > low) & (size <= high))
-            for part in np.array_split(fit, max(1, len(fit) * high >> 20)):
+            for part in np.array_split(fit, max(1, len(fit) * high // CELLS)):
                 if len(part):
                     inside, rows = rows_of(some[part], high)
                     came = None if met is None else []

@@ -32,6 +32,8 @@ BANDS = 28
 MANTISSA = 10
 SLACK = 0.13  # five standard deviations of the estimate at the threshold
 SKETCH = 1 << 18
+#: Rows of registers, and empty registers, that are worked on at once: short texts have many of both to a block.
+SOME = 1000
 #: Expected share of equal registers among two unrelated equal-sized sets, times 2 ** mantissa bits.
 COLLISIONS = 0.169919487159739
 
@@ -74,7 +76,7 @@ def registers(sets: np.ndarray, before: np.ndarray, m: int) -> np.ndarray:
 def _orders(m: int) -> np.ndarray:
     """For each bucket the order in which it asks the others when it is empty."""
     seed = mix(np.arange(m * m, dtype=np.uint64) + _SALT).reshape(m, m)
-    return seed.argsort(1)
+    return seed.argsort(1).astype(np.min_scalar_type(m))
 
 
 def band_keys(regs: np.ndarray, rows: int, orders: np.ndarray) -> np.ndarray:
@@ -82,8 +84,8 @@ def band_keys(regs: np.ndarray, rows: int, orders: np.ndarray) -> np.ndarray:
     m = regs.shape[1]
     source = np.tile(np.arange(m), (len(regs), 1))
     node, place = np.nonzero(regs == 0)
-    for a in range(0, len(node), 50_000):
-        n, p = node[a : a + 50_000], place[a : a + 50_000]
+    for a in range(0, len(node), SOME):
+        n, p = node[a : a + SOME], place[a : a + SOME]
         first = (regs[n][:, :] != 0)[np.arange(len(n))[:, None], orders[p]].argmax(1)
         source[n, p] = orders[p, first]
     value = np.take_along_axis(regs, source, 1).astype(np.uint64) | source.astype(np.uint64) << np.uint64(16)
@@ -105,7 +107,7 @@ def signatures(docs: DataFrame, words: int, m: int) -> DataFrame:
 
     def sign(batches):
         for batch in batches:
-            for part in blocks(batch):
+            for part in (block.slice(a, SOME) for block in blocks(batch) for a in range(0, block.num_rows, SOME)):
                 sets, before = shingle_sets(part.column(1), words)
                 regs = registers(sets, before, m)
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(sets ^ np.uint64(s)))]) for s in (11, 12)]
@@ -122,8 +124,8 @@ def _bins(nodes: DataFrame, rows: int, bands: int) -> DataFrame:
     def cut(batches):
         orders = _orders(m)
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                part = batch.slice(a, 2000)
+            for a in range(0, batch.num_rows, SOME):
+                part = batch.slice(a, SOME)
                 regs = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint16).reshape(-1, m)
                 keys = mix(band_keys(regs, rows, orders) + np.arange(bands, dtype=np.uint64))
                 each = pa.array(np.repeat(np.arange(part.num_rows), bands))

@@ -1,6 +1,7 @@
 """Small tables with the odd cases: nulls, empty and very long texts, repeated rows, clashing column names."""
 
 import random
+import tracemalloc
 
 from pyspark.sql import types as T
 
@@ -59,3 +60,20 @@ def same_rows(got, want):
         return tuple((x is None, "" if x is None else str(x)) for x in r)
 
     return sorted(got, key=key) == sorted(want, key=key)
+
+
+class Task:
+    """In place of a table: what an operator would run in its tasks."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def peak_mb(work):
+    """MB that Python and NumPy hold at once while ``work`` runs, beyond what they held before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()

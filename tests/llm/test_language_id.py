@@ -3,10 +3,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rowtide.llm.language_id import HashTable, Trees, fit, fit_bounded, frequent, held_out, identify, keep_known, run_counts
-from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
+from rowtide.llm.language_id import BLOCK, HashTable, Trees, code_lengths, fit, fit_bounded, frequent, held_out, identify, keep_known, run_counts
+from tests.llm.data import docs_of, odd_texts, peak_mb, rows, same_rows, table, words
 
 SF = "/root/testdata/sf0.01"
 
@@ -160,3 +161,17 @@ def test_ties_fall_to_the_smaller_run_of_all(spark):
     kept = {tuple(r) for r in frequent(spark.createDataFrame(counts, "lang string, run long, n long"), 6000).collect()}
     want = {r for x in ("a", "b", "c") for r in sorted((c for c in counts if c[0] == x), key=lambda c: (-c[2], c[1]))[:2000]}
     assert kept == want
+
+
+def test_scoring_takes_little_memory():
+    rng = np.random.default_rng(5)
+    runs = [np.unique(rng.integers(0, 1 << 8 * (k + 1), 1 << 14).astype(np.uint64)) for k in range(3)]
+    contexts = [np.unique(x >> np.uint64(8)) for x in runs]
+    bits, escapes = ([np.ones((len(x), 4), np.float32) for x in y] for y in (runs, contexts))
+    trees = Trees(list("abcd"), 2, runs, bits, contexts, escapes)
+    trees.costs(np.zeros(1, np.uint64))
+    text, out = pa.array([" ".join(words(300_000, 1))]), []
+    assert len(text[0].as_py()) > 4 * BLOCK
+    assert peak_mb(lambda: out.append(code_lengths(trees, text))) < 40
+    size, bits = out[0]
+    assert size[0] == len(text[0].as_py()) and (bits[0] >= size[0]).all()

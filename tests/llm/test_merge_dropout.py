@@ -2,11 +2,12 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 
-from rowtide.llm.blocks import mix
-from rowtide.llm.merge_dropout import _agenda_long, _agenda_rows, decode, encode, encode_block, vocabulary
-from tests.llm.data import docs_of, odd_texts, rows, same_rows, table
+from rowtide.llm.blocks import blocks, mix
+from rowtide.llm.merge_dropout import BLOCK, _agenda_long, _agenda_rows, decode, encode, encode_block, vocabulary
+from tests.llm.data import docs_of, odd_texts, peak_mb, rows, same_rows, table, words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["", "a  b", " x ", "a\n\n b", "日本語 テスト\r\n", "😀 x😀", "aaaa" * 100, "\x00\tq", "é" * 200, "   lots   of    spaces  ", " " * 100, "ab" * 3000, "<s> hello </s>"]
@@ -138,3 +139,23 @@ def test_pieces_are_those_of_a_plain_merge_loop(spark):
     texts = [" ".join(words_[i : i + 150]) for i in range(0, 900, 150)] + ["international internationally documentation " * 40 + "a" * 70]
     for dropout in (0.1, 0.35, 0.8):
         assert pieces_of(texts, dropout) == [plain_pieces(t, k, dropout) for k, t in enumerate(texts)]
+
+
+def test_a_block_takes_little_memory():
+    batch = pa.RecordBatch.from_arrays([pa.array([" ".join(words(60, i, 5000)) for i in range(6000)])], names=["text"])
+    v, many = vocabulary(MODEL), []
+
+    def run():
+        for part in blocks(batch, limit=BLOCK):
+            many.append(len(encode_block(v, part.column(0).to_pylist(), np.arange(part.num_rows).astype(np.uint64), 0.1, 17)[0]))
+
+    assert peak_mb(run) < 45
+    assert len(many) > 1 and sum(many) > 6000 * 60
+
+
+def test_units_are_told_apart_over_a_long_text(monkeypatch):
+    texts = [" ".join(words(3000, i)) + "x" * 200 for i in range(3)] + TEXTS
+    expected = pieces_of(texts, 0.1)
+    for name in ("HASHED", "CELLS", "DRAWS"):
+        monkeypatch.setattr(f"rowtide.llm.merge_dropout.{name}", 100)
+    assert pieces_of(texts, 0.1) == expected

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from rowtide.llm.components import components
-from rowtide.llm.near_dedup import BANDS, ROWS, estimate, near_duplicates, registers
-from tests.llm.data import docs_of, odd_texts, rows, same_rows, table, words
+from rowtide.llm.near_dedup import BANDS, ROWS, WORDS, _orders, band_keys, estimate, near_duplicates, registers, signatures
+from tests.llm.data import Task, docs_of, odd_texts, peak_mb, rows, same_rows, table, words
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -108,3 +109,16 @@ def test_components(spark):
     got = rows(components(spark.createDataFrame(links, "a long, b long"), salts=3))
     assert same_rows(got, [(x, c) for x, c in label.items() if x in linked])
     assert rows(components(spark.createDataFrame([], "a long, b long"))) == []
+
+
+def test_short_texts_take_little_memory():
+    m = ROWS * BANDS
+    regs = np.zeros((2000, m), np.uint16)
+    regs[np.arange(2000), np.arange(2000) % m] = 7
+    orders, keys = _orders(m), []
+    assert peak_mb(lambda: keys.append(band_keys(regs, ROWS, orders))) < 40
+    assert (np.concatenate([band_keys(regs[a : a + 1], ROWS, orders) for a in range(0, 2000, 50)]) == keys[0][::50]).all()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array([f"a b c d e f{i}" for i in range(10_000)])], names=["doc_id", "text"])
+    run, out = signatures(Task(), WORDS, m), []
+    assert peak_mb(lambda: out.extend(part.num_rows for part in run([batch]))) < 40
+    assert sum(out) == 10_000
